@@ -124,3 +124,19 @@ PY_WHITESPACE_CLASS = (
 # letters, digits/numerals and underscore (Python's ``\w``), plus whitespace.
 CJK_RANGE_CLASS = r"\x{4E00}-\x{9FFF}"
 WORD_CLASS = CJK_RANGE_CLASS + r"\p{L}\p{N}_"
+
+# FIXED VALUES — JSON field names of the two company-list vocabularies.
+LIST_VOCAB_ZH = {"code": "公司代號", "short": "公司簡稱", "full": "公司名稱",
+                 "as_of": "出表日期", "industry": "產業別"}
+LIST_VOCAB_EN = {"code": "SecuritiesCompanyCode", "short": "CompanyAbbreviation",
+                 "full": "CompanyName", "as_of": "Date", "industry": "SecuritiesIndustryCode"}
+
+# FIXED VALUES — JSON field names of the two daily-quote vocabularies.
+QUOTE_VOCAB_EXCHANGE = {"code": "Code", "close": "ClosingPrice", "change": "Change",
+                        "volume": "TradeVolume", "date": "Date"}
+QUOTE_VOCAB_OTC = {"code": "SecuritiesCompanyCode", "close": "Close", "change": "Change",
+                   "volume": "TradingShares", "date": "Date"}
+
+# FIXED VALUES — quote columns added to the stock list, with their types.
+QUOTE_COLUMNS = [("close_price", "double"), ("change_val", "string"), ("change_pct", "string"),
+                 ("volume", "bigint"), ("quote_date", "string")]

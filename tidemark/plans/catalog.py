@@ -72,3 +72,182 @@ SELECT lang, count(*) AS n FROM documents WHERE {S.HAS_TEXT} GROUP BY lang""")
 def industry_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A2: articles per industry, descending."""
     return rollup.industry_counts(articles(spark, sf_dir), "lang")
+
+
+# ================================================================ market data
+from ..functions.fixed import (INDUSTRY_CODE_MAP, LIST_VOCAB_EN, LIST_VOCAB_ZH,  # noqa: E402
+                               MARKET_EMERGING, MARKET_LISTED, MARKET_OTC, QUOTE_VOCAB_EXCHANGE,
+                               QUOTE_VOCAB_OTC)
+from ..functions.market import (chain_topic, post_date as post_date_fn, quote_texts,  # noqa: E402
+                                roc_to_iso, segment_code)
+from ..operators import dedupe, dims, market  # noqa: E402
+
+SYNCED_AT = "2026-04-13T18:00:00+0800"
+AS_OF = "1150410"
+
+_CODE_MAP_SQL = "SELECT * FROM (VALUES " + ", ".join(
+    f"({S.q(k)}, {S.q(v)})" for k, v in INDUSTRY_CODE_MAP.items()) + ") AS m(code, name)"
+
+
+def _landed_lists(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Three company lists as landed JSON records: customer (Chinese field names),
+    supplier and part (English field names); their keys overlap."""
+    zh, en = LIST_VOCAB_ZH, LIST_VOCAB_EN
+    c = read_table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").cast("string").alias(zh["code"]),
+        F.when(F.col("c_mktsegment") == "BUILDING", F.lit(""))
+         .when(F.col("c_mktsegment") == "MACHINERY", F.lit(" "))
+         .otherwise(F.col("c_name")).alias(zh["short"]),
+        F.col("c_mktsegment").alias(zh["full"]),
+        F.lit(AS_OF).alias(zh["as_of"]),
+        F.lpad(F.col("c_nationkey").cast("string"), 2, "0").alias(zh["industry"]),
+        F.col("c_custkey").alias("ordinal"))
+    s = read_table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").cast("string").alias(en["code"]),
+        F.col("s_name").alias(en["short"]),
+        F.lit(None).cast("string").alias(en["full"]),
+        F.lit(AS_OF).alias(en["as_of"]),
+        F.lpad(F.col("s_nationkey").cast("string"), 2, "0").alias(en["industry"]),
+        F.col("s_suppkey").alias("ordinal"))
+    p = read_table(spark, sf_dir, "part").select(
+        F.concat(F.lit(" "), F.col("p_partkey").cast("string")).alias(en["code"]),
+        F.lit(None).cast("string").alias(en["short"]),
+        F.col("p_name").alias(en["full"]),
+        F.lit(AS_OF).alias(en["as_of"]),
+        F.col("p_size").cast("string").alias(en["industry"]),
+        F.col("p_partkey").alias("ordinal"))
+    return [market.company_list(c, zh, MARKET_LISTED, "list:listed", SYNCED_AT),
+            market.company_list(s, en, MARKET_OTC, "list:otc", SYNCED_AT),
+            market.company_list(p, en, MARKET_EMERGING, "list:emerging", SYNCED_AT)]
+
+
+@register("company_list", f"""
+WITH raw AS (
+  SELECT CAST(c_custkey AS VARCHAR) AS code,
+         CASE c_mktsegment WHEN 'BUILDING' THEN '' WHEN 'MACHINERY' THEN ' ' ELSE c_name END AS short,
+         c_mktsegment AS full_name, lpad(CAST(c_nationkey AS VARCHAR), 2, '0') AS ind,
+         '{MARKET_LISTED}' AS market, 'list:listed' AS source_url, 0 AS prio, c_custkey AS ord FROM customer
+  UNION ALL
+  SELECT CAST(s_suppkey AS VARCHAR), s_name, NULL, lpad(CAST(s_nationkey AS VARCHAR), 2, '0'),
+         '{MARKET_OTC}', 'list:otc', 1, s_suppkey FROM supplier
+  UNION ALL
+  SELECT ' ' || CAST(p_partkey AS VARCHAR), NULL, p_name, CAST(p_size AS VARCHAR),
+         '{MARKET_EMERGING}', 'list:emerging', 2, p_partkey FROM part),
+m AS ({_CODE_MAP_SQL}),
+n AS (
+  SELECT {S.strip_sql("code")} AS stock_code,
+         {S.strip_sql("CASE WHEN short IS NOT NULL AND short <> '' THEN short ELSE coalesce(full_name, '') END")} AS stock_name,
+         market, {S.strip_sql("ind")} AS industry_code, source_url, prio, ord FROM raw),
+k AS (SELECT *, row_number() OVER (PARTITION BY stock_code ORDER BY prio, ord) AS rn
+      FROM n WHERE stock_code <> '' AND stock_name <> '')
+SELECT stock_code, stock_name, market, industry_code, coalesce(m.name, industry_code) AS industry_name,
+       source_url, '{AS_OF}' AS source_as_of, '{SYNCED_AT}' AS synced_at, CAST(prio AS INTEGER) AS priority
+FROM k LEFT JOIN m ON k.industry_code = m.code WHERE rn = 1""")
+def company_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three company lists -> one stock list, first seen wins."""
+    return market.first_seen(_landed_lists(spark, sf_dir))
+
+
+@register("industry_lookup", f"""
+WITH dim AS (
+  SELECT CAST(s_suppkey AS VARCHAR) AS stock_code, coalesce(n.n_name, CAST(s_nationkey AS VARCHAR)) AS industry_name,
+         row_number() OVER (PARTITION BY CAST(s_suppkey AS VARCHAR) ORDER BY s_suppkey DESC) AS rn
+  FROM supplier s LEFT JOIN (SELECT n_nationkey, min(n_name) AS n_name FROM nation GROUP BY 1) n
+    ON s.s_nationkey = n.n_nationkey)
+SELECT e.event_id, CAST(e.user_id AS VARCHAR) AS stock_id,
+       coalesce(dim.industry_name, '{DEFAULT_INDUSTRY}') AS industry_name
+FROM events e LEFT JOIN dim ON CAST(e.user_id AS VARCHAR) = dim.stock_code AND dim.rn = 1""")
+def industry_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events (as articles) left-join a stock dimension; missing -> default."""
+    nation = read_table(spark, sf_dir, "nation", "n_nationkey", "n_name")
+    sup = read_table(spark, sf_dir, "supplier", "s_suppkey", "s_nationkey")
+    stocks = dims.resolve_code_join(
+        sup.select(F.col("s_suppkey").cast("string").alias("stock_code"),
+                   F.col("s_nationkey").cast("string").alias("code"), "s_suppkey"),
+        "code", nation, "n_nationkey", "n_name", "industry_name")
+    ev = read_table(spark, sf_dir, "events", "event_id", "user_id").select(
+        "event_id", F.col("user_id").cast("string").alias("stock_id"))
+    return dims.with_industry(ev, stocks, "stock_id", DEFAULT_INDUSTRY, order="s_suppkey") \
+        .select("event_id", "stock_id", "industry_name")
+
+
+@register("keyword_list", """
+WITH p AS (
+  SELECT CAST(p_partkey AS VARCHAR) AS code, p_name AS name,
+         concat_ws(',', p_brand, ' ', p_type, p_brand, ' ' || p_name) AS alias FROM part),
+l AS (
+  SELECT code, list_concat([""" + S.strip_sql("coalesce(name, '')") + ", " + S.strip_sql("coalesce(code, '')") + """],
+         list_transform(string_split(coalesce(alias, ''), ','), lambda x: """ + S.strip_sql("x") + """)) AS w FROM p)
+SELECT code AS stock_code,
+       array_to_string(list_filter(w, lambda x, i: x <> '' AND list_position(w, x) = i), '|') AS keywords,
+       CAST(len(list_filter(w, lambda x, i: x <> '' AND list_position(w, x) = i)) AS INTEGER) AS n_keywords
+FROM l""")
+def keyword_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Search keywords per stock: name, code, then comma-separated aliases."""
+    p = read_table(spark, sf_dir, "part", "p_partkey", "p_name", "p_brand", "p_type").select(
+        F.col("p_partkey").cast("string").alias("code"), F.col("p_name").alias("name"),
+        F.concat_ws(",", "p_brand", F.lit(" "), "p_type", "p_brand",
+                    F.concat(F.lit(" "), F.col("p_name"))).alias("alias"))
+    kw = dims.keyword_list("code", "name", "alias")
+    return p.select(F.col("code").alias("stock_code"), F.array_join(kw, "|").alias("keywords"),
+                    F.size(kw).alias("n_keywords"))
+
+
+def _sql_number(x: str) -> str:
+    s = f"replace({S.strip_sql(x)}, ',', '')"
+    return (f"(CASE WHEN {s} IN ('', '--', '----', 'N/A') OR NOT regexp_full_match({s}, "
+            f"'[+-]?([0-9]+(\\.[0-9]*)?|\\.[0-9]+)([eE][+-]?[0-9]+)?') THEN NULL "
+            f"ELSE TRY_CAST({s} AS DOUBLE) END)")
+
+
+def _sql_fmt(x: str) -> str:
+    return f"((CASE WHEN {x} >= 0 THEN '+' ELSE '' END) || printf('%.2f', {x}))"
+
+
+def _sql_quote_cols(close: str, change: str, vol: str, date: str) -> str:
+    """SELECT list for a cleaned quote, from expressions naming the raw text fields."""
+    c, d, v = _sql_number(close), _sql_number(change), _sql_number(vol)
+    pct = f"({d} / ({c} - {d}) * 100)"
+    s = S.strip_sql(date)
+    roc = (f"(CASE WHEN length({s}) = 7 THEN CAST(TRY_CAST(substr({s}, 1, 3) AS INTEGER) + 1911 AS VARCHAR)"
+           f" || '-' || substr({s}, 4, 2) || '-' || substr({s}, 6, 2) ELSE {s} END)")
+    both = f"({c} IS NOT NULL AND {d} IS NOT NULL)"
+    return (f"{c} AS close_price, CASE WHEN {both} THEN {_sql_fmt(d)} ELSE '' END AS change_val, "
+            f"CASE WHEN {both} AND ({c} - {d}) <> 0 THEN {_sql_fmt(pct)} || '%' ELSE '' END AS change_pct, "
+            f"CAST(trunc({v}) AS BIGINT) AS volume, {roc} AS quote_date")
+
+
+def _landed_quotes_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = QUOTE_VOCAB_EXCHANGE
+    o = read_table(spark, sf_dir, "orders", "o_orderkey", "o_orderstatus", "o_totalprice",
+                   "o_orderdate", "o_orderpriority")
+    two = lambda x: F.call_function("format_number", x, F.lit("0.00"))
+    return o.select(
+        F.col("o_orderkey").cast("string").alias(v["code"]),
+        F.when(F.col("o_orderstatus") == "P", F.lit("--"))
+         .otherwise(F.format_number("o_totalprice", 2)).alias(v["close"]),
+        F.when(F.col("o_orderpriority") == "5-LOW", F.lit("N/A"))
+         .otherwise(two(F.col("o_totalprice") / 100000 - 2.5)).alias(v["change"]),
+        F.when(F.col("o_orderstatus") == "F", F.lit(""))
+         .otherwise(F.format_number(F.floor(F.col("o_totalprice") * 10), 0)).alias(v["volume"]),
+        F.when(F.col("o_orderpriority") == "1-URGENT",
+               F.concat(F.lit(" "), F.date_format("o_orderdate", "yyyy-MM-dd")))
+         .otherwise(F.concat(F.lpad((F.year("o_orderdate") - 1911).cast("string"), 3, "0"),
+                             F.date_format("o_orderdate", "MMdd"))).alias(v["date"]),
+        F.col("o_orderkey").alias("ordinal"))
+
+
+@register("quote_clean", f"""
+WITH raw AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS code,
+         CASE WHEN o_orderstatus = 'P' THEN '--' ELSE format('{{:,.2f}}', o_totalprice) END AS close_t,
+         CASE WHEN o_orderpriority = '5-LOW' THEN 'N/A' ELSE printf('%.2f', o_totalprice / 100000 - 2.5) END AS change_t,
+         CASE WHEN o_orderstatus = 'F' THEN '' ELSE format('{{:,}}', CAST(floor(o_totalprice * 10) AS BIGINT)) END AS vol_t,
+         CASE WHEN o_orderpriority = '1-URGENT' THEN ' ' || strftime(o_orderdate, '%Y-%m-%d')
+              ELSE lpad(CAST(year(o_orderdate) - 1911 AS VARCHAR), 3, '0') || strftime(o_orderdate, '%m%d') END AS date_t
+  FROM orders)
+SELECT {S.strip_sql("code")} AS stock_code, {_sql_quote_cols("close_t", "change_t", "vol_t", "date_t")}
+FROM raw WHERE {S.strip_sql("code")} <> ''""")
+def quote_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed quote texts -> typed close, change text, change %, volume, ISO date."""
+    return market.clean_quotes(_landed_quotes_orders(spark, sf_dir), QUOTE_VOCAB_EXCHANGE).drop("ordinal")
