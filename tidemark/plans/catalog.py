@@ -251,3 +251,230 @@ FROM raw WHERE {S.strip_sql("code")} <> ''""")
 def quote_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed quote texts -> typed close, change text, change %, volume, ISO date."""
     return market.clean_quotes(_landed_quotes_orders(spark, sf_dir), QUOTE_VOCAB_EXCHANGE).drop("ordinal")
+
+
+def _roc_of(ts: str) -> F.Column:
+    return F.concat(F.lpad((F.year(ts) - 1911).cast("string"), 3, "0"), F.date_format(ts, "MMdd"))
+
+
+_ROC_SQL = "lpad(CAST(year(ts) - 1911 AS VARCHAR), 3, '0') || strftime(ts, '%m%d')"
+
+
+def _events_feed(spark: SparkSession, sf_dir: str, event_type: str, vocab: dict,
+                 signed_change: bool) -> DataFrame:
+    """Landed quote records from one event type (a data-driven split into feeds)."""
+    e = read_table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value")
+    two = lambda x: F.call_function("format_number", x, F.lit("0.00"))
+    chg = F.col("value") / 10 - 1
+    chg_t = F.concat(F.when(chg > 0, F.lit("+")).otherwise(F.lit("")), two(chg)) if signed_change else two(chg)
+    return e.where(F.col("event_type") == event_type).select(
+        F.col("user_id").cast("string").alias(vocab["code"]),
+        two(F.col("value")).alias(vocab["close"]),
+        chg_t.alias(vocab["change"]),
+        (F.col("event_id") * 100).cast("string").alias(vocab["volume"]),
+        _roc_of("ts").alias(vocab["date"]),
+        F.col("event_id").alias("ordinal"))
+
+
+def _sql_feed(event_type: str, prio: int, signed: bool) -> str:
+    chg = "printf('%.2f', value / 10 - 1)"
+    if signed:
+        chg = f"(CASE WHEN value / 10 - 1 > 0 THEN '+' ELSE '' END) || {chg}"
+    return (f"SELECT CAST(user_id AS VARCHAR) AS code, printf('%.2f', value) AS close_t, {chg} AS change_t, "
+            f"CAST(event_id * 100 AS VARCHAR) AS vol_t, {_ROC_SQL} AS date_t, {prio} AS prio, event_id AS ord "
+            f"FROM events WHERE event_type = '{event_type}'")
+
+
+@register("quote_merge", f"""
+WITH raw AS ({_sql_feed('click', 0, False)} UNION ALL {_sql_feed('view', 1, True)}
+             UNION ALL {_sql_feed('purchase', 2, True)}),
+q AS (SELECT {S.strip_sql("code")} AS stock_code,
+             {_sql_quote_cols("close_t", "change_t", "vol_t", "date_t")}, prio, ord
+      FROM raw WHERE {S.strip_sql("code")} <> ''),
+r AS (SELECT *, row_number() OVER (PARTITION BY stock_code ORDER BY prio, ord) AS rn FROM q)
+SELECT stock_code, close_price, change_val, change_pct, volume, quote_date, CAST(prio AS INTEGER) AS priority
+FROM r WHERE rn = 1""")
+def quote_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three quote feeds (two vocabularies) merged, first seen per code wins.
+
+    A fourth, optional feed whose landing folder is absent contributes no rows.
+    """
+    from ..sources.readers import SCHEMAS, read_source
+    feeds = [
+        market.clean_quotes(_events_feed(spark, sf_dir, "click", QUOTE_VOCAB_EXCHANGE, False),
+                            QUOTE_VOCAB_EXCHANGE),
+        market.clean_quotes(_events_feed(spark, sf_dir, "view", QUOTE_VOCAB_OTC, True), QUOTE_VOCAB_OTC),
+        market.clean_quotes(_events_feed(spark, sf_dir, "purchase", QUOTE_VOCAB_OTC, True), QUOTE_VOCAB_OTC),
+    ]
+    missing = read_source(spark, f"{sf_dir.rstrip('/')}/landing/quotes_optional", SCHEMAS["quote_otc"],
+                          "json", required=False)
+    feeds.append(market.clean_quotes(missing, QUOTE_VOCAB_OTC))
+    return market.first_seen(feeds)
+
+
+_PCT = "(d / (c - d) * 100)"
+
+
+@register("quote_update", f"""
+WITH ev AS (
+  SELECT CAST(user_id AS VARCHAR) AS stock_code, CASE WHEN event_type = 'error' THEN NULL ELSE value END AS c,
+         value / 10 - 1 AS d, event_id * 100 AS v, strftime(ts, '%Y-%m-%d') AS qd,
+         row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
+  FROM events),
+q AS (
+  SELECT stock_code, c AS close_price,
+         CASE WHEN c IS NOT NULL AND d IS NOT NULL THEN {_sql_fmt('d')} ELSE '' END AS change_val,
+         CASE WHEN c IS NOT NULL AND d IS NOT NULL AND c - d <> 0 THEN {_sql_fmt(_PCT)} || '%' ELSE '' END AS change_pct,
+         v AS volume, qd AS quote_date
+  FROM ev WHERE rn = 1),
+b AS (SELECT CAST(c_custkey AS VARCHAR) AS stock_code, c_name AS stock_name, c_acctbal FROM customer)
+SELECT b.stock_code, b.stock_name,
+       CASE WHEN q.stock_code IS NOT NULL THEN q.close_price ELSE b.c_acctbal END AS close_price,
+       CASE WHEN q.stock_code IS NOT NULL THEN q.change_val END AS change_val,
+       CASE WHEN q.stock_code IS NOT NULL THEN q.change_pct END AS change_pct,
+       CASE WHEN q.stock_code IS NOT NULL THEN q.volume END AS volume,
+       CASE WHEN q.stock_code IS NOT NULL THEN q.quote_date END AS quote_date,
+       q.stock_code IS NOT NULL AS quote_matched
+FROM b LEFT JOIN q ON b.stock_code = q.stock_code""")
+def quote_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest quote per code updates matching stock-list rows.
+
+    The list already carries an old close price; the other quote columns are added as
+    typed nulls.  Matched rows take every new value (nulls included).
+    """
+    e = read_table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value")
+    ev = e.select(F.col("user_id").cast("string").alias("stock_code"),
+                  F.when(F.col("event_type") == "error", F.lit(None).cast("double"))
+                   .otherwise(F.col("value")).alias("close_price"),
+                  (F.col("value") / 10 - 1).alias("__chg"),
+                  (F.col("event_id") * 100).alias("volume"),
+                  F.date_format("ts", "yyyy-MM-dd").alias("quote_date"), "ts", "event_id")
+    latest = dedupe.last_wins(ev, ["stock_code"], ["ts", "event_id"])
+    chg, pct = quote_texts(F.col("close_price"), F.col("__chg"))
+    quotes = latest.select("stock_code", "close_price", chg.alias("change_val"), pct.alias("change_pct"),
+                           "volume", "quote_date")
+    base = read_table(spark, sf_dir, "customer", "c_custkey", "c_name", "c_acctbal").select(
+        F.col("c_custkey").cast("string").alias("stock_code"), F.col("c_name").alias("stock_name"),
+        F.col("c_acctbal").alias("close_price"))
+    return market.update_matched(base, quotes, "stock_code")
+
+
+POST_YEAR = 2023
+
+
+@register("post_date", f"""
+WITH o AS (
+  SELECT o_orderkey,
+         CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '5-LOW' THEN ''
+              ELSE strftime(o_orderdate, '%-m/%-d') END AS post_text FROM orders)
+SELECT o_orderkey, post_text,
+       strftime(try_strptime('{POST_YEAR}/' || {S.strip_sql('post_text')}, '%Y/%m/%d'), '%Y-%m-%d %H:%M:%S') AS created_at
+FROM o""")
+def post_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Post dates ``M/D`` plus a year parameter; invalid dates (2/29, "") -> null."""
+    o = read_table(spark, sf_dir, "orders", "o_orderkey", "o_orderstatus", "o_orderpriority", "o_orderdate")
+    o = o.select("o_orderkey", F.when((F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "5-LOW"),
+                                      F.lit("")).otherwise(F.date_format("o_orderdate", "M/d")).alias("post_text"))
+    return o.select("o_orderkey", "post_text",
+                    F.date_format(post_date_fn("post_text", POST_YEAR), "yyyy-MM-dd HH:mm:ss").alias("created_at"))
+
+
+_SUFFIX = "產業鏈簡介"
+
+
+@register("chain_rows", f"""
+WITH raw AS (
+  SELECT replace(p.p_brand, 'Brand#', 'B') AS chain_ic,
+         p.p_type || CASE WHEN l.l_returnflag = 'R' THEN ' {_SUFFIX} ' ELSE '' END AS title,
+         'companyList_' || CASE WHEN l.l_linestatus = 'O' THEN lower(p.p_type) ELSE p.p_type END AS div_id,
+         p.p_type AS segment_name, l.l_returnflag AS listing_bucket,
+         CAST(s.s_suppkey AS VARCHAR) AS stock_code, s.s_name AS stock_name, l.l_orderkey, l.l_linenumber
+  FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey JOIN supplier s ON l.l_suppkey = s.s_suppkey),
+t AS (
+  SELECT *, {S.strip_sql('title')} AS tt,
+         CASE WHEN regexp_matches(div_id, '^companyList_[0-9A-Z]')
+              THEN regexp_extract(div_id, '^companyList_([0-9A-Z]+)', 1)
+              ELSE replace(div_id, 'companyList_', '') END AS segment_code
+  FROM raw),
+u AS (
+  SELECT *, CASE WHEN ends_with(tt, '{_SUFFIX}') THEN {S.strip_sql(f"substring(tt, 1, length(tt) - {len(_SUFFIX)})")}
+                 ELSE tt END AS chain_topic,
+         row_number() OVER (PARTITION BY chain_ic, segment_code, stock_code, listing_bucket
+                            ORDER BY l_orderkey DESC, l_linenumber DESC) AS rn
+  FROM t),
+idx AS (
+  SELECT chain_ic, p_type AS major_industry FROM (
+    SELECT replace(p_brand, 'Brand#', 'B') AS chain_ic, p_type,
+           row_number() OVER (PARTITION BY replace(p_brand, 'Brand#', 'B') ORDER BY p_partkey DESC) AS rn
+    FROM part) WHERE rn = 1),
+k AS (SELECT * FROM u WHERE rn = 1)
+SELECT coalesce(idx.major_industry, '') AS major_industry, k.chain_ic,
+       CAST(dense_rank() OVER (ORDER BY length(k.chain_ic), k.chain_ic) AS INTEGER) AS chain_order,
+       chain_topic, segment_code, segment_name, listing_bucket, stock_code, stock_name
+FROM k LEFT JOIN idx ON k.chain_ic = idx.chain_ic""")
+def chain_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chain rows keyed (chain, segment, stock, bucket), last wins,
+    with the chain's category from an index (later index hits replace earlier ones)."""
+    li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                    "l_returnflag", "l_linestatus")
+    pt = read_table(spark, sf_dir, "part", "p_partkey", "p_brand", "p_type")
+    sp = read_table(spark, sf_dir, "supplier", "s_suppkey", "s_name")
+    raw = (li.join(pt, li.l_partkey == pt.p_partkey).join(sp, li.l_suppkey == sp.s_suppkey)
+           .select(F.replace(F.col("p_brand"), F.lit("Brand#"), F.lit("B")).alias("chain_ic"),
+                   chain_topic(F.concat(F.col("p_type"), F.when(F.col("l_returnflag") == "R",
+                                                               F.lit(f" {_SUFFIX} ")).otherwise(F.lit(""))))
+                   .alias("chain_topic"),
+                   segment_code(F.concat(F.lit("companyList_"),
+                                         F.when(F.col("l_linestatus") == "O", F.lower("p_type"))
+                                          .otherwise(F.col("p_type")))).alias("segment_code"),
+                   F.col("p_type").alias("segment_name"), F.col("l_returnflag").alias("listing_bucket"),
+                   F.col("s_suppkey").cast("string").alias("stock_code"), F.col("s_name").alias("stock_name"),
+                   "l_orderkey", "l_linenumber"))
+    rows = dedupe.last_wins(raw, ["chain_ic", "segment_code", "stock_code", "listing_bucket"],
+                            ["l_orderkey", "l_linenumber"]).drop("l_orderkey", "l_linenumber")
+    index = dedupe.last_wins(
+        pt.select(F.replace(F.col("p_brand"), F.lit("Brand#"), F.lit("B")).alias("chain_ic"),
+                  F.col("p_type").alias("major_industry"), "p_partkey"),
+        ["chain_ic"], ["p_partkey"]).drop("p_partkey")
+    rows = dims.with_category(rows, index, "chain_ic", "major_industry")
+    return rows.join(dims.chain_order(rows, "chain_ic"), "chain_ic").select(
+        "major_industry", "chain_ic", "chain_order", "chain_topic", "segment_code", "segment_name",
+        "listing_bucket", "stock_code", "stock_name")
+
+
+# ================================================================ dedupe / top-k / resume
+from ..functions.fixed import MAX_PER_STOCK  # noqa: E402
+
+
+@register("top_n_per_group", f"""
+SELECT event_id, user_id, event_type, CAST(rn AS INTEGER) AS rank FROM (
+  SELECT event_id, user_id, event_type,
+         row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS rn FROM events)
+WHERE rn <= {MAX_PER_STOCK}""")
+def top_n_per_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first N hits per (stock, board) in search order."""
+    e = read_table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type")
+    return dedupe.top_n(e, ["user_id", "event_type"], ["ts", "event_id"], MAX_PER_STOCK) \
+        .select("event_id", "user_id", "event_type", "rank")
+
+
+@register("url_claim", """
+SELECT url, stock_id, doc_id FROM (
+  SELECT sha256(text) AS url, source AS stock_id, doc_id,
+         row_number() OVER (PARTITION BY sha256(text) ORDER BY source, doc_id) AS rn FROM documents)
+WHERE rn = 1""")
+def url_claim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each article URL belongs to the first stock that finds it in the run."""
+    d = read_table(spark, sf_dir, "documents", "doc_id", "text", "source").select(
+        F.sha2(F.col("text"), 256).alias("url"), F.col("source").alias("stock_id"), "doc_id")
+    return dedupe.claim(d, "url", ["stock_id", "doc_id"])
+
+
+@register("pending_work", """
+SELECT doc_id, source FROM documents d
+WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""")
+def pending_work(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requested work minus the done set."""
+    d = read_table(spark, sf_dir, "documents", "doc_id", "source")
+    done = read_table(spark, sf_dir, "labels", "doc_id")
+    return dedupe.pending(d, done, "doc_id")
