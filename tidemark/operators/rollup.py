@@ -63,32 +63,34 @@ def topic_matrix(df: DataFrame, topic: str | Sequence[str], industry: str,
     return m.withColumn(total, tot).orderBy(F.desc(total), *[F.col(k) for k in keys])
 
 
-def topic_brief(df: DataFrame, topic: str, industry: str, text: str, doc: str,
+def topic_brief(df: DataFrame, topic: str | Sequence[str], industry: str, text: str, doc: str,
                 n_samples: int = N_SAMPLES, n_industries: int = N_TOP_INDUSTRIES,
                 sample_chars: int = SAMPLE_CHARS) -> DataFrame:
     """Per non-empty topic its size, top industries and samples.
 
     top_industries: up to ``n_industries`` "name(n)" strings by count desc, name.
     samples: the ``n_samples`` shortest texts (ties by ``doc``), first ``sample_chars``
-    code points with newlines as spaces.
+    code points with newlines as spaces.  Both are collected from at most n rows per
+    topic (``WindowGroupLimit`` keeps a hot topic from shipping more).
     """
-    base = df.where(F.col(topic).isNotNull())
-    sizes = base.groupBy(topic).agg(F.count(F.lit(1)).alias("size"))
+    keys = [topic] if isinstance(topic, str) else list(topic)
+    base = df.where(F.col(keys[-1]).isNotNull())
+    sizes = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("size"))
 
-    ind = base.groupBy(topic, industry).agg(F.count(F.lit(1)).alias("__n"))
-    ind = top_n(ind, [topic], [F.desc("__n"), F.col(industry)], n_industries, "__r")
-    ind = ind.groupBy(topic).agg(F.array_sort(F.collect_list(F.struct(
+    ind = base.groupBy(*keys, industry).agg(F.count(F.lit(1)).alias("__n"))
+    ind = top_n(ind, keys, [F.desc("__n"), F.col(industry)], n_industries, "__r")
+    ind = ind.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(
         F.col("__r"), F.concat(F.col(industry), F.lit("("), F.col("__n").cast("string"), F.lit(")"))
         .alias("s")))).alias("__l"))
-    ind = ind.select(topic, F.transform("__l", lambda x: x["s"]).alias("top_industries"))
+    ind = ind.select(*keys, F.transform("__l", lambda x: x["s"]).alias("top_industries"))
 
-    smp = base.select(topic, doc, F.length(text).alias("__len"),
+    smp = base.select(*keys, doc, F.length(text).alias("__len"),
                       sample_text(text, sample_chars).alias("__s"))
-    smp = top_n(smp, [topic], [F.col("__len"), F.col(doc)], n_samples, "__r")
-    smp = smp.groupBy(topic).agg(F.array_sort(F.collect_list(F.struct("__r", "__s"))).alias("__l"))
-    smp = smp.select(topic, F.transform("__l", lambda x: x["__s"]).alias("samples"))
+    smp = top_n(smp, keys, [F.col("__len"), F.col(doc)], n_samples, "__r")
+    smp = smp.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("__r", "__s"))).alias("__l"))
+    smp = smp.select(*keys, F.transform("__l", lambda x: x["__s"]).alias("samples"))
 
-    return sizes.join(ind, topic, "left").join(smp, topic, "left")
+    return sizes.join(ind, keys, "left").join(smp, keys, "left")
 
 
 def label_template(df: DataFrame, levels: Sequence[str]) -> DataFrame:

@@ -478,3 +478,176 @@ def pending_work(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = read_table(spark, sf_dir, "documents", "doc_id", "source")
     done = read_table(spark, sf_dir, "labels", "doc_id")
     return dedupe.pending(d, done, "doc_id")
+
+
+# ================================================================ article text, briefs, labels, tree
+from ..functions.fixed import (FALLBACK_COLOR as _FB, INDUSTRY_PALETTE as _PAL,  # noqa: E402
+                               N_KEYWORDS, N_SAMPLES, N_TOP_INDUSTRIES, ROOT_COLOR as _RC,
+                               ROOT_ID as _RID, ROOT_LABEL as _RL, SAMPLE_CHARS)
+from ..functions.text import WS as _WS, article_body as article_body_fn, tokenize  # noqa: E402
+from ..operators import keywords  # noqa: E402
+
+_SIG = "\n-- \nsent from conversation "
+
+
+@register("article_body", f"""
+WITH src AS (
+  SELECT 'doc' AS src, doc_id AS id, CAST(0 AS BIGINT) AS turn, text FROM documents
+  UNION ALL
+  SELECT 'conv', conv_id, turn,
+         CASE WHEN role = 'assistant' THEN text || chr(10) || '-- ' || chr(10) || 'sent from conversation '
+                                               || CAST(conv_id AS VARCHAR)
+              ELSE replace(text, chr(10), repeat(chr(10), 4)) END FROM conversations),
+b AS (SELECT src, id, turn,
+             regexp_replace(regexp_replace(text, {S.q(rf'(?s)\n--[{_WS}]*\n.*\z')}, ''),
+                            '\\n{{3,}}', chr(10) || chr(10), 'g') AS t FROM src)
+SELECT src, id, turn, {S.strip_sql('t')} AS body FROM b""")
+def article_body(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Article text before the signature line, blank-line runs squeezed, trimmed.
+
+    Conversation turns stand in for fetched articles: assistant turns get a signature
+    block appended and user turns get their line breaks widened to four newlines.
+    """
+    d = read_table(spark, sf_dir, "documents", "doc_id", "text").select(
+        F.lit("doc").alias("src"), F.col("doc_id").alias("id"), F.lit(0).cast("bigint").alias("turn"), "text")
+    c = read_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text").select(
+        F.lit("conv").alias("src"), F.col("conv_id").alias("id"), "turn",
+        F.when(F.col("role") == "assistant",
+               F.concat(F.col("text"), F.lit(_SIG), F.col("conv_id").cast("string")))
+         .otherwise(F.replace(F.col("text"), F.lit("\n"), F.lit("\n\n\n\n"))).alias("text"))
+    return d.unionByName(c).select("src", "id", "turn", article_body_fn("text").alias("body"))
+
+
+@register("topic_brief", f"""
+WITH {S.topic_docs_ctes()}, {S.both_levels_cte()},
+sz AS (SELECT level, topic, count(*) AS size FROM tl GROUP BY level, topic),
+ic AS (SELECT level, topic, lang, count(*) AS n FROM tl GROUP BY level, topic, lang),
+ir AS (SELECT *, row_number() OVER (PARTITION BY level, topic ORDER BY n DESC, lang) AS r FROM ic),
+ind AS (SELECT level, topic, string_agg(lang || '(' || CAST(n AS VARCHAR) || ')', ', ' ORDER BY r) AS top_industries
+        FROM ir WHERE r <= {N_TOP_INDUSTRIES} GROUP BY level, topic),
+sr AS (SELECT level, topic, replace(substring(text, 1, {SAMPLE_CHARS}), chr(10), ' ') AS s,
+              row_number() OVER (PARTITION BY level, topic ORDER BY length(text), doc_id) AS r FROM tl),
+smp AS (SELECT level, topic, string_agg(s, ' | ' ORDER BY r) AS samples FROM sr WHERE r <= {N_SAMPLES}
+        GROUP BY level, topic)
+SELECT sz.level, sz.topic, sz.size, ind.top_industries, smp.samples
+FROM sz LEFT JOIN ind ON sz.level = ind.level AND sz.topic = ind.topic
+        LEFT JOIN smp ON sz.level = smp.level AND sz.topic = smp.topic""")
+def topic_brief(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per topic its size, top-3 industries and 3 shortest samples."""
+    b = rollup.topic_brief(both_levels(topic_docs(spark, sf_dir)), ["level", "topic"], "lang", "text", "doc_id")
+    return b.select("level", "topic", "size", F.array_join("top_industries", ", ").alias("top_industries"),
+                    F.array_join("samples", " | ").alias("samples"))
+
+
+# A label file as a user writes it after reading the briefs: some clusters left unnamed.
+LABELS_JSON = (
+    '{"medium": {"0": "medium topic 0", "1": "medium topic 1", "2": "medium topic 2"}, '
+    '"fine": {"0": "fine topic 0", "1": "fine topic 1", "2": "fine topic 2", "3": "fine topic 3", '
+    '"4": "fine topic 4", "5": "fine topic 5", "6": "fine topic 6", "8": "fine topic 8", '
+    '"9": "fine topic 9"}}')
+
+
+def _labels_sql() -> str:
+    import json
+    rows = [f"({S.q(lv)}, {int(k)}, {S.q(v)})" for lv, m in json.loads(LABELS_JSON).items() for k, v in m.items()]
+    return "SELECT * FROM (VALUES " + ", ".join(rows) + ") AS l(level, cluster, label)"
+
+
+@register("topic_labels", f"""
+WITH lab AS ({_labels_sql()}),
+v AS (SELECT vec_id, label AS cluster_fine, CAST(floor(label / 3) AS INTEGER) AS cluster_medium FROM embeddings)
+SELECT v.vec_id, v.cluster_medium, v.cluster_fine, m.label AS label_medium, f.label AS label_fine
+FROM v LEFT JOIN lab m ON m.level = 'medium' AND m.cluster = v.cluster_medium
+       LEFT JOIN lab f ON f.level = 'fine' AND f.cluster = v.cluster_fine""")
+def topic_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster ids -> human labels per level (unmapped -> null)."""
+    from ..sources.readers import labels_from_json
+    labels = labels_from_json(spark.createDataFrame([(LABELS_JSON,)], "value string"), "value")
+    v = read_table(spark, sf_dir, "embeddings", "vec_id", "label").select(
+        "vec_id", F.floor(F.col("label") / 3).cast("int").alias("cluster_medium"),
+        F.col("label").alias("cluster_fine"))
+    return apply_labels(apply_labels(v, labels, "medium"), labels, "fine")
+
+
+def apply_labels(df: DataFrame, labels: DataFrame, level: str) -> DataFrame:
+    """Attach ``label_<level>`` by cluster id (label maps are topic-sized)."""
+    lab = labels.where(F.col("level") == level).select(
+        F.col("cluster").alias(f"cluster_{level}"), F.col("label").alias(f"label_{level}"))
+    return df.join(lab, f"cluster_{level}", "left")
+
+
+_PAL_SQL = "SELECT * FROM (VALUES " + ", ".join(f"({i}, {S.q(c)})" for i, c in enumerate(_PAL)) + ") AS p(i, color)"
+
+
+def _dom_sql(child: str, parent: str) -> str:
+    return (f"SELECT {child} AS c, {parent} AS dom FROM (SELECT {child}, {parent}, row_number() OVER "
+            f"(PARTITION BY {child} ORDER BY count(*) DESC, {parent}) AS r FROM t "
+            f"WHERE {child} IS NOT NULL AND {parent} IS NOT NULL GROUP BY {child}, {parent}) WHERE r = 1")
+
+
+@register("tree_nodes", f"""
+WITH {S.topic_docs_ctes()},
+t AS (SELECT stock_id AS industry, 'M' || CAST(cluster_medium AS VARCHAR) AS med,
+             'F' || lpad(CAST(cluster_fine AS VARCHAR), 2, '0') AS fin FROM td),
+pal AS ({_PAL_SQL}),
+ind AS (SELECT industry, count(*) AS cnt, row_number() OVER (ORDER BY industry) - 1 AS i FROM t GROUP BY industry),
+indc AS (SELECT ind.industry, ind.cnt, pal.color FROM ind JOIN pal ON ind.i % {len(_PAL)} = pal.i),
+md AS ({_dom_sql('med', 'industry')}),
+mn AS (SELECT mc.med, mc.cnt, md.dom, coalesce(indc.color, '{_FB}') AS color
+       FROM (SELECT med, count(*) AS cnt FROM t GROUP BY med) mc LEFT JOIN md ON mc.med = md.c
+            LEFT JOIN indc ON md.dom = indc.industry),
+fd AS ({_dom_sql('fin', 'med')}),
+fn AS (SELECT fc.fin, fc.cnt, fd.dom, coalesce(mn.color, '{_FB}') AS color
+       FROM (SELECT fin, count(*) AS cnt FROM t GROUP BY fin) fc LEFT JOIN fd ON fc.fin = fd.c
+            LEFT JOIN mn ON fd.dom = mn.med),
+nodes AS (
+  SELECT '{_RID}' AS id, '{_RL}' AS label, '' AS parent, 'root' AS level, (SELECT count(*) FROM t) AS cnt, '{_RC}' AS color
+  UNION ALL SELECT 'ind|' || industry, industry, '{_RID}', 'industry', cnt, color FROM indc
+  UNION ALL SELECT 'med|' || med, med, 'ind|' || dom, 'medium', cnt, color FROM mn
+  UNION ALL SELECT 'fin|' || fin, fin, 'med|' || dom, 'fine', cnt, color FROM fn),
+fv AS (SELECT id, parent, cnt AS value FROM nodes WHERE level = 'fine'),
+mv AS (SELECT n.id, n.parent, greatest(n.cnt, coalesce((SELECT sum(value) FROM fv WHERE fv.parent = n.id), 0)) AS value
+       FROM nodes n WHERE level = 'medium'),
+iv AS (SELECT n.id, n.parent, greatest(n.cnt, coalesce((SELECT sum(value) FROM mv WHERE mv.parent = n.id), 0)) AS value
+       FROM nodes n WHERE level = 'industry'),
+rv AS (SELECT n.id, n.parent, greatest(n.cnt, coalesce((SELECT sum(value) FROM iv WHERE iv.parent = n.id), 0)) AS value
+       FROM nodes n WHERE level = 'root'),
+allv AS (SELECT * FROM fv UNION ALL SELECT * FROM mv UNION ALL SELECT * FROM iv UNION ALL SELECT * FROM rv)
+SELECT n.id, n.label, n.parent, n.level, n.cnt AS count, CAST(v.value AS BIGINT) AS value, n.color,
+       CAST(v.value AS DOUBLE) / p.value AS share
+FROM nodes n JOIN allv v ON n.id = v.id LEFT JOIN allv p ON n.parent = p.id""")
+def tree_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Root -> industry -> medium -> fine topic tree."""
+    td = topic_docs(spark, sf_dir).select(
+        F.col("stock_id").alias("industry"),
+        F.concat(F.lit("M"), F.col("cluster_medium").cast("string")).alias("med"),
+        F.concat(F.lit("F"), F.lpad(F.col("cluster_fine").cast("string"), 2, "0")).alias("fin"))
+    return rollup.tree_nodes(td, "industry", "med", "fin")
+
+
+TOKEN_PATTERN = r"\p{L}{2,}"
+
+
+@register("topic_keywords", f"""
+WITH {S.topic_docs_ctes()}, {S.both_levels_cte()},
+tok AS (SELECT level, topic, doc_id, unnest(regexp_extract_all(lower(text), {S.q(TOKEN_PATTERN)})) AS term FROM tl),
+tf AS (SELECT level, topic, doc_id, term, count(*) AS tf FROM tok GROUP BY level, topic, doc_id, term),
+nd AS (SELECT level, topic, count(*) AS n FROM tl GROUP BY level, topic),
+voc AS (SELECT level, topic, term, sum(tf) AS ttf, count(*) AS df FROM tf GROUP BY level, topic, term),
+vk AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY level, topic ORDER BY ttf DESC, term) AS r FROM voc)
+       WHERE r <= {N_KEYWORDS}),
+w AS (SELECT tf.level, tf.topic, tf.doc_id, tf.term, tf.tf * (ln((1 + nd.n) / (1 + vk.df)) + 1) AS w, nd.n
+      FROM tf JOIN vk ON tf.level = vk.level AND tf.topic = vk.topic AND tf.term = vk.term
+              JOIN nd ON tf.level = nd.level AND tf.topic = nd.topic),
+nm AS (SELECT level, topic, doc_id, sqrt(sum(w * w)) AS norm FROM w GROUP BY level, topic, doc_id),
+sc AS (SELECT w.level, w.topic, w.term, sum(w.w / nm.norm) / max(w.n) AS score
+       FROM w JOIN nm ON w.level = nm.level AND w.topic = nm.topic AND w.doc_id = nm.doc_id
+       GROUP BY w.level, w.topic, w.term)
+SELECT level, topic,
+       CAST(row_number() OVER (PARTITION BY level, topic ORDER BY round(score, 9) DESC, term) AS INTEGER) AS rank,
+       term, round(score, 6) AS score FROM sc""")
+def topic_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top TF-IDF terms per topic (vocabulary capped at 15 by count)."""
+    td = both_levels(topic_docs(spark, sf_dir)).withColumn("tokens", tokenize("text", TOKEN_PATTERN))
+    kw = keywords.topic_keywords(td, ["level", "topic"], "doc_id", "tokens")
+    return kw.withColumn("score", F.round("score", 6))
