@@ -651,3 +651,48 @@ def topic_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
     td = both_levels(topic_docs(spark, sf_dir)).withColumn("tokens", tokenize("text", TOKEN_PATTERN))
     kw = keywords.topic_keywords(td, ["level", "topic"], "doc_id", "tokens")
     return kw.withColumn("score", F.round("score", 6))
+
+
+# ================================================================ pages (H1-H5)
+from ..operators import pages as pg  # noqa: E402
+
+HREF_PATTERN = 'href="([^"]+)"'
+_MATCHES_SQL = f"""
+m AS (SELECT page_id, url, unnest(regexp_extract_all(html, {S.q(HREF_PATTERN)}, 1)) AS match,
+             generate_subscripts(regexp_extract_all(html, {S.q(HREF_PATTERN)}, 1), 1) - 1 AS pos FROM pages)"""
+
+
+@register("page_text")
+def page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main article text of each landed page (container minus navigation/ads)."""
+    p = read_table(spark, sf_dir, "pages", "page_id", "html")
+    return pg.extract_main(p, container="article", drop=["nav", "footer", "div.ad", "script", "style"])
+
+
+@register("page_links")
+def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H2: listing rows with a link -> (title, absolute url, date)."""
+    p = read_table(spark, sf_dir, "pages", "page_id", "url", "html").withColumn(
+        "origin", F.regexp_extract("url", r"^(https?://[^/]+)", 1))
+    return pg.extract_links(p, row="li", link="a", date="span.date", base_col="origin")
+
+
+@register("page_links_regex", f"""
+WITH {_MATCHES_SQL}
+SELECT page_id, CAST(pos AS INTEGER) AS pos, match FROM m""")
+def page_links_regex(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H3: every href in every page, with its position (regex rule, SQL only)."""
+    p = read_table(spark, sf_dir, "pages", "page_id", "html")
+    return pg.extract_matches(p, "html", HREF_PATTERN)
+
+
+@register("link_index", f"""
+WITH {_MATCHES_SQL},
+r AS (SELECT *, row_number() OVER (PARTITION BY match ORDER BY page_id DESC, pos DESC) AS rn FROM m)
+SELECT match AS href, page_id, url FROM r WHERE rn = 1""")
+def link_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H3 + W3: link target -> the page that mentions it last (later hits replace earlier)."""
+    p = read_table(spark, sf_dir, "pages", "page_id", "url", "html")
+    m = pg.extract_matches(p, "html", HREF_PATTERN, keep=("page_id", "url"))
+    return dedupe.last_wins(m, ["match"], ["page_id", "pos"]).select(
+        F.col("match").alias("href"), "page_id", "url")
