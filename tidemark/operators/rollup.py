@@ -22,13 +22,11 @@ MAX_PIVOT_VALUES = 10_000
 
 
 def corpus_profile(df: DataFrame, stock: str, industry: str) -> DataFrame:
-    """A1/O3: rows, distinct stocks, distinct industries, sorted industry list."""
-    per_ind = df.groupBy(industry).agg(F.count(F.lit(1)).alias("__n"))
-    inds = per_ind.agg(
-        F.count(F.col(industry)).alias("n_industries"),
-        F.array_sort(F.collect_list(F.col(industry))).alias("industries"))
-    rows = df.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct(stock).alias("n_stocks"))
-    return rows.crossJoin(inds)  # one row each side
+    """A1/O3: rows, distinct stocks, distinct industries, sorted industry list (one aggregate;
+    the industry set is bounded by the industry dimension)."""
+    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct(stock).alias("n_stocks"),
+                  F.countDistinct(industry).alias("n_industries"),
+                  F.array_sort(F.collect_set(F.col(industry))).alias("industries"))
 
 
 def industry_counts(df: DataFrame, industry: str) -> DataFrame:
@@ -94,16 +92,14 @@ def topic_brief(df: DataFrame, topic: str | Sequence[str], industry: str, text:
 
 
 def label_template(df: DataFrame, levels: Sequence[str]) -> DataFrame:
-    """K8: one row holding {level: {cluster id: ""}} for every non-empty cluster, as JSON."""
-    parts = []
-    for lv in levels:
-        ids = df.where(F.col(lv).isNotNull()).select(F.col(lv).cast("string").alias("cid")).distinct()
-        parts.append(ids.agg(F.map_from_entries(F.array_sort(F.collect_list(
-            F.struct(F.col("cid"), F.lit(""))))).alias(lv)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.crossJoin(p)  # one row each
-    return out.select(F.to_json(F.struct(*[F.col(lv) for lv in levels])).alias("template"))
+    """K8: one row holding {level: {cluster id: ""}} for every non-empty cluster, as JSON.
+
+    One aggregate; each id set is bounded by the number of clusters of its level.
+    """
+    ids = df.agg(*[F.array_sort(F.collect_set(F.col(lv).cast("string"))).alias(lv) for lv in levels])
+    maps = [F.map_from_arrays(F.col(lv), F.transform(F.col(lv), lambda _: F.lit(""))).alias(lv)
+            for lv in levels]
+    return ids.select(F.to_json(F.struct(*maps)).alias("template"))
 
 
 def dominant(df: DataFrame, child: str, parent: str, out: str | None = None) -> DataFrame:

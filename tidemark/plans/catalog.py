@@ -696,3 +696,115 @@ def link_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = pg.extract_matches(p, "html", HREF_PATTERN, keep=("page_id", "url"))
     return dedupe.last_wins(m, ["match"], ["page_id", "pos"]).select(
         F.col("match").alias("href"), "page_id", "url")
+
+
+# ================================================================ clustering
+from ..functions.fixed import (AUTO_RANGES, LAST_MERGES, LEVELS, N_NEIGHBORS,  # noqa: E402
+                               REDUCED_DIMS)
+from ..operators import cluster  # noqa: E402
+
+
+@register("embed_docs")
+def embed_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M3: unit-length document vectors (hashed terms + CJK bigrams, L2-normalised)."""
+    d = articles(spark, sf_dir).select("doc_id", "text")
+    return cluster.embed(d, "text").select("doc_id", "embedding")
+
+
+@register("pca_2d")
+def pca_2d(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M4: 15-d reduction, then 2-d coordinates (x, y) for the map of documents."""
+    from pyspark.ml.functions import vector_to_array
+    v = read_table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    r15 = cluster.reduce(v, "embedding", REDUCED_DIMS, "r15")
+    r2 = cluster.reduce(r15.select("vec_id", "r15"), "r15", 2, "r2")
+    xy = vector_to_array("r2")
+    return r2.select("vec_id", xy[0].alias("x"), xy[1].alias("y"))
+
+
+@register("knn_graph", f"""
+WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+p AS (SELECT a.vec_id, b.vec_id AS neighbor_id, list_cosine_similarity(a.e, b.e) AS sim
+      FROM v a JOIN v b ON a.vec_id <> b.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY round(sim, 9) DESC, neighbor_id) AS rank FROM p)
+SELECT vec_id, CAST(rank AS INTEGER) AS rank, neighbor_id, round(sim, 6) AS sim FROM r WHERE rank <= {N_NEIGHBORS}""")
+def knn_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M5: exact 30-nearest-neighbour cosine graph over all vectors."""
+    v = read_table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    g = cluster.knn_graph(v, "vec_id", "embedding", N_NEIGHBORS, block_rows=256)
+    return g.withColumn("sim", F.round("sim", 6))
+
+
+def _ward(spark: SparkSession, sf_dir: str):
+    v = read_table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    r = cluster.reduce(v, "embedding", REDUCED_DIMS, "r15").select("vec_id", "r15")
+    return r
+
+
+@register("ward_topics")
+def ward_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M6, M7: Ward hierarchy on 15-d features, cut into 25 medium and 60 fine topics."""
+    topics, _ = cluster.ward_topics(spark, _ward(spark, sf_dir), "vec_id", "r15", LEVELS)
+    return topics
+
+
+@register("merge_table")
+def merge_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last 60 merges of the Ward hierarchy (step, left, right, height, size)."""
+    _, merges = cluster.ward_topics(spark, _ward(spark, sf_dir), "vec_id", "r15", LEVELS)
+    return cluster.last_merges(merges, LAST_MERGES)
+
+
+@register("best_k")
+def best_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M8: Calinski-Harabasz for every candidate k of each level, from micro statistics."""
+    assign, stats = cluster.micro_clusters(_ward(spark, sf_dir), "vec_id", "r15")
+    merges = cluster.ward_merges(stats)
+    lo, hi = AUTO_RANGES["medium"]
+    kmed, med = cluster.best_k(stats, merges, range(lo, hi))
+    flo, fhi = AUTO_RANGES["fine"]
+    kfin, fin = cluster.best_k(stats, merges, range(max(flo, kmed + 3), fhi))
+    rows = [("medium", k, float(s), k == kmed) for k, s in med] + \
+           [("fine", k, float(s), k == kfin) for k, s in fin]
+    return spark.createDataFrame(rows, "level string, k int, ch double, chosen boolean")
+
+
+@register("ch_score", """
+WITH v AS (SELECT vec_id, label AS fine, CAST(floor(label / 3) AS INTEGER) AS medium, embedding FROM embeddings),
+l AS (SELECT 'medium' AS level, medium AS cluster, vec_id, embedding FROM v
+      UNION ALL SELECT 'fine', fine, vec_id, embedding FROM v),
+e AS (SELECT level, cluster, vec_id, CAST(unnest(embedding) AS DOUBLE) AS x,
+             generate_subscripts(embedding, 1) AS d FROM l),
+cd AS (SELECT level, cluster, d, sum(x) AS s FROM e GROUP BY level, cluster, d),
+cn AS (SELECT level, cluster, count(DISTINCT vec_id) AS n, sum(x * x) AS ss FROM e GROUP BY level, cluster),
+c2 AS (SELECT cd.level, cd.cluster, sum(s * s) / max(cn.n) AS s2n FROM cd
+       JOIN cn ON cd.level = cn.level AND cd.cluster = cn.cluster GROUP BY cd.level, cd.cluster),
+td AS (SELECT level, d, sum(x) AS s FROM e GROUP BY level, d),
+t2 AS (SELECT level, sum(s * s) AS S2 FROM td GROUP BY level),
+g AS (SELECT c2.level, count(*) AS k, sum(c2.s2n) AS s2n FROM c2 GROUP BY c2.level),
+gn AS (SELECT level, sum(n) AS n, sum(ss) AS ss FROM cn GROUP BY level)
+SELECT g.level, g.k, CAST(gn.n AS BIGINT) AS n,
+       round(((g.s2n - t2.S2 / gn.n) / (g.k - 1)) / ((gn.ss - g.s2n) / (gn.n - g.k)), 6) AS ch
+FROM g JOIN gn ON g.level = gn.level JOIN t2 ON g.level = t2.level""")
+def ch_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A10, M8: Calinski-Harabasz of the medium and fine groupings."""
+    v = read_table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label").select(
+        "embedding", F.col("label").alias("cluster_fine"),
+        F.floor(F.col("label") / 3).cast("int").alias("cluster_medium"))
+    levels = both_levels(v).select("level", F.col("topic").alias("cluster"), "embedding")
+    return cluster.ch_score(levels, "embedding", ["level", "cluster"]).withColumn("ch", F.round("ch", 6))
+
+
+@register("assign_topics", """
+WITH e AS (SELECT vec_id, label, CAST(unnest(embedding) AS DOUBLE) AS x, generate_subscripts(embedding, 1) AS d
+           FROM embeddings),
+c AS (SELECT label, d, avg(x) AS m FROM e GROUP BY label, d),
+dist AS (SELECT e.vec_id, c.label, sum((e.x - c.m) * (e.x - c.m)) AS dd FROM e JOIN c ON e.d = c.d
+         GROUP BY e.vec_id, c.label),
+r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY round(dd, 9), label) AS rn FROM dist)
+SELECT vec_id, label AS topic FROM r WHERE rn = 1""")
+def assign_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M9: assign every vector to its nearest topic centroid (centroids from the topics)."""
+    v = read_table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
+    cents = cluster.centroids(v, "embedding", "label").toPandas()  # one row per topic
+    return cluster.assign_topics(v, "vec_id", "embedding", cents.rename(columns={"label": "topic"}))
