@@ -808,3 +808,26 @@ def assign_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = read_table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
     cents = cluster.centroids(v, "embedding", "label").toPandas()  # one row per topic
     return cluster.assign_topics(v, "vec_id", "embedding", cents.rename(columns={"label": "topic"}))
+
+
+# ================================================================ incremental ingest
+from ..session import scratch_path  # noqa: E402
+from ..streaming import ingest  # noqa: E402
+
+INGEST_FILES = 8
+
+
+@register("resume_ingest", ORACLE["url_claim"])
+def resume_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Articles land as files; a streaming job ingests them one file per
+    micro-batch into a claim log (URL -> first finder), then runs again and adds
+    nothing.  The result equals the batch URL claim over the whole table."""
+    d = read_table(spark, sf_dir, "documents", "doc_id", "text", "source").select(
+        F.sha2(F.col("text"), 256).alias("url"), F.col("source").alias("stock_id"), "doc_id")
+    root = scratch_path(spark, "ingest")
+    src = ingest.land_files(d, "stock_id", f"{root}/landed", INGEST_FILES)
+    sink, ckpt = f"{root}/articles", f"{root}/checkpoint"
+    ingest.resume_ingest(spark, src, d.schema, sink, ckpt)
+    if ingest.resume_ingest(spark, src, d.schema, sink, ckpt):
+        raise RuntimeError("second ingest run over the same files found new input")
+    return ingest.claimed(spark, sink).select("url", "stock_id", "doc_id")
