@@ -272,6 +272,11 @@ def extract_chain_rows(df: DataFrame, html: str = "html", ic: str = "chain_ic")
 
 def extract_matches(df: DataFrame, col: str, pattern: str, group: int = 1,
                     keep: Sequence[str] = ("page_id",)) -> DataFrame:
-    """H3: every regex match in ``col`` with its position (SQL only, no Python)."""
+    """H3: every regex match in ``col`` with its position (SQL only, no Python).
+
+    ``posexplode_outer`` + a null filter keeps Catalyst from inferring a
+    ``size(matches) > 0`` filter below the exchange, which would run the regex twice.
+    """
     m = F.regexp_extract_all(F.col(col), F.lit(pattern), F.lit(group))
-    return df.select(*keep, F.posexplode(m).alias("pos", "match"))
+    out = df.select(*keep, F.posexplode_outer(m).alias("pos", "match"))
+    return out.where(F.col("match").isNotNull())

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.fixed import DEFAULT_INDUSTRY
 from ..functions.text import clean_text, has_text, strip
 from ..operators import rollup
-from ..sources.tables import read_table
+from ..sources.tables import read_table, spread
 from . import sqlparts as S
 from .standins import LANGS, articles, both_levels, topic_docs
 
@@ -51,7 +51,7 @@ _ctes, _name = S.clean_ctes(f"(SELECT doc_id, text FROM documents WHERE {S.HAS_T
 @register("clean_text", f"WITH {_ctes}\nSELECT doc_id, clean FROM {_name}")
 def clean_text_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Kept documents with cleaned text."""
-    d = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    d = spread(read_table(spark, sf_dir, "documents", "doc_id", "text"))
     return d.where(has_text("text")).select("doc_id", clean_text(strip("text")).alias("clean"))
 
 
@@ -515,7 +515,7 @@ def article_body(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("role") == "assistant",
                F.concat(F.col("text"), F.lit(_SIG), F.col("conv_id").cast("string")))
          .otherwise(F.replace(F.col("text"), F.lit("\n"), F.lit("\n\n\n\n"))).alias("text"))
-    return d.unionByName(c).select("src", "id", "turn", article_body_fn("text").alias("body"))
+    return spread(d.unionByName(c)).select("src", "id", "turn", article_body_fn("text").alias("body"))
 
 
 @register("topic_brief", f"""
@@ -648,8 +648,9 @@ SELECT level, topic,
        term, round(score, 6) AS score FROM sc""")
 def topic_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Top TF-IDF terms per topic (vocabulary capped at 15 by count)."""
-    td = both_levels(topic_docs(spark, sf_dir)).withColumn("tokens", tokenize("text", TOKEN_PATTERN))
-    kw = keywords.topic_keywords(td, ["level", "topic"], "doc_id", "tokens")
+    td = topic_docs(spark, sf_dir).withColumn("tokens", tokenize("text", TOKEN_PATTERN))
+    kw = keywords.topic_keywords(td, {"medium": "cluster_medium", "fine": "cluster_fine"},
+                                 "doc_id", "tokens")
     return kw.withColumn("score", F.round("score", 6))
 
 
@@ -665,14 +666,14 @@ m AS (SELECT page_id, url, unnest(regexp_extract_all(html, {S.q(HREF_PATTERN)},
 @register("page_text")
 def page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main article text of each landed page (container minus navigation/ads)."""
-    p = read_table(spark, sf_dir, "pages", "page_id", "html")
+    p = spread(read_table(spark, sf_dir, "pages", "page_id", "html"))
     return pg.extract_main(p, container="article", drop=["nav", "footer", "div.ad", "script", "style"])
 
 
 @register("page_links")
 def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """H2: listing rows with a link -> (title, absolute url, date)."""
-    p = read_table(spark, sf_dir, "pages", "page_id", "url", "html").withColumn(
+    p = spread(read_table(spark, sf_dir, "pages", "page_id", "url", "html")).withColumn(
         "origin", F.regexp_extract("url", r"^(https?://[^/]+)", 1))
     return pg.extract_links(p, row="li", link="a", date="span.date", base_col="origin")
 
@@ -682,7 +683,7 @@ WITH {_MATCHES_SQL}
 SELECT page_id, CAST(pos AS INTEGER) AS pos, match FROM m""")
 def page_links_regex(spark: SparkSession, sf_dir: str) -> DataFrame:
     """H3: every href in every page, with its position (regex rule, SQL only)."""
-    p = read_table(spark, sf_dir, "pages", "page_id", "html")
+    p = spread(read_table(spark, sf_dir, "pages", "page_id", "html"))
     return pg.extract_matches(p, "html", HREF_PATTERN)
 
 
@@ -692,7 +693,7 @@ r AS (SELECT *, row_number() OVER (PARTITION BY match ORDER BY page_id DESC, pos
 SELECT match AS href, page_id, url FROM r WHERE rn = 1""")
 def link_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """H3 + W3: link target -> the page that mentions it last (later hits replace earlier)."""
-    p = read_table(spark, sf_dir, "pages", "page_id", "url", "html")
+    p = spread(read_table(spark, sf_dir, "pages", "page_id", "url", "html"))
     m = pg.extract_matches(p, "html", HREF_PATTERN, keep=("page_id", "url"))
     return dedupe.last_wins(m, ["match"], ["page_id", "pos"]).select(
         F.col("match").alias("href"), "page_id", "url")

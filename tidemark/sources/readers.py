@@ -6,6 +6,8 @@ absent is read with ``required=False`` and then yields an empty, typed DataFrame
 
 from __future__ import annotations
 
+import sys
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,7 +51,7 @@ def read_source(spark: SparkSession, path: str, schema, fmt: str = "json",
     except AnalysisException as e:
         if required:
             raise
-        print(f"warning: optional source {path} unavailable: {e.getErrorClass() or e}")
+        print(f"warning: optional source {path} unavailable: {e.getErrorClass() or e}", file=sys.stderr)
         return spark.createDataFrame([], schema)
 
 
