@@ -16,6 +16,7 @@ from ..functions.fixed import (FALLBACK_COLOR, FINE_PREFIX, INDUSTRY_PALETTE, IN
                                MEDIUM_PREFIX, N_SAMPLES, N_TOP_INDUSTRIES, ROOT_COLOR, ROOT_ID,
                                ROOT_LABEL, SAMPLE_CHARS)
 from ..functions.text import sample_text
+from ..session import cut_lineage
 from .dedupe import top_n
 
 MAX_PIVOT_VALUES = 10_000
@@ -102,10 +103,15 @@ def label_template(df: DataFrame, levels: Sequence[str]) -> DataFrame:
     return ids.select(F.to_json(F.struct(*maps)).alias("template"))
 
 
-def dominant(df: DataFrame, child: str, parent: str, out: str | None = None) -> DataFrame:
-    """Per child value, its most frequent non-null parent; ties -> smallest value."""
+def dominant(df: DataFrame, child: str, parent: str, out: str | None = None,
+             weight: str | None = None) -> DataFrame:
+    """Per child value, its most frequent non-null parent; ties -> smallest value.
+
+    With ``weight`` each row counts as that many (rows of a pre-aggregated table).
+    """
+    n = F.sum(weight) if weight else F.count(F.lit(1))
     c = (df.where(F.col(child).isNotNull() & F.col(parent).isNotNull())
-         .groupBy(child, parent).agg(F.count(F.lit(1)).alias("__n")))
+         .groupBy(child, parent).agg(n.alias("__n")))
     pick = F.min_by(F.col(parent), F.struct(-F.col("__n"), F.col(parent)))
     return c.groupBy(child).agg(pick.alias(out or f"dominant_{parent}"))
 
@@ -122,12 +128,19 @@ def tree_nodes(df: DataFrame, industry: str, medium: str, fine: str,
     Columns: id, label, parent, level, count (true rows), value (rolled up so that a
     parent is at least the sum of its children), color, share (value / parent value).
     """
-    n_root = df.agg(F.count(F.lit(1)).alias("count"))
+    # The only document-sized step: one grouped count per (industry, medium, fine).
+    # Every node count and dominant parent below is a sum over this small table, which
+    # is materialised once in the checkpoint folder (its size is bounded by industries x
+    # topics, not by the number of documents).
+    cube = cut_lineage(df.groupBy(industry, medium, fine).agg(F.count(F.lit(1)).alias("__c")))
+    n_root = cube.agg(F.sum("__c").cast("bigint").alias("count"))
     root = n_root.select(F.lit(ROOT_ID).alias("id"), F.lit(ROOT_LABEL).alias("label"),
                          F.lit("").alias("parent"), F.lit("root").alias("level"),
-                         F.col("count"), F.lit(ROOT_COLOR).alias("color"))
+                         F.coalesce(F.col("count"), F.lit(0).cast("bigint")).alias("count"),
+                         F.lit(ROOT_COLOR).alias("color"))
 
-    ind = df.where(F.col(industry).isNotNull()).groupBy(industry).agg(F.count(F.lit(1)).alias("count"))
+    ind = (cube.where(F.col(industry).isNotNull()).groupBy(industry)
+           .agg(F.sum("__c").cast("bigint").alias("count")))
     # Ordinal over the distinct industries only (dimension-sized global window).
     ind = ind.withColumn("__i", F.row_number().over(Window.orderBy(industry)) - 1)
     ind = ind.withColumn("color", _palette_color(F.col("__i"), palette))
@@ -138,8 +151,10 @@ def tree_nodes(df: DataFrame, industry: str, medium: str, fine: str,
 
     def level_nodes(child: str, parent: str, parent_prefix: str, prefix: str,
                     level: str, parent_colors: DataFrame) -> DataFrame:
-        cnt = df.where(F.col(child).isNotNull()).groupBy(child).agg(F.count(F.lit(1)).alias("count"))
-        dom = dominant(df, child, parent, "__dom").withColumn("__dom", F.col("__dom").cast("string"))
+        cnt = (cube.where(F.col(child).isNotNull()).groupBy(child)
+               .agg(F.sum("__c").cast("bigint").alias("count")))
+        dom = dominant(cube, child, parent, "__dom", weight="__c").withColumn(
+            "__dom", F.col("__dom").cast("string"))
         j = cnt.join(dom, child, "left").join(parent_colors, "__dom", "left")
         return j.select(F.concat(F.lit(prefix), F.col(child).cast("string")).alias("id"),
                         F.col(child).cast("string").alias("label"),
@@ -150,7 +165,7 @@ def tree_nodes(df: DataFrame, industry: str, medium: str, fine: str,
     med_nodes = level_nodes(medium, industry, INDUSTRY_PREFIX, MEDIUM_PREFIX, "medium", ind_color)
     med_color = med_nodes.select(F.col("label").alias("__dom"), F.col("color").alias("__pc"))
     fin_nodes = level_nodes(fine, medium, MEDIUM_PREFIX, FINE_PREFIX, "fine", med_color)
-    nodes = root.unionByName(ind_nodes).unionByName(med_nodes).unionByName(fin_nodes)
+    nodes = cut_lineage(root.unionByName(ind_nodes).unionByName(med_nodes).unionByName(fin_nodes))
     return with_share(roll_up(nodes))
 
 

@@ -74,3 +74,18 @@ def local_path(path: str) -> str:
         while path.startswith("//"):
             path = path[1:]
     return os.path.abspath(path)
+
+
+def cut_lineage(df):
+    """Materialise ``df`` in the shared checkpoint folder and continue from the copy.
+
+    Used where a small result of a large computation is referenced many times (a
+    topic-sized table that feeds several branches): the large work runs once, the
+    branches read the reliable copy, and a lost executor does not force a recompute.
+    """
+    spark = df.sparkSession
+    root = checkpoint_root(spark)
+    sc = spark.sparkContext
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
+    return df.checkpoint(eager=True)
