@@ -539,6 +539,22 @@ def topic_brief(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.array_join("samples", " | ").alias("samples"))
 
 
+def _template_sql(col: str) -> str:
+    return (f"(SELECT string_agg('\"' || k || '\":\"\"', ',' ORDER BY k) FROM "
+            f"(SELECT DISTINCT CAST({col} AS VARCHAR) AS k FROM td WHERE {col} IS NOT NULL))")
+
+
+@register("label_template", f"""
+WITH {S.topic_docs_ctes()}
+SELECT '{{"medium":{{' || {_template_sql("cluster_medium")} || '}},"fine":{{'
+       || {_template_sql("cluster_fine")} || '}}}}' AS template""")
+def label_template(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K8: the label file to fill in: {level: {cluster id: ""}} for every non-empty cluster."""
+    td = topic_docs(spark, sf_dir).select(F.col("cluster_medium").alias("medium"),
+                                          F.col("cluster_fine").alias("fine"))
+    return rollup.label_template(td, ["medium", "fine"])
+
+
 # A label file as a user writes it after reading the briefs: some clusters left unnamed.
 LABELS_JSON = (
     '{"medium": {"0": "medium topic 0", "1": "medium topic 1", "2": "medium topic 2"}, '
@@ -703,13 +719,16 @@ def link_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 from ..functions.fixed import (AUTO_RANGES, LAST_MERGES, LEVELS, N_NEIGHBORS,  # noqa: E402
                                REDUCED_DIMS)
 from ..operators import cluster  # noqa: E402
+from ..session import scratch_path  # noqa: E402
 
 
 @register("embed_docs")
 def embed_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M3: unit-length document vectors (hashed terms + CJK bigrams, L2-normalised)."""
+    """Unit-length document vectors (hashed terms + CJK bigrams, L2-normalised),
+    through a cache keyed by (model, sha256(text)) in the shared checkpoint folder."""
     d = articles(spark, sf_dir).select("doc_id", "text")
-    return cluster.embed(d, "text").select("doc_id", "embedding")
+    cache = scratch_path(spark, "embedding-cache")
+    return cluster.embed_cached(spark, d, cache, "hashed-1024").select("doc_id", "embedding")
 
 
 @register("pca_2d")
@@ -812,7 +831,6 @@ def assign_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ================================================================ incremental ingest
-from ..session import scratch_path  # noqa: E402
 from ..streaming import ingest  # noqa: E402
 
 INGEST_FILES = 8
