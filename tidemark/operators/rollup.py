@@ -74,10 +74,13 @@ def topic_brief(df: DataFrame, topic: str | Sequence[str], industry: str, text:
     """
     keys = [topic] if isinstance(topic, str) else list(topic)
     base = df.where(F.col(keys[-1]).isNotNull())
-    sizes = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("size"))
+    # Sizes are sums of the (topic, industry) counts, so both come from one scan and one
+    # grouped count (the shared exchange is reused); only the samples read the text.
+    counts = base.groupBy(*keys, industry).agg(F.count(F.lit(1)).alias("__n"))
+    sizes = counts.groupBy(*keys).agg(F.sum("__n").alias("size"))
 
-    ind = base.groupBy(*keys, industry).agg(F.count(F.lit(1)).alias("__n"))
-    ind = top_n(ind, keys, [F.desc("__n"), F.col(industry)], n_industries, "__r")
+    ind = top_n(counts.where(F.col(industry).isNotNull()), keys,
+                [F.desc("__n"), F.col(industry)], n_industries, "__r")
     ind = ind.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(
         F.col("__r"), F.concat(F.col(industry), F.lit("("), F.col("__n").cast("string"), F.lit(")"))
         .alias("s")))).alias("__l"))
