@@ -59,10 +59,17 @@ def embed(df: DataFrame, text: str = "text", encoder: PipelineModel | Pipeline |
 
 
 def embed_cached(spark: SparkSession, df: DataFrame, cache_path: str, model_id: str,
-                 text: str = "text", out: str = "embedding", dim: int = 1024) -> DataFrame:
+                 text: str = "text", out: str = "embedding", dim: int = 1024,
+                 prepare=None) -> DataFrame:
     """Embeddings keyed by (model, sha256(text)); only cache misses are encoded,
     and they are appended to the cache.  The encoder here is stateless (no IDF), so a
-    cached vector never goes stale."""
+    cached vector never goes stale.
+
+    ``prepare`` (a Column -> Column function, e.g. text cleaning) is applied to the
+    misses only, before encoding: the key is the hash of the raw text, so documents
+    already in the cache are neither cleaned nor encoded again.  Include the version of
+    ``prepare`` in ``model_id``.
+    """
     from pyspark.errors import AnalysisException
     keyed = df.withColumn("text_hash", F.sha2(F.col(text), 256))
     try:
@@ -73,10 +80,12 @@ def embed_cached(spark: SparkSession, df: DataFrame, cache_path: str, model_id:
     todo = keyed.select("text_hash", text).dropDuplicates(["text_hash"])
     if cache is not None:
         todo = todo.join(cache.select("text_hash"), "text_hash", "left_anti")
+    if prepare is not None:
+        todo = todo.withColumn(text, prepare(F.col(text)))
     new = embed(todo, text, out=out, dim=dim).select(F.lit(model_id).alias("model"), "text_hash", out)
     new.write.mode("append").parquet(cache_path)
     full = spark.read.parquet(cache_path).where(F.col("model") == model_id).select("text_hash", out)
-    return keyed.join(full, "text_hash")
+    return keyed.drop(text).join(full, "text_hash")
 
 
 # ------------------------------------------------------------------ M4

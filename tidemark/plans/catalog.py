@@ -17,7 +17,7 @@ from ..functions.text import clean_text, has_text, strip
 from ..operators import rollup
 from ..sources.tables import read_table, spread
 from . import sqlparts as S
-from .standins import LANGS, articles, both_levels, topic_docs
+from .standins import LANGS, articles, both_levels, kept_docs, topic_docs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -726,9 +726,10 @@ from ..session import scratch_path  # noqa: E402
 def embed_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unit-length document vectors (hashed terms + CJK bigrams, L2-normalised),
     through a cache keyed by (model, sha256(text)) in the shared checkpoint folder."""
-    d = articles(spark, sf_dir).select("doc_id", "text")
+    d = spread(kept_docs(spark, sf_dir).select("doc_id", "text"))
     cache = scratch_path(spark, "embedding-cache")
-    return cluster.embed_cached(spark, d, cache, "hashed-1024").select("doc_id", "embedding")
+    return cluster.embed_cached(spark, d, cache, "clean-v1/hashed-1024",
+                                prepare=lambda c: clean_text(strip(c))).select("doc_id", "embedding")
 
 
 @register("pca_2d")

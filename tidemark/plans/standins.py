@@ -17,7 +17,7 @@ from ..sources.tables import read_table, spread
 LANGS = ["de", "en", "es", "fr"]
 
 
-def _kept_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def kept_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows a CSV reader keeps (raw text)."""
     d = read_table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source")
     return d.where(has_text("text")).select("doc_id", F.col("source").alias("stock_id"), "lang", "text")
@@ -30,7 +30,7 @@ def _cleaned(d: DataFrame) -> DataFrame:
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P1 + P2 + P3 over documents: rows a CSV reader keeps, with cleaned text."""
-    return _cleaned(_kept_docs(spark, sf_dir))
+    return _cleaned(kept_docs(spark, sf_dir))
 
 
 def topic_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,7 +42,7 @@ def topic_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = v.select(F.col("vec_id").alias("doc_id"),
                  F.col("label").alias("cluster_fine"),
                  F.floor(F.col("label") / 3).cast("int").alias("cluster_medium"))
-    return _cleaned(_kept_docs(spark, sf_dir).join(v, "doc_id"))
+    return _cleaned(kept_docs(spark, sf_dir).join(v, "doc_id"))
 
 
 def both_levels(df: DataFrame) -> DataFrame:
