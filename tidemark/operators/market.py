@@ -55,18 +55,23 @@ def first_seen(dfs: Sequence[DataFrame], key: str = "stock_code") -> DataFrame:
 
 
 def clean_quotes(df: DataFrame, vocab: dict, ordinal: str | None = "ordinal") -> DataFrame:
-    """Landed quote records -> (code, close, change text, change %, volume, date)."""
-    close = to_number(F.coalesce(_field(df, vocab["close"]), F.lit("")))
-    change = to_number(F.coalesce(_field(df, vocab["change"]), F.lit("")))
-    vol = to_number(F.coalesce(_field(df, vocab["volume"]), F.lit("")))
-    chg, pct = quote_texts(close, change)
-    out = df.select(
+    """Landed quote records -> (code, close, change text, change %, volume, date).
+
+    The numbers are parsed in one projection and the texts derived in the next, so each
+    regex runs once per field (Catalyst does not merge projections that would repeat a
+    costly expression).
+    """
+    parsed = df.select(
         strip(F.coalesce(_field(df, vocab["code"]), F.lit(""))).alias("stock_code"),
-        close.alias("close_price"), chg.alias("change_val"), pct.alias("change_pct"),
-        to_volume(vol).alias("volume"),
+        to_number(F.coalesce(_field(df, vocab["close"]), F.lit(""))).alias("close_price"),
+        to_number(F.coalesce(_field(df, vocab["change"]), F.lit(""))).alias("__chg"),
+        to_number(F.coalesce(_field(df, vocab["volume"]), F.lit(""))).alias("__vol"),
         roc_to_iso(F.coalesce(_field(df, vocab["date"]), F.lit(""))).alias("quote_date"),
         (F.col(ordinal) if ordinal and ordinal in df.columns
          else F.monotonically_increasing_id()).alias("ordinal"))
+    chg, pct = quote_texts(F.col("close_price"), F.col("__chg"))
+    out = parsed.select("stock_code", "close_price", chg.alias("change_val"), pct.alias("change_pct"),
+                        to_volume(F.col("__vol")).alias("volume"), "quote_date", "ordinal")
     return out.where(F.col("stock_code") != "")
 
 

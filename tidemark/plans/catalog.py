@@ -219,8 +219,8 @@ def _sql_quote_cols(close: str, change: str, vol: str, date: str) -> str:
 
 def _landed_quotes_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = QUOTE_VOCAB_EXCHANGE
-    o = read_table(spark, sf_dir, "orders", "o_orderkey", "o_orderstatus", "o_totalprice",
-                   "o_orderdate", "o_orderpriority")
+    o = spread(read_table(spark, sf_dir, "orders", "o_orderkey", "o_orderstatus", "o_totalprice",
+                          "o_orderdate", "o_orderpriority"))
     two = lambda x: F.call_function("format_number", x, F.lit("0.00"))
     return o.select(
         F.col("o_orderkey").cast("string").alias(v["code"]),

@@ -45,7 +45,10 @@ def append_articles(batch: DataFrame, sink: str, url: str, order: Sequence[str],
     fresh = claim(batch, url, order)
     old = _sink_or_none(batch.sparkSession, sink, fmt)
     if old is not None:
-        best = old.groupBy(url).agg(F.min(_order_key(order)).alias("__best"))
+        # Only log rows for URLs in this batch are aggregated (a semi-join first), so a
+        # batch does not shuffle the whole, growing log.
+        seen = old.select(url, *order).join(fresh.select(url), url, "left_semi")
+        best = seen.groupBy(url).agg(F.min(_order_key(order)).alias("__best"))
         fresh = (fresh.join(best, url, "left")
                  .where(F.col("__best").isNull() | (_order_key(order) < F.col("__best")))
                  .drop("__best"))
@@ -82,7 +85,9 @@ def resume_ingest(spark: SparkSession, source: str, schema, sink: str, checkpoin
 
 
 def land_files(df: DataFrame, key: str, target: str, n_files: int) -> str:
-    """Land a table as about ``n_files`` files, rows of one ``key`` together (a crawler
-    landing stocks in groups).  One distributed write, nothing through the driver."""
-    df.repartition(n_files, key).write.mode("overwrite").parquet(target)
+    """Land a table as ``n_files`` files for the file source, rows of one ``key`` kept
+    together but a hot key split over several files (key plus a 4-way salt from the row
+    hash), so no single task writes a third of the table.  One distributed write."""
+    salt = F.pmod(F.xxhash64(*df.columns), F.lit(4))
+    df.repartition(n_files, F.col(key), salt).write.mode("overwrite").parquet(target)
     return target
