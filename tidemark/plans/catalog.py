@@ -851,3 +851,22 @@ def resume_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     if ingest.resume_ingest(spark, src, d.schema, sink, ckpt):
         raise RuntimeError("second ingest run over the same files found new input")
     return ingest.claimed(spark, sink).select("url", "stock_id", "doc_id")
+
+
+# ================================================================ the whole topic workflow
+from . import topics as topic_run  # noqa: E402
+
+
+@register("topic_assignments")
+def topic_assignments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The topic workflow end to end.
+
+    Documents play articles (stock = source); the stock dimension is derived from the
+    same table (each source's dominant language as its industry).  Cluster ids are
+    arbitrary, so this key is checked by row count; its parts have oracles of their own.
+    """
+    d = read_table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source")
+    stocks = rollup.dominant(d, "source", "lang", "industry_name").withColumnRenamed("source", "stock_code")
+    arts = spread(d.select("doc_id", F.col("source").alias("stock_id"), "text"))
+    docs = topic_run.cluster_phase(spark, arts, stocks, scratch_path(spark, "topics"))
+    return topic_run.label_phase(docs, None)["result"]
