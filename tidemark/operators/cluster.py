@@ -154,7 +154,12 @@ def micro_clusters(df: DataFrame, key: str, vec: str, n_micro: int = MAX_MICRO,
     if src.limit(n_micro + 1).count() <= n_micro:
         assign = src.withColumn("micro", (F.row_number().over(Window.orderBy(key)) - 1).cast("int"))
     else:
-        km = KMeans(k=n_micro, seed=seed, featuresCol="__v", predictionCol="micro", maxIter=20).fit(src)
+        # Random initialisation: the micro-clusters only over-segment the data for the
+        # Ward step, and k-means|| spends most of its time on a driver-side seeding of
+        # n_micro centres that buys nothing here.  Empty clusters simply drop out of
+        # the statistics below.
+        km = KMeans(k=n_micro, seed=seed, featuresCol="__v", predictionCol="micro", maxIter=20,
+                    initMode="random").fit(src)
         assign = km.transform(src).withColumn("micro", F.col("micro").cast("int"))
     sq = F.aggregate(vector_to_array("__v"), F.lit(0.0), lambda a, x: a + x * x)
     stats = (assign.groupBy("micro").agg(F.count(F.lit(1)).alias("n"),

@@ -36,7 +36,13 @@ def cluster_phase(spark: SparkSession, articles: DataFrame, stocks: DataFrame, r
     emb = cluster.embed_cached(spark, arts.select("doc_id", "text"), cache, ENCODER_ID,
                                prepare=lambda c: clean_text(strip(c)))
     red = cluster.reduce(emb.select("doc_id", "embedding"), "embedding", dims, "features")
-    xy = cluster.reduce(red.select("doc_id", "features"), "features", 2, "__xy")
+    # Stage the reduced features (doc_id + a few doubles, far smaller than the text): the
+    # clustering makes several passes over them, and each would otherwise re-run the
+    # scan, cleaning-cache join and projection.
+    write_stage(red.select("doc_id", vector_to_array("features").alias("features")), run_root, "run",
+                "features")
+    red = read_stage(spark, run_root, "run", "features")
+    xy = cluster.reduce(red, "features", 2, "__xy")
     topics, merges = cluster.ward_topics(spark, red.select("doc_id", "features"), "doc_id",
                                          "features", levels, n_micro)
     xy = xy.select("doc_id", vector_to_array("__xy")[0].alias("x"), vector_to_array("__xy")[1].alias("y"))
