@@ -415,8 +415,8 @@ FROM k LEFT JOIN idx ON k.chain_ic = idx.chain_ic""")
 def chain_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Chain rows keyed (chain, segment, stock, bucket), last wins,
     with the chain's category from an index (later index hits replace earlier ones)."""
-    li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-                    "l_returnflag", "l_linestatus")
+    li = spread(read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey",
+                           "l_suppkey", "l_returnflag", "l_linestatus"))
     pt = read_table(spark, sf_dir, "part", "p_partkey", "p_brand", "p_type")
     sp = read_table(spark, sf_dir, "supplier", "s_suppkey", "s_name")
     raw = (li.join(pt, li.l_partkey == pt.p_partkey).join(sp, li.l_suppkey == sp.s_suppkey)
