@@ -679,13 +679,6 @@ m AS (SELECT page_id, url, unnest(regexp_extract_all(html, {S.q(HREF_PATTERN)},
              generate_subscripts(regexp_extract_all(html, {S.q(HREF_PATTERN)}, 1), 1) - 1 AS pos FROM pages)"""
 
 
-@register("page_text")
-def page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Main article text of each landed page (container minus navigation/ads)."""
-    p = spread(read_table(spark, sf_dir, "pages", "page_id", "html"))
-    return pg.extract_main(p, container="article", drop=["nav", "footer", "div.ad", "script", "style"])
-
-
 def _unescape_sql(x: str) -> str:
     """The character references that occur in the landed pages, decoded (``&amp;`` last)."""
     for ent, ch in [("&quot;", '"'), ("&#39;", "'"), ("&lt;", "<"), ("&gt;", ">"),
@@ -694,6 +687,24 @@ def _unescape_sql(x: str) -> str:
     return x
 
 
+# In the landed pages the <article> holds only h1, p, b and br, so the text nodes are the
+# runs between tags; the extractor joins them with newlines, which SQL states as "every
+# run of tags becomes one newline".
+_ARTICLE_TEXT = _unescape_sql(
+    "regexp_replace(regexp_extract(html, '(?s)<article>(.*)</article>', 1), '(<[^>]*>)+', chr(10), 'g')")
+_SIG_SQL = S.q(rf"(?s)\n--[{S.WS}]*\n.*$")
+
+
+@register("page_text", f"""
+SELECT page_id,
+       {S.strip_sql(f"regexp_replace(regexp_replace({_ARTICLE_TEXT}, {_SIG_SQL}, ''), '\n{{3,}}', chr(10) || chr(10), 'g')")} AS text
+FROM pages""")
+def page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main article text of each landed page (container minus navigation/ads)."""
+    p = spread(read_table(spark, sf_dir, "pages", "page_id", "html"))
+    return pg.extract_main(p, container="article", drop=["nav", "footer", "div.ad", "script", "style"])
+
+
 # In the landed pages every list item is exactly one link (<li><a href="..">text</a></li>)
 # and none has a date, so a regex states the expected rows.
 _LI = r'<li><a href="([^"]*)">([^<]*)</a></li>'
