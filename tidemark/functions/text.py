@@ -26,9 +26,17 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+# Python's whitespace set (``str.isspace``) as a string of characters, for ``trim``.
+WS_CHARS = "".join(ch for ch in map(chr, range(0x110000)) if ch.isspace())
+
+
 def strip(col) -> Column:
-    """Trim Python whitespace from both ends (``trim`` only strips U+0020)."""
-    return F.regexp_replace(_c(col), STRIP_PATTERN, "")
+    """Trim Python whitespace from both ends.
+
+    ``trim`` with an explicit character set (plain ``trim`` strips U+0020 only); it
+    compares code points, runs without a regex, and equals ``STRIP_PATTERN``.
+    """
+    return F.trim(_c(col), F.lit(WS_CHARS))
 
 
 def has_text(col) -> Column:
