@@ -27,13 +27,16 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Spread a scan over the cores before heavy per-row work (regex, HTML, hashing).
 
     A Parquet file is split by row groups, so a table stored in fewer files than there
-    are cores may be read by one or two tasks.  Only then are rows round-robined over
-    ``min_partitions`` (default: the session's parallelism).  A large table has many
-    files and is left as scanned, so this adds no shuffle at scale.
+    are cores, and too small to be cut into that many byte ranges, may be read by one
+    or two tasks.  Only then are rows round-robined over ``min_partitions`` (default:
+    the session's parallelism).  A large table has many files or many splits and is
+    left as scanned, so this adds no shuffle at scale.
     """
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     try:
         n_files = len(df.inputFiles())
     except Exception:  # not a file scan
         return df
-    return df.repartition(target) if n_files < target else df
+    if n_files >= target or df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
