@@ -26,7 +26,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE_CLASS, let, staged, text_of
+from .common import SPACE_CLASS, bounded_sample, let, staged, text_of
 
 #: Names that secrets are assigned to.
 NAMES = ("password", "passwd", "pwd", "secret", "token", "api_key", "api-key", "apikey", "access_key", "access-key",
@@ -127,8 +127,8 @@ def weak_labels(found: DataFrame) -> Column:
 def fit(labelled: DataFrame, sample: int = SAMPLE):
     """A forest for (candidate columns, label), or None unless both classes occur."""
     rows = with_features(labelled)
-    key = [F.xxhash64("value", "before"), F.col("value"), F.col("before")]
-    part = staged(rows.filter("label = 1").orderBy(*key).limit(sample).unionByName(rows.filter("label = 0").orderBy(*key).limit(sample)), "findings")
+    key = ("value", "before", "after")
+    part = staged(bounded_sample(rows.filter("label = 1"), sample, *key).unionByName(bounded_sample(rows.filter("label = 0"), sample, *key)), "findings")
     if part.select("label").distinct().count() < 2:
         return None
     x = VectorAssembler(inputCols=[f"f_{k}" for k in FEATURES], outputCol="features").transform(part.withColumn("label", F.col("label").cast("double")))

@@ -28,7 +28,7 @@ from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import doc_texts
+from .common import bounded_sample, doc_texts, staged
 
 SIZES = (3, 4, 5)
 BITS = 20
@@ -36,6 +36,8 @@ BITS = 20
 SAMPLE_TOXIC, SAMPLE_CLEAN = 5_000, 10_000
 #: A kept bucket is in so many sample documents at least; so many buckets are kept at most.
 MIN_DOCS, KEPT = 5, 32_768
+#: ... with a log ratio of this size at least, either way.
+MIN_RATIO = 1.0
 SMOOTHING = 1.0
 PENALTY = 0.01
 THRESHOLD = 0.3
@@ -43,47 +45,39 @@ THRESHOLD = 0.3
 BLOCK = 1 << 20
 HELD_OUT, FOLDS = 2, 4
 
-_BLANKS = np.asarray([9, 10, 11, 12, 13, 32])
-
 
 def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % FOLDS == HELD_OUT, F.lit(False))
 
 
-def _blocks(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(code points, text number of each), about BLOCK at a time; a long text goes in overlapping parts."""
-    codes, of, held = [], [], 0
-    for i, t in enumerate(texts):
-        c = np.frombuffer(t.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-        for a in range(0, max(1, len(c)), BLOCK):
-            part = c[max(0, a - SIZES[-1] + 1):a + BLOCK]
-            codes.append(part)
-            of.append(np.full(len(part), i, np.int64))
-            held += len(part)
-            if held >= BLOCK:
-                yield np.concatenate(codes), np.concatenate(of)
-                codes, of, held = [], [], 0
-    if held:
-        yield np.concatenate(codes), np.concatenate(of)
-
-
-def features(texts: list[str], keep: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """(text number, bucket) of the features present, each once; ``keep``: only buckets true there."""
-    found = [np.zeros(0, np.int64)]
-    for codes, of in _blocks(texts):
-        c = np.where(np.isin(codes, _BLANKS), 32, codes).astype(np.uint64)
-        h = c
-        for n in range(2, SIZES[-1] + 1):
-            h = h[:-1] * np.uint64(0x9E3779B97F4A7C15) + c[n - 1:]
-            if n in SIZES:
-                bucket = ((h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(64 - BITS)).astype(np.int64)
-                own = of[:-(n - 1)]
-                ok = own == of[n - 1:]
-                if keep is not None:
-                    ok &= keep[bucket]
-                found.append(np.unique(own[ok] << BITS | bucket[ok]))
-    at = np.unique(np.concatenate(found))
-    return at >> BITS, at & ((1 << BITS) - 1)
+class Features:
+    """The features of one text after another; ``keep``: only buckets true there."""
+
+    def __init__(self, keep: np.ndarray | None = None):
+        self.keep, self.seat = keep, np.zeros(1 << BITS, np.int32)
+
+    def _distinct(self, buckets: np.ndarray) -> np.ndarray:
+        """Each bucket once: every occurrence takes its seat, and who still sits there is kept."""
+        order = np.arange(len(buckets), dtype=np.int32)
+        self.seat[buckets] = order
+        return buckets[self.seat[buckets] == order]
+
+    def of(self, text: str) -> np.ndarray:
+        """Buckets of the n-grams present, each once; a long text goes in overlapping parts."""
+        codes = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+        found = []
+        for a in range(0, len(codes), BLOCK):
+            c = codes[max(0, a - SIZES[-1] + 1):a + BLOCK].astype(np.uint64)
+            c[(c >= 9) & (c <= 13)] = 32
+            h = c
+            for n in range(2, SIZES[-1] + 1):
+                h = h[:-1] * np.uint64(0x9E3779B97F4A7C15) + c[n - 1:]
+                if n in SIZES:
+                    b = (((h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(64 - BITS)).astype(np.int32)
+                    found.append(b if self.keep is None else b[self.keep[b]])
+            if len(codes) > BLOCK:
+                found = [self._distinct(np.concatenate(found))]
+        return self._distinct(np.concatenate(found)) if found else np.zeros(0, np.int32)
 
 
 class Model:
@@ -91,12 +85,17 @@ class Model:
 
     def __init__(self, weights: np.ndarray | None, bias: float):
         self.weights, self.bias = weights, bias
+        self.features = None
+
+    def __getstate__(self):
+        return {"weights": self.weights, "bias": self.bias, "features": None}
 
     def scores(self, texts: list[str]) -> np.ndarray:
         z = np.full(len(texts), self.bias)
         if self.weights is not None:
-            of, bucket = features(texts, self.weights != 0)
-            z += np.bincount(of, weights=self.weights[bucket].astype(np.float64), minlength=len(texts))
+            self.features = self.features or Features(self.weights != 0)
+            for i, t in enumerate(texts):
+                z[i] += self.weights[self.features.of(t)].sum(dtype=np.float64)
         return 1 / (1 + np.exp(-np.clip(z, -700, 700)))
 
 
@@ -104,9 +103,12 @@ def _sample(labels: DataFrame) -> DataFrame:
     """(doc_id, toxic) of at most SAMPLE_TOXIC and SAMPLE_CLEAN labelled documents outside the held-out fold."""
     one = (labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").filter(~held_out(F.col("doc_id").cast("long")))
            .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max((F.col("toxic") == 1).cast("int")).alias("toxic")))
-    order = (F.xxhash64("doc_id"), "doc_id")
-    return (one.filter("toxic = 1").orderBy(*order).limit(SAMPLE_TOXIC)
-            .unionByName(one.filter("toxic = 0").orderBy(*order).limit(SAMPLE_CLEAN)))
+    return bounded_sample(one.filter("toxic = 1"), SAMPLE_TOXIC, "doc_id").unionByName(bounded_sample(one.filter("toxic = 0"), SAMPLE_CLEAN, "doc_id"))
+
+
+def _sorted(place: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(place)
+    return place[order], value[order]
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
@@ -115,14 +117,11 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     rows = doc_texts(docs).join(sample, "doc_id").select("toxic", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = np.zeros((2, 1 << BITS), np.int32)
-        total = np.zeros(2, np.int64)
+        n, total, features = np.zeros((2, 1 << BITS), np.int32), np.zeros(2, np.int64), Features()
         for b in batches:
-            toxic, texts = b.column(0).to_numpy(), b.column(1).to_pylist()
-            for k in (0, 1):
-                _, bucket = features([t for t, y in zip(texts, toxic, strict=True) if y == k])
-                n[k] += np.bincount(bucket, minlength=1 << BITS).astype(np.int32)
-                total[k] += int((toxic == k).sum())
+            for y, t in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                n[y][features.of(t.as_py())] += 1
+                total[y] += 1
         at = np.flatnonzero(n.any(axis=0))
         # Bucket -1 holds the numbers of documents.
         yield pa.RecordBatch.from_arrays([pa.array(np.r_[-1, at]), pa.array(np.r_[total[0], n[0][at]]), pa.array(np.r_[total[1], n[1][at]])], ["bucket", "clean", "toxic"])
@@ -130,7 +129,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     counts = (rows.mapInArrow(count, "bucket long, clean long, toxic long")
               .groupBy("bucket").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
               .filter(f"bucket = -1 OR clean + toxic >= {MIN_DOCS}"))
-    both = counts.checkpoint(eager=True) if docs.sparkSession.sparkContext.getCheckpointDir() else counts
+    both = staged(counts, "ngram-counts")
     total = both.filter("bucket = -1").first()
     n0, n1 = (total["clean"], total["toxic"]) if total else (0, 0)
     if not n0 or not n1:
@@ -138,6 +137,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         return Model(None, 700.0 if share == 1 else -700.0)
     ratio = (F.log((F.col("toxic") + SMOOTHING) / (n1 + 2 * SMOOTHING)) - F.log((F.col("clean") + SMOOTHING) / (n0 + 2 * SMOOTHING)))
     kept = (both.filter("bucket >= 0").select("bucket", ratio.alias("r"), (F.abs(ratio) * F.sqrt(F.col("clean") + F.col("toxic"))).alias("strength"))
+            .filter(F.abs("r") >= MIN_RATIO)
             .orderBy(F.desc("strength"), "bucket").limit(KEPT).collect())  # KEPT rows at most
     ratios = np.zeros(1 << BITS, np.float32)
     ratios[[r["bucket"] for r in kept]] = [r["r"] for r in kept]
@@ -147,14 +147,13 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     width = int(place[-1]) + 1
 
     def present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        features = Features(ratios != 0)
         for b in batches:
-            of, bucket = features(b.column(1).to_pylist(), ratios != 0)
-            cuts = np.searchsorted(of, np.arange(1, b.num_rows))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.split(bucket, cuts), pa.list_(pa.int64()))], ["toxic", "buckets"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([features.of(t.as_py()) for t in b.column(1)], pa.list_(pa.int32()))], ["toxic", "buckets"])
 
-    vector = F.udf(lambda buckets: Vectors.sparse(width, place[buckets], ratios[buckets].astype(float)), VectorUDT())
-    x = rows.mapInArrow(present, "toxic int, buckets array<long>").select(F.col("toxic").cast("double").alias("label"), vector("buckets").alias("features"))
-    lr = LogisticRegression(regParam=PENALTY, standardization=False, maxIter=50).fit(x)
+    vector = F.udf(lambda buckets: Vectors.sparse(width, *_sorted(place[buckets], ratios[buckets].astype(float))), VectorUDT())
+    x = rows.mapInArrow(present, "toxic int, buckets array<int>").select(F.col("toxic").cast("double").alias("label"), vector("buckets").alias("features"))
+    lr = LogisticRegression(regParam=PENALTY, standardization=False, maxIter=40).fit(x)
     weights = np.zeros(1 << BITS, np.float32)
     at = np.flatnonzero(ratios)
     weights[at] = lr.coefficients.toArray() * ratios[at]
@@ -168,8 +167,7 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = b.column(1).to_pylist()
-            s = [sent.value.scores(texts[a:a + 500]) for a in range(0, len(texts), 500)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.concatenate(s) if s else [], pa.float64())], ["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sent.value.scores(texts), pa.float64())], ["doc_id", "score"])
 
     scored = doc_texts(docs).mapInArrow(run, "doc_id long, score double")
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
