@@ -36,6 +36,8 @@ MIN_WORD_CHARS_PCT, MAX_WORD_CHARS_PCT = 250, 1400  # mean word length times 100
 
 #: Documents that the order of the rules is estimated on; no verdict depends on it.
 SAMPLE_ROWS = 512
+#: ... and their length, so that the sample is small in bytes too.
+SAMPLE_CHARS = 20_000
 
 
 def _chars(text: Column, which: str) -> Column:
@@ -151,7 +153,10 @@ def order_rules(docs: DataFrame, rules: Sequence[Rule], sample_rows: int = SAMPL
 
     Ties keep the given order.  The sample only sets the order of evaluation.
     """
-    sample = staged(with_words(docs.select(text_of().alias("text")).limit(sample_rows)), "rule-sample").coalesce(1)
+    # collect() on a limit reads the first partitions only; a limit inside a larger plan would read from all.
+    few = docs.select(text_of().alias("text")).filter(F.length("text") <= SAMPLE_CHARS).limit(sample_rows).collect()
+    sample = docs.sparkSession.createDataFrame(few, "text string")
+    sample = staged(with_words(sample), "rule-sample").coalesce(1)
     doc = _doc()
 
     def seconds(c: Column) -> tuple[float, int]:
