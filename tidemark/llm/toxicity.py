@@ -35,11 +35,11 @@ BITS = 20
 #: Rows of each class that the fit takes at most.
 SAMPLE_TOXIC, SAMPLE_CLEAN = 5_000, 10_000
 #: A kept bucket is in so many sample documents at least; so many buckets are kept at most.
-MIN_DOCS, KEPT = 5, 32_768
+MIN_DOCS, KEPT = 5, 8_192
 #: ... with a log ratio of this size at least, either way.
-MIN_RATIO = 1.0
+MIN_RATIO = 1.5
 SMOOTHING = 1.0
-PENALTY = 0.01
+PENALTY = 0.001
 THRESHOLD = 0.3
 #: Characters that are hashed at once.
 BLOCK = 1 << 20
