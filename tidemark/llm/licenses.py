@@ -39,9 +39,11 @@ SENTENCES = (
     ("AsIsMit", "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement"),
     ("Gpl3Work", "this work is licensed under the gnu general public license version 3"),
     ("Gpl2Work", "this work is licensed under the gnu general public license version 2"),
-    ("GplFree", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version"),
-    ("Gpl2Free", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version"),
-    ("GplNoWarranty", "this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose"),
+    ("FreeSoftware", "this program is free software"),
+    ("GplTerms3", "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version"),
+    ("GplTerms2", "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version"),
+    ("GplHope", "this program is distributed in the hope that it will be useful but without any warranty"),
+    ("GplImplied", "without even the implied warranty of merchantability or fitness for a particular purpose"),
     ("GplSee", "see the gnu general public license for more details"),
     ("Lgpl3Work", "this work is licensed under the gnu lesser general public license version 3"),
     ("CcByNc4", "licensed under cc by nc 4.0"),
@@ -65,9 +67,9 @@ RULES = (
     ("Apache-2.0", ("ApacheLic", "ApacheMayNot")),
     ("MIT", ("MitGrant", "MitNotice", "AsIsMit")),
     ("MIT", ("MitGrant", "MitNotice")),
-    ("GPL-3.0-or-later", ("GplFree", "GplNoWarranty", "GplSee")),
-    ("GPL-3.0-or-later", ("GplFree",)),
-    ("GPL-2.0-or-later", ("Gpl2Free",)),
+    ("GPL-3.0-or-later", ("FreeSoftware", "GplTerms3", "GplHope", "GplImplied", "GplSee")),
+    ("GPL-3.0-or-later", ("FreeSoftware", "GplTerms3")),
+    ("GPL-2.0-or-later", ("FreeSoftware", "GplTerms2")),
     ("GPL-3.0", ("Gpl3Work",)),
     ("GPL-2.0", ("Gpl2Work",)),
     ("LGPL-3.0", ("Lgpl3Work",)),
