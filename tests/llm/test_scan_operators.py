@@ -1,0 +1,284 @@
+"""URL filter, decontamination, personal data, secrets, licences and the pipeline."""
+
+from __future__ import annotations
+
+import hashlib
+import itertools
+import random
+import re
+
+import pytest
+
+import corpus_pipeline
+from tests.conftest import SF_SMALL
+from tidemark.llm import decontaminate, licenses, pii, registry, secrets, urls
+from tidemark.plans.oracle_check import _rows, duck
+
+SF = "/root/testdata/sf0.01"
+
+
+@pytest.mark.parametrize("key", sorted(registry.ORACLE))
+def test_oracle(spark, key):
+    for sf in (SF_SMALL, SF):
+        df = registry.QUERIES[key](spark, sf)
+        con = duck(sf).execute(registry.ORACLE[key])
+        cols = [c[0] for c in con.description]
+        assert sorted(cols) == sorted(df.columns)
+        assert _rows(df.columns, [tuple(r) for r in df.collect()]) == _rows(cols, con.fetchall())
+
+
+def docs_of(spark, texts):
+    """Numbered texts, a repeated row, rows without a doc_id and clashing extra columns."""
+    rows = list(enumerate(texts))
+    rows += [rows[0], (None, texts[0]), (None, None)]
+    return spark.createDataFrame([(d, t, "a/b.txt", 1, "z") for d, t in rows], "doc_id long, text string, source string, start int, key string")
+
+
+# URL filter
+
+def test_url_parts_and_rules(spark):
+    rows = [("http://WWW.Example.com/en/1?x=/fr/", "www.example.com", "/en/1", "www.example.com/en/"), ("https://a.example.com/en/", "a.example.com", "/en/", "example.com/en/"),
+            ("https://badexample.com/en/x", "badexample.com", "/en/x", "com/"), ("http://x.net/fr/2#top", "x.net", "/fr/2", "net/fr/"), ("http://x.net/frx", "x.net", "/frx", None),
+            ("http://x.com", "x.com", "", None), ("http://x.com?y/", "x.com", "", None), ("no scheme.com/en/", "", "", None), (None, "", "", None),
+            ("a://\u00c4B.com/q://r", "\u00c4b.com", "/q://r", "com/"), ("://com/", "com", "/", "com/"), ("http://x.com:80/", "x.com:80", "/", None)]
+    pages = spark.createDataFrame([(i, r[0], "x", 0) for i, r in enumerate(rows)], "page_id long, url string, host string, n int")
+    got = {r["page_id"]: r for r in urls.judge(pages, pages.selectExpr("url", "0 AS bad")).collect()}
+    for i, (_, host, path, rule) in enumerate(rows):
+        assert (got[i]["host"], got[i]["path"], got[i]["rule"]) == (host, path, rule)
+        assert got[i]["verdict"] == (dict((r, v) for v, r in urls.RULES)[rule] if rule else "allow")
+
+
+def test_url_reputation_shrinks_and_blocks(spark):
+    seen = [("http://bad.farm.org/1", 1)] * 60 + [("http://good.site.org/1", 0)] * 200 + [("http://ok.farm.org/1", 0)] * 2 + [("http://few.site.org/1", 1)] * 2
+    outcomes = spark.createDataFrame(seen, "url string, bad int")
+    pages = spark.createDataFrame([(i, u) for i, (u, _) in enumerate(seen)] + [(999, "http://new.farm.org/"), (None, None)], "page_id long, url string")
+    got = {r["host"]: r["verdict"] for r in urls.judge(pages, outcomes).collect()}
+    assert got["bad.farm.org"] == "block" and {h for h, v in got.items() if v == "block"} <= {"bad.farm.org", "new.farm.org"}
+    assert got["few.site.org"] == got["good.site.org"] == "allow"
+    assert {r["verdict"] for r in urls.judge(pages, outcomes.limit(0)).collect()} == {"allow"}
+    assert urls.judge(pages.limit(0), outcomes.limit(0)).count() == 0
+
+
+# Decontamination
+
+def test_masks_meet_two_replaced_words():
+    starts = [frozenset(i + j for j, c in enumerate(m) if c == "1") for m in decontaminate.MASKS for i in range(15 - len(m) + 1)]
+    for gone in itertools.combinations(range(15), 2):
+        assert any(not s & set(gone) for s in starts)
+
+
+def plain_contaminated(docs, items):
+    """All alignments of all pairs, same ends and limits."""
+    out = set()
+    for d, text in docs:
+        w = decontaminate.words((text or "").encode())
+        for item, t in items:
+            v = decontaminate.words((t or "").encode())
+            if len(v) < decontaminate.MIN_ITEM:
+                continue
+            for lay in range(-len(v) + 1, len(w)):
+                best, run, begin = (0.0, 0, 0), 0.0, 0
+                pairs = [(w[lay + k] == v[k]) if 0 <= lay + k < len(w) else None for k in range(len(v))]
+                inside = [k for k, p in enumerate(pairs) if p is not None]
+                for k in inside:
+                    if run < 0:
+                        run, begin = 0.0, k
+                    run += 1 if pairs[k] else -decontaminate.REPLACED
+                    best = max(best, (run, begin, k))
+                matched = sum(bool(pairs[k]) for k in range(best[1], best[2] + 1)) if best[0] > 0 else 0
+                if matched and matched >= min(decontaminate.MIN_MATCH, len(v)) and matched >= decontaminate.MIN_EQUAL * (best[2] + 1 - best[1]):
+                    out.add((d, item))
+    return out
+
+
+def test_decontamination_equals_all_alignments(spark):
+    rng = random.Random(2)
+    vocab = [f"w{i}" for i in range(400)]
+    items = [(i, " ".join(rng.choices(vocab, k=rng.randint(6, 40)))) for i in range(25)] + [(90, None), (91, ""), (92, "w1 w2")]
+    items.append((93, items[0][1]))  # a copy
+    texts = []
+    for _ in range(60):
+        w = rng.choices(vocab, k=rng.randint(0, 120))
+        if rng.random() < 0.6:
+            p = rng.choice(items[:25])[1].split()
+            for k in rng.sample(range(len(p)), min(len(p) // 8, 2)):
+                p[k] = "other"
+            at = rng.randint(0, len(w))
+            w[at:at] = p
+        texts.append(" ".join(x.upper() + "," if rng.random() < 0.1 else x for x in w))
+    docs = docs_of(spark, texts)
+    bench = spark.createDataFrame([(i, t, 0) for i, t in items], "item_id long, text string, doc_id int")
+    want = plain_contaminated(list(enumerate(texts)), items)
+    for block in (decontaminate.BLOCK_WORDS, 60):
+        got = decontaminate.contaminated(docs.filter("doc_id IS NOT NULL"), bench, block).collect()
+        assert sorted((r["doc_id"], r["item_id"]) for r in got) == sorted(want)
+    assert len(want) > 10
+    bad = {d for d, _ in want}
+    clean = decontaminate.remove_contaminated(docs, bench)
+    assert clean.columns == docs.columns
+    kept = [r["doc_id"] for r in clean.collect()]
+    assert {d for d in kept if d is not None} == set(range(60)) - bad
+    assert kept.count(None) == 1 + (0 not in bad)
+    assert decontaminate.contaminated(docs.limit(0), bench).count() == 0
+    assert decontaminate.contaminated(docs, bench.limit(0)).count() == 0
+
+
+def test_decontamination_finds_planted_passages(spark):
+    got = registry.QUERIES["op4_decontamination"](spark, SF).collect()
+    bench = {r["item_id"]: r["text"] for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()}
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    whole = {(d, i) for d, t in docs.items() for i, b in bench.items() if b in t}
+    assert whole <= {(r["doc_id"], r["item_id"]) for r in got}
+    assert all(r["matched"] >= 12 for r in got)
+
+
+# Personal data
+
+def plain_spans(t):
+    out = [("email", *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
+    out += [("ip", *m.span()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t) if all(int(x) <= 255 for x in m.group().split("."))]
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", t):
+        d = re.sub("[^0-9]", "", m.group())
+        if 16 <= len(d) <= 19 and sum(sum(divmod(int(c) * (1 + i % 2), 10)) for i, c in enumerate(d[::-1])) % 10 == 0:
+            out.append(("card", *m.span()))
+    out += [("phone", *m.span()) for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", t) if 8 <= len(re.sub("[^0-9]", "", m.group())) <= 15]
+    return out
+
+
+TRICKY = ["a@b.c_d@e.f", "a@b.c@d.e", "1.2.3.4.5.6.7.8 999.1.1.1.2.3.4", "+1 (23) 555-6789 1", "4111 1111 1111 1111 41111111111111112", "x@-.- y@a..b @a.b",
+          "a@b a@b.c+1 234 567 89", "0256.1.1.1 00255.0.0.0", "\u00e9a@b.co \u0661.2.3.4.5", "+1+1 234 5678", "4111-1111-1111-1111", "", "@", "+", "1", "a%@b.c.", "a" * 300 + "@" + "b." * 50]
+
+
+def test_pii_base_spans_equal_plain_patterns(spark):
+    rng = random.Random(4)
+    texts = TRICKY + ["".join(rng.choices("ab1@.+- (5_\n", k=rng.randint(0, 60))) for _ in range(1500)]
+    for t in texts:
+        assert [(k, a, z) for k in pii.KINDS for a, z in pii.base_spans(t)[k]] == plain_spans(t)
+    docs = docs_of(spark, TRICKY)
+    got = pii.report(docs).collect()
+    assert len(got) == docs.count()
+    for r in got:
+        if r["doc_id"] is not None:
+            spans = plain_spans(TRICKY[r["doc_id"]])
+            assert [r[f"n_{k}"] for k in pii.KINDS] == [sum(s[0] == k for s in spans) for k in pii.KINDS]
+            assert r["base_sha256"] == hashlib.sha256(",".join(f"{k}:{a}:{z}" for k, a, z in spans).encode()).hexdigest()
+    assert pii.report(docs.limit(0)).count() == 0
+
+
+def test_pii_contexts_find_unseen_identifiers(spark):
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choices("abcdefghij", k=5))
+    texts = [f"{word()} {word()} mailto {word()}{i}@mail.example.org {word()}" for i in range(30)]
+    hidden = [f"{word()} mailto user{i}(at)example.org {word()}" for i in range(3)]
+    texts += hidden + [f"the {word()} 1{i}th item{i}9x {word()}" for i in range(20)]
+    rows = {r["doc_id"]: r for r in pii.find(docs_of(spark, texts)).collect() if r["doc_id"] is not None}
+    for i, t in enumerate(texts):
+        found = [t[s["start"]:s["end"]] for s in rows[i]["added"]]
+        assert found == ([t.split()[2]] if t in hidden else [])
+        assert all(s["kind"] == "email" for s in rows[i]["added"])
+
+
+# Secrets
+
+def test_secrets_spans_scores_and_redaction(spark):
+    rng = random.Random(8)
+    hexa = lambda n: "".join(rng.choices("0123456789abcdef", k=n))
+    key = lambda: "AKIA" + "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", k=16))
+    texts, hidden = [], []
+    for i in range(40):
+        s = [hexa(18), hexa(40), key()][i % 3]
+        hidden.append(s)
+        texts.append(f"\u00e9t\u00e9 card 4556{i:02d}1234567890 {['password=', 'token = ' + chr(34), ''][i % 3]}{s}{chr(34) if i % 3 == 1 else ''} end, order 20240101{i:06d}.")
+    texts += ["plain words only", "", "AKIA" + "B" * 16 + " tail"]
+    docs = docs_of(spark, texts)
+    got = secrets.scan(docs).collect()
+    for r in got:
+        if r["doc_id"] is not None:
+            v = texts[r["doc_id"]][r["start"]:r["end"]]
+            assert hashlib.sha256(v.encode()).hexdigest() == r["value_sha256"]
+            assert r["is_secret"] == (v in hidden or v == "AKIA" + "B" * 16), v
+    clean = secrets.redact(docs)
+    assert clean.columns == docs.columns
+    rows = clean.collect()
+    assert len(rows) == docs.count()
+    for r in rows:
+        if r["doc_id"] is not None:
+            t = texts[r["doc_id"]]
+            for s in hidden + ["AKIA" + "B" * 16]:
+                t = t.replace(s, "[SECRET]")
+            assert r["text"] == t
+    assert [r["text"] for r in rows if r["doc_id"] is None and r["text"] is None] == [None]
+    assert secrets.scan(docs.limit(0)).count() == 0 and secrets.redact(docs.limit(0)).count() == 0
+    assert secrets.scan(docs.select("doc_id", "text")).count() == len(got)
+
+
+def test_secrets_forest_removes_false_positives(spark):
+    rng = random.Random(9)
+    text = " ".join(f"id {rng.randint(10**15, 10**16)} ref key{rng.randint(10**12, 10**13)}" for _ in range(200))
+    found = secrets.candidates(docs_of(spark, [text]).filter("doc_id = 0").limit(1))
+    labelled = found.withColumn("label", found["value"].startswith("key").cast("int"))
+    got = secrets.scan(docs_of(spark, [text]).limit(1), labelled).collect()
+    assert all(r["is_secret"] == text[r["start"]:r["end"]].startswith("key") for r in got) and len(got) == 400
+
+
+def test_secrets_n_chars_follows_text(spark):
+    rows = [(1, "x password=0123456789abcdef0 y", 30), (2, "no secret", 9), (3, "number 4556001234567890", 23)]
+    got = secrets.redact(spark.createDataFrame(rows, "doc_id long, text string, n_chars long")).collect()
+    assert all(r["n_chars"] == len(r["text"]) for r in got)
+
+
+# Licences
+
+def test_license_rules_and_order(spark):
+    apache = ("Licensed under the Apache License, Version 2.0 (the \"License\");\nyou may not use this file except in compliance with the License.\n"
+              "You may obtain a copy of the License at")
+    gpl = ("This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\n"
+           "the Free Software Foundation, either version 3 of the License, or\n(at your option) any later version.")
+    texts = ["Released under the MIT License.", "some text\nLicensed under CC BY-NC 4.0.\nmore", apache, gpl, "A license of our own.", "nothing", "",
+             "Licensed under the Apache License, Version 2.0.\nReleased under the MIT License.", "released under the mit license"]
+    got = {r["doc_id"]: (r["licenses"], r["sentences"]) for r in licenses.recognise(docs_of(spark, texts)).collect()}
+    assert got[0] == ("MIT", "MitReleased") and got[1] == ("CC-BY-NC-4.0", "CcByNc4")
+    assert got[2] == ("Apache-2.0", "ApacheLicThe,ApacheMayNot,ApacheCopy") and got[3] == ("GPL-3.0-or-later", "FreeSoftware,GplTerms3")
+    assert got[4] == ("UNKNOWN", "") and 5 not in got and 6 not in got
+    assert got[7] == ("Apache-2.0,MIT", "ApacheLic,MitReleased") and got[8] == ("MIT", "MitReleased")
+    assert licenses.recognise(docs_of(spark, texts).limit(0)).count() == 0
+
+
+def test_license_sentences_hold_a_licence_word():
+    assert all(re.search(licenses.LICENCE_WORDS, s) for _, s in licenses.SENTENCES)
+    names = [n for n, _ in licenses.SENTENCES]
+    assert len(set(names)) == len(names) and {x for _, ids in licenses.RULES for x in ids} <= set(names)
+
+
+# Pipeline
+
+def test_pipeline_stages(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    columns = docs.columns
+    seen = [docs]
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, seen[-1], SF)
+        if name != "packing":
+            assert out.columns == columns
+        path_rows = out.collect()
+        seen.append(spark.createDataFrame(path_rows, out.schema))
+    ids = [{r["doc_id"] for r in d.select("doc_id").collect()} for d in seen]
+    assert ids[0] > ids[1] > ids[2] > ids[3] == ids[4] == ids[5]
+    kept = registry.QUERIES["op10_quality_rules"](spark, SF).filter("kept").select("doc_id").collect()
+    assert ids[1] == {r["doc_id"] for r in kept}
+    tokens = lambda d: sorted((r["doc_id"], r["n"]) for r in d.groupBy("doc_id").agg({"length": "sum"}).toDF("doc_id", "n").collect())
+    assert tokens(corpus_pipeline.run(spark, SF)) == tokens(seen[-1])
+
+
+def test_pipeline_takes_odd_and_empty_documents(spark):
+    good = " ".join(f"word{i} more{i * 7 % 89}" for i in range(80))
+    docs = spark.createDataFrame([(1, good, "en", "s", 9, "x"), (1, good, "en", "s", 9, "y"), (2, None, None, None, None, None), (None, good + " tail", "en", None, 1, "z")],
+                                 "doc_id long, text string, lang string, source string, n_chars long, score string")
+    for d in (docs, docs.limit(0)):
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            d = stage(spark, d, SF)
+            assert d.columns == docs.columns
+        stage = corpus_pipeline.STAGES[-1][1]
+        stage(spark, d, SF).collect()
+    ids = [r["doc_id"] for r in corpus_pipeline.STAGES[1][1](spark, corpus_pipeline.STAGES[0][1](spark, docs, SF), SF).collect()]
+    assert sorted(ids, key=str) == [1, None]
