@@ -114,7 +114,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int
             for a, z in slices(texts):
                 rows = []
                 for doc, ids in zip(docs[a:z], enc.ids(texts[a:z]), strict=True):
-                    rows += packer.add(doc, np.r_[ids.astype("<u4"), end])
+                    rows += packer.add(doc, np.concatenate((ids, end)))
                 if rows:
                     yield table(rows)
         if rows := packer.flush():

@@ -13,6 +13,7 @@ import json
 import os
 import re
 from collections.abc import Sequence
+from itertools import repeat
 
 import numpy as np
 
@@ -111,10 +112,13 @@ class Encoder:
     def _codes(self, chunks: list[str]) -> np.ndarray:
         if len(self._at) > MAX_CHUNKS or self._chars > MAX_CHUNK_CHARS:
             self._clear()
-        missing = list(set(chunks).difference(self._at))
-        if missing:
-            self._learn(missing)
-        return np.fromiter(map(self._at.__getitem__, chunks), np.int64, len(chunks))
+        codes = np.fromiter(map(self._at.get, chunks, repeat(-1)), np.int64, len(chunks))
+        new = np.flatnonzero(codes < 0)
+        if len(new):
+            missing = [chunks[i] for i in new.tolist()]
+            self._learn(list(dict.fromkeys(missing)))
+            codes[new] = np.fromiter(map(self._at.__getitem__, missing), np.int64, len(missing))
+        return codes
 
     def _chunks(self, texts: Sequence[str]) -> tuple[list[str], np.ndarray]:
         chunks: list[str] = []
@@ -150,7 +154,7 @@ def _cut_of(spec: dict):
 
     Byte-level files whose pattern takes one space into the token after it: before single
     spaces between other characters.  Files that drop white space between tokens: at
-    spaces and line feeds, which no normalizer step joins to a neighbour.
+    white space, which no normalizer step joins to a neighbour.
     """
     pre, norm = spec.get("pre_tokenizer") or {}, spec.get("normalizer") or {}
     if pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space") and not norm:
@@ -165,8 +169,13 @@ def _cut_of(spec: dict):
             and r"[^\s" in (steps[0].get("pattern") or {}).get("Regex", "") and steps[1].get("type") == "ByteLevel" and not steps[1].get("use_regex")
             and not steps[1].get("add_prefix_space")
             and {x.get("type") for x in norm.get("normalizers", [])} <= {"NFC", "Replace", "Lowercase"}):
-        # Case does not matter to them; special strings are looked for before that, so texts that may hold one stay.
-        return (lambda t: [x for x in (t.lower() if t.isascii() and "<|" not in t else t).replace("\n", " ").split(" ") if x]), False
+        def at_blanks(t: str) -> list[str]:
+            # Case does not matter to them; special strings are looked for before that, so texts that may hold one stay.
+            if t.isascii() and "<|" not in t:
+                t = t.lower()
+            # split() also cuts at U+001C to U+001F, which are no white space to the library.
+            return t.split() if not any(c in t for c in "\x1c\x1d\x1e\x1f") else [x for x in t.replace("\n", " ").split(" ") if x]
+        return at_blanks, False
     return None, False
 
 
