@@ -115,7 +115,7 @@ def test_simhash_equals_brute_force(spark, documents):
     assert got == want
 
 
-@pytest.mark.parametrize("max_node", [4, 1_000_000])
+@pytest.mark.parametrize("max_node", [30, 1_000_000])
 def test_simhash_links_in_dense_and_chained_groups(spark, max_node):
     rng = random.Random(5)
     fps = {rng.getrandbits(64) for _ in range(150)}
