@@ -32,29 +32,41 @@ CHAIN = """<h3> 半導體產業鏈簡介</h3>
 <div id="companyList_b-2"><a href="company_basic.php?stk_code=3105">穩懋<p>unclosed</div>"""
 
 
-def test_main_text_drops_blocks_and_cuts_signature():
-    text = P.main_text(ARTICLE, "div#main-content",
-                       ["div.article-metaline", "div.article-metaline-right", "div.push"])
-    assert "作者" not in text and "推" not in text and "發信站" not in text
-    assert text.startswith("第一行") and text.endswith("最後")
-    assert "\n\n\n" not in text
-    assert P.main_text("<p>no container</p>", "div#main-content", []) == ""
+def main_of(spark, html, container, drop):
+    df = spark.createDataFrame([(1, html)], "page_id long, html string")
+    return P.extract_main(df, container=container, drop=drop).first()["text"]
 
 
-def test_listing_rows_skip_deleted_and_default_date():
-    rows = P.listing_rows(LISTING, "div.r-ent", "div.title a", "div.date", "https://h")
+def test_main_text_drops_blocks_and_cuts_signature(spark):
+    text = main_of(spark, ARTICLE, "div#main-content", ["div.article-metaline", "div.article-metaline-right", "div.push"])
+    assert text == "第一行\n第二行\n粗體\n\n最後"
+    assert main_of(spark, "<p>no container</p>", "div#main-content", []) == ""
+    assert main_of(spark, None, "div#main-content", []) == ""
+    assert main_of(spark, "<article>a<script>x</script><nav>n</nav></b> b", "article", ["nav"]) == "a\n b"
+
+
+def test_listing_rows_skip_deleted_and_default_date(spark):
+    df = spark.createDataFrame([(1, LISTING)], "page_id long, html string")
+    rows = [tuple(r)[1:] for r in P.extract_links(df, base="https://h").orderBy("pos").collect()]
     assert rows == [(0, "標題一", "https://h/bbs/x/M.1.html", "4/10"),
                     (1, "標題三", "https://h/bbs/x/M.3.html", "")]
 
 
-def test_chain_page_rows():
-    rows = P.chain_page_rows(CHAIN)
-    assert [r[1:] for r in rows] == [
+def test_chain_page_rows(spark):
+    df = spark.createDataFrame([("IC01", CHAIN)], "chain_ic string, html string")
+    rows = P.extract_chain_rows(df).collect()
+    assert [tuple(r)[1:6] for r in rows] == [
         ("A1", "上游", "上市公司", "2330", "台積電"),
         ("A1", "上游", "", "2303", "聯電"),
         ("b-2", "", "", "3105", "穩懋unclosed"),
     ]
-    assert rows[0][0] == "半導體產業鏈簡介"
+
+
+def test_pages_ten_thousand_elements_deep(spark):
+    deep = "<article>" + "<b><p>" * 5_000 + "text"
+    assert main_of(spark, deep, "article", ["nav"]) == "text"
+    nodes = P.read_nodes(deep + "</i></b></article>after")
+    assert nodes[0]["end"] == len(nodes) - 2 and nodes[-1]["text"] == "after"
 
 
 def test_spark_extractors(spark):

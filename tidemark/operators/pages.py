@@ -1,273 +1,219 @@
 """Raw pages -> rows (H1-H5).
 
-Regex rules run as SQL (``regexp_extract_all`` + ``posexplode``).  Rules that need the
-element tree run in ``mapInPandas``: each task parses its own pages with the stdlib
-``html.parser`` into a small tolerant tree (unclosed tags are closed by their parent's
-end tag).  Selectors are the simple subset the rules need: ``tag``, ``.class``, ``#id``,
-``[attr]``, ``[attr^=v]``, ``[attr*=v]``, ``[attr=v]``, compounds of those, and the
-descendant combinator (a space).
+``with_nodes`` reads each page's markup once and adds its elements and text pieces as an
+array in document order; a node knows its place and the place of its last descendant, so
+"inside" is a comparison and a subtree a slice.  The rules are Column expressions over
+that array.  Reading keeps an explicit list of open elements, so depth is no limit: an
+element left open ends with its parent, an end tag without a start is ignored.
+
+Selectors: ``tag``, ``.class``, ``#id``, ``[attr]``, ``[attr=v]``, ``[attr^=v]``,
+``[attr*=v]``, several of those together, and a space for "inside".
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Sequence
+from collections import Counter
+from collections.abc import Callable, Iterator, Sequence
 from html.parser import HTMLParser
 
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta",
-        "param", "source", "track", "wbr"}
+from ..functions.arrays import let
+from ..functions.market import chain_topic, segment_code
+from ..functions.text import article_body, strip
 
+#: Fixed values of HTML: elements without content, and elements whose text is not shown.
+VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+HIDDEN = frozenset(("script", "style", "template"))
 
-class Node:
-    __slots__ = ("tag", "attrs", "children", "parent")
+_TEXT = "#text"
+_NODES = "array<struct<at:int,end:int,tag:string,attrs:map<string,string>,text:string,shown:boolean>>"
+_ARROW = pa.list_(pa.struct([("at", pa.int32()), ("end", pa.int32()), ("tag", pa.string()),
+                             ("attrs", pa.map_(pa.string(), pa.string())), ("text", pa.string()), ("shown", pa.bool_())]))
 
-    def __init__(self, tag: str, attrs: dict, parent: "Node | None"):
-        self.tag, self.attrs, self.children, self.parent = tag, attrs, [], parent
 
-    def iter(self) -> Iterator["Node"]:
-        for c in self.children:
-            if isinstance(c, Node):
-                yield c
-                yield from c.iter()
+class _Reader(HTMLParser):
+    """Events of one page as nodes; ``open`` holds the places of unclosed elements."""
 
-    def strings(self) -> Iterator[str]:
-        for c in self.children:
-            if isinstance(c, Node):
-                if c.tag not in ("script", "style", "template"):
-                    yield from c.strings()
-            else:
-                yield c
-
-    def text(self, sep: str = "", strip: bool = False) -> str:
-        parts = [s.strip() for s in self.strings()] if strip else list(self.strings())
-        return sep.join(p for p in parts if p) if strip else sep.join(parts)
-
-    def find_parent(self, tag: str) -> "Node | None":
-        p = self.parent
-        while p is not None and p.tag != tag:
-            p = p.parent
-        return p
-
-
-class _Builder(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.root = Node("#root", {}, None)
-        self.cur = self.root
+        self.nodes: list[dict] = []
+        self.open: list[int] = []
+        self.names: Counter = Counter()
+        self.hidden = 0
+
+    def _close(self) -> str:
+        node = self.nodes[self.open.pop()]
+        node["end"] = len(self.nodes) - 1
+        self.names[node["tag"]] -= 1
+        self.hidden -= node["tag"] in HIDDEN
+        return node["tag"]
+
+    def _add(self, tag: str, attrs: dict, text: str | None) -> None:
+        at = len(self.nodes)
+        self.nodes.append({"at": at, "end": at, "tag": tag, "attrs": list(attrs.items()), "text": text, "shown": not self.hidden})
 
     def handle_starttag(self, tag, attrs):
-        node = Node(tag, {k: (v or "") for k, v in attrs}, self.cur)
-        self.cur.children.append(node)
+        self._add(tag, {k: v or "" for k, v in attrs}, None)
         if tag not in VOID:
-            self.cur = node
+            self.open.append(len(self.nodes) - 1)
+            self.names[tag] += 1
+            self.hidden += tag in HIDDEN
 
     def handle_startendtag(self, tag, attrs):
-        self.cur.children.append(Node(tag, {k: (v or "") for k, v in attrs}, self.cur))
+        self._add(tag, {k: v or "" for k, v in attrs}, None)
 
     def handle_endtag(self, tag):
-        n = self.cur
-        while n is not None and n.tag != tag:
-            n = n.parent
-        if n is not None and n.parent is not None:  # unmatched end tags are ignored
-            self.cur = n.parent
+        if self.names[tag]:
+            while self._close() != tag:
+                pass
 
     def handle_data(self, data):
-        self.cur.children.append(data)
-
-
-def parse(html: str) -> Node:
-    b = _Builder()
-    b.feed(html or "")
-    b.close()
-    return b.root
-
-
-_SIMPLE = re.compile(r"([a-zA-Z][\w-]*)|\.([\w-]+)|#([\w-]+)|\[([\w-]+)(?:([\^*]?=)\"?([^\]\"]*)\"?)?\]")
-
-
-def _compile(simple: str):
-    tests = []
-    pos = 0
-    for m in _SIMPLE.finditer(simple):
-        if m.start() != pos:
-            raise ValueError(f"unsupported selector {simple!r}")
-        pos = m.end()
-        tag, cls, idv, attr, op, val = m.groups()
-        if tag:
-            tests.append(lambda n, t=tag.lower(): n.tag == t)
-        elif cls:
-            tests.append(lambda n, c=cls: c in n.attrs.get("class", "").split())
-        elif idv:
-            tests.append(lambda n, i=idv: n.attrs.get("id") == i)
-        elif not op:
-            tests.append(lambda n, a=attr: a in n.attrs)
-        elif op == "=":
-            tests.append(lambda n, a=attr, v=val: n.attrs.get(a) == v)
-        elif op == "^=":
-            tests.append(lambda n, a=attr, v=val: a in n.attrs and n.attrs[a].startswith(v))
-        else:
-            tests.append(lambda n, a=attr, v=val: a in n.attrs and v in n.attrs[a])
-    if pos != len(simple):
-        raise ValueError(f"unsupported selector {simple!r}")
-    return lambda n: all(t(n) for t in tests)
-
-
-def select(root: Node, selector: str) -> list[Node]:
-    """Elements matching a selector, in document order (comma = union)."""
-    out: list[Node] = []
-    seen = set()
-    for alt in selector.split(","):
-        steps = [_compile(s) for s in alt.split()]
-        for n in root.iter():
-            if not steps[-1](n):
-                continue
-            i, p = len(steps) - 2, n.parent
-            while i >= 0 and p is not None:
-                if steps[i](p):
-                    i -= 1
-                p = p.parent
-            if i < 0 and id(n) not in seen:
-                seen.add(id(n))
-                out.append(n)
-    if "," in selector:
-        order = {id(n): k for k, n in enumerate(root.iter())}
-        out.sort(key=lambda n: order[id(n)])
-    return out
-
-
-def select_one(root: Node, selector: str) -> Node | None:
-    r = select(root, selector)
-    return r[0] if r else None
-
-
-def _decompose(node: Node) -> None:
-    if node.parent is not None:
-        node.parent.children = [c for c in node.parent.children if c is not node]
-        node.parent = None
-
-
-# ------------------------------------------------------------------ per-page rules
-_SIG = re.compile(r"\n--\s*\n")
-_NL3 = re.compile(r"\n{3,}")
-
-
-def main_text(html: str, container: str, drop: Sequence[str]) -> str:
-    """H1: container text without the dropped blocks, text nodes joined by newlines, then
-    cut at the signature line, blank-line runs squeezed, trimmed; no container -> ""."""
-    root = parse(html)
-    main = select_one(root, container)
-    if main is None:
-        return ""
-    for sel in drop:
-        for n in select(main, sel):
-            _decompose(n)
-    text = main.text("\n")
-    text = _SIG.split(text)[0]
-    return _NL3.sub("\n\n", text).strip()
-
-
-def listing_rows(html: str, row: str, link: str, date: str | None, base: str) -> list[tuple]:
-    """H2: (pos, title, absolute url, date) per listing row that has a link."""
-    out = []
-    for r in select(parse(html), row):
-        a = select_one(r, link)
-        if a is None or "href" not in a.attrs:
-            continue
-        d = select_one(r, date) if date else None
-        out.append((len(out), a.text(strip=True), base + a.attrs["href"], d.text(strip=True) if d else ""))
-    return out
-
-
-_SEG = re.compile(r"companyList_([0-9A-Z]+)")
-_STK = re.compile(r"stk_code=(\d+)")
-
-
-def listing_bucket(a: Node) -> str:
-    """H5: bold text in the first cell of the link's table row, else ""."""
-    tr = a.find_parent("tr")
-    if tr is None:
-        return ""
-    td = select_one(tr, "td")
-    if td is None:
-        return ""
-    b = select_one(td, "b")
-    return b.text(strip=True).strip() if b is not None else ""
-
-
-def chain_page_rows(html: str) -> list[tuple]:
-    """H4: (chain title, segment code, segment name, bucket, stock code, stock name) rows."""
-    root = parse(html)
-    h3 = select_one(root, "h3")
-    title = h3.text(strip=True) if h3 is not None else ""
-    rows = []
-    for div in select(root, "div[id^=companyList_]"):
-        if div.find_parent("noscript") is not None:
-            continue
-        seg_id = div.attrs.get("id", "")
-        m = _SEG.match(seg_id)
-        seg = m.group(1) if m else seg_id.replace("companyList_", "")
-        seg_name = div.attrs.get("title", "").strip()
-        for a in select(div, 'a[href*=company_basic.php?stk_code=]'):
-            sm = _STK.search(a.attrs.get("href", ""))
-            if not sm:
-                continue
-            name = (a.attrs.get("title") or a.text(strip=True) or "").strip()
-            rows.append((title, seg, seg_name, listing_bucket(a), sm.group(1), name))
-    return rows
-
-
-# ------------------------------------------------------------------ Spark operators
+        self._add(_TEXT, {}, data)
+
+
+def read_nodes(html: str | None) -> list[dict]:
+    """The nodes of one page in document order; null has none."""
+    reader = _Reader()
+    reader.feed(html or "")
+    reader.close()
+    while reader.open:
+        reader._close()
+    return reader.nodes
+
+
+def with_nodes(df: DataFrame, html: str, *keep: str) -> DataFrame:
+    """``keep`` columns and ``nodes`` of each page of ``df``."""
+    fields = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            nodes = pa.array([read_nodes(h.as_py()) for h in b.column(len(keep))], _ARROW)
+            yield pa.RecordBatch.from_arrays([*b.columns[:len(keep)], nodes], [*keep, "nodes"])
+
+    return df.select(*keep, html).mapInArrow(run, f"{fields}, nodes {_NODES}")
+
+
+# Rules over nodes
+
+_PART = re.compile(r"(?P<tag>[a-zA-Z][\w-]*)|\.(?P<cls>[\w-]+)|#(?P<id>[\w-]+)|\[(?P<attr>[\w-]+)(?:(?P<op>[\^*]?=)\"?(?P<val>[^\]\"]*)\"?)?\]")
+
+
+def _part(m: re.Match, n: Column) -> Column:
+    if m["tag"]:
+        return n["tag"] == m["tag"].lower()
+    if m["cls"]:
+        return F.array_contains(F.split(F.coalesce(F.try_element_at(n["attrs"], F.lit("class")), F.lit("")), r"\s+"), m["cls"])
+    value = F.try_element_at(n["attrs"], F.lit(m["attr"] or "id"))
+    if m["id"] or m["op"] == "=":
+        return F.coalesce(value == (m["id"] or m["val"]), F.lit(False))
+    if not m["op"]:
+        return value.isNotNull()
+    return F.coalesce(value.startswith(m["val"]) if m["op"] == "^=" else value.contains(m["val"]), F.lit(False))
+
+
+def _is(compound: str) -> Callable[[Column], Column]:
+    parts = list(_PART.finditer(compound))
+    if "".join(m.group() for m in parts) != compound:
+        raise ValueError(f"unsupported selector {compound!r}")
+
+    def test(n: Column) -> Column:
+        out = F.lit(True)
+        for m in parts:
+            out = out & _part(m, n)
+        return out
+    return test
+
+
+def inside(n: Column, outer: Column) -> Column:
+    return (n["at"] > outer["at"]) & (n["at"] <= outer["end"])
+
+
+def found(nodes: Column, selector: str) -> Column:
+    """Elements that a selector names, in document order."""
+    *outer, last = selector.split()
+    if not outer:
+        return F.filter(nodes, _is(last))
+    return let(found(nodes, " ".join(outer)), lambda xs: F.filter(
+        nodes, lambda n: _is(last)(n) & F.exists(xs, lambda x: inside(n, x))))
+
+
+def _first(xs: Column) -> Column:
+    return F.get(xs, F.lit(0))
+
+
+def _texts(nodes: Column, of: Column) -> Column:
+    """Shown text pieces inside an element, in order: its subtree is a slice of the page."""
+    return F.filter(F.slice(nodes, of["at"] + 2, of["end"] - of["at"]), lambda n: (n["tag"] == _TEXT) & n["shown"])
+
+
+def _label(nodes: Column, of: Column) -> Column:
+    """An element's text, each piece trimmed, without gaps; empty for no element."""
+    return F.coalesce(F.array_join(F.transform(_texts(nodes, of), lambda t: strip(t["text"])), ""), F.lit(""))
+
+
+def main_text(nodes: Column, container: str, drop: Sequence[str]) -> Column:
+    """H1: the container's text pieces outside dropped blocks, one a line, up to the
+    signature line, at most one blank line in a row, trimmed; empty without a container."""
+    def body(main: Column) -> Column:
+        cut = F.flatten(F.array(*[found(nodes, s) for s in drop])) if drop else F.array().cast(_NODES)
+        pieces = let(cut, lambda ds: F.filter(_texts(nodes, main), lambda t: ~F.exists(ds, lambda d: inside(d, main) & inside(t, d))))
+        return article_body(F.array_join(F.transform(pieces, lambda t: t["text"]), "\n"))
+
+    return F.coalesce(let(_first(found(nodes, container)), body), F.lit(""))
+
+
 def extract_main(df: DataFrame, html: str = "html", key: str = "page_id",
                  container: str = "div#main-content",
                  drop: Sequence[str] = ("div.article-metaline", "div.article-metaline-right", "div.push"),
                  out: str = "text") -> DataFrame:
     """H1 over a pages table: (key, out)."""
-    drop = list(drop)
-
-    def run(it):
-        for pdf in it:
-            yield pd.DataFrame({key: pdf[key], out: [main_text(h, container, drop) for h in pdf[html]]})
-    key_type = df.schema[key].dataType.simpleString()
-    return df.select(key, html).mapInPandas(run, f"{key} {key_type}, {out} string")
+    return with_nodes(df, html, key).select(key, main_text(F.col("nodes"), container, list(drop)).alias(out))
 
 
 def extract_links(df: DataFrame, html: str = "html", key: str = "page_id", row: str = "div.r-ent",
                   link: str = "div.title a", date: str | None = "div.date",
                   base: str | None = None, base_col: str | None = None) -> DataFrame:
     """H2: one row per listing entry with a link: (key, pos, title, url, date)."""
-    cols = [key, html] + ([base_col] if base_col else [])
-    key_type = df.schema[key].dataType.simpleString()
+    pages = with_nodes(df.withColumn("__base", F.coalesce(F.col(base_col) if base_col else F.lit(base), F.lit(""))), html, key, "__base")
+    nodes = F.col("nodes")
+    dates = found(nodes, date) if date else F.array().cast(_NODES)
+
+    def entries(links: Column, dated: Column) -> Column:
+        return F.transform(found(nodes, row), lambda r: F.struct(
+            _first(F.filter(links, lambda a: inside(a, r))).alias("a"), _first(F.filter(dated, lambda d: inside(d, r))).alias("d")))
 
-    def run(it):
-        for pdf in it:
-            recs = []
-            bases = pdf[base_col] if base_col else [base or ""] * len(pdf)
-            for k, h, b in zip(pdf[key], pdf[html], bases):
-                recs += [(k, *r) for r in listing_rows(h, row, link, date, b or "")]
-            yield pd.DataFrame(recs, columns=[key, "pos", "title", "url", "date"])
-    return df.select(*cols).mapInPandas(
-        run, f"{key} {key_type}, pos int, title string, url string, date string")
+    listed = let(found(nodes, link), lambda links: let(dates, lambda dated: entries(links, dated)))
+    with_link = F.filter(listed, lambda e: F.try_element_at(e["a"]["attrs"], F.lit("href")).isNotNull())
+    rows = pages.select(key, "__base", "nodes", F.posexplode_outer(with_link).alias("pos", "e")).where("e IS NOT NULL")
+    return rows.select(key, "pos", _label(nodes, F.col("e.a")).alias("title"),
+                       F.concat("__base", F.try_element_at(F.col("e.a.attrs"), F.lit("href"))).alias("url"), _label(nodes, F.col("e.d")).alias("date"))
 
 
 def extract_chain_rows(df: DataFrame, html: str = "html", ic: str = "chain_ic") -> DataFrame:
-    """H4/H5 over chain pages (ic, html): one row per (segment, stock link)."""
-    from ..functions.market import chain_topic
-
-    def run(it):
-        for pdf in it:
-            recs = []
-            for k, h in zip(pdf[ic], pdf[html]):
-                recs += [(k, *r) for r in chain_page_rows(h)]
-            yield pd.DataFrame(recs, columns=[ic, "title", "segment_code", "segment_name",
-                                              "listing_bucket", "stock_code", "stock_name"])
-    rows = df.select(ic, html).mapInPandas(
-        run, f"{ic} string, title string, segment_code string, segment_name string, "
-             "listing_bucket string, stock_code string, stock_name string")
-    return rows.withColumn("chain_topic", chain_topic("title")).drop("title")
+    """H4/H5 over chain pages (ic, html): one row per stock link of each shown segment.
+
+    The bucket is the bold text of the first cell of the innermost table row around a link.
+    """
+    nodes = F.col("nodes")
+    pages = with_nodes(df, html, ic).select(ic, "nodes", _label(nodes, _first(found(nodes, "h3"))).alias("title"), let(
+        found(nodes, "noscript"), lambda off: F.filter(found(nodes, "div[id^=companyList_]"), lambda d: ~F.exists(off, lambda x: inside(d, x)))).alias("segments"),
+        found(nodes, "a[href*=company_basic.php?stk_code=]").alias("links"), found(nodes, "tr").alias("trs"))
+    segment = pages.select("*", F.explode_outer("segments").alias("s")).where("s IS NOT NULL")
+    links = segment.select("*", F.explode_outer(F.filter("links", lambda a: inside(a, F.col("s")))).alias("a")).where("a IS NOT NULL")
+    at = lambda n, k: F.coalesce(F.try_element_at(F.col(n)["attrs"], F.lit(k)), F.lit(""))
+    code = F.regexp_extract(at("a", "href"), r"stk_code=(\d+)", 1)
+    tr = F.try_element_at(F.filter("trs", lambda t: inside(F.col("a"), t)), F.lit(-1))
+    first_in = lambda selector, x: _first(F.filter(found(nodes, selector), lambda n: inside(n, x)))
+    bold = let(tr, lambda t: let(first_in("td", t), lambda td: first_in("b", td)))
+    name = F.coalesce(F.nullif(at("a", "title"), F.lit("")), _label(nodes, F.col("a")))
+    return links.where(code != "").select(
+        ic, segment_code(at("s", "id")).alias("segment_code"), strip(at("s", "title")).alias("segment_name"),
+        let(bold, lambda b: _label(nodes, b)).alias("listing_bucket"), code.alias("stock_code"), strip(name).alias("stock_name"),
+        chain_topic("title").alias("chain_topic"))
 
 
 def extract_matches(df: DataFrame, col: str, pattern: str, group: int = 1,
