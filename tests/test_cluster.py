@@ -87,11 +87,10 @@ def test_ward_topics_distributed(spark):
     rng = np.random.default_rng(3)
     x = np.concatenate([rng.normal(c, 0.05, size=(30, 5)) for c in (0.0, 1.0, 2.0, 3.0)])
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, v array<double>")
-    out, merges = C.ward_topics(spark, df, "id", "v", {"medium": 2, "fine": 4})
+    out, merges = C.ward_topics(spark, df, "id", "v", {"medium": 2, "fine": 4}, n_micro=40)
     pdf = out.toPandas().sort_values("id")
     assert partition(pdf["cluster_fine"]) == {frozenset(range(i * 30, i * 30 + 30)) for i in range(4)}
-    assert merges.count() == len(x) - 1
-    # With more rows than micro-clusters the KMeans path runs and still nests.
+    assert 4 <= merges.count() <= 39
     out2, _ = C.ward_topics(spark, df, "id", "v", {"medium": 2, "fine": 4}, n_micro=20)
     p2 = out2.toPandas()
     assert p2.groupby("cluster_fine")["cluster_medium"].nunique().max() == 1
@@ -121,9 +120,10 @@ def test_best_k_first_strict_maximum():
     x = np.concatenate([rng.normal(c, 0.1, size=(15, 2)) for c in range(4)])
     stats = stats_of(x)
     merges = C.ward_merges(stats)
-    k, scores = C.best_k(stats, merges, range(2, 8))
-    vals = [s for _, s in scores]
-    assert k == 2 + int(np.argmax(vals)) == 4
+    scores = C.k_scores(stats, merges, range(2, 8))
+    assert C.chosen_k(scores) == 2 + int(np.argmax(scores["ch"])) == 4
+    tied = pd.DataFrame({"k": [2, 3, 4], "ch": [float("nan"), 5.0, 5.0]})
+    assert C.chosen_k(tied) == 3
 
 
 def test_knn_graph_equals_brute_force(spark):

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import dedupe
 from tidemark.plans.catalog import QUERIES
-from tidemark.sources.tables import read_table, spread
+from tidemark.sources.tables import SPREAD_SETTING, read_table, spread
 
 from .conftest import SF_SMALL
 
@@ -15,14 +15,15 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_spread_only_when_few_files(spark, scratch):
+def test_spread_only_when_asked_for(spark):
     few = read_table(spark, SF_SMALL, "documents", "doc_id", "text")
-    assert "RoundRobinPartitioning" in plan(spread(few))
-    n = spark.sparkContext.defaultParallelism
-    few.repartition(n + 2).write.parquet(f"{scratch}/many")
-    many = spark.read.parquet(f"{scratch}/many")
-    assert len(many.inputFiles()) >= n
-    assert "RoundRobinPartitioning" not in plan(spread(many))
+    assert "RoundRobinPartitioning(6)" in plan(spread(few, 6))
+    assert "RoundRobinPartitioning" not in plan(spread(few))
+    spark.conf.set(SPREAD_SETTING, "5")
+    try:
+        assert "RoundRobinPartitioning(5)" in plan(spread(few))
+    finally:
+        spark.conf.unset(SPREAD_SETTING)
 
 
 def test_scans_are_pruned_and_filtered(spark):

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import random
 
 from pyspark.sql import functions as F
 
@@ -49,35 +48,19 @@ def test_label_template(spark):
     assert t == {"medium": {"1": "", "2": ""}, "fine": {"10": ""}}
 
 
-def _loop_repair(nodes: dict, parent: dict) -> dict:
-    """Three repair passes: a parent's value is raised to the sum of its children."""
-    val = dict(nodes)
-    for _ in range(3):
-        sums: dict = {}
-        for n, p in parent.items():
-            if p:
-                sums[p] = sums.get(p, 0) + val[n]
-        for n in val:
-            val[n] = max(val[n], sums.get(n, 0))
-    return val
-
-
-def test_roll_up_equals_repeated_passes(spark):
-    rnd = random.Random(3)
-    for trial in range(5):
-        recs, parent, count = [], {}, {}
-        recs.append(("All", "", "root", rnd.randrange(0, 50)))
-        inds = [f"i{j}" for j in range(rnd.randrange(1, 4))]
-        meds = [f"m{j}" for j in range(rnd.randrange(1, 6))]
-        fins = [f"f{j}" for j in range(rnd.randrange(1, 10))]
-        recs += [(i, "All", "industry", rnd.randrange(0, 30)) for i in inds]
-        recs += [(m, rnd.choice(inds), "medium", rnd.randrange(0, 30)) for m in meds]
-        recs += [(f, rnd.choice(meds), "fine", rnd.randrange(0, 30)) for f in fins]
-        for i, p, _, c in recs:
-            parent[i], count[i] = p, c
-        df = spark.createDataFrame(recs, "id string, parent string, level string, count int")
-        got = {r["id"]: r["value"] for r in R.roll_up(df).collect()}
-        assert got == _loop_repair(count, parent), trial
+#: (id, parent, level, count, value) of trees worked out by hand.
+TREES = [
+    [("All", "", "root", 5, 12), ("i0", "All", "industry", 3, 9), ("i1", "All", "industry", 3, 3),
+     ("m0", "i0", "medium", 4, 9), ("f0", "m0", "fine", 2, 2), ("f1", "m0", "fine", 7, 7)],
+    [("All", "", "root", 100, 100), ("i0", "All", "industry", 0, 0), ("m0", "i0", "medium", 0, 0), ("f0", "m0", "fine", 0, 0)],
+    [("All", "", "root", 0, 6), ("i0", "All", "industry", 1, 6), ("m0", "i0", "medium", 1, 5), ("m1", "i0", "medium", 1, 1), ("f0", "m0", "fine", 5, 5)],
+]
+
+
+def test_roll_up_of_trees_worked_by_hand(spark):
+    for tree in TREES:
+        df = spark.createDataFrame([t[:4] for t in tree], "id string, parent string, level string, count int")
+        assert {r["id"]: r["value"] for r in R.roll_up(df).collect()} == {t[0]: t[4] for t in tree}
 
 
 def test_tree_nodes(spark):

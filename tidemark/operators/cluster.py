@@ -34,7 +34,8 @@ from pyspark.sql import functions as F
 from ..functions.text import tokenize
 from .dedupe import top_n
 
-MAX_MICRO = 2000
+#: Micro-clusters that the Ward step starts from.
+N_MICRO = 200
 
 
 # ------------------------------------------------------------------ M3 / S9
@@ -144,23 +145,18 @@ def knn_graph(df: DataFrame, key: str, vec: str, k: int, block_rows: int = 4096,
 
 
 # ------------------------------------------------------------------ M6 / M7 / M10
-def micro_clusters(df: DataFrame, key: str, vec: str, n_micro: int = MAX_MICRO,
+def micro_clusters(df: DataFrame, key: str, vec: str, n_micro: int = N_MICRO,
                    seed: int = 42) -> tuple[DataFrame, pd.DataFrame]:
     """(key -> micro id assignment, micro statistics n / sum / sumsq as pandas, K rows).
 
-    With at most ``n_micro`` rows every row is its own micro-cluster (exact Ward).
+    Distributed KMeans at every size, so the work is the same program for any table; with
+    fewer distinct rows than ``n_micro`` each becomes its own micro-cluster.  Random
+    initialisation: the micro-clusters only over-segment the data for the Ward step, and
+    empty ones drop out of the statistics.
     """
     src = df.select(key, (array_to_vector(vec) if _is_array(df, vec) else F.col(vec)).alias("__v"))
-    if src.limit(n_micro + 1).count() <= n_micro:
-        assign = src.withColumn("micro", (F.row_number().over(Window.orderBy(key)) - 1).cast("int"))
-    else:
-        # Random initialisation: the micro-clusters only over-segment the data for the
-        # Ward step, and k-means|| spends most of its time on a driver-side seeding of
-        # n_micro centres that buys nothing here.  Empty clusters simply drop out of
-        # the statistics below.
-        km = KMeans(k=n_micro, seed=seed, featuresCol="__v", predictionCol="micro", maxIter=20,
-                    initMode="random").fit(src)
-        assign = km.transform(src).withColumn("micro", F.col("micro").cast("int"))
+    km = KMeans(k=n_micro, seed=seed, featuresCol="__v", predictionCol="micro", maxIter=20, initMode="random").fit(src)
+    assign = km.transform(src).withColumn("micro", F.col("micro").cast("int"))
     sq = F.aggregate(vector_to_array("__v"), F.lit(0.0), lambda a, x: a + x * x)
     stats = (assign.groupBy("micro").agg(F.count(F.lit(1)).alias("n"),
                                         vector_to_array(Summarizer.sum(F.col("__v"))).alias("s"),
@@ -256,7 +252,7 @@ def cut(merges: pd.DataFrame, n_leaves: int, k: int) -> np.ndarray:
 
 
 def ward_topics(spark: SparkSession, df: DataFrame, key: str, vec: str,
-                levels: dict[str, int], n_micro: int = MAX_MICRO, seed: int = 42
+                levels: dict[str, int], n_micro: int = N_MICRO, seed: int = 42
                 ) -> tuple[DataFrame, DataFrame]:
     """M6 + M7: (key, cluster_<level>...) and the merge table, from micro-cluster Ward."""
     assign, stats = micro_clusters(df, key, vec, n_micro, seed)
@@ -325,15 +321,15 @@ def ch_from_stats(stats: pd.DataFrame, labels: np.ndarray) -> float:
     return (B / (k - 1)) / (W / (N - k)) if W > 0 else float("nan")
 
 
-def best_k(stats: pd.DataFrame, merges: pd.DataFrame, ks: range) -> tuple[int, list[tuple[int, float]]]:
-    """M8: the k in ``ks`` with the first strict maximum of CH, plus all scores."""
-    K = len(stats)
-    scores = [(k, ch_from_stats(stats, cut(merges, K, k))) for k in ks]
-    best, best_score = ks.start, -1.0
-    for k, sc in scores:
-        if sc == sc and sc > best_score:
-            best, best_score = k, sc
-    return best, scores
+def k_scores(stats: pd.DataFrame, merges: pd.DataFrame, ks: range) -> pd.DataFrame:
+    """M8: (k, ch) for each k in ``ks``."""
+    return pd.DataFrame({"k": list(ks), "ch": [ch_from_stats(stats, cut(merges, len(stats), k)) for k in ks]})
+
+
+def chosen_k(scores: pd.DataFrame) -> int:
+    """M8: the smallest k of the greatest score (of all, where no score is defined)."""
+    ranked = scores.sort_values(["ch", "k"], ascending=[False, True], na_position="last")
+    return int(ranked["k"].iloc[0])
 
 
 # ------------------------------------------------------------------ M9
@@ -344,16 +340,18 @@ def centroids(df: DataFrame, vec: str, topic: str) -> DataFrame:
 
 
 def assign_topics(df: DataFrame, key: str, vec: str, cents: pd.DataFrame, topic: str = "topic",
-                  max_centroids: int = 100_000) -> DataFrame:
+                  max_bytes: int = 256 << 20, block_cells: int = 1 << 22) -> DataFrame:
     """M9: nearest centroid (squared Euclidean, rounded to 9 places; ties -> smallest topic).
 
     ``cents`` (topic, centroid) is collected by the caller from a topic-sized table and
-    shipped to the tasks with the function closure; its size is checked here.
+    shipped to the tasks with the function closure; its size in bytes is checked here.
+    Distances come from products of blocks of rows with all centroids.
     """
-    if len(cents) > max_centroids:
-        raise ValueError("too many centroids to ship to every task")
     tids = cents[topic].to_numpy()
     cmat = np.stack(cents["centroid"].to_numpy()).astype(np.float64)
+    if cmat.nbytes > max_bytes:
+        raise ValueError("the centroids are too large to ship to every task")
+    c2, step = (cmat ** 2).sum(axis=1), max(1, block_cells // len(cmat))
     key_type = df.schema[key].dataType.simpleString()
     t_type = "int" if np.issubdtype(tids.dtype, np.integer) else "string"
 
@@ -362,7 +360,10 @@ def assign_topics(df: DataFrame, key: str, vec: str, cents: pd.DataFrame, topic:
             if pdf.empty:
                 continue
             x = np.stack(pdf[vec].to_numpy()).astype(np.float64)
-            d = np.round(((x[:, None, :] - cmat[None, :, :]) ** 2).sum(axis=2), 9)
-            order = np.lexsort((np.broadcast_to(tids, d.shape), d), axis=-1)[:, 0]
-            yield pd.DataFrame({key: pdf[key].to_numpy(), topic: tids[order]})
+            near = []
+            for a in range(0, len(x), step):
+                part = x[a:a + step]
+                d = np.round((part ** 2).sum(axis=1)[:, None] + c2 - 2 * part @ cmat.T, 9)
+                near.append(np.lexsort((np.broadcast_to(tids, d.shape), d), axis=-1)[:, 0])
+            yield pd.DataFrame({key: pdf[key].to_numpy(), topic: tids[np.concatenate(near)]})
     return df.select(key, vec).mapInPandas(run, f"{key} {key_type}, {topic} {t_type}")

@@ -62,7 +62,7 @@ def claim(df: DataFrame, url: str, order: Sequence) -> DataFrame:
 
 def pending(requested: DataFrame, done: DataFrame, key: str) -> DataFrame:
     """Requested work not yet done."""
-    return requested.join(done.select(key).distinct(), key, "left_anti")
+    return requested.join(done.select(key), key, "left_anti")
 
 
 def done_requested(requested: DataFrame, done: DataFrame, key: str) -> DataFrame:

@@ -1,8 +1,8 @@
 """Dimension lookups: code -> name maps, article -> industry, chain -> category.
 
 Small fixed maps are map literals (a pure expression, no join at all).  Data-driven
-dimensions are joined; they are broadcast only after a bounded row-count probe proves
-the size, otherwise the join stays a shuffle join (and AQE may still demote it).
+dimensions are joined without a hint: Spark broadcasts a side by its size in bytes, before
+the run or from the shuffle's real sizes, and splits skewed partitions otherwise.
 """
 
 from __future__ import annotations
@@ -16,18 +16,6 @@ from ..functions.fixed import DEFAULT_INDUSTRY, INDUSTRY_CODE_MAP
 from ..functions.text import strip
 from .dedupe import last_wins
 
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Hint a broadcast only when ``df`` provably holds at most ``max_rows`` rows.
-
-    The probe is ``limit(max_rows + 1).count()``: it stops reading once the bound is
-    exceeded, so its cost does not grow with a large side.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
 
 def map_literal(mapping: dict[str, str]) -> Column:
     items: list[Column] = []
@@ -44,11 +32,11 @@ def resolve_code(code, mapping: dict[str, str] | None = None) -> Column:
 
 
 def resolve_code_join(df: DataFrame, code: str, dim: DataFrame, dim_code: str,
-                      dim_name: str, out: str, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                      dim_name: str, out: str) -> DataFrame:
     """P6 against a data-driven code table (one name per code, first by name)."""
     d = (dim.select(strip(F.col(dim_code)).alias("__code"), F.col(dim_name).alias("__name"))
          .groupBy("__code").agg(F.min("__name").alias("__name")))
-    j = df.withColumn("__code", strip(F.col(code))).join(bounded_broadcast(d, max_rows), "__code", "left")
+    j = df.withColumn("__code", strip(F.col(code))).join(d, "__code", "left")
     return j.withColumn(out, F.coalesce(F.col("__name"), F.col("__code"))).drop("__code", "__name")
 
 
@@ -71,11 +59,9 @@ def stock_dimension(stocks: DataFrame, order: str | None = None,
 
 
 def with_industry(articles: DataFrame, stocks: DataFrame, stock_col: str = "stock_id",
-                  default: str = DEFAULT_INDUSTRY, order: str | None = None,
-                  max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                  default: str = DEFAULT_INDUSTRY, order: str | None = None) -> DataFrame:
     """Article left-join stock on code; a missing industry becomes ``default``."""
     dim = stock_dimension(stocks, order)
-    dim = bounded_broadcast(dim, max_rows)
     j = articles.join(dim, articles[stock_col] == dim["stock_code"], "left")
     return j.withColumn("industry_name", F.coalesce(F.col("industry_name"), F.lit(default))) \
             .drop("stock_code")
@@ -92,9 +78,9 @@ def keyword_list(code, name, alias) -> Column:
 
 
 def with_category(df: DataFrame, index: DataFrame, key: str = "chain_ic",
-                  category: str = "major_industry", max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                  category: str = "major_industry") -> DataFrame:
     """Chain id -> category; a chain missing from the index gets ""."""
-    j = df.join(bounded_broadcast(index.select(key, category), max_rows), key, "left")
+    j = df.join(index.select(key, category), key, "left")
     return j.withColumn(category, F.coalesce(F.col(category), F.lit("")))
 
 
@@ -106,5 +92,5 @@ def chain_order(df: DataFrame, key: str = "chain_ic") -> DataFrame:
     """
     from pyspark.sql import Window
     ids = df.select(key).distinct()
-    w = Window.orderBy(F.length(key), F.col(key))
+    w = Window.orderBy(F.length(key).asc_nulls_last(), F.col(key).asc_nulls_last())
     return ids.withColumn("chain_order", F.row_number().over(w))

@@ -17,7 +17,7 @@ from ..functions.text import clean_text, has_text, strip
 from ..operators import rollup
 from ..sources.tables import read_table, spread
 from . import sqlparts as S
-from .standins import LANGS, articles, both_levels, kept_docs, topic_docs
+from .standins import articles, both_levels, kept_docs, topic_docs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -36,12 +36,12 @@ def register(key: str, sql: str | None = None):
 @register("topic_industry_matrix", f"""
 WITH {S.topic_docs_ctes()}, {S.both_levels_cte()}
 SELECT level, topic,
-       {", ".join(f"count(*) FILTER (WHERE lang = '{x}') AS {x}" for x in LANGS)},
-       count(*) FILTER (WHERE lang IN ({", ".join(S.q(x) for x in LANGS)})) AS total
-FROM tl GROUP BY level, topic""")
+       * EXCLUDE (level, topic, total), total
+FROM (PIVOT tl ON lang USING count(*) GROUP BY level, topic)
+JOIN (SELECT level, topic, count(lang) AS total FROM tl GROUP BY level, topic) USING (level, topic)""")
 def topic_industry_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents per (level, topic) x language, with a total."""
-    return rollup.topic_matrix(both_levels(topic_docs(spark, sf_dir)), ["level", "topic"], "lang", LANGS)
+    return rollup.topic_matrix(both_levels(topic_docs(spark, sf_dir)), ["level", "topic"], "lang")
 
 
 # ---------------------------------------------------------------- cleaning
@@ -260,14 +260,19 @@ def _roc_of(ts: str) -> F.Column:
 _ROC_SQL = "lpad(CAST(year(ts) - 1911 AS VARCHAR), 3, '0') || strftime(ts, '%m%d')"
 
 
-def _events_feed(spark: SparkSession, sf_dir: str, event_type: str, vocab: dict,
+#: Event types with a feed of their own; all others are the third feed.
+_OWN_FEED = ("click", "view")
+
+
+def _events_feed(spark: SparkSession, sf_dir: str, event_type: str | None, vocab: dict,
                  signed_change: bool) -> DataFrame:
-    """Landed quote records from one event type (a data-driven split into feeds)."""
+    """Landed quote records of one event type, or of all without a feed of their own."""
     e = read_table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value")
     two = lambda x: F.call_function("format_number", x, F.lit("0.00"))
     chg = F.col("value") / 10 - 1
     chg_t = F.concat(F.when(chg > 0, F.lit("+")).otherwise(F.lit("")), two(chg)) if signed_change else two(chg)
-    return e.where(F.col("event_type") == event_type).select(
+    own = ~F.coalesce(F.col("event_type").isin(*_OWN_FEED), F.lit(False)) if event_type is None else F.col("event_type") == event_type
+    return e.where(own).select(
         F.col("user_id").cast("string").alias(vocab["code"]),
         two(F.col("value")).alias(vocab["close"]),
         chg_t.alias(vocab["change"]),
@@ -276,18 +281,19 @@ def _events_feed(spark: SparkSession, sf_dir: str, event_type: str, vocab: dict,
         F.col("event_id").alias("ordinal"))
 
 
-def _sql_feed(event_type: str, prio: int, signed: bool) -> str:
+def _sql_feed(event_type: str | None, prio: int, signed: bool) -> str:
     chg = "printf('%.2f', value / 10 - 1)"
     if signed:
         chg = f"(CASE WHEN value / 10 - 1 > 0 THEN '+' ELSE '' END) || {chg}"
     return (f"SELECT CAST(user_id AS VARCHAR) AS code, printf('%.2f', value) AS close_t, {chg} AS change_t, "
             f"CAST(event_id * 100 AS VARCHAR) AS vol_t, {_ROC_SQL} AS date_t, {prio} AS prio, event_id AS ord "
-            f"FROM events WHERE event_type = '{event_type}'")
+            + (f"FROM events WHERE event_type = '{event_type}'" if event_type else
+               f"FROM events WHERE event_type IS NULL OR event_type NOT IN {_OWN_FEED}"))
 
 
 @register("quote_merge", f"""
 WITH raw AS ({_sql_feed('click', 0, False)} UNION ALL {_sql_feed('view', 1, True)}
-             UNION ALL {_sql_feed('purchase', 2, True)}),
+             UNION ALL {_sql_feed(None, 2, True)}),
 q AS (SELECT {S.strip_sql("code")} AS stock_code,
              {_sql_quote_cols("close_t", "change_t", "vol_t", "date_t")}, prio, ord
       FROM raw WHERE {S.strip_sql("code")} <> ''),
@@ -304,7 +310,7 @@ def quote_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
         market.clean_quotes(_events_feed(spark, sf_dir, "click", QUOTE_VOCAB_EXCHANGE, False),
                             QUOTE_VOCAB_EXCHANGE),
         market.clean_quotes(_events_feed(spark, sf_dir, "view", QUOTE_VOCAB_OTC, True), QUOTE_VOCAB_OTC),
-        market.clean_quotes(_events_feed(spark, sf_dir, "purchase", QUOTE_VOCAB_OTC, True), QUOTE_VOCAB_OTC),
+        market.clean_quotes(_events_feed(spark, sf_dir, None, QUOTE_VOCAB_OTC, True), QUOTE_VOCAB_OTC),
     ]
     missing = read_source(spark, f"{sf_dir.rstrip('/')}/landing/quotes_optional", SCHEMAS["quote_otc"],
                           "json", required=False)
@@ -437,7 +443,8 @@ def chain_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
                   F.col("p_type").alias("major_industry"), "p_partkey"),
         ["chain_ic"], ["p_partkey"]).drop("p_partkey")
     rows = dims.with_category(rows, index, "chain_ic", "major_industry")
-    return rows.join(dims.chain_order(rows, "chain_ic"), "chain_ic").select(
+    order = dims.chain_order(rows, "chain_ic").withColumnRenamed("chain_ic", "__ic")
+    return rows.join(order, F.col("chain_ic").eqNullSafe(F.col("__ic"))).select(
         "major_industry", "chain_ic", "chain_order", "chain_topic", "segment_code", "segment_name",
         "listing_bucket", "stock_code", "stock_name")
 
@@ -749,7 +756,9 @@ def link_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ================================================================ clustering
-from ..functions.fixed import (AUTO_RANGES, LAST_MERGES, LEVELS, N_NEIGHBORS,  # noqa: E402
+import pandas as pd  # noqa: E402
+
+from ..functions.fixed import (AUTO_RANGES, FINE_MIN_GAP, LAST_MERGES, LEVELS, N_NEIGHBORS,  # noqa: E402
                                REDUCED_DIMS)
 from ..operators import cluster  # noqa: E402
 from ..session import scratch_path  # noqa: E402
@@ -815,12 +824,13 @@ def best_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     assign, stats = cluster.micro_clusters(_ward(spark, sf_dir), "vec_id", "r15")
     merges = cluster.ward_merges(stats)
     lo, hi = AUTO_RANGES["medium"]
-    kmed, med = cluster.best_k(stats, merges, range(lo, hi))
+    med = cluster.k_scores(stats, merges, range(lo, hi))
+    kmed = cluster.chosen_k(med)
     flo, fhi = AUTO_RANGES["fine"]
-    kfin, fin = cluster.best_k(stats, merges, range(max(flo, kmed + 3), fhi))
-    rows = [("medium", k, float(s), k == kmed) for k, s in med] + \
-           [("fine", k, float(s), k == kfin) for k, s in fin]
-    return spark.createDataFrame(rows, "level string, k int, ch double, chosen boolean")
+    fin = cluster.k_scores(stats, merges, range(max(flo, kmed + FINE_MIN_GAP), fhi))
+    kfin = cluster.chosen_k(fin)
+    both = pd.concat([med.assign(level="medium", chosen=med["k"] == kmed), fin.assign(level="fine", chosen=fin["k"] == kfin)])
+    return spark.createDataFrame(both[["level", "k", "ch", "chosen"]], "level string, k int, ch double, chosen boolean")
 
 
 @register("ch_score", """

@@ -53,7 +53,8 @@ def _rows(cols, rows):
 
 
 def compare(spark, key: str, sf_dir: str, con=None) -> dict:
-    from .catalog import ORACLE, QUERIES
+    import __spark_entry__
+    ORACLE, QUERIES = __spark_entry__.oracle_sql(), __spark_entry__.queries()
     df = QUERIES[key](spark, sf_dir)
     s_cols = df.columns
     s_rows = [tuple(r) for r in df.collect()]

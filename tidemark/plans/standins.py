@@ -14,8 +14,6 @@ from pyspark.sql import functions as F
 from ..functions.text import clean_text, has_text, strip
 from ..sources.tables import read_table, spread
 
-LANGS = ["de", "en", "es", "fr"]
-
 
 def kept_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows a CSV reader keeps (raw text)."""

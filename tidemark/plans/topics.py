@@ -26,7 +26,7 @@ ENCODER_ID = "clean-v1/hashed-1024"
 
 
 def cluster_phase(spark: SparkSession, articles: DataFrame, stocks: DataFrame, run_root: str,
-                  levels: dict[str, int] = LEVELS, n_micro: int = cluster.MAX_MICRO,
+                  levels: dict[str, int] = LEVELS, n_micro: int = cluster.N_MICRO,
                   dims: int = REDUCED_DIMS, cache_path: str | None = None) -> DataFrame:
     """Phase 1 up to the stage table: (doc_id, stock_id, industry_name, text, x, y,
     cluster_<level>...).  ``articles`` has doc_id, stock_id, text; ``stocks`` a code

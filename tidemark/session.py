@@ -53,7 +53,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if root:
         return root.rstrip("/")
-    if not sc.master.startswith("local"):
+    if sc.master != "local" and not sc.master.startswith("local["):
         raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder")
     root = tempfile.mkdtemp(prefix="tidemark-ckpt-")
     sc.setCheckpointDir(root)

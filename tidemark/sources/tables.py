@@ -23,20 +23,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataF
     return df.select(*cols) if cols else df
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a scan over the cores before heavy per-row work (regex, HTML, hashing).
-
-    A Parquet file is split by row groups, so a table stored in fewer files than there
-    are cores, and too small to be cut into that many byte ranges, may be read by one
-    or two tasks.  Only then are rows round-robined over ``min_partitions`` (default:
-    the session's parallelism).  A large table has many files or many splits and is
-    left as scanned, so this adds no shuffle at scale.
+#: Session setting: partitions that a scan is dealt over before heavy per-row work.
+SPREAD_SETTING = "spark.tidemark.spreadPartitions"
+
+
+def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Deal the rows of ``df`` over ``partitions`` before heavy per-row work (regex, HTML, hashing).
+
+    For tables in a few small files, whose scan would run in one or two tasks; asked for
+    by argument or by the session's ``spark.tidemark.spreadPartitions``.  Otherwise the
+    scan's own splits (``spark.sql.files.maxPartitionBytes``) stay, without a shuffle and
+    without looking at the input.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    try:
-        n_files = len(df.inputFiles())
-    except Exception:  # not a file scan
-        return df
-    if n_files >= target or df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target)
+    n = partitions or int(df.sparkSession.conf.get(SPREAD_SETTING, None) or 0)
+    return df.repartition(n) if n else df
