@@ -52,18 +52,19 @@ def _rows(cols, rows):
     return sorted(out, key=repr)
 
 
-def compare(spark, key: str, sf_dir: str, con=None) -> dict:
-    import __spark_entry__
-    ORACLE, QUERIES = __spark_entry__.oracle_sql(), __spark_entry__.queries()
-    df = QUERIES[key](spark, sf_dir)
+def compare(spark, key: str, sf_dir: str, con=None, queries=None, oracle=None) -> dict:
+    """Default: the library's own catalog; ``queries`` and ``oracle`` name others."""
+    from .catalog import ORACLE, QUERIES
+    queries, oracle = QUERIES if queries is None else queries, ORACLE if oracle is None else oracle
+    df = queries[key](spark, sf_dir)
     s_cols = df.columns
     s_rows = [tuple(r) for r in df.collect()]
     res = {"key": key, "spark_rows": len(s_rows)}
-    if key not in ORACLE:
+    if key not in oracle:
         res["status"] = "rows-only"
         return res
     con = con or duck(sf_dir)
-    cur = con.execute(ORACLE[key])
+    cur = con.execute(oracle[key])
     d_cols = [c[0] for c in cur.description]
     d_rows = cur.fetchall()
     res["oracle_rows"] = len(d_rows)
