@@ -69,7 +69,20 @@ def test_read_source_optional_and_required(spark, scratch):
               json.dumps([{"SecuritiesCompanyCode": "6488", "Close": "1,234.5", "Change": "--",
                            "TradingShares": "1000", "Date": "1150410"}]))
     recs = R.read_json_records(spark, p, schema).collect()
-    assert recs[0]["Close"] == "1,234.5" and recs[0]["ordinal"] == 0
+    assert recs[0]["Close"] == "1,234.5" and recs[0]["ordinal"].endswith("q.json#000000000000")
+
+
+def test_json_records_keep_file_and_array_order(spark, scratch):
+    schema = R.SCHEMAS["quote_otc"]
+    record = lambda code: {"SecuritiesCompanyCode": code}
+    os.mkdir(os.path.join(scratch, "feed"))
+    write(os.path.join(scratch, "feed", "b.json"), json.dumps([record(f"b{i}") for i in range(50)], indent=1))
+    write(os.path.join(scratch, "feed", "a.json"), json.dumps([record("a0")]))
+    recs = R.read_json_records(spark, os.path.join(scratch, "feed"), schema).orderBy("ordinal").collect()
+    assert [r["SecuritiesCompanyCode"] for r in recs] == ["a0", *[f"b{i}" for i in range(50)]]
+    write(os.path.join(scratch, "feed", "c.json"), "[{]")
+    with pytest.raises(Exception, match="MALFORMED|malformed|PARSE"):
+        R.read_json_records(spark, os.path.join(scratch, "feed"), schema).collect()
 
 
 def test_stage_result_json_and_overwrite(spark, scratch):

@@ -48,18 +48,16 @@ def choose_id_column(df: DataFrame, candidates: Iterable[str] = ("stock_code", "
     raise ValueError(f"none of {list(candidates)} in columns {df.columns}")
 
 
-def stock_dimension(stocks: DataFrame, order: str | None = None,
-                    industry: str = "industry_name") -> DataFrame:
-    """(stock_code, industry_name) with one row per code: the last row wins."""
+def stock_dimension(stocks: DataFrame, order: str, industry: str = "industry_name") -> DataFrame:
+    """(stock_code, industry_name) with one row per code: the last row by ``order`` wins."""
     idc = choose_id_column(stocks)
     s = stocks.select(strip(F.col(idc)).alias("stock_code"), F.col(industry).alias("industry_name"),
-                      *([F.col(order).alias("__ord")] if order else
-                        [F.monotonically_increasing_id().alias("__ord")]))
+                      F.col(order).alias("__ord"))
     return last_wins(s, ["stock_code"], ["__ord"]).drop("__ord")
 
 
 def with_industry(articles: DataFrame, stocks: DataFrame, stock_col: str = "stock_id",
-                  default: str = DEFAULT_INDUSTRY, order: str | None = None) -> DataFrame:
+                  default: str = DEFAULT_INDUSTRY, *, order: str) -> DataFrame:
     """Article left-join stock on code; a missing industry becomes ``default``."""
     dim = stock_dimension(stocks, order)
     j = articles.join(dim, articles[stock_col] == dim["stock_code"], "left")

@@ -25,7 +25,7 @@ def _field(df: DataFrame, name: str | None) -> Column:
 
 
 def company_list(df: DataFrame, vocab: dict, market: str, source_url: str, synced_at: str,
-                 ordinal: str | None = "ordinal", code_map: dict | None = None) -> DataFrame:
+                 ordinal: str = "ordinal", code_map: dict | None = None) -> DataFrame:
     """Landed company records -> stock-list rows.
 
     name = short name unless it is null or "", else full name (checked before trimming,
@@ -43,8 +43,7 @@ def company_list(df: DataFrame, vocab: dict, market: str, source_url: str, synce
         F.lit(source_url).alias("source_url"),
         strip(F.coalesce(_field(df, vocab["as_of"]), F.lit(""))).alias("source_as_of"),
         F.lit(synced_at).alias("synced_at"),
-        (F.col(ordinal) if ordinal and ordinal in df.columns
-         else F.monotonically_increasing_id()).alias("ordinal"))
+        F.col(ordinal).alias("ordinal"))
     return out.where((F.col("stock_code") != "") & (F.col("stock_name") != ""))
 
 
@@ -54,7 +53,7 @@ def first_seen(dfs: Sequence[DataFrame], key: str = "stock_code") -> DataFrame:
     return first_wins(u, [key], ["priority", "ordinal"]).drop("ordinal")
 
 
-def clean_quotes(df: DataFrame, vocab: dict, ordinal: str | None = "ordinal") -> DataFrame:
+def clean_quotes(df: DataFrame, vocab: dict, ordinal: str = "ordinal") -> DataFrame:
     """Landed quote records -> (code, close, change text, change %, volume, date).
 
     The numbers are parsed in one projection and the texts derived in the next, so each
@@ -67,8 +66,7 @@ def clean_quotes(df: DataFrame, vocab: dict, ordinal: str | None = "ordinal") ->
         to_number(F.coalesce(_field(df, vocab["change"]), F.lit(""))).alias("__chg"),
         to_number(F.coalesce(_field(df, vocab["volume"]), F.lit(""))).alias("__vol"),
         roc_to_iso(F.coalesce(_field(df, vocab["date"]), F.lit(""))).alias("quote_date"),
-        (F.col(ordinal) if ordinal and ordinal in df.columns
-         else F.monotonically_increasing_id()).alias("ordinal"))
+        F.col(ordinal).alias("ordinal"))
     chg, pct = quote_texts(F.col("close_price"), F.col("__chg"))
     out = parsed.select("stock_code", "close_price", chg.alias("change_val"), pct.alias("change_pct"),
                         to_volume(F.col("__vol")).alias("volume"), "quote_date", "ordinal")

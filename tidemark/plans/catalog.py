@@ -278,7 +278,7 @@ def _events_feed(spark: SparkSession, sf_dir: str, event_type: str | None, vocab
         chg_t.alias(vocab["change"]),
         (F.col("event_id") * 100).cast("string").alias(vocab["volume"]),
         _roc_of("ts").alias(vocab["date"]),
-        F.col("event_id").alias("ordinal"))
+        F.lpad(F.col("event_id").cast("string"), 20, "0").alias("ordinal"))
 
 
 def _sql_feed(event_type: str | None, prio: int, signed: bool) -> str:
@@ -305,15 +305,14 @@ def quote_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     A fourth, optional feed whose landing folder is absent contributes no rows.
     """
-    from ..sources.readers import SCHEMAS, read_source
+    from ..sources.readers import SCHEMAS, read_json_records
     feeds = [
         market.clean_quotes(_events_feed(spark, sf_dir, "click", QUOTE_VOCAB_EXCHANGE, False),
                             QUOTE_VOCAB_EXCHANGE),
         market.clean_quotes(_events_feed(spark, sf_dir, "view", QUOTE_VOCAB_OTC, True), QUOTE_VOCAB_OTC),
         market.clean_quotes(_events_feed(spark, sf_dir, None, QUOTE_VOCAB_OTC, True), QUOTE_VOCAB_OTC),
     ]
-    missing = read_source(spark, f"{sf_dir.rstrip('/')}/landing/quotes_optional", SCHEMAS["quote_otc"],
-                          "json", required=False)
+    missing = read_json_records(spark, f"{sf_dir.rstrip('/')}/landing/quotes_optional", SCHEMAS["quote_otc"], required=False)
     feeds.append(market.clean_quotes(missing, QUOTE_VOCAB_OTC))
     return market.first_seen(feeds)
 

@@ -27,11 +27,12 @@ ENCODER_ID = "clean-v1/hashed-1024"
 
 def cluster_phase(spark: SparkSession, articles: DataFrame, stocks: DataFrame, run_root: str,
                   levels: dict[str, int] = LEVELS, n_micro: int = cluster.N_MICRO,
-                  dims: int = REDUCED_DIMS, cache_path: str | None = None) -> DataFrame:
+                  dims: int = REDUCED_DIMS, cache_path: str | None = None,
+                  stock_order: str = "industry_name") -> DataFrame:
     """Phase 1 up to the stage table: (doc_id, stock_id, industry_name, text, x, y,
     cluster_<level>...).  ``articles`` has doc_id, stock_id, text; ``stocks`` a code
-    column and industry_name."""
-    arts = with_industry(articles.where(has_text("text")), stocks, "stock_id", DEFAULT_INDUSTRY)
+    column and industry_name; of several rows of a code the last by ``stock_order`` counts."""
+    arts = with_industry(articles.where(has_text("text")), stocks, "stock_id", DEFAULT_INDUSTRY, order=stock_order)
     cache = cache_path or scratch_path(spark, "embedding-cache")
     emb = cluster.embed_cached(spark, arts.select("doc_id", "text"), cache, ENCODER_ID,
                                prepare=lambda c: clean_text(strip(c)))

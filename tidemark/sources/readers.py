@@ -49,20 +49,22 @@ def read_source(spark: SparkSession, path: str, schema, fmt: str = "json",
         df.schema  # path resolution happens here
         return df
     except AnalysisException as e:
-        if required:
+        if required or e.getCondition() != "PATH_NOT_FOUND":
             raise
-        print(f"warning: optional source {path} unavailable: {e.getErrorClass() or e}", file=sys.stderr)
+        print(f"warning: optional source {path} is missing", file=sys.stderr)
         return spark.createDataFrame([], schema)
 
 
-def with_ordinal(df: DataFrame, col: str = "ordinal") -> DataFrame:
-    """Record order within a landed feed (file order, then position in the file)."""
-    return df.withColumn(col, F.monotonically_increasing_id())
-
-
 def read_json_records(spark: SparkSession, path: str, schema, required: bool = True) -> DataFrame:
-    """Landed JSON arrays of records (one array per file), in record order."""
-    return with_ordinal(read_source(spark, path, schema, "json", required, multiLine=True))
+    """Landed JSON arrays of records (one array per file), in record order.
+
+    ``ordinal`` is the file's path and the record's place in its array, so it does not
+    depend on how files are dealt to tasks.  A file that is no such array fails the job.
+    """
+    files = read_source(spark, path, "value string", "text", required, wholetext=True)
+    records = F.from_json("value", T.ArrayType(schema), {"mode": "FAILFAST"})
+    rows = files.select("value", F.input_file_name().alias("__file")).select("__file", F.posexplode(records).alias("__pos", "__r"))
+    return rows.select("__r.*", F.concat_ws("#", "__file", F.lpad(F.col("__pos").cast("string"), 12, "0")).alias("ordinal"))
 
 
 def read_articles(spark: SparkSession, path: str) -> DataFrame:
