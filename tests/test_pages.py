@@ -80,3 +80,15 @@ def test_spark_extractors(spark):
     assert {r["chain_topic"] for r in got} == {"半導體"} and len(got) == 3
     m = P.extract_matches(pages, "html", r'href="([^"]+)"').collect()
     assert [(r["pos"], r["match"]) for r in m] == [(0, "/bbs/x/M.1.html"), (1, "/bbs/x/M.3.html")]
+
+
+INDEX = """<div class="item"><a class="link"><span class="txt"> 電子 </span></a>
+<div class="item"><a class="link"><span class="txt">半導體</span></a><a href="introduce.php?ic=D000">IC</a></div>
+<a href="introduce.php?ic=E100&x=1">next</a><span class="itemLink" onclick="go('introduce.php?ic=D000')">IC</span></div>
+<a href="introduce.php?ic=F200">alone</a><a href="introduce.php?ic=">none</a><span class="itemLink">no link</span>"""
+
+
+def test_chain_index_takes_the_innermost_item_and_lists_links_first(spark):
+    df = spark.createDataFrame([(1, INDEX), (2, None)], "page_id long, html string")
+    rows = [tuple(r) for r in P.extract_chain_index(df).orderBy("page_id", "pos").collect()]
+    assert rows == [(1, 0, "D000", "半導體"), (1, 1, "E100", "電子"), (1, 2, "F200", ""), (1, 3, "D000", "電子")]

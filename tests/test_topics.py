@@ -47,10 +47,11 @@ def test_cluster_and_label_phases(spark):
     assert '"fine"' in template.first()["template"]
 
     labels = spark.createDataFrame([("fine", 1, "first"), ("medium", 1, "top")], "level string, cluster int, label string")
-    out = T.label_phase(docs, labels, {"medium": 2, "fine": 3})
-    res = out["result"].toPandas()
+    levels = {"medium": 2, "fine": 3}
+    out = T.with_labels(docs, labels, levels)
+    res = T.result(out, levels).toPandas()
     assert len(res) == 90 and res["label_fine"].notna().sum() == (res["cluster_fine"] == 1).sum()
-    m = out["matrix_fine"].collect()
+    m = T.matrices(out, levels)["fine"].collect()
     assert len(m) == 1 and m[0]["total"] == (res["cluster_fine"] == 1).sum()
-    tree = {r["id"]: r for r in T.label_phase(docs, None, {"medium": 2, "fine": 3})["tree"].collect()}
+    tree = {r["id"]: r for r in T.tree(T.with_labels(docs, None, levels), levels).collect()}
     assert tree["All"]["count"] == 90

@@ -99,7 +99,10 @@ def update_matched(base: DataFrame, updates: DataFrame, key: str,
     return j.select(*sel, matched.alias(flag))
 
 
-def load_metrics(updated: DataFrame, flag: str = "quote_matched") -> DataFrame:
-    """Rows in the table and rows updated, in one aggregation."""
-    return updated.agg(F.count(F.lit(1)).alias("rows"),
-                       F.count(F.when(F.col(flag), 1)).alias("rows_updated"))
+def load_metrics(updated: DataFrame, fetched: DataFrame, chains: DataFrame, chain: str = "chain_ic",
+                 flag: str = "quote_matched") -> DataFrame:
+    """(metric, value): quotes fetched, rows of the table, rows updated, chains seen."""
+    table = updated.agg(F.count(F.lit(1)).alias("rows"), F.count(F.when(F.col(flag), 1)).alias("rows_updated"))
+    out = table.unpivot([], ["rows", "rows_updated"], "metric", "value")
+    out = out.unionByName(fetched.agg(F.lit("rows_fetched").alias("metric"), F.count(F.lit(1)).alias("value")))
+    return out.unionByName(chains.agg(F.lit("chains_seen").alias("metric"), F.count_distinct(chain).alias("value")))

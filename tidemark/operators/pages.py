@@ -216,6 +216,32 @@ def extract_chain_rows(df: DataFrame, html: str = "html", ic: str = "chain_ic")
         chain_topic("title").alias("chain_topic"))
 
 
+_CHAIN_ID = r"introduce\.php\?ic=([A-Z0-9]+)"
+
+
+def extract_chain_index(df: DataFrame, html: str = "html", key: str = "page_id") -> DataFrame:
+    """H3 over index pages: (key, pos, chain_ic, major_industry), one row per mention of a chain.
+
+    Mentions in links come before those in ``onclick`` texts; the category is the caption
+    of the innermost item around the mention, empty without one.
+    """
+    nodes = F.col("nodes")
+
+    def mention(n: Column, attr: str) -> Column:
+        return F.struct(n.alias("n"), F.regexp_extract(F.coalesce(F.try_element_at(n["attrs"], F.lit(attr)), F.lit("")), _CHAIN_ID, 1).alias("ic"))
+
+    mentions = F.concat(F.transform(found(nodes, "a[href*=introduce.php?ic=]"), lambda n: mention(n, "href")),
+                        F.transform(found(nodes, "span.itemLink"), lambda n: mention(n, "onclick")))
+    # Captions by place, so that a mention needs its item only.
+    pages = with_nodes(df, html, key).select(
+        key, "nodes", found(nodes, "div.item").alias("items"), found(nodes, "a.link").alias("links"), found(nodes, "span.txt").alias("captions"),
+        F.posexplode_outer(F.filter(mentions, lambda m: m["ic"] != "")).alias("pos", "m")).where("m IS NOT NULL")
+    item = F.try_element_at(F.filter("items", lambda i: inside(F.col("m.n"), i)), F.lit(-1))
+    caption = let(item, lambda i: let(_first(F.filter("links", lambda a: inside(a, i))),
+                                      lambda a: _first(F.filter("captions", lambda c: inside(c, a)))))
+    return pages.select(key, "pos", F.col("m.ic").alias("chain_ic"), let(caption, lambda c: _label(nodes, c)).alias("major_industry"))
+
+
 def extract_matches(df: DataFrame, col: str, pattern: str, group: int = 1,
                     keep: Sequence[str] = ("page_id",)) -> DataFrame:
     """H3: every regex match in ``col`` with its position (SQL only, no Python).

@@ -817,6 +817,37 @@ def merge_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cluster.last_merges(merges, LAST_MERGES)
 
 
+@register("ward_levels", """
+SELECT level, count(vec_id) AS documents, CAST(0 AS BIGINT) AS split_topics
+FROM embeddings, (SELECT unnest(['medium', 'fine']) AS level) GROUP BY level""")
+def ward_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M6, M7: per level the documents with a topic, and the topics of the level that are
+    split over several topics of the level above (none, as the cuts nest)."""
+    topics = ward_topics(spark, sf_dir)
+    n = topics.groupBy("cluster_medium", "cluster_fine").agg(F.count("vec_id").alias("n"))
+    n = n.select("n", F.explode(F.array(
+        F.struct(F.lit("medium").alias("level"), F.col("cluster_medium").alias("topic"), F.lit(0).alias("above")),
+        F.struct(F.lit("fine").alias("level"), F.col("cluster_fine").alias("topic"), F.col("cluster_medium").alias("above")))).alias("t"))
+    per = n.groupBy("t.level", "t.topic").agg(F.sum("n").alias("n"), F.count_distinct("t.above").alias("above"))
+    return per.groupBy("level").agg(F.sum("n").alias("documents"), F.count(F.when(F.col("above") > 1, 1)).alias("split_topics"))
+
+
+@register("merge_energy", """
+WITH e AS (SELECT unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS d FROM embeddings),
+c AS (SELECT d, sum(x * x) - sum(x) * sum(x) / count(*) AS ss FROM e GROUP BY d)
+SELECT (SELECT count(*) FROM embeddings) AS n, round(sum(ss), 4) AS total_ss FROM c""")
+def merge_energy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every Ward merge adds half its squared height to the scatter inside
+    clusters; with the scatter inside the micro-clusters all merges add up to the total."""
+    v = read_table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    _, stats = cluster.micro_clusters(v, "vec_id", "embedding")
+    merges = cluster.ward_merges(stats)
+    table = spark.createDataFrame(stats[["n", "s", "ss"]].assign(s=[list(x) for x in stats["s"]]), "n long, s array<double>, ss double")
+    s2 = F.aggregate("s", F.lit(0.0), lambda a, x: a + x * x)
+    inner = table.agg(F.sum("n").alias("n"), F.sum(F.col("ss") - s2 / F.col("n")).alias("inner"))
+    return inner.select("n", F.round(F.col("inner") + float((merges["height"] ** 2).sum() / 2), 4).alias("total_ss"))
+
+
 @register("best_k")
 def best_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M8: Calinski-Harabasz for every candidate k of each level, from micro statistics."""
@@ -876,23 +907,33 @@ def assign_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ================================================================ incremental ingest
 from ..streaming import ingest  # noqa: E402
 
-INGEST_FILES = 8
+#: Rows of a landed file and bytes of a micro-batch.
+INGEST_ROWS, INGEST_BYTES = 250, 1 << 20
 
 
-@register("resume_ingest", ORACLE["url_claim"])
+@register("resume_ingest", """
+SELECT url, stock_id, doc_id, title, text, created_at FROM (
+  SELECT sha256(text) AS url, source AS stock_id, doc_id, substring(text, 1, 40) AS title, text,
+         strftime(try_strptime('2023/' || CAST(doc_id % 12 + 1 AS VARCHAR) || '/' || CAST(doc_id % 31 + 1 AS VARCHAR), '%Y/%m/%d'),
+                  '%Y-%m-%d') AS created_at,
+         row_number() OVER (PARTITION BY sha256(text) ORDER BY source, doc_id) AS rn FROM documents)
+WHERE rn = 1""")
 def resume_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Articles land as files; a streaming job ingests them one file per
-    micro-batch into a claim log (URL -> first finder), then runs again and adds
+    """Articles (title, text, post time) land as files; a streaming job ingests
+    them batch by batch into a claim log (URL -> first finder), then runs again and adds
     nothing.  The result equals the batch URL claim over the whole table."""
-    d = read_table(spark, sf_dir, "documents", "doc_id", "text", "source").select(
-        F.sha2(F.col("text"), 256).alias("url"), F.col("source").alias("stock_id"), "doc_id")
+    d = read_table(spark, sf_dir, "documents", "doc_id", "text", "source")
+    posted = F.concat_ws("/", F.col("doc_id") % 12 + 1, F.col("doc_id") % 31 + 1)
+    d = d.select(F.sha2(F.col("text"), 256).alias("url"), F.col("source").alias("stock_id"), "doc_id",
+                 F.substring("text", 1, 40).alias("title"), "text", posted.alias("post_text"))
     root = scratch_path(spark, "ingest")
-    src = ingest.land_files(d, "stock_id", f"{root}/landed", INGEST_FILES)
+    src = ingest.land_files(d, f"{root}/landed", INGEST_ROWS)
     sink, ckpt = f"{root}/articles", f"{root}/checkpoint"
-    ingest.resume_ingest(spark, src, d.schema, sink, ckpt)
-    if ingest.resume_ingest(spark, src, d.schema, sink, ckpt):
+    ingest.resume_ingest(spark, src, d.schema, sink, ckpt, batch_bytes=INGEST_BYTES)
+    if ingest.resume_ingest(spark, src, d.schema, sink, ckpt, batch_bytes=INGEST_BYTES):
         raise RuntimeError("second ingest run over the same files found new input")
-    return ingest.claimed(spark, sink).select("url", "stock_id", "doc_id")
+    created = F.date_format(post_date_fn("post_text", POST_YEAR), "yyyy-MM-dd")
+    return ingest.claimed(spark, sink).select("url", "stock_id", "doc_id", "title", "text", created.alias("created_at"))
 
 
 # ================================================================ the whole topic workflow
@@ -911,4 +952,8 @@ def topic_assignments(spark: SparkSession, sf_dir: str) -> DataFrame:
     stocks = rollup.dominant(d, "source", "lang", "industry_name").withColumnRenamed("source", "stock_code")
     arts = spread(d.select("doc_id", F.col("source").alias("stock_id"), "text"))
     docs = topic_run.cluster_phase(spark, arts, stocks, scratch_path(spark, "topics"))
-    return topic_run.label_phase(docs, None)["result"]
+    return topic_run.result(topic_run.with_labels(docs, None))
+
+
+# ================================================================ chain pages, metrics, heat
+from . import chains, heat  # noqa: E402, F401

@@ -65,22 +65,29 @@ def briefs(docs: DataFrame, levels: dict[str, int] = LEVELS) -> tuple[DataFrame,
     return brief, template
 
 
-def label_phase(docs: DataFrame, labels: DataFrame | None, levels: dict[str, int] = LEVELS
-                ) -> dict[str, DataFrame]:
-    """Phase 2: labels (level, cluster, label) → result projection, topic x industry
-    table per level and the topic tree.  Without a label file, a topic's label is its id."""
-    out = docs
+def with_labels(docs: DataFrame, labels: DataFrame | None, levels: dict[str, int] = LEVELS) -> DataFrame:
+    """``label_<level>`` per document; without a label file a topic's label is its id."""
     for name in levels:
         cid = f"cluster_{name}"
         if labels is None:
-            out = out.withColumn(f"label_{name}", F.col(cid).cast("string"))
+            docs = docs.withColumn(f"label_{name}", F.col(cid).cast("string"))
         else:
-            lab = labels.where(F.col("level") == name).select(
-                F.col("cluster").alias(cid), F.col("label").alias(f"label_{name}"))
-            out = out.join(lab, cid, "left")
-    first, last = list(levels)[0], list(levels)[-1]
-    result = out.select("doc_id", "stock_id", "industry_name", "x", "y",
-                        *[f"cluster_{n}" for n in levels], *[f"label_{n}" for n in levels])
-    tables = {f"matrix_{n}": rollup.topic_matrix(out, f"label_{n}", "industry_name") for n in levels}
-    tree = rollup.tree_nodes(out, "industry_name", f"label_{first}", f"label_{last}")
-    return {"result": result, "tree": tree, **tables}
+            lab = labels.where(F.col("level") == name).select(F.col("cluster").alias(cid), F.col("label").alias(f"label_{name}"))
+            docs = docs.join(lab, cid, "left")
+    return docs
+
+
+def result(labelled: DataFrame, levels: dict[str, int] = LEVELS) -> DataFrame:
+    """K2: the result projection of labelled documents."""
+    return labelled.select("doc_id", "stock_id", "industry_name", "x", "y",
+                           *[f"cluster_{n}" for n in levels], *[f"label_{n}" for n in levels])
+
+
+def matrices(labelled: DataFrame, levels: dict[str, int] = LEVELS) -> dict[str, DataFrame]:
+    """K3: topic x industry table per level."""
+    return {n: rollup.topic_matrix(labelled, f"label_{n}", "industry_name") for n in levels}
+
+
+def tree(labelled: DataFrame, levels: dict[str, int] = LEVELS) -> DataFrame:
+    """The topic tree from the first to the last level."""
+    return rollup.tree_nodes(labelled, "industry_name", f"label_{list(levels)[0]}", f"label_{list(levels)[-1]}")

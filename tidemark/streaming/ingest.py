@@ -31,7 +31,9 @@ def _sink_or_none(spark: SparkSession, sink: str, fmt: str) -> DataFrame | None:
         df = spark.read.format(fmt).load(sink)
         df.schema
         return df
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 
@@ -42,17 +44,19 @@ def _order_key(order: Sequence[str]):
 def append_articles(batch: DataFrame, sink: str, url: str, order: Sequence[str],
                     fmt: str = "parquet") -> None:
     """K4: claim within the batch; append claims that are new or beat the logged best."""
-    fresh = claim(batch, url, order)
-    old = _sink_or_none(batch.sparkSession, sink, fmt)
+    # Read by the look into the log, the comparison and the write: claimed once.
+    fresh = claim(batch, url, order).persist()
+    new, old = fresh, _sink_or_none(batch.sparkSession, sink, fmt)
     if old is not None:
         # Only log rows for URLs in this batch are aggregated (a semi-join first), so a
         # batch does not shuffle the whole, growing log.
         seen = old.select(url, *order).join(fresh.select(url), url, "left_semi")
         best = seen.groupBy(url).agg(F.min(_order_key(order)).alias("__best"))
-        fresh = (fresh.join(best, url, "left")
-                 .where(F.col("__best").isNull() | (_order_key(order) < F.col("__best")))
-                 .drop("__best"))
-    fresh.write.mode("append").format(fmt).save(sink)
+        new = (fresh.join(best, url, "left")
+               .where(F.col("__best").isNull() | (_order_key(order) < F.col("__best")))
+               .drop("__best"))
+    new.write.mode("append").format(fmt).save(sink)
+    fresh.unpersist()
 
 
 def claimed(spark: SparkSession, sink: str, url: str = "url",
@@ -63,31 +67,31 @@ def claimed(spark: SparkSession, sink: str, url: str = "url",
 
 def resume_ingest(spark: SparkSession, source: str, schema, sink: str, checkpoint: str,
                   url: str = "url", order: Sequence[str] = ("stock_id", "doc_id"),
-                  files_per_batch: int = 1, fmt: str = "parquet") -> int:
-    """Ingest every landed file not yet processed, ``files_per_batch`` files per
+                  batch_bytes: int = 1 << 30, fmt: str = "parquet") -> int:
+    """Ingest every landed file not yet processed, about ``batch_bytes`` of files per
     micro-batch, then stop (``availableNow``).
 
-    Returns the number of micro-batches of this run that carried rows (0 when nothing
-    new had landed).
+    Returns the number of micro-batches of this run (0 when nothing new had landed).
     """
-    stream = (spark.readStream.schema(schema)
-              .option("maxFilesPerTrigger", files_per_batch)
-              .format(fmt).load(source))
-    q = (stream.writeStream
-         .foreachBatch(lambda b, _id: append_articles(b, sink, url, list(order), fmt))
+    seen: set[int] = set()
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        append_articles(batch, sink, url, list(order), fmt)
+        seen.add(batch_id)
+
+    stream = spark.readStream.schema(schema).option("maxBytesPerTrigger", batch_bytes).format(fmt).load(source)
+    q = (stream.writeStream.foreachBatch(each)
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)
          .start())
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
-    return sum(1 for p in q.recentProgress if p.get("numInputRows", 0) > 0)
+    return len(seen)
 
 
-def land_files(df: DataFrame, key: str, target: str, n_files: int) -> str:
-    """Land a table as ``n_files`` files for the file source, rows of one ``key`` kept
-    together but a hot key split over several files (key plus a 4-way salt from the row
-    hash), so no single task writes a third of the table.  One distributed write."""
-    salt = F.pmod(F.xxhash64(*df.columns), F.lit(4))
-    df.repartition(n_files, F.col(key), salt).write.mode("overwrite").parquet(target)
+def land_files(df: DataFrame, target: str, rows_per_file: int = 1_000_000) -> str:
+    """Land a table as files of at most ``rows_per_file`` rows, so their number follows the
+    input; every task writes the rows it has read, so no key is gathered and nothing shuffles."""
+    df.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).parquet(target)
     return target
