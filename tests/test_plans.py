@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from tidemark.operators import dedupe
@@ -47,3 +49,10 @@ def test_no_cartesian_or_python_row_udfs(spark):
         p = plan(QUERIES[key](spark, SF_SMALL))
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, key
         assert "BatchEvalPython" not in p, key
+
+
+def test_small_staged_tables_meet_their_rows_unshuffled(spark):
+    chain = plan(QUERIES["chain_rows"](spark, SF_SMALL))
+    assert not re.search(r"hashpartitioning\(chain_ic#\d+, \d+\)", chain)
+    kw = plan(QUERIES["topic_keywords"](spark, SF_SMALL))
+    assert "SortMergeJoin" not in kw and "BroadcastHashJoin" in kw

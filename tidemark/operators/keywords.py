@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.fixed import N_KEYWORDS
+from ..session import staged
 from .dedupe import top_n
 
 
@@ -67,12 +68,15 @@ def topic_keywords(df: DataFrame, topic: str | Sequence[str] | dict[str, str], d
     """(topic keys..., rank, term, score) for every non-empty topic; ``tokens`` is an array
     column.  With ``topic`` given as ``{level: column}`` the keys are (level, topic)."""
     tf, n_docs, keys = term_counts(df, topic, doc, tokens)
+    # Counted once, read twice; the vocabulary (n terms a topic) is staged as well, so that
+    # its size is known and the counted rows need no shuffle by term to meet it.
+    tf = staged(tf, "term-counts")
     vocab = tf.groupBy(*keys, "term").agg(F.sum("tf").alias("__ttf"), F.count(F.lit(1)).alias("__df"))
     vocab = top_n(vocab, keys, [F.desc("__ttf"), F.col("term")], n, rank_col=None)
     vocab = vocab.join(n_docs, keys).select(
         *keys, "term", "__N", (F.log((F.col("__N") + 1) / (F.col("__df") + 1)) + 1).alias("__idf"))
 
-    w = tf.join(vocab, [*keys, "term"]).withColumn("__w", F.col("tf") * F.col("__idf"))
+    w = tf.join(staged(vocab, "vocabulary"), [*keys, "term"]).withColumn("__w", F.col("tf") * F.col("__idf"))
     doc_norm = Window.partitionBy(*keys, doc)
     w = w.withColumn("__wn", F.col("__w") / F.sqrt(F.sum(F.col("__w") * F.col("__w")).over(doc_norm)))
     score = w.groupBy(*keys, "term").agg((F.sum("__wn") / F.max("__N")).alias("score"))

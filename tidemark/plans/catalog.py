@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.fixed import DEFAULT_INDUSTRY
 from ..functions.text import clean_text, has_text, strip
 from ..operators import rollup
+from ..session import staged
 from ..sources.tables import read_table, spread
 from . import sqlparts as S
 from .standins import articles, both_levels, kept_docs, topic_docs
@@ -441,9 +442,13 @@ def chain_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         pt.select(F.replace(F.col("p_brand"), F.lit("Brand#"), F.lit("B")).alias("chain_ic"),
                   F.col("p_type").alias("major_industry"), "p_partkey"),
         ["chain_ic"], ["p_partkey"]).drop("p_partkey")
-    rows = dims.with_category(rows, index, "chain_ic", "major_industry")
-    order = dims.chain_order(rows, "chain_ic").withColumnRenamed("chain_ic", "__ic")
-    return rows.join(order, F.col("chain_ic").eqNullSafe(F.col("__ic"))).select(
+    # The chains in use need two columns of the joined rows only.  Order and category are
+    # staged as one table of chains, whose known size lets the rows meet it unshuffled.
+    used = li.select("l_partkey", "l_suppkey").join(pt.select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey")).join(
+        sp.select("s_suppkey"), F.col("l_suppkey") == F.col("s_suppkey"), "left_semi")
+    order = dims.chain_order(used.select(F.replace(F.col("p_brand"), F.lit("Brand#"), F.lit("B")).alias("chain_ic")), "chain_ic")
+    chain = staged(dims.with_category(order, index, "chain_ic", "major_industry").withColumnRenamed("chain_ic", "__ic"), "chains")
+    return rows.join(chain, F.col("chain_ic").eqNullSafe(F.col("__ic"))).select(
         "major_industry", "chain_ic", "chain_order", "chain_topic", "segment_code", "segment_name",
         "listing_bucket", "stock_code", "stock_name")
 
@@ -908,7 +913,7 @@ def assign_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
 from ..streaming import ingest  # noqa: E402
 
 #: Rows of a landed file and bytes of a micro-batch.
-INGEST_ROWS, INGEST_BYTES = 250, 1 << 20
+INGEST_ROWS, INGEST_BYTES = 250, 8 << 20
 
 
 @register("resume_ingest", """

@@ -67,6 +67,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def staged(df, name: str):
+    """Write ``df`` once into the shared checkpoint folder and go on from the copy.
+
+    The copy's size is known, so Spark broadcasts it if it is small, and several branches
+    read it without repeating its work.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme so stdlib code can list a local folder (tests only)."""
     if path.startswith("file:"):
