@@ -31,6 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import staged
+
 #: Masks of six kept words each.
 MASKS = ("111111", "1011111", "110001111", "11110101")
 #: A match has this many equal words (or the whole of a shorter item) ...
@@ -218,4 +220,5 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """
     key = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text"))
     bad = contaminated(docs.select(key.alias("doc_id"), "text"), benchmark).select(F.col("doc_id").alias("__key")).distinct()
+    bad = staged(bad, "contaminated")  # of known size, so that texts are not shuffled to meet a few ids
     return docs.join(bad, key == F.col("__key"), "left_anti")

@@ -169,6 +169,7 @@ def redact(docs: DataFrame, labelled: DataFrame | None = None, mark: str = "[SEC
     found = staged(candidates(rows), "candidates")
     cuts = (judge(found, _model(found, labelled)).filter("is_secret").select("doc_id", "start", "end").distinct()
             .groupBy(F.col("doc_id").alias("__key")).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("__cuts")))  # one text's spans
+    cuts = staged(cuts, "cuts")  # of known size, so that texts are not shuffled to meet a few spans
     text = text_of()
 
     def rebuilt(cuts: Column) -> Column:

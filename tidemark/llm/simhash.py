@@ -317,6 +317,11 @@ def keep_one_of_each(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: in
     component can name them.
     """
     found = near_duplicates(docs.filter("doc_id IS NOT NULL"), shingle, max_bits)
-    keep = found.filter("doc_id = component_id").select(F.col("doc_id").alias("doc_id")).distinct()
-    named = docs.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
-    return named.join(keep, "doc_id", "left_semi").select(docs.columns).unionByName(docs.filter("doc_id IS NULL"))
+    ids = found.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("leads"), F.count(F.lit(1)).alias("n"))
+    # Written, so that their sizes are known and texts are shuffled only where the ids are too many to broadcast.
+    odd = staged(ids.filter("n > 1 OR NOT leads"), "not-kept-as-is")
+    again = staged(odd.filter("leads"), "repeated-ids")
+    key = F.col("doc_id").cast("long")
+    name = lambda x: x.select(F.col("doc_id").alias("__id"))
+    once = docs.join(name(odd), key == F.col("__id"), "left_anti")
+    return once.unionByName(docs.join(name(again), key == F.col("__id"), "left_semi").dropDuplicates(["doc_id"]))
