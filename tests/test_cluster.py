@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pathlib
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -163,6 +165,30 @@ def test_embed_is_unit_length_and_cached(spark, scratch):
     # A second call encodes nothing new: the cache keeps two distinct texts.
     C.embed_cached(spark, df, path, "hash64", dim=64).count()
     assert spark.read.parquet(path).count() == 2
+    # A hash that two jobs appended is read once.
+    spark.read.parquet(path).write.parquet(f"{scratch}/copy")
+    spark.read.parquet(f"{scratch}/copy").write.mode("append").parquet(path)
+    again = C.embed_cached(spark, df, path, "hash64", dim=64)
+    assert sorted(r["doc_id"] for r in again.collect()) == [1, 2, 3]
+    assert spark.read.parquet(path).count() == 4
+
+
+def test_cache_that_cannot_be_read_is_no_missing_cache(spark, scratch):
+    df = spark.createDataFrame([(1, "alpha beta")], "doc_id long, text string")
+    (pathlib.Path(scratch) / "broken").mkdir(parents=True)
+    (pathlib.Path(scratch) / "broken" / "part-0.parquet").write_bytes(b"no parquet")
+    with pytest.raises(Exception, match="(?i)parquet"):
+        C.embed_cached(spark, df, f"{scratch}/broken", "hash64", dim=64).count()
+
+
+def test_named_embedding_cache_is_used(spark, scratch):
+    before = C.cache_folder(spark)
+    assert before != C.cache_folder(spark)
+    spark.conf.set(C.CACHE_SETTING, f"{scratch}/kept")
+    try:
+        assert C.cache_folder(spark) == C.cache_folder(spark) == f"{scratch}/kept"
+    finally:
+        spark.conf.unset(C.CACHE_SETTING)
 
 
 def test_reduce_pca_dims(spark):

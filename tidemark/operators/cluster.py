@@ -23,6 +23,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, IDF, HashingTF, Normalizer
@@ -32,13 +33,23 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import tokenize
+from ..session import scratch_path
 from .dedupe import top_n
 
 #: Micro-clusters that the Ward step starts from.
 N_MICRO = 200
 
 
+#: Session setting that names a lasting embedding cache; unset: a new folder for each call.
+CACHE_SETTING = "spark.tidemark.embeddingCache"
+
+
 # ------------------------------------------------------------------ M3 / S9
+def cache_folder(spark: SparkSession) -> str:
+    """The embedding cache that the session names, else a new shared folder."""
+    return spark.conf.get(CACHE_SETTING, None) or scratch_path(spark, "embedding-cache")
+
+
 def text_encoder(dim: int = 1024, idf: bool = False, tokens: str = "tokens",
                  out: str = "features") -> Pipeline:
     stages = [HashingTF(inputCol=tokens, outputCol="__tf", numFeatures=dim)]
@@ -71,13 +82,8 @@ def embed_cached(spark: SparkSession, df: DataFrame, cache_path: str, model_id:
     already in the cache are neither cleaned nor encoded again.  Include the version of
     ``prepare`` in ``model_id``.
     """
-    from pyspark.errors import AnalysisException
     keyed = df.withColumn("text_hash", F.sha2(F.col(text), 256))
-    try:
-        cache = spark.read.parquet(cache_path).where(F.col("model") == model_id)
-        cache.schema
-    except AnalysisException:
-        cache = None
+    cache = _cached_vectors(spark, cache_path, model_id, out)
     todo = keyed.select("text_hash", text).dropDuplicates(["text_hash"])
     if cache is not None:
         todo = todo.join(cache.select("text_hash"), "text_hash", "left_anti")
@@ -85,8 +91,22 @@ def embed_cached(spark: SparkSession, df: DataFrame, cache_path: str, model_id:
         todo = todo.withColumn(text, prepare(F.col(text)))
     new = embed(todo, text, out=out, dim=dim).select(F.lit(model_id).alias("model"), "text_hash", out)
     new.write.mode("append").parquet(cache_path)
-    full = spark.read.parquet(cache_path).where(F.col("model") == model_id).select("text_hash", out)
-    return keyed.drop(text).join(full, "text_hash")
+    return keyed.drop(text).join(_cached_vectors(spark, cache_path, model_id, out), "text_hash")
+
+
+def _cached_vectors(spark: SparkSession, cache_path: str, model_id: str, out: str) -> DataFrame | None:
+    """(text_hash, vector) of a model, one row per hash; None where there is no cache yet.
+
+    Two jobs at a time, or a job that ran again, may append a hash twice; the vectors are
+    equal then and one of them counts.
+    """
+    try:
+        cache = spark.read.schema(f"model string, text_hash string, {out} array<float>").parquet(cache_path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return cache.where(F.col("model") == model_id).select("text_hash", out).dropDuplicates(["text_hash"])
 
 
 # ------------------------------------------------------------------ M4

@@ -771,9 +771,9 @@ from ..session import scratch_path  # noqa: E402
 @register("embed_docs")
 def embed_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unit-length document vectors (hashed terms + CJK bigrams, L2-normalised),
-    through a cache keyed by (model, sha256(text)) in the shared checkpoint folder."""
+    through a cache keyed by (model, sha256(text)): the session's, else a new shared folder."""
     d = spread(kept_docs(spark, sf_dir).select("doc_id", "text"))
-    cache = scratch_path(spark, "embedding-cache")
+    cache = cluster.cache_folder(spark)
     return cluster.embed_cached(spark, d, cache, "clean-v1/hashed-1024",
                                 prepare=lambda c: clean_text(strip(c))).select("doc_id", "embedding")
 

@@ -18,7 +18,6 @@ from ..functions.fixed import DEFAULT_INDUSTRY, LEVELS, REDUCED_DIMS
 from ..functions.text import clean_text, has_text, strip
 from ..operators import cluster, rollup
 from ..operators.dims import with_industry
-from ..session import scratch_path
 from ..sources.readers import read_stage
 from ..sources.sinks import write_stage
 
@@ -33,7 +32,7 @@ def cluster_phase(spark: SparkSession, articles: DataFrame, stocks: DataFrame, r
     cluster_<level>...).  ``articles`` has doc_id, stock_id, text; ``stocks`` a code
     column and industry_name; of several rows of a code the last by ``stock_order`` counts."""
     arts = with_industry(articles.where(has_text("text")), stocks, "stock_id", DEFAULT_INDUSTRY, order=stock_order)
-    cache = cache_path or scratch_path(spark, "embedding-cache")
+    cache = cache_path or cluster.cache_folder(spark)
     emb = cluster.embed_cached(spark, arts.select("doc_id", "text"), cache, ENCODER_ID,
                                prepare=lambda c: clean_text(strip(c)))
     red = cluster.reduce(emb.select("doc_id", "embedding"), "embedding", dims, "features")
