@@ -789,6 +789,25 @@ def pca_2d(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r2.select("vec_id", xy[0].alias("x"), xy[1].alias("y"))
 
 
+@register("pca_variance", """
+WITH e AS (SELECT vec_id, CAST(unnest(embedding) AS DOUBLE) AS x, generate_subscripts(embedding, 1) AS d FROM embeddings),
+v AS (SELECT d, var_samp(x) AS s FROM e GROUP BY d)
+SELECT (SELECT count(*) FROM embeddings) AS n, round(sum(s), 4) AS total_variance, CAST(0 AS DOUBLE) AS cov_xy FROM v""")
+def pca_variance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M4: a reduction to as many axes as there are keeps the total variance, and its first
+    two axes are uncorrelated (the coordinates themselves have arbitrary signs)."""
+    from pyspark.ml.functions import vector_to_array
+    from pyspark.ml.stat import Summarizer
+    v = read_table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    dims = v.agg(F.max(F.size("embedding"))).first()[0]
+    r = cluster.reduce(v, "embedding", dims, "r")
+    xy = vector_to_array("r")
+    per_axis = vector_to_array(Summarizer.variance(F.col("r")))
+    return r.agg(F.count(F.lit(1)).alias("n"),
+                 F.round(F.aggregate(per_axis, F.lit(0.0), lambda a, x: a + x), 4).alias("total_variance"),
+                 F.round(F.abs(F.covar_samp(xy[0], xy[1])), 6).alias("cov_xy"))
+
+
 @register("knn_graph", f"""
 WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
 p AS (SELECT a.vec_id, b.vec_id AS neighbor_id, list_cosine_similarity(a.e, b.e) AS sim
