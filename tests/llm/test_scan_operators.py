@@ -178,6 +178,21 @@ def test_pii_contexts_find_unseen_identifiers(spark):
         assert all(s["kind"] == "email" for s in rows[i]["added"])
 
 
+def test_pii_copies_and_repeated_addresses_leave_confidence(spark):
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choices("abcdefghij", k=6))
+    texts = [f"{word()} {word()} mailto {word()}{i}@mail.example.org {word()}" for i in range(10)] + ["x y card 4111 1111 1111 1111 z"]
+    texts += [f"{word()} mailto user{i}(at)example.org {word()}" for i in range(3)]
+    texts += [f"{word()} {word()} mailto same@mail.example.org {word()}" for _ in range(60)]  # one address in different texts
+    docs = lambda n: spark.createDataFrame([(i, t) for i, t in enumerate(texts * n)], "doc_id long, text string")
+    for n in (1, 10):
+        got = {r["doc_id"]: r["added"] for r in pii.find(docs(n)).collect()}
+        assert len(got) == n * len(texts)
+        for i, added in got.items():
+            t = texts[i % len(texts)]
+            assert [t[s["start"]:s["end"]] for s in added] == ([t.split()[2]] if "(at)" in t else [])
+
+
 # Secrets
 
 def test_secrets_spans_scores_and_redaction(spark):

@@ -4,7 +4,7 @@ The fixed patterns give the base spans.  They are also the seeds: the words arou
 are lexical patterns (one word before, two words before, one word after), and other tokens
 that hold a digit or an at sign, found in the same contexts, are unseen candidates.  Spark
 scores the graph of patterns and instances in rounds: a pattern is worth the sum of its
-instances' scores over all tokens that the corpus has in its context, an unseen instance
+instances' scores over all different tokens that the corpus has in its context, an unseen instance
 is as certain as its patterns make it (one minus the product of their doubts), seeds stay
 certain.  Instances of patterns of high confidence give further spans of the patterns'
 kind.
@@ -22,7 +22,7 @@ texts are scanned whole; an empty table gives an empty result; other columns are
 from __future__ import annotations
 
 import re
-from collections import Counter
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -49,6 +49,8 @@ _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _EDGES = ".,;:!?()[]{}<>\"'"
 #: Words next to a span are looked for within so many characters.
 _NEAR = 200
+#: Pairs that a task remembers, so that it gives the same one less often.
+_SEEN = 200_000
 
 
 def _luhn(digits: str) -> bool:
@@ -125,6 +127,18 @@ def _looks_like_id(token: str) -> bool:
     return len(token) >= 5 and ("@" in token or any("0" <= c <= "9" for c in token))
 
 
+def _touched(text: str, places: list[tuple[int, int]]) -> dict[int, tuple[str, str]]:
+    """The first and the last base span in each of the words at ``places`` that one touches."""
+    out: dict[int, tuple[str, str]] = {}
+    ends = [z for _, z in places]
+    for a, z in sorted(s for v in base_spans(text).values() for s in v):
+        i = bisect_right(ends, a)
+        while i < len(places) and places[i][0] < z:
+            out[i] = (out[i][0] if i in out else text[a:z], text[a:z])
+            i += 1
+    return out
+
+
 _SPANS = "array<struct<kind:string,start:int,end:int>>"
 
 
@@ -146,17 +160,18 @@ def _scan(docs: DataFrame) -> DataFrame:
 
 
 def _candidates(docs: DataFrame, patterns: set[str]) -> DataFrame:
-    """Uses of the patterns over all texts.
+    """What the patterns have in their contexts over all texts.
 
-    Rows (pattern, uses) count the tokens in a pattern's context, per task; rows with an
-    instance are tokens there that look like identifiers and lie outside base spans.
+    Rows (pattern, instance) are what is there, a token or the base span that it touches,
+    copies mostly left out; rows with a key are tokens that look like identifiers and lie
+    outside base spans, each with its place.
     """
     sent = docs.sparkSession.sparkContext.broadcast(patterns)  # LINK_SHARE patterns at most
-    names = ["key", "start", "end", "instance", "pattern", "uses"]
-    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.int64()]
+    names = ["key", "start", "end", "instance", "pattern"]
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.string()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, uses = sent.value, Counter()
+        known, seen = sent.value, set()
         one = {p[3:] for p in known if p.startswith("L1 ")}
         two = {p[3:] for p in known if p.startswith("L2 ")}
         after = {p[3:] for p in known if p.startswith("R1 ")}
@@ -177,22 +192,24 @@ def _candidates(docs: DataFrame, patterns: set[str]) -> DataFrame:
                         hits.append((i + 1, f"L2 {w[i - 1]} {w[i]}"))
                     if w[i] in after and i:
                         hits.append((i - 1, "R1 " + w[i]))
-                uses.update(p for _, p in hits)
-                places = [m.span() for m in _WORD.finditer(t)] if any(_looks_like_id(w[i]) for i, _ in hits) else None
-                if places is None:
+                if not hits:
                     continue
-                taken = [s for v in base_spans(t).values() for s in v]
+                places = [m.span() for m in _WORD.finditer(t)]
+                touched = _touched(t, places)
                 for i, p in hits:
                     a, z = _trimmed(t, *places[i])
-                    if _looks_like_id(t[a:z]) and not any(a < e and s < z for s, e in taken):
-                        rows.append((doc, a, z, t[a:z], p, 0))
+                    unit = touched[i][p.startswith("R1 ")] if i in touched else t[a:z] or t[slice(*places[i])]
+                    if i not in touched and _looks_like_id(unit):
+                        rows.append((doc, a, z, unit, p))
+                    elif (p, unit) not in seen:
+                        seen.add((p, unit))
+                        rows.append((None, None, None, unit, p))
+            if len(seen) > _SEEN:
+                seen.clear()
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
-        if uses:
-            rows = [(None, None, None, None, p, n) for p, n in uses.items()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
-    return docs.mapInArrow(run, "key long, start int, end int, instance string, pattern string, uses long")
+    return docs.mapInArrow(run, "key long, start int, end int, instance string, pattern string")
 
 
 def _score(links: DataFrame, uses: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -235,8 +252,10 @@ def find(docs: DataFrame, confident: float = CONFIDENT) -> DataFrame:
     if not patterns:
         return found.select("doc_id", "spans", empty.alias("added"))
     met = staged(_candidates(rows.select("key", "text"), patterns), "pii-candidates")
-    uses = met.filter("instance IS NULL").groupBy("pattern").agg(F.sum("uses").alias("uses"))
-    unseen = met.filter("instance IS NOT NULL")
+    # In the unit of the seeds: distinct (pattern, instance).
+    uses = (met.select("pattern", "instance").unionByName(seeds.select("pattern", "instance")).distinct()
+            .groupBy("pattern").agg(F.count(F.lit(1)).alias("uses")))
+    unseen = met.filter("key IS NOT NULL")
     links = (seeds.join(F.broadcast(strong), "pattern", "left_semi").select("pattern", "instance", "kind", "n")
              .unionByName(unseen.select("pattern", "instance").distinct().select("pattern", "instance", F.lit(None).cast("string").alias("kind"), F.lit(1).alias("n"))))
     scored, instances = _score(staged(links, "pii-links"), uses)
