@@ -193,6 +193,14 @@ def test_pii_copies_and_repeated_addresses_leave_confidence(spark):
             assert [t[s["start"]:s["end"]] for s in added] == ([t.split()[2]] if "(at)" in t else [])
 
 
+def test_pii_pattern_of_three_seeds_counts_at_any_size(spark):
+    few = [f"q{i} mailto a{i}@mail.example.org r{i}" for i in range(3)] + ["q3 mailto user(at)3 r3"]
+    many = [f"u{i} v{i} b{i}@mail.example.org w{i}" for i in range(21_000)]  # 63,000 links of other patterns
+    docs = spark.createDataFrame(list(enumerate(few + many)), "doc_id long, text string")
+    added = pii.find(docs).filter("size(added) > 0").collect()
+    assert [(r["doc_id"], [tuple(s) for s in r["added"]]) for r in added] == [(3, [("email", 10, 19)])]
+
+
 # Secrets
 
 def test_secrets_spans_scores_and_redaction(spark):

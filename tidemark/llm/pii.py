@@ -9,8 +9,9 @@ is as certain as its patterns make it (one minus the product of their doubts), s
 certain.  Instances of patterns of high confidence give further spans of the patterns'
 kind.
 
-A pattern needs ``MIN_INSTANCES`` different seeds and a 20,000th of all pattern-seed links, so there
-are at most 20,000 of them, whatever the input; they go to the tasks of the second scan.
+A pattern needs ``MIN_INSTANCES`` different seeds, whatever the size of the input.  The
+patterns stay in Spark: the tasks of the second scan get a bit table of their hashes, which
+leaves out the contexts that are surely no pattern, and a join with the patterns decides.
 
 Spans are in code points, end exclusive.  Added spans never touch base spans.
 
@@ -22,11 +23,15 @@ texts are scanned whole; an empty table gives an empty result; other columns are
 from __future__ import annotations
 
 import re
+from array import array
 from bisect import bisect_right
 from collections.abc import Iterator
+from hashlib import md5
+from zlib import crc32
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import doc_texts, staged
@@ -40,8 +45,8 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 
-#: Different seeds that a pattern needs, and the share of all links.
-MIN_INSTANCES, LINK_SHARE = 3, 20_000
+#: Different seeds that a pattern needs.
+MIN_INSTANCES = 3
 #: Rounds of scoring, and the confidence that patterns and added instances need.
 ROUNDS, CONFIDENT = 3, 0.5
 
@@ -49,8 +54,10 @@ _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _EDGES = ".,;:!?()[]{}<>\"'"
 #: Words next to a span are looked for within so many characters.
 _NEAR = 200
-#: Pairs that a task remembers, so that it gives the same one less often.
-_SEEN = 200_000
+#: Hashes of patterns go to a table of two to the power of so many bits.
+_TABLE_BITS = 27
+#: Pairs of pattern and unit, and different words, that a task holds at once.
+_PAIRS, _WORDS = 1_000_000, 250_000
 
 
 def _luhn(digits: str) -> bool:
@@ -159,57 +166,125 @@ def _scan(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, f"key long, doc_id long, spans {_SPANS}, seeds array<struct<pattern:string,kind:string,instance:string>>")
 
 
-def _candidates(docs: DataFrame, patterns: set[str]) -> DataFrame:
-    """What the patterns have in their contexts over all texts.
+def _bit_table(patterns: DataFrame) -> bytes:
+    """A bit for the hash of each pattern, and of the last word of a pattern of two."""
+    key = F.explode(F.array_compact(F.array("pattern", F.when(F.col("pattern").startswith("L2 "), F.concat(F.lit("2 "), F.substring_index("pattern", " ", -1))))))
+    at = patterns.select(key.alias("key")).select((F.crc32(F.col("key").cast("binary")) % (1 << _TABLE_BITS)).alias("at"))
+    bits = at.groupBy((F.col("at") / 64).cast("long").alias("place")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at % 64 AS int))")).alias("bits")).toArrow()
+    table = np.zeros(1 << (_TABLE_BITS - 6), "<i8")  # 16 MB, which also bounds the rows collected
+    table[bits["place"].to_numpy()] = bits["bits"].to_numpy()
+    return table.tobytes()
 
-    Rows (pattern, instance) are what is there, a token or the base span that it touches,
-    copies mostly left out; rows with a key are tokens that look like identifiers and lie
-    outside base spans, each with its place.
+
+def _hash(text: str) -> int:
+    """60 bits, as ``hashed`` has them in Spark."""
+    return int(md5(text.encode("utf-8", "replace")).hexdigest()[:15], 16)
+
+
+def hashed(text: str) -> Column:
+    return F.conv(F.substring(F.md5(F.col(text).cast("binary")), 1, 15), 16, 10).cast("long")
+
+
+class _Words(dict):
+    """Numbers of the words met as they stand, and what is known of each.
+
+    ``before`` and ``after``: the number of the pattern that has the word there, or -1;
+    ``kind``: 1 if it may be the last of a pattern of two, plus 2 if it looks like an identifier.
+    """
+
+    def __init__(self, table: bytes):
+        super().__init__()
+        self.table, self.patterns, self.names = table, {}, []
+        self.word, self.rows = [], array("q")
+
+    def may_be(self, key: str) -> bool:
+        h = crc32(key.encode("utf-8", "replace")) & ((1 << _TABLE_BITS) - 1)
+        return bool(self.table[h >> 3] >> (h & 7) & 1)
+
+    def pattern(self, key: str) -> int:
+        if not self.may_be(key):
+            return -1
+        if key not in self.patterns:
+            self.patterns[key] = len(self.patterns)
+            self.names.append(key)
+        return self.patterns[key]
+
+    def __missing__(self, raw: str) -> int:
+        a, z = _trimmed(raw, 0, len(raw))
+        w = raw.lower().strip(_EDGES) or raw.lower()
+        self[raw] = n = len(self)
+        self.word.append(w)
+        self.rows.extend((self.pattern("L1 " + w), self.pattern("R1 " + w), self.may_be("2 " + w) + 2 * _looks_like_id(raw[a:z]), _hash(raw[a:z] or raw)))
+        return n
+
+
+def _candidates(docs: DataFrame, patterns: DataFrame) -> DataFrame:
+    """What the patterns, and few other contexts, have in them over all texts.
+
+    Rows (pattern, units) hold the hashes of what is there, a token or the base span that it
+    touches, each once for a part of a task; rows with a key are tokens that look like
+    identifiers and lie outside base spans, each with its place.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(patterns)  # LINK_SHARE patterns at most
-    names = ["key", "start", "end", "instance", "pattern"]
-    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.string()]
+    sent = docs.sparkSession.sparkContext.broadcast(_bit_table(patterns))
+    names = ["key", "start", "end", "instance", "pattern", "units"]
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.list_(pa.int64())]
+
+    def counted(words: _Words, pairs: list[np.ndarray]) -> pa.RecordBatch:
+        """The rows of (pattern, units) of ``pairs``."""
+        number, unit = np.concatenate(pairs, axis=1)
+        order = np.lexsort((unit, number))
+        number, unit = number[order], unit[order]
+        new = np.r_[True, (np.diff(number) != 0) | (np.diff(unit) != 0)]
+        number, unit = number[new], unit[new]
+        start = np.flatnonzero(np.r_[True, np.diff(number) != 0])
+        columns = [pa.nulls(len(start), k) for k in kinds[:4]] + [pa.array([words.names[i] for i in number[start].tolist()], kinds[4])]
+        return pa.RecordBatch.from_arrays([*columns, pa.ListArray.from_arrays(pa.array(np.r_[start, len(unit)], pa.int32()), pa.array(unit))], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, seen = sent.value, set()
-        one = {p[3:] for p in known if p.startswith("L1 ")}
-        two = {p[3:] for p in known if p.startswith("L2 ")}
-        after = {p[3:] for p in known if p.startswith("R1 ")}
-        of_two = {p.split(" ")[1] for p in two}
-        any_of = one | of_two | after
+        words, pairs, n = _Words(sent.value), [], 0
         for b in batches:
             rows = []
-            for doc, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                w = [x.strip(_EDGES) or x for x in _WORD.findall(t.lower())]
-                met = [i for i, x in enumerate(w) if x in any_of]
-                if not met:
+            for doc, raw in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                t = raw.as_py()
+                at = np.asarray([words[x] for x in _WORD.findall(t)], np.int64)
+                if len(at) < 2:
                     continue
-                hits: list[tuple[int, str]] = []
-                for i in met:
-                    if w[i] in one and i + 1 < len(w):
-                        hits.append((i + 1, "L1 " + w[i]))
-                    if w[i] in of_two and i and i + 1 < len(w) and f"{w[i - 1]} {w[i]}" in two:
-                        hits.append((i + 1, f"L2 {w[i - 1]} {w[i]}"))
-                    if w[i] in after and i:
-                        hits.append((i - 1, "R1 " + w[i]))
-                if not hits:
+                before, after, kind, unit = np.frombuffer(words.rows, np.int64).reshape(-1, 4)[at].T
+                left, right = np.flatnonzero(before[:-1] >= 0), np.flatnonzero(after[1:] >= 0)
+                two = [(i + 1, p) for i in (np.flatnonzero(kind[1:-1] & 1) + 1).tolist()
+                       if (p := words.pattern(f"L2 {words.word[at[i - 1]]} {words.word[at[i]]}")) >= 0]
+                # (place, pattern, whether the pattern is behind)
+                place = np.r_[left + 1, np.asarray([i for i, _ in two], np.int64), right]
+                number = np.r_[before[left], np.asarray([p for _, p in two], np.int64), after[right + 1]]
+                if not len(place):
                     continue
-                places = [m.span() for m in _WORD.finditer(t)]
-                touched = _touched(t, places)
-                for i, p in hits:
-                    a, z = _trimmed(t, *places[i])
-                    unit = touched[i][p.startswith("R1 ")] if i in touched else t[a:z] or t[slice(*places[i])]
-                    if i not in touched and _looks_like_id(unit):
-                        rows.append((doc, a, z, unit, p))
-                    elif (p, unit) not in seen:
-                        seen.add((p, unit))
-                        rows.append((None, None, None, unit, p))
-            if len(seen) > _SEEN:
-                seen.clear()
+                behind = np.arange(len(place)) >= len(left) + len(two)
+                found = unit[place]
+                like = (kind[place] & 2) > 0
+                taken = any(base_spans(t).values())
+                if taken or like.any():
+                    places = [m.span() for m in _WORD.finditer(t)]
+                    touched = _touched(t, places) if taken else {}
+                    for k in np.flatnonzero(like | np.isin(place, list(touched))).tolist():
+                        i = int(place[k])
+                        if i in touched:
+                            found[k] = _hash(touched[i][int(behind[k])])
+                        else:
+                            a, z = _trimmed(t, *places[i])
+                            rows.append((doc, a, z, t[a:z], words.names[number[k]], None))
+                pairs.append(np.stack([number, found]))
+                n += len(place)
+                if n >= _PAIRS or len(words) >= _WORDS:
+                    yield counted(words, pairs)
+                    if rows:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+                    words, pairs, n, rows = _Words(sent.value) if len(words) >= _WORDS else words, [], 0, []
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+        if pairs:
+            yield counted(words, pairs)
 
-    return docs.mapInArrow(run, "key long, start int, end int, instance string, pattern string")
+    return docs.mapInArrow(run, "key long, start int, end int, instance string, pattern string, units array<long>")
 
 
 def _score(links: DataFrame, uses: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -245,18 +320,19 @@ def find(docs: DataFrame, confident: float = CONFIDENT) -> DataFrame:
     # Copies count once: links are distinct (pattern, instance, kind).
     seeds = found.filter(F.size("seeds") > 0).select(F.explode("seeds").alias("s")).select("s.*").distinct()
     seeds = staged(seeds.withColumn("n", F.lit(1)), "pii-seeds")
-    least = max(MIN_INSTANCES, -(-seeds.count() // LINK_SHARE))
-    strong = seeds.groupBy("pattern").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") >= least).select("pattern")
-    patterns = {r["pattern"] for r in strong.collect()}  # LINK_SHARE patterns at most
+    strong = seeds.groupBy("pattern").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") >= MIN_INSTANCES).select("pattern")
+    strong = staged(strong, "pii-strong")
     empty = F.array().cast(_SPANS)
-    if not patterns:
+    if strong.isEmpty():
         return found.select("doc_id", "spans", empty.alias("added"))
-    met = staged(_candidates(rows.select("key", "text"), patterns), "pii-candidates")
-    # In the unit of the seeds: distinct (pattern, instance).
-    uses = (met.select("pattern", "instance").unionByName(seeds.select("pattern", "instance")).distinct()
+    met = staged(_candidates(rows.select("key", "text"), strong), "pii-candidates")
+    unseen = met.filter("key IS NOT NULL").join(strong, "pattern", "left_semi")
+    # In the unit of the seeds: distinct (pattern, instance); a pattern without unseen instances is worth nothing.
+    asked = staged(unseen.select("pattern").distinct(), "pii-asked")
+    uses = (met.filter("key IS NULL").join(asked, "pattern", "left_semi").select("pattern", F.explode("units").alias("unit"))
+            .unionByName(seeds.join(asked, "pattern", "left_semi").select("pattern", hashed("instance").alias("unit"))).distinct()
             .groupBy("pattern").agg(F.count(F.lit(1)).alias("uses")))
-    unseen = met.filter("key IS NOT NULL")
-    links = (seeds.join(F.broadcast(strong), "pattern", "left_semi").select("pattern", "instance", "kind", "n")
+    links = (seeds.join(strong, "pattern", "left_semi").select("pattern", "instance", "kind", "n")
              .unionByName(unseen.select("pattern", "instance").distinct().select("pattern", "instance", F.lit(None).cast("string").alias("kind"), F.lit(1).alias("n"))))
     scored, instances = _score(staged(links, "pii-links"), uses)
     good = scored.filter(F.col("confidence") >= confident).select("pattern", "kind", "confidence")
