@@ -7,6 +7,7 @@ import itertools
 import random
 import re
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
@@ -123,6 +124,32 @@ def test_decontamination_equals_all_alignments(spark):
     assert decontaminate.contaminated(docs, bench.limit(0)).count() == 0
 
 
+def test_decontamination_verifies_by_the_two_limits():
+    rng = random.Random(3)
+
+    def plain(equal, size):
+        """Most equal words, fewest replaced, first begin, of all stretches within the limits."""
+        n = range(len(equal))
+        ok = [(sum(equal[b:e + 1]), sum(equal[b:e + 1]) - (e + 1 - b), -b) for b in n for e in n if b <= e and 5 * sum(equal[b:e + 1]) >= 4 * (e + 1 - b)]
+        m, r, b = max(ok, default=(0, 0, 0))
+        return (m, -r, -b) if m >= min(12, size) else None
+
+    places = [(15, c) for c in itertools.combinations(range(15), 2)]  # 13 of 15 words equal
+    places += [(n, rng.sample(range(n), k)) for n, k in ((6, 1), (12, 1), (15, 1), (20, 3), (20, 4), (30, 6), (40, 16), (60, 20)) for _ in range(60)]
+    for n, gone in places:
+        item = [f"w{i}".encode() for i in range(n)]
+        index = decontaminate.Index([(1, b" ".join(item))])
+        shift = rng.choice((-2, 0, 3))  # cut, whole or inside
+        seen = [-1 if i in gone else index.number[w] for i, w in enumerate(item)]
+        flat = [-1] * shift + seen + [-1] if shift >= 0 else seen[-shift:]
+        cut = max(0, -shift)
+        want = plain([x >= 0 for x in seen[cut:]], n)
+        got = index._verify(np.asarray(flat), 0, shift)
+        assert got == (want and (*want[:2], want[2] + cut)), (n, gone, shift)
+        if n == 15 and shift >= 0 and len(gone) == 2:
+            assert got
+
+
 def test_decontamination_finds_planted_passages(spark):
     got = registry.QUERIES["op4_decontamination"](spark, SF).collect()
     bench = {r["item_id"]: r["text"] for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()}

@@ -3,8 +3,7 @@
 Fixed masks over runs of words skip some positions, so a hash of a mask's kept words also
 meets where a skipped word was replaced.  The hashes of the benchmark texts and of all
 windows of the documents are joined; around each hit the two texts are laid side by side
-and the best stretch of equal words, replaced words counting against it, must be long and
-equal enough.  The four masks together meet every stretch of 15 words with up to two
+and the longest stretch with a share of ``MIN_EQUAL`` equal words must hold enough of them.  The four masks together meet every stretch of 15 words with up to two
 replaced words.
 
 The benchmark goes to the tasks in blocks of bounded size (``BLOCK_WORDS``), one pass over
@@ -39,7 +38,7 @@ MASKS = ("111111", "1011111", "110001111", "11110101")
 MIN_MATCH = 12
 #: ... and this share of equal words between its ends.
 MIN_EQUAL = 0.8
-#: What a replaced word costs against an equal word's one, when ends are chosen.
+#: A stretch has that share if its equal words at one each pay for its replaced words at this.
 REPLACED = 4.0
 MIN_ITEM = 6
 #: Words of benchmark texts that one block holds.
@@ -127,19 +126,29 @@ class Index:
                 yield d, item, *found, int(self.sizes[i])
 
     def _verify(self, flat: np.ndarray, i: int, first: int) -> tuple[int, int, int] | None:
-        """(matched, replaced, item word) of the best stretch of one document, if it is long and equal enough."""
+        """(matched, replaced, item word) of the stretch with most equal words among those equal enough, if they are enough.
+
+        From each first equal word the last end with a sum of no less than there is looked up
+        in the largest sums that any later end reaches.
+        """
         size = int(self.sizes[i])
         a, z = max(0, -first), min(size, len(flat) - first)
         equal = flat[first + a:first + z] == self.flat[self.start[i] + a:self.start[i] + z]
-        gain = np.cumsum(np.where(equal, 1.0, -REPLACED))
-        before = np.minimum.accumulate(np.r_[0.0, gain[:-1]])
-        end = int(np.argmax(gain - before))
-        begin = int(np.argmin(np.r_[0.0, gain[:end]]))
-        matched = int(equal[begin:end + 1].sum())
-        span = end + 1 - begin
-        if matched < min(MIN_MATCH, size) or matched < MIN_EQUAL * span:
+        least = min(MIN_MATCH, size)
+        begin = np.flatnonzero(equal)
+        if len(begin) < least:
+            return None
+        total = np.r_[0.0, np.cumsum(np.where(equal, 1.0, -REPLACED))]
+        later = np.maximum.accumulate(total[::-1])  # from the last end backwards, rising
+        end = len(equal) - np.searchsorted(later, total[begin])
+        count = np.r_[0, np.cumsum(equal)]
+        matched = count[end] - count[begin]
+        last = begin[count[end] - 1]  # replaced words behind it are left out
+        replaced = last + 1 - begin - matched
+        best = np.lexsort((begin, replaced, -matched))[0]
+        if matched[best] < least:
             return None
-        return matched, span - matched, a + begin
+        return int(matched[best]), int(replaced[best]), a + int(begin[best])
 
 
 #: The index of the block that this worker searched last.
