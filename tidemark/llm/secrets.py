@@ -1,14 +1,16 @@
 """Secret scan: broad candidates, then a random forest that removes false positives.
 
-Candidates are tokens of 12 or more characters of ``[A-Za-z0-9+/_~=-]`` with a digit or the
-beginning of a published key format, with the assignment before them if there is one.  The forest sees a candidate's length,
+Candidates are private key blocks, all values assigned to a name that ends in one of
+``NAMES``, quoted or up to white space, and other tokens of 12 or more characters of
+``[A-Za-z0-9+/_~-]``, with padding, that hold a digit or begin like a published key format; of
+``name=value`` the value is the token.  The forest sees a candidate's length,
 its shares of character classes and transitions between them, how many different
 characters it has, how much of it is dictionary words, the document's path and the words
 around it, and is trained on labelled findings.  Built-in expressions and Spark ML only.
 
 Where no labelled findings are given, ``weak_labels`` makes them: a value in a published
-key format, or a mixed value assigned to a secret's name, is a secret; other candidates
-are not.  The fit takes at most ``SAMPLE`` findings of each class.
+key format, a private key, or a mixed value assigned to a secret's name, is a secret; other
+candidates are not.  The fit takes at most ``SAMPLE`` findings of each class.
 
 Spans are in code points, end exclusive.
 
@@ -42,12 +44,22 @@ DICTIONARY = ("the", "and", "that", "with", "this", "from", "have", "not", "you"
               "section", "chapter", "figure", "module", "class", "function", "string", "object", "default", "config", "system", "server",
               "client", "model", "type", "order", "line", "text", "title", "content", "message", "changeme", "placeholder", "your", "here")
 
-_CHARS = "[A-Za-z0-9+/_~=-]"
-_ASSIGNED = r"(?i:" + "|".join(NAMES) + r")[\"']?[ \t]{0,3}(?:=>|:=|[:=])[ \t]{0,3}[\"']?"
-#: A candidate holds a digit or begins like a published format (random keys may lack digits).
+_CHARS, _NAME = "[A-Za-z0-9+/_~-]", "[A-Za-z0-9_.-]"
+_SET = r"[\"']?\]?[ \t]{0,3}"
+#: A name that ends in a listed one, looked for only where a name is followed by an assignment.
+_ASSIGNED = rf"(?={_NAME}++{_SET}[:=]){_NAME}*?(?i:" + "|".join(NAMES) + rf"){_SET}(?:=>|:=|={{1,3}}|:)[ \t]{{0,3}}"
+#: What is quoted, else all up to white space, a quote or the next parameter, without closing marks.
+_QUOTED = "|".join(rf"{q}(?!{q})[^{q}\\\r\n]*+(?:\\.[^{q}\\\r\n]*+){{0,50}}+(?={q})" for q in "\"'")
+_BARE = rf"[\"']?[^\s\"']+?(?=[,;)\]}}]*+(?:[\s\"']|\z)|[&;]{_NAME}++=)"
+_BLOCK = "[A-Z0-9 ]{0,40}PRIVATE KEY(?: BLOCK)?-----"
+#: A block up to its end, or as far as its lines go.
+_PRIVATE = rf"-----BEGIN {_BLOCK}(?:[^-]*+(?:-{{1,4}}+(?!-)[^-]*+){{0,50}}+-----END {_BLOCK}|(?:\s*+[A-Za-z0-9+/=]{{16,}}+){{1,1000}}+)"
+#: Other candidates hold a digit or begin like a published format (random keys may lack digits).
 _STARTS = "AKIA|ASIA|gh[pousr]_|github_pat_|xox[baprs]-|sk_live_|AIza|glpat-|npm_|eyJ"
-CANDIDATE = rf"(?<!{_CHARS})(?:{_ASSIGNED})?(?=[A-Za-z+/_~=-]*+[0-9]|{_STARTS}){_CHARS}{{12,}}"
-_HEAD = rf"^({_ASSIGNED})(?=.)"
+_PADDED = rf"(?:{_CHARS}{{12,}}+(?:={{1,2}}+(?!{_CHARS}))?+|{_CHARS}{{11}}=(?!{_CHARS}|=)|{_CHARS}{{10}}==(?!{_CHARS}))"
+CANDIDATE = (rf"{_PRIVATE}|(?<!{_NAME}){_ASSIGNED}(?:{_QUOTED}|{_BARE})"
+             rf"|(?<!{_CHARS})(?=[A-Za-z+/_~-]*+[0-9]|{_STARTS}){_PADDED}")
+_HEAD = rf"^({_ASSIGNED}[\"']?)(?=.)"
 
 #: Findings of each class that the fit takes at most.
 SAMPLE = 5_000
@@ -119,9 +131,9 @@ def with_features(found: DataFrame) -> DataFrame:
 
 
 def weak_labels(found: DataFrame) -> Column:
-    """1 for a value of a published format, or a mixed one assigned to a secret's name, else 0."""
+    """1 for a value of a published format, a private key, or a mixed value assigned to a secret's name, else 0."""
     v = F.col("value")
-    return (v.rlike("^(?:" + "|".join(FORMATS) + ")$") | (F.col("assigned") & v.rlike("[A-Za-z]") & v.rlike("[0-9]"))).cast("int")
+    return (v.rlike("^(?:" + "|".join(FORMATS) + ")$") | v.startswith("-----BEGIN ") | (F.col("assigned") & v.rlike("[A-Za-z]") & v.rlike("[0-9]"))).cast("int")
 
 
 def fit(labelled: DataFrame, sample: int = SAMPLE):
