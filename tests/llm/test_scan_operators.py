@@ -288,6 +288,15 @@ def test_secrets_written_forms(spark):
     assert sorted(r["value"] for r in got.collect()) == ["letmein!", "x"]
 
 
+def test_secrets_copies_leave_the_fit_its_classes(spark):
+    texts = [f"password=abc{i}def{i * 7}" for i in range(3)] * 1000 + [f"order 20240101{i:06d} end" for i in range(30)]
+    found = secrets.candidates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    labelled = found.withColumn("label", secrets.weak_labels(found))
+    model = secrets.fit(labelled, 10)
+    assert model is not None
+    assert {(r["assigned"], r["is_secret"]) for r in secrets.judge(found, model).collect()} == {(True, True), (False, False)}
+
+
 def test_secrets_n_chars_follows_text(spark):
     rows = [(1, "x password=0123456789abcdef0 y", 30), (2, "no secret", 9), (3, "number 4556001234567890", 23)]
     got = secrets.redact(spark.createDataFrame(rows, "doc_id long, text string, n_chars long")).collect()

@@ -10,7 +10,7 @@ around it, and is trained on labelled findings.  Built-in expressions and Spark
 
 Where no labelled findings are given, ``weak_labels`` makes them: a value in a published
 key format, a private key, or a mixed value assigned to a secret's name, is a secret; other
-candidates are not.  The fit takes at most ``SAMPLE`` findings of each class.
+candidates are not.  The fit takes at most ``SAMPLE`` different findings of each class; copies count once.
 
 Spans are in code points, end exclusive.
 
@@ -61,7 +61,7 @@ CANDIDATE = (rf"{_PRIVATE}|(?<!{_NAME}){_ASSIGNED}(?:{_QUOTED}|{_BARE})"
              rf"|(?<!{_CHARS})(?=[A-Za-z+/_~-]*+[0-9]|{_STARTS}){_PADDED}")
 _HEAD = rf"^({_ASSIGNED}[\"']?)(?=.)"
 
-#: Findings of each class that the fit takes at most.
+#: Different findings of each class that the fit takes at most.
 SAMPLE = 5_000
 TREES, DEPTH, SEED = 20, 6, 7
 SECRET = 0.5
@@ -138,9 +138,11 @@ def weak_labels(found: DataFrame) -> Column:
 
 def fit(labelled: DataFrame, sample: int = SAMPLE):
     """A forest for (candidate columns, label), or None unless both classes occur."""
-    rows = with_features(labelled)
     key = ("value", "before", "after")
-    part = staged(bounded_sample(rows.filter("label = 1"), sample, *key).unionByName(bounded_sample(rows.filter("label = 0"), sample, *key)), "findings")
+    rows = labelled.groupBy(*key, "label").agg(F.min(F.struct("path", "assigned")).alias("one")).select(*key, "label", "one.*")
+    rows = staged(rows, "different-findings")
+    part = bounded_sample(rows.filter("label = 1"), sample, *key).unionByName(bounded_sample(rows.filter("label = 0"), sample, *key))
+    part = staged(with_features(part), "findings")
     if part.select("label").distinct().count() < 2:
         return None
     x = VectorAssembler(inputCols=[f"f_{k}" for k in FEATURES], outputCol="features").transform(part.withColumn("label", F.col("label").cast("double")))
