@@ -12,7 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import read_table
-from . import decontaminate, licenses, packing, pii, quality, secrets, simhash, tokens, toxicity, urls
+from . import (conversations, decontaminate, languages, licenses, negatives, packing, pii, quality, secrets, simhash,
+               tokens, toxicity, urls)
 
 
 def vocabulary(name: str) -> str:
@@ -64,9 +65,23 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(read_table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    return languages.predict(docs, languages.fit(docs))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.report(read_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.hard_negatives(read_table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_toxicity, op2_token_counts, op3_url_filters, op4_decontamination, op5_packing, op6_pii,
-    op7_secret_scans, op8_license_scans, op9_simhash, op10_quality_rules)}
+    op7_secret_scans, op8_license_scans, op9_simhash, op10_quality_rules,
+    op11_language_id, op12_conversation_repair, op13_hard_negatives)}
 
 ORACLE: dict[str, str] = {"op3_url_filters": urls.ORACLE_SQL, "op8_license_scans": licenses.ORACLE_SQL,
-                          "op10_quality_rules": quality.ORACLE_SQL}
+                          "op10_quality_rules": quality.ORACLE_SQL, "op13_hard_negatives": negatives.ORACLE_SQL}
