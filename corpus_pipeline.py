@@ -6,9 +6,9 @@ rows of ``docs`` and returns the next stage's documents, the last one the packed
 
 Edge cases: each stage keeps the columns of its input (the last one aside), takes null and
 empty texts, repeated rows and an empty table, and does what its operator's module says of
-them: the quality rules reject texts without words, of repeated rows one stays, rows
-without a doc_id pass the dedupe stage and are searched for benchmark passages and secrets
-like others.
+them: the quality rules reject texts without words, of each group of near duplicates one
+row stays, that of the smallest doc_id, rows without one last; rows are told apart by
+doc_id and text, so a text that shares its doc_id with others is judged on its own.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, the one with the smallest doc_id."""
+    """One row of each group of near duplicates, that of the smallest doc_id."""
     return simhash.keep_one_of_each(docs)
 
 

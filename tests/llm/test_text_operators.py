@@ -158,8 +158,22 @@ def test_simhash_odd_rows(spark):
     assert simhash.near_duplicates(docs.limit(0)).count() == 0
     kept = simhash.keep_one_of_each(docs)
     assert kept.columns == docs.columns
-    ids = [r["doc_id"] for r in kept.collect()]
-    assert ids.count(None) == 2 and len(set(ids) - {None}) == len(ids) - 2 and 0 in ids and 1 not in ids
+    rows = kept.collect()
+    ids = [r["doc_id"] for r in rows]
+    assert len(set(ids) - {None}) == len(ids) - ids.count(None) and 0 in ids and 1 not in ids
+    # Each group keeps one row: that of the smallest doc_id, rows without one last.
+    assert len(rows) == len({r["component_id"] if r["component_id"] is not None else r["fingerprint"] for r in got})
+
+
+def test_simhash_keeps_one_of_each_group_whatever_the_ids(spark):
+    a, b = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(40))
+    docs = spark.createDataFrame([(1, a), (1, b), (2, a), (2, b), (None, a), (None, "only one"), (None, "only one"), (1, a)], "doc_id long, text string")
+    docs = docs.withColumn("key", F.lit(0)).withColumn("__id", F.lit("x"))
+    for order in (docs, docs.orderBy(F.desc("text")).repartition(3)):
+        kept = simhash.keep_one_of_each(order)
+        assert kept.columns == docs.columns
+        got = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str)
+        assert got == sorted([(1, a), (1, b), (None, "only one")], key=str)
 
 
 def test_simhash_of_long_texts_in_blocks(monkeypatch):

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,6 +38,49 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fresh(name: str, docs: DataFrame) -> str:
+    """``name``, with underscores behind it until no column of ``docs`` has it."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def row_key() -> Column:
+    """64-bit hash of a row's doc_id and text: rows with the same key are repeated rows."""
+    return F.xxhash64(F.col("doc_id").cast("long"), text_of())
+
+
+#: What the operators of this worker keep between tasks.
+_KEPT: dict[str, dict] = {}
+
+
+def kept(owner: str) -> dict:
+    """This worker's cache of ``owner``; those of other operators, which ran before, are dropped."""
+    for other in [k for k in _KEPT if k != owner]:
+        del _KEPT[other]
+    return _KEPT.setdefault(owner, {})
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``run``, after whose end the worker gives free memory back.
+
+    Workers outlive their tasks and stages; what their pools hold back would add up over
+    a chain of stages.
+    """
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+            if trim:
+                trim(0)
+
+    return tidied
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` evaluated once, also inside nested lambdas.
 

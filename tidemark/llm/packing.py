@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import doc_texts
+from .common import doc_texts, tidy
 from .tokenizing import encoder, slices
 
 CAPACITY = 4096
@@ -110,17 +110,18 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int
         enc, packer = encoder(tokenizer), Packer(TaskContext.get().partitionId(), capacity)
         end = np.asarray([end_id], "<u4")
         for b in batches:
-            docs, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
-            for a, z in slices(texts):
+            docs = b.column(0).to_pylist()
+            for a, texts in slices(b.column(1)):
                 rows = []
-                for doc, ids in zip(docs[a:z], enc.ids(texts[a:z]), strict=True):
+                for doc, ids in zip(docs[a:a + len(texts)], enc.ids(texts), strict=True):
                     rows += packer.add(doc, np.concatenate((ids, end)))
                 if rows:
                     yield table(rows)
         if rows := packer.flush():
             yield table(rows)
+        enc.clear()
 
-    return doc_texts(docs).mapInArrow(run, SCHEMA)
+    return doc_texts(docs).mapInArrow(tidy(run), SCHEMA)
 
 
 def pack_digest(docs: DataFrame, tokenizer: str) -> DataFrame:

@@ -14,7 +14,7 @@ finds, not the pairs; stars over those forests give the components.
 Edge cases: a null or empty text has fingerprint zero and links like any other; copies and
 repeated rows share a fingerprint, hence a component; rows without a doc_id get a
 fingerprint but name no component (null if their whole group has none); an empty table
-gives an empty result; other columns are not read.
+gives an empty result; other columns are not read, ``keep_one_of_each`` carries them.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import fresh, row_key, staged, tidy
 
 SHINGLE_WORDS = 3
 MAX_BITS = 3
@@ -88,15 +88,17 @@ def fingerprint(raw: bytes, shingle: int = SHINGLE_WORDS) -> int:
     return int(np.packbits(bits, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, fp long), one row per row of ``docs``."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE_WORDS, *keys: Column) -> DataFrame:
+    """(doc_id, fp long), one row per row of ``docs``; ``keys`` are long columns to carry along."""
+    names = ["doc_id", *[f"key{i}" for i in range(len(keys))], "fp"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps = np.fromiter((fingerprint(x.as_buffer().to_pybytes() if x.is_valid else b"", shingle) for x in b.column(1)), np.uint64, b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            fps = np.fromiter((fingerprint(x.as_buffer().to_pybytes() if x.is_valid else b"", shingle) for x in b.column(0)), np.uint64, b.num_rows)
+            yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(fps.view(np.int64))], names)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                       F.col("text").cast("string").cast("binary").alias("raw")).mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col("text").cast("string").cast("binary").alias("raw"), F.col("doc_id").cast("long").alias("doc_id"),
+                       *[k.alias(f"key{i}") for i, k in enumerate(keys)]).mapInArrow(tidy(run), ", ".join(f"{n} long" for n in names))
 
 
 # Masks and node keys
@@ -292,6 +294,15 @@ def components(edges: DataFrame) -> DataFrame:
         before = tuple(now)
 
 
+def _groups(distinct: DataFrame, max_bits: int, max_node: int) -> DataFrame:
+    """(fp, low): of rows (fp, first), the smallest ``first`` reachable over links; fingerprints without a link are left out."""
+    roots = components(links(distinct.select("fp"), max_bits, max_node))
+    member = roots.unionByName(roots.select(F.col("root").alias("node"), F.col("root")).distinct())
+    member = member.join(distinct.withColumnRenamed("fp", "node"), "node")
+    lowest = member.groupBy("root").agg(F.min("first").alias("low"))
+    return member.join(lowest, "root").select(F.col("node").alias("fp"), "low")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS, max_node: int = MAX_NODE) -> DataFrame:
     """(doc_id, fingerprint, component_id), one row per row of ``docs``.
 
@@ -299,29 +310,29 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: int
     differing bits.
     """
     rows = staged(fingerprints(docs, shingle), "fingerprints")
-    distinct = staged(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct-fingerprints")
-    roots = components(links(distinct.select("fp"), max_bits, max_node))
-    member = roots.unionByName(roots.select(F.col("root").alias("node"), F.col("root")).distinct())
-    member = member.join(distinct.withColumnRenamed("fp", "node"), "node")
-    lowest = member.groupBy("root").agg(F.min("first_id").alias("low"))
-    low = member.join(lowest, "root").select(F.col("node").alias("fp"), "low")
-    of = distinct.join(low, "fp", "left").select("fp", F.coalesce("low", "first_id").alias("component_id"))
+    distinct = staged(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct-fingerprints")
+    of = distinct.join(_groups(distinct, max_bits, max_node), "fp", "left").select("fp", F.coalesce("low", "first").alias("component_id"))
     return (rows.join(of, "fp", "left")
             .select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"))
 
 
-def keep_one_of_each(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is its component's smallest, columns as they are.
+def keep_one_of_each(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS, max_node: int = MAX_NODE) -> DataFrame:
+    """One row of each group of near duplicates, columns as they are.
 
-    Of repeated rows with one doc_id one stays; rows without a doc_id all stay, since no
-    component can name them.
+    It is the one with the smallest doc_id, rows without one last, and of different texts
+    under that doc_id the one with the smallest hash of both; of repeated rows one stays.
     """
-    found = near_duplicates(docs.filter("doc_id IS NOT NULL"), shingle, max_bits)
-    ids = found.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("leads"), F.count(F.lit(1)).alias("n"))
-    # Written, so that their sizes are known and texts are shuffled only where the ids are too many to broadcast.
-    odd = staged(ids.filter("n > 1 OR NOT leads"), "not-kept-as-is")
-    again = staged(odd.filter("leads"), "repeated-ids")
-    key = F.col("doc_id").cast("long")
-    name = lambda x: x.select(F.col("doc_id").alias("__id"))
-    once = docs.join(name(odd), key == F.col("__id"), "left_anti")
-    return once.unionByName(docs.join(name(again), key == F.col("__id"), "left_semi").dropDuplicates(["doc_id"]))
+    rows = staged(fingerprints(docs, shingle, row_key()).withColumnRenamed("key0", "key"), "fingerprints")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("first")
+    distinct = staged(rows.groupBy("fp").agg(first), "distinct-fingerprints")
+    of = distinct.join(_groups(distinct, max_bits, max_node), "fp", "left")
+    leads = of.select(F.coalesce("low", "first")["key"].alias("key")).distinct().withColumn("leads", F.lit(True))
+    # By row key, not by fingerprint, of which one may hold a third of all rows.
+    ids = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).join(leads, "key", "left")
+    # Written, so that their sizes are known and texts are shuffled only where the keys are too many to broadcast.
+    odd = staged(ids.filter("n > 1 OR leads IS NULL"), "not-kept-as-is")
+    again = staged(odd.filter("leads"), "repeated-rows")
+    name = fresh("key", docs)
+    keyed = docs.withColumn(name, row_key())
+    once = keyed.join(odd.select(F.col("key").alias(name)), name, "left_anti")
+    return once.unionByName(keyed.join(again.select(F.col("key").alias(name)), name, "left_semi").dropDuplicates([name])).select(docs.columns)

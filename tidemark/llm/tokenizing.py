@@ -12,10 +12,14 @@ import hashlib
 import json
 import os
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from itertools import repeat
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+from .common import kept
 
 #: Table limits; beyond them it starts anew.
 MAX_CHUNKS = 500_000
@@ -58,9 +62,10 @@ class Encoder:
             self.edge[[i for t, i in vocab.items() if (t[0] == "\u0120" if self.leading else t.endswith("</w>"))]] = True
         else:
             raise ValueError(f"not a tokenizer file: {path}")
-        self._clear()
+        self.clear()
 
-    def _clear(self) -> None:
+    def clear(self) -> None:
+        """Forget all chunks."""
         #: Chunk to its number; chunk i has the ids ``_flat[_starts[i]:_starts[i + 1]]``.
         self._at: dict[str, int] = {}
         self._starts, self._flat, self._chars = np.zeros(1, np.int64), np.zeros(0, np.uint32), 0
@@ -111,7 +116,7 @@ class Encoder:
 
     def _codes(self, chunks: list[str]) -> np.ndarray:
         if len(self._at) > MAX_CHUNKS or self._chars > MAX_CHUNK_CHARS:
-            self._clear()
+            self.clear()
         codes = np.fromiter(map(self._at.get, chunks, repeat(-1)), np.int64, len(chunks))
         new = np.flatnonzero(codes < 0)
         if len(new):
@@ -179,24 +184,24 @@ def _cut_of(spec: dict):
     return None, False
 
 
-_LOADED: dict[str, Encoder] = {}
-
-
 def encoder(path: str) -> Encoder:
-    """This worker's encoder for the file, loaded once."""
-    if path not in _LOADED:
-        _LOADED.clear()
-        _LOADED[path] = Encoder(path)
-    return _LOADED[path]
-
-
-def slices(texts: Sequence[str], chars: int = 2_000_000):
-    """Index ranges of ``texts`` of about ``chars`` characters each, one text at least."""
+    """This worker's encoder for the file, loaded once and with an empty table of chunks."""
+    held = kept("tokenizer")
+    if path not in held:
+        held.clear()
+        held[path] = Encoder(path)
+    held[path].clear()
+    return held[path]
+
+
+def slices(texts: pa.Array, chars: int = 2_000_000) -> Iterator[tuple[int, list[str]]]:
+    """(first row, texts) of slices of a column of about ``chars`` bytes each, one text at least."""
+    sizes = pc.binary_length(texts).to_pylist()
     a = held = 0
-    for i, t in enumerate(texts):
-        if held and held + len(t) > chars:
-            yield a, i
+    for i, n in enumerate(sizes):
+        if held and held + n > chars:
+            yield a, texts.slice(a, i - a).to_pylist()
             a, held = i, 0
-        held += len(t)
-    if a < len(texts):
-        yield a, len(texts)
+        held += n
+    if a < len(sizes):
+        yield a, texts.slice(a).to_pylist()

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import text_of
+from .common import text_of, tidy
 from .tokenizing import encoder, slices, tokenizer_digest
 
 LIMIT = 1024
@@ -47,11 +47,10 @@ def encode_counts(texts: DataFrame, tokenizer: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
         for b in batches:
-            texts = b.column(1).to_pylist()
-            counts = [n for a, z in slices(texts) for n in enc.counts(texts[a:z]).tolist()]
+            counts = [n for _, part in slices(b.column(1)) for n in enc.counts(part).tolist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(counts, pa.int64())], ["digest", "n_tokens"])
 
-    return texts.select("digest", "text").mapInArrow(run, _SCHEMA)
+    return texts.select("digest", "text").mapInArrow(tidy(run), _SCHEMA)
 
 
 def count_tokens(docs: DataFrame, tokenizer: str, cache: str | None = None, limit: int = LIMIT) -> DataFrame:
