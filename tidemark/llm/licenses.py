@@ -115,7 +115,7 @@ def _identified(text: Column, sentences: Sequence[tuple[str, str]]) -> Column:
     """Identifiers of the known sentences in order, ``-`` for runs of others."""
     known = F.create_map(*[F.lit(x) for name, s in sentences for x in (s, name)])
     of = lambda s: F.coalesce(F.try_element_at(known, normalised(s)), F.lit("-"))
-    named = F.transform(F.filter(_sentences(text), lambda s: (F.length(s) < 1000)), of)
+    named = F.transform(_sentences(text), of)
     return let(named, lambda n: F.filter(n, lambda x, i: (x != "-") | (F.coalesce(F.get(n, i - 1), F.lit("-")) != "-")))
 
 

@@ -28,7 +28,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE_CLASS, bounded_sample, let, staged, text_of
+from .common import SPACE_CLASS, bounded_sample, fresh, let, staged, text_of
 
 #: Names that secrets are assigned to.
 NAMES = ("password", "passwd", "pwd", "secret", "token", "api_key", "api-key", "apikey", "access_key", "access-key",
@@ -49,11 +49,12 @@ _SET = r"[\"']?\]?[ \t]{0,3}"
 #: A name that ends in a listed one, looked for only where a name is followed by an assignment.
 _ASSIGNED = rf"(?={_NAME}++{_SET}[:=]){_NAME}*?(?i:" + "|".join(NAMES) + rf"){_SET}(?:=>|:=|={{1,3}}|:)[ \t]{{0,3}}"
 #: What is quoted, else all up to white space, a quote or the next parameter, without closing marks.
-_QUOTED = "|".join(rf"{q}(?!{q})[^{q}\\\r\n]*+(?:\\.[^{q}\\\r\n]*+){{0,50}}+(?={q})" for q in "\"'")
-_BARE = rf"[\"']?[^\s\"']+?(?=[,;)\]}}]*+(?:[\s\"']|\z)|[&;]{_NAME}++=)"
+_QUOTED = "|".join(rf"{q}(?!{q})[^{q}\\\r\n]*+(?:\\.[^{q}\\\r\n]*+)*+(?={q})" for q in "\"'")
+#: A run of closing marks is read once, from where it begins, so that long ones stay linear.
+_BARE = rf"[\"']?[^\s\"']+?(?=(?:(?<![,;)\]}}])[,;)\]}}]*+)?+(?:[\s\"']|\z)|[&;]{_NAME}++=)"
 _BLOCK = "[A-Z0-9 ]{0,40}PRIVATE KEY(?: BLOCK)?-----"
 #: A block up to its end, or as far as its lines go.
-_PRIVATE = rf"-----BEGIN {_BLOCK}(?:[^-]*+(?:-{{1,4}}+(?!-)[^-]*+){{0,50}}+-----END {_BLOCK}|(?:\s*+[A-Za-z0-9+/=]{{16,}}+){{1,1000}}+)"
+_PRIVATE = rf"-----BEGIN {_BLOCK}(?:[^-]*+(?:-{{1,4}}+(?!-)[^-]*+)*+-----END {_BLOCK}|(?:\s*+[A-Za-z0-9+/=]{{16,}}+)++)"
 #: Other candidates hold a digit or begin like a published format (random keys may lack digits).
 _STARTS = "AKIA|ASIA|gh[pousr]_|github_pat_|xox[baprs]-|sk_live_|AIza|glpat-|npm_|eyJ"
 _PADDED = rf"(?:{_CHARS}{{12,}}+(?:={{1,2}}+(?!{_CHARS}))?+|{_CHARS}{{11}}=(?!{_CHARS}|=)|{_CHARS}{{10}}==(?!{_CHARS}))"
@@ -179,10 +180,11 @@ def redact(docs: DataFrame, labelled: DataFrame | None = None, mark: str = "[SEC
     at = next((c for c in ("path", "source") if c in docs.columns), None)
     path = F.coalesce(F.col(at).cast("string"), F.lit("")) if at else F.lit("")
     key = F.xxhash64(text_of(), path)
+    by, spans, made = (fresh(c, docs) for c in ("key", "cuts", "new"))
     rows = docs.select(key.alias("doc_id"), "text", *([at] if at else []))
     found = staged(candidates(rows), "candidates")
     cuts = (judge(found, _model(found, labelled)).filter("is_secret").select("doc_id", "start", "end").distinct()
-            .groupBy(F.col("doc_id").alias("__key")).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("__cuts")))  # one text's spans
+            .groupBy(F.col("doc_id").alias(by)).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias(spans)))  # one text's spans
     cuts = staged(cuts, "cuts")  # of known size, so that texts are not shuffled to meet a few spans
     text = text_of()
 
@@ -191,11 +193,11 @@ def redact(docs: DataFrame, labelled: DataFrame | None = None, mark: str = "[SEC
             F.concat(s["out"], F.substr(text, s["at"] + 1, c["start"] - s["at"]), F.lit(mark)).alias("out"), c["end"].alias("at")))
         return let(done, lambda s: F.concat(s["out"], F.substr(text, s["at"] + 1)))
 
-    new = F.when(F.col("__cuts").isNull(), F.col("text")).otherwise(rebuilt(F.col("__cuts")))
+    new = F.when(F.col(spans).isNull(), F.col("text")).otherwise(rebuilt(F.col(spans)))
     # In a step of its own: beside a column named text, the lambdas would read that one.
-    joined = docs.join(cuts, key == F.col("__key"), "left").withColumn("__new", new)
-    out = {c: F.col(c) for c in docs.columns} | {"text": F.col("__new")}
+    joined = docs.withColumn(by, key).join(cuts, by, "left").withColumn(made, new)
+    out = {c: F.col(c) for c in docs.columns} | {"text": F.col(made)}
     if "n_chars" in out:
         kind = docs.schema["n_chars"].dataType
-        out["n_chars"] = F.when(F.col("__cuts").isNull(), F.col("n_chars")).otherwise(F.length("__new").cast(kind))
+        out["n_chars"] = F.when(F.col(spans).isNull(), F.col("n_chars")).otherwise(F.length(made).cast(kind))
     return joined.select(*[c.alias(k) for k, c in out.items()])
