@@ -5,7 +5,7 @@ are lexical patterns (one word before, two words before, one word after), and ot
 that hold a digit or an at sign, found in the same contexts, are unseen candidates.  Spark
 scores the graph of patterns and instances in rounds: a pattern is worth the sum of its
 instances' scores over all different tokens that the corpus has in its context, an unseen instance
-is as certain as its patterns make it (one minus the product of their doubts), seeds stay
+is as certain as its confident patterns make it (one minus the product of their doubts), seeds stay
 certain.  Instances of patterns of high confidence give further spans of the patterns'
 kind.
 
@@ -52,12 +52,12 @@ ROUNDS, CONFIDENT = 3, 0.5
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _EDGES = ".,;:!?()[]{}<>\"'"
-#: Words next to a span are looked for within so many characters.
+#: Words next to a span are looked for within so many characters first, then further.
 _NEAR = 200
 #: Hashes of patterns go to a table of two to the power of so many bits.
 _TABLE_BITS = 27
-#: Pairs of pattern and unit, and different words, that a task holds at once.
-_PAIRS, _WORDS = 1_000_000, 250_000
+#: Pairs of pattern and unit, different words, and different pairs of words that a task holds at once.
+_PAIRS, _WORDS, _TWOS = 1_000_000, 250_000, 1_000_000
 
 
 def _luhn(digits: str) -> bool:
@@ -109,8 +109,13 @@ def base_spans(text: str) -> dict[str, list[tuple[int, int]]]:
 
 def contexts(text: str, start: int, end: int) -> list[str]:
     """The lexical patterns around a span."""
-    before = _WORD.findall(text[max(0, start - _NEAR):start])[-2:]
-    after = _WORD.findall(text[end:end + _NEAR])[:1]
+    near = _NEAR
+    while len(before := _WORD.findall(text[max(0, start - near):start])) < 3 and near < start:
+        near *= 4  # the first of three may be cut, the two behind it are whole
+    before, near = before[-2:], _NEAR
+    while ((word := _WORD.search(text, end, end + near)) is None or word.end() == end + near) and end + near < len(text):
+        near *= 4
+    after = [word.group()] if word else []
     before = [w.lower().strip(_EDGES) or w for w in before]
     out = []
     if before:
@@ -190,12 +195,14 @@ class _Words(dict):
 
     ``before`` and ``after``: the number of the pattern that has the word there, or -1;
     ``kind``: 1 if it may be the last of a pattern of two, plus 2 if it looks like an identifier.
+    ``two`` has the number of the pattern of two words, or -1, under both their numbers.
     """
 
     def __init__(self, table: bytes):
         super().__init__()
         self.table, self.patterns, self.names = table, {}, []
         self.word, self.rows = [], array("q")
+        self.two = _Pairs(self)
 
     def may_be(self, key: str) -> bool:
         h = crc32(key.encode("utf-8", "replace")) & ((1 << _TABLE_BITS) - 1)
@@ -218,6 +225,19 @@ class _Words(dict):
         return n
 
 
+class _Pairs(dict):
+    """Number of the pattern of two words, or -1, by the numbers of both."""
+
+    def __init__(self, words: _Words):
+        super().__init__()
+        self.words = words
+
+    def __missing__(self, pair: int) -> int:
+        word = self.words.word
+        self[pair] = n = self.words.pattern(f"L2 {word[pair >> 32]} {word[pair & 0xFFFFFFFF]}")
+        return n
+
+
 def _candidates(docs: DataFrame, patterns: DataFrame) -> DataFrame:
     """What the patterns, and few other contexts, have in them over all texts.
 
@@ -226,8 +246,8 @@ def _candidates(docs: DataFrame, patterns: DataFrame) -> DataFrame:
     identifiers and lie outside base spans, each with its place.
     """
     sent = docs.sparkSession.sparkContext.broadcast(_bit_table(patterns))
-    names = ["key", "start", "end", "instance", "pattern", "units"]
-    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.list_(pa.int64())]
+    names = ["key", "start", "end", "instance", "pattern", "n", "units"]
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.int64(), pa.list_(pa.int64())]
 
     def counted(words: _Words, pairs: list[np.ndarray]) -> pa.RecordBatch:
         """The rows of (pattern, units) of ``pairs``."""
@@ -237,7 +257,8 @@ def _candidates(docs: DataFrame, patterns: DataFrame) -> DataFrame:
         new = np.r_[True, (np.diff(number) != 0) | (np.diff(unit) != 0)]
         number, unit = number[new], unit[new]
         start = np.flatnonzero(np.r_[True, np.diff(number) != 0])
-        columns = [pa.nulls(len(start), k) for k in kinds[:4]] + [pa.array([words.names[i] for i in number[start].tolist()], kinds[4])]
+        columns = [pa.nulls(len(start), k) for k in kinds[:4]] + [pa.array([words.names[i] for i in number[start].tolist()], kinds[4]),
+                                                                 pa.array(np.diff(np.r_[start, len(unit)]), kinds[5])]
         return pa.RecordBatch.from_arrays([*columns, pa.ListArray.from_arrays(pa.array(np.r_[start, len(unit)], pa.int32()), pa.array(unit))], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -251,11 +272,13 @@ def _candidates(docs: DataFrame, patterns: DataFrame) -> DataFrame:
                     continue
                 before, after, kind, unit = np.frombuffer(words.rows, np.int64).reshape(-1, 4)[at].T
                 left, right = np.flatnonzero(before[:-1] >= 0), np.flatnonzero(after[1:] >= 0)
-                two = [(i + 1, p) for i in (np.flatnonzero(kind[1:-1] & 1) + 1).tolist()
-                       if (p := words.pattern(f"L2 {words.word[at[i - 1]]} {words.word[at[i]]}")) >= 0]
+                last = np.flatnonzero(kind[1:-1] & 1) + 1
+                pairs_of = (at[last - 1] << 32) | at[last]
+                two = np.fromiter(map(words.two.__getitem__, pairs_of.tolist()), np.int64, len(last))
+                last, two = last[two >= 0], two[two >= 0]
                 # (place, pattern, whether the pattern is behind)
-                place = np.r_[left + 1, np.asarray([i for i, _ in two], np.int64), right]
-                number = np.r_[before[left], np.asarray([p for _, p in two], np.int64), after[right + 1]]
+                place = np.r_[left + 1, last + 1, right]
+                number = np.r_[before[left], two, after[right + 1]]
                 if not len(place):
                     continue
                 behind = np.arange(len(place)) >= len(left) + len(two)
@@ -271,26 +294,27 @@ def _candidates(docs: DataFrame, patterns: DataFrame) -> DataFrame:
                             found[k] = _hash(touched[i][int(behind[k])])
                         else:
                             a, z = _trimmed(t, *places[i])
-                            rows.append((doc, a, z, t[a:z], words.names[number[k]], None))
+                            rows.append((doc, a, z, t[a:z], words.names[number[k]], None, None))
                 pairs.append(np.stack([number, found]))
                 n += len(place)
-                if n >= _PAIRS or len(words) >= _WORDS:
+                if n >= _PAIRS or len(words) >= _WORDS or len(words.two) >= _TWOS:
                     yield counted(words, pairs)
                     if rows:
                         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
-                    words, pairs, n, rows = _Words(sent.value) if len(words) >= _WORDS else words, [], 0, []
+                    words, pairs, n, rows = _Words(sent.value) if len(words) >= _WORDS or len(words.two) >= _TWOS else words, [], 0, []
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
         if pairs:
             yield counted(words, pairs)
 
-    return docs.mapInArrow(run, "key long, start int, end int, instance string, pattern string, units array<long>")
+    return docs.mapInArrow(run, "key long, start int, end int, instance string, pattern string, n long, units array<long>")
 
 
-def _score(links: DataFrame, uses: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _score(links: DataFrame, uses: DataFrame, confident: float) -> tuple[DataFrame, DataFrame]:
     """(pattern, confidence, kind) and (instance, score) after ROUNDS rounds over the graph.
 
-    ``links``: (pattern, instance, kind, n), kind null for unseen instances.
+    ``links``: (pattern, instance, kind, n), kind null for unseen instances.  Confident
+    patterns alone score their instances.
     """
     seeds = links.filter("kind IS NOT NULL")
     kind = seeds.groupBy("pattern", "kind").agg(F.sum("n").alias("n")).groupBy("pattern").agg(F.max_by("kind", F.struct("n", "kind")).alias("kind"))
@@ -301,7 +325,7 @@ def _score(links: DataFrame, uses: DataFrame) -> tuple[DataFrame, DataFrame]:
     scores = None
     for _ in range(ROUNDS):
         doubt = F.sum(F.log(F.greatest(F.lit(1e-6), 1 - F.col("confidence"))))
-        scores = unseen.join(patterns, "pattern").groupBy("instance").agg((1 - F.exp(doubt)).alias("score"))
+        scores = unseen.join(patterns.filter(F.col("confidence") >= confident), "pattern").groupBy("instance").agg((1 - F.exp(doubt)).alias("score"))
         scores = staged(scores, "pii-instances")
         more = unseen.join(scores, "instance").groupBy("pattern").agg(F.sum(F.col("n") * F.col("score")).alias("more"))
         patterns = base.join(more, "pattern", "left").select("pattern", "kind", "uses", "sure", F.least(
@@ -310,6 +334,21 @@ def _score(links: DataFrame, uses: DataFrame) -> tuple[DataFrame, DataFrame]:
     return patterns, scores
 
 
+def _possible(met: DataFrame, seeds: DataFrame, confident: float) -> DataFrame:
+    """(pattern): those that can still become confident.
+
+    All its instances together, seeds and unseen, are the most that a pattern's confidence
+    can have above the line, and the units of any one part of a task the least below it.
+    Below ``confident`` a pattern scores and adds nothing, so leaving those out that stay
+    there changes no result.
+    """
+    unseen = met.filter("key IS NOT NULL").select("pattern", "instance").distinct().groupBy("pattern").agg(F.count(F.lit(1)).alias("unseen"))
+    least = met.filter("key IS NULL").groupBy("pattern").agg(F.max("n").alias("least"))
+    sure = seeds.groupBy("pattern").agg(F.count(F.lit(1)).alias("sure"))
+    return (unseen.join(sure, "pattern").join(least, "pattern", "left")
+            .filter(F.col("sure") + F.col("unseen") >= confident * F.coalesce("least", F.lit(0)) * (1 - 1e-9)).select("pattern"))
+
+
 def find(docs: DataFrame, confident: float = CONFIDENT) -> DataFrame:
     """(doc_id, spans, added): base spans and those that the contexts add, one row per row of ``docs``.
 
@@ -328,13 +367,14 @@ def find(docs: DataFrame, confident: float = CONFIDENT) -> DataFrame:
     met = staged(_candidates(rows.select("key", "text"), strong), "pii-candidates")
     unseen = met.filter("key IS NOT NULL").join(strong, "pattern", "left_semi")
     # In the unit of the seeds: distinct (pattern, instance); a pattern without unseen instances is worth nothing.
-    asked = staged(unseen.select("pattern").distinct(), "pii-asked")
+    asked = staged(_possible(met, seeds.join(strong, "pattern", "left_semi"), confident), "pii-asked")
+    unseen = unseen.join(asked, "pattern", "left_semi")
     uses = (met.filter("key IS NULL").join(asked, "pattern", "left_semi").select("pattern", F.explode("units").alias("unit"))
             .unionByName(seeds.join(asked, "pattern", "left_semi").select("pattern", hashed("instance").alias("unit"))).distinct()
             .groupBy("pattern").agg(F.count(F.lit(1)).alias("uses")))
-    links = (seeds.join(strong, "pattern", "left_semi").select("pattern", "instance", "kind", "n")
+    links = (seeds.join(asked, "pattern", "left_semi").select("pattern", "instance", "kind", "n")
              .unionByName(unseen.select("pattern", "instance").distinct().select("pattern", "instance", F.lit(None).cast("string").alias("kind"), F.lit(1).alias("n"))))
-    scored, instances = _score(staged(links, "pii-links"), uses)
+    scored, instances = _score(staged(links, "pii-links"), uses, confident)
     good = scored.filter(F.col("confidence") >= confident).select("pattern", "kind", "confidence")
     sure = instances.filter(F.col("score") >= confident).select("instance")
     added = (unseen.join(good, "pattern").join(sure, "instance", "left_semi").groupBy("key", "start", "end")
