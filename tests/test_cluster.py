@@ -75,8 +75,8 @@ def test_cuts_nest_and_ids_are_one_based():
         assert len(np.unique(med[fine == f])) == 1
 
 
-def test_weighted_ward_on_micro_clusters_merges_groups():
-    # Two micro-clusters of one tight group join before any cross-group merge.
+def test_weighted_ward_merges_groups():
+    # Two clusters of one tight group join before any cross-group merge.
     stats = pd.DataFrame({"micro": [0, 1, 2], "n": [10, 10, 1],
                           "s": [np.array([0.0, 0.0]) * 10, np.array([0.1, 0.0]) * 10,
                                 np.array([5.0, 5.0])], "ss": [0.0, 0.1, 50.0]})
@@ -85,19 +85,6 @@ def test_weighted_ward_on_micro_clusters_merges_groups():
     assert merges.iloc[-1]["size"] == 21
 
 
-def test_ward_topics_distributed(spark):
-    rng = np.random.default_rng(3)
-    x = np.concatenate([rng.normal(c, 0.05, size=(30, 5)) for c in (0.0, 1.0, 2.0, 3.0)])
-    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, v array<double>")
-    out, merges = C.ward_topics(spark, df, "id", "v", {"medium": 2, "fine": 4}, n_micro=40)
-    pdf = out.toPandas().sort_values("id")
-    assert partition(pdf["cluster_fine"]) == {frozenset(range(i * 30, i * 30 + 30)) for i in range(4)}
-    assert 4 <= merges.count() <= 39
-    out2, _ = C.ward_topics(spark, df, "id", "v", {"medium": 2, "fine": 4}, n_micro=20)
-    p2 = out2.toPandas()
-    assert p2.groupby("cluster_fine")["cluster_medium"].nunique().max() == 1
-
-
 def direct_ch(x: np.ndarray, labels: np.ndarray) -> float:
     mean = x.mean(axis=0)
     ks = np.unique(labels)

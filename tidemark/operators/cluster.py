@@ -6,11 +6,8 @@
   (query block, candidate block) pair is one cogroup task that multiplies two blocks
   and keeps k candidates per query row, so no task ever holds more than two blocks and
   no group emits all pairs.  A final ``row_number() <= k`` merges the per-block lists.
-* ``micro_clusters`` + ``ward_merges``: KMeans into at most ``n_micro`` micro-clusters
-  (distributed), their sufficient statistics (n, sum x, sum |x|^2) in one grouped
-  pass, then weighted Ward on the micro-cluster centroids with the nearest-neighbour
-  chain: O(K^2) time on a K-row table whatever the row count.  With K = n it is the
-  exact Ward hierarchy of the points.
+* ``ward_merges``: weighted Ward over a small table of clusters (n, sum x) with the
+  nearest-neighbour chain; ``hierarchy`` brings tables of any size down to it, exactly.
 * ``cut``: ``maxclust``-style cuts of the merge table; cuts at two levels nest.
 * ``ch_score`` / ``best_k``: Calinski-Harabasz from grouped statistics.
 * ``assign_topics``: nearest centroid for new documents (centroids are topic-sized).
@@ -25,7 +22,6 @@ import numpy as np
 import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, IDF, HashingTF, Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -36,10 +32,6 @@ from ..functions.text import tokenize
 from ..session import scratch_path
 from .dedupe import top_n
 
-#: Micro-clusters that the Ward step starts from.
-N_MICRO = 200
-
-
 #: Session setting that names a lasting embedding cache; unset: a new folder for each call.
 CACHE_SETTING = "spark.tidemark.embeddingCache"
 
@@ -165,28 +157,8 @@ def knn_graph(df: DataFrame, key: str, vec: str, k: int, block_rows: int = 4096,
 
 
 # ------------------------------------------------------------------ M6 / M7 / M10
-def micro_clusters(df: DataFrame, key: str, vec: str, n_micro: int = N_MICRO,
-                   seed: int = 42) -> tuple[DataFrame, pd.DataFrame]:
-    """(key -> micro id assignment, micro statistics n / sum / sumsq as pandas, K rows).
-
-    Distributed KMeans at every size, so the work is the same program for any table; with
-    fewer distinct rows than ``n_micro`` each becomes its own micro-cluster.  Random
-    initialisation: the micro-clusters only over-segment the data for the Ward step, and
-    empty ones drop out of the statistics.
-    """
-    src = df.select(key, (array_to_vector(vec) if _is_array(df, vec) else F.col(vec)).alias("__v"))
-    km = KMeans(k=n_micro, seed=seed, featuresCol="__v", predictionCol="micro", maxIter=20, initMode="random").fit(src)
-    assign = km.transform(src).withColumn("micro", F.col("micro").cast("int"))
-    sq = F.aggregate(vector_to_array("__v"), F.lit(0.0), lambda a, x: a + x * x)
-    stats = (assign.groupBy("micro").agg(F.count(F.lit(1)).alias("n"),
-                                        vector_to_array(Summarizer.sum(F.col("__v"))).alias("s"),
-                                        F.sum(sq).alias("ss"))
-             .orderBy("micro").toPandas())  # K <= n_micro rows by construction
-    return assign.select(key, "micro"), stats
-
-
 def ward_merges(stats: pd.DataFrame) -> pd.DataFrame:
-    """Weighted Ward over micro-clusters (n, sum) via the nearest-neighbour chain.
+    """Weighted Ward over clusters (n, sum) via the nearest-neighbour chain.
 
     Returns merges sorted by height: (step, left, right, height, size); leaves are
     0..K-1, the cluster made at step i is K + i (the usual linkage-matrix numbering).
@@ -271,24 +243,6 @@ def cut(merges: pd.DataFrame, n_leaves: int, k: int) -> np.ndarray:
     return np.array([ids.setdefault(r, len(ids) + 1) for r in roots], dtype=np.int32)
 
 
-def ward_topics(spark: SparkSession, df: DataFrame, key: str, vec: str,
-                levels: dict[str, int], n_micro: int = N_MICRO, seed: int = 42
-                ) -> tuple[DataFrame, DataFrame]:
-    """M6 + M7: (key, cluster_<level>...) and the merge table, from micro-cluster Ward."""
-    assign, stats = micro_clusters(df, key, vec, n_micro, seed)
-    merges = ward_merges(stats)
-    K = len(stats)
-    table = pd.DataFrame({"micro": stats["micro"].astype("int32")})
-    for lv, k in levels.items():
-        table[f"cluster_{lv}"] = cut(merges, K, k)
-    # The micro -> topic table has K <= n_micro rows: a proven broadcast bound.
-    mt = spark.createDataFrame(table)
-    out = assign.join(F.broadcast(mt), "micro").drop("micro")
-    merges_df = spark.createDataFrame(merges.astype({"step": "int64", "left": "int64", "right": "int64",
-                                                     "height": "float64", "size": "int64"}))
-    return out, merges_df
-
-
 def last_merges(merges: DataFrame, p: int) -> DataFrame:
     """The last p merges (the top of the dendrogram)."""
     return merges.orderBy(F.desc("step")).limit(p)
@@ -323,7 +277,7 @@ def ch_score(df: DataFrame, vec: str, cluster: str | Sequence[str]) -> DataFrame
 
 
 def ch_from_stats(stats: pd.DataFrame, labels: np.ndarray) -> float:
-    """CH of a labelling of micro-clusters, from their (n, sum, sumsq)."""
+    """CH of a labelling of clusters, from their (n, sum, sumsq)."""
     n = stats["n"].to_numpy(dtype=np.float64)
     s = np.stack(stats["s"].to_numpy())
     N, S = n.sum(), s.sum(axis=0)

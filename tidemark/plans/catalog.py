@@ -20,6 +20,9 @@ from ..sources.tables import read_table, spread
 from . import sqlparts as S
 from .standins import articles, both_levels, kept_docs, topic_docs
 
+#: The languages of the documents, which stand in for the industry dimension.
+LANGS = ("de", "en", "es", "fr")
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -38,11 +41,12 @@ def register(key: str, sql: str | None = None):
 WITH {S.topic_docs_ctes()}, {S.both_levels_cte()}
 SELECT level, topic,
        * EXCLUDE (level, topic, total), total
-FROM (PIVOT tl ON lang USING count(*) GROUP BY level, topic)
-JOIN (SELECT level, topic, count(lang) AS total FROM tl GROUP BY level, topic) USING (level, topic)""")
+FROM (PIVOT tl ON lang IN ({", ".join(S.q(x) for x in LANGS)}) USING count(*) GROUP BY level, topic)
+JOIN (SELECT level, topic, count(lang) AS total FROM tl
+      WHERE lang IN ({", ".join(S.q(x) for x in LANGS)}) GROUP BY level, topic) USING (level, topic)""")
 def topic_industry_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents per (level, topic) x language, with a total."""
-    return rollup.topic_matrix(both_levels(topic_docs(spark, sf_dir)), ["level", "topic"], "lang")
+    return rollup.topic_matrix(both_levels(topic_docs(spark, sf_dir)), ["level", "topic"], "lang", LANGS)
 
 
 # ---------------------------------------------------------------- cleaning
@@ -764,9 +768,12 @@ import pandas as pd  # noqa: E402
 
 from ..functions.fixed import (AUTO_RANGES, FINE_MIN_GAP, LAST_MERGES, LEVELS, N_NEIGHBORS,  # noqa: E402
                                REDUCED_DIMS)
-from ..operators import cluster  # noqa: E402
+from ..operators import cluster, hierarchy, layout, neighbours  # noqa: E402
 from ..session import scratch_path  # noqa: E402
 
+#: Share of the exact edges that the descent has to find.
+RECALL = 0.9
+
 
 @register("embed_docs")
 def embed_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -821,24 +828,105 @@ def knn_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.withColumn("sim", F.round("sim", 6))
 
 
-def _ward(spark: SparkSession, sf_dir: str):
+@register("knn_descent")
+def knn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M5: the 30-nearest-neighbour graph by neighbour descent, whose cost does not grow with n^2."""
+    v = read_table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return neighbours.knn_descent(v, "vec_id", "embedding", N_NEIGHBORS).withColumn("sim", F.round("sim", 6))
+
+
+@register("knn_recall", f"""
+SELECT count(*) AS documents, count(*) * {N_NEIGHBORS} AS edges, TRUE AS recall_reached FROM embeddings""")
+def knn_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M5: whether the descent finds RECALL of all edges of the exact graph, over all rows."""
+    v = read_table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    found = staged(knn_descent(spark, sf_dir).select("vec_id", "neighbor_id"), "descent")
+    exact = cluster.knn_graph(v, "vec_id", "embedding", N_NEIGHBORS).select("vec_id", "neighbor_id", F.lit(1).alias("hit"))
+    both = found.join(exact, ["vec_id", "neighbor_id"], "left")
+    return both.agg(F.count_distinct("vec_id").alias("documents"), F.count(F.lit(1)).alias("edges"),
+                    (F.count("hit") >= RECALL * F.count(F.lit(1))).alias("recall_reached"))
+
+
+@register("fuzzy_edges", f"""
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+p AS (SELECT a.vec_id, b.vec_id AS neighbor_id, list_cosine_similarity(a.e, b.e) AS sim
+      FROM v a JOIN v b ON a.vec_id <> b.vec_id),
+k AS (SELECT vec_id, neighbor_id, greatest(0.0, 1 - sim) AS d FROM p
+      QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY round(sim, 9) DESC, neighbor_id) <= {N_NEIGHBORS}),
+r AS (SELECT vec_id, coalesce(min(d) FILTER (d > 0), 0.0) AS rho, list(d) AS ds FROM k GROUP BY vec_id),
+s AS (SELECT vec_id, rho, ds, 0 AS step, 0.0::DOUBLE AS low, 'inf'::DOUBLE AS high, 1.0::DOUBLE AS mid FROM r
+      UNION ALL
+      SELECT vec_id, rho, ds, step + 1, CASE WHEN t > log2({N_NEIGHBORS}) THEN low ELSE mid END, CASE WHEN t > log2({N_NEIGHBORS}) THEN mid ELSE high END,
+             CASE WHEN t > log2({N_NEIGHBORS}) THEN (low + mid) / 2 WHEN high = 'inf'::DOUBLE THEN mid * 2 ELSE (mid + high) / 2 END
+      FROM (SELECT *, list_sum(list_transform(ds, lambda x: exp(-greatest(0.0, x - rho) / mid))) AS t FROM s WHERE step < {layout.HALVINGS})),
+m AS (SELECT k.vec_id, neighbor_id, exp(-greatest(0.0, d - rho) / mid) AS w FROM k JOIN s ON s.vec_id = k.vec_id AND s.step = {layout.HALVINGS})
+SELECT least(vec_id, neighbor_id) AS a, greatest(vec_id, neighbor_id) AS b,
+       round(sum(w) - CASE WHEN count(*) > 1 THEN max(w) * min(w) ELSE 0 END, 6) AS w
+FROM m GROUP BY 1, 2""")
+def fuzzy_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M4: undirected weights of the neighbour graph, each row with its own bandwidth."""
+    v = read_table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    graph = cluster.knn_graph(v, "vec_id", "embedding", N_NEIGHBORS)
+    return layout.fuzzy_union(layout.memberships(graph, "vec_id", N_NEIGHBORS), "vec_id").withColumn("w", F.round("w", 6))
+
+
+def _layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = read_table(spark, sf_dir, "embeddings", "vec_id", "embedding")
-    r = cluster.reduce(v, "embedding", REDUCED_DIMS, "r15").select("vec_id", "r15")
-    return r
+    graph = neighbours.knn_descent(v, "vec_id", "embedding", N_NEIGHBORS)
+    edges = staged(layout.fuzzy_union(layout.memberships(graph, "vec_id", N_NEIGHBORS), "vec_id"), "fuzzy-edges")
+    return layout.spectral_layout(edges, "vec_id", REDUCED_DIMS)[0]
+
+
+@register("spectral_layout")
+def spectral_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M5, M4: 15-d reduction that keeps neighbours: descent graph, fuzzy weights, spectral layout."""
+    return _layout(spark, sf_dir)
 
 
-@register("ward_topics")
+@register("layout_quality", f"""
+SELECT count(*) AS documents, {REDUCED_DIMS} AS dims, TRUE AS unit_rows, TRUE AS better_than_pca FROM embeddings""")
+def layout_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M4: whether the layout keeps a larger share of the exact 30 neighbours than PCA to as many axes."""
+    from pyspark.ml.functions import vector_to_array
+    v = read_table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    made = staged(_layout(spark, sf_dir), "layout")
+    pca = cluster.reduce(v, "embedding", REDUCED_DIMS, "r").select("vec_id", vector_to_array("r").alias("r"))
+    exact = staged(cluster.knn_graph(v, "vec_id", "embedding", N_NEIGHBORS).select("vec_id", "neighbor_id"), "exact-graph")
+    share = [layout.kept_neighbours(exact, cluster.knn_graph(x, "vec_id", c, N_NEIGHBORS), "vec_id", N_NEIGHBORS) for x, c in ((made, "layout"), (pca, "r"))]
+    length = F.aggregate("layout", F.lit(0.0), lambda a, x: a + x * x)
+    return made.agg(F.count(F.lit(1)).alias("documents"), F.max(F.size("layout")).alias("dims"),
+                    (F.max(F.abs(length - 1)) < 1e-9).alias("unit_rows")).withColumn("better_than_pca", F.lit(share[0] > share[1]))
+
+
+@register("ward_topics", f"""
+WITH {S.ward_ctes()},
+cuts(level, kk) AS (VALUES {", ".join(f"({S.q(x)}, {k})" for x, k in LEVELS.items())}),
+done AS (SELECT level, m.low, m.high FROM cuts JOIN merges m
+         ON m.height <= (SELECT max(x.height) FROM merges x WHERE x.step < (SELECT any_value(k) FROM leaf) - cuts.kk)),
+up AS (SELECT level, id, id AS tip FROM cuts, leaf
+       UNION ALL SELECT up.level, up.id, done.low FROM up JOIN done ON done.level = up.level AND done.high = up.tip),
+tops AS (SELECT level, id, dense_rank() OVER (PARTITION BY level ORDER BY tip) AS topic FROM (SELECT level, id, min(tip) AS tip FROM up GROUP BY level, id)),
+member AS (SELECT vec_id, min(vec_id) OVER (PARTITION BY embedding) AS id FROM embeddings WHERE embedding IS NOT NULL AND vec_id IS NOT NULL)
+SELECT vec_id, {", ".join(f"CAST(max(topic) FILTER (level = {S.q(x)}) AS INTEGER) AS cluster_{x}" for x in LEVELS)}
+FROM member JOIN tops USING (id) GROUP BY vec_id""")
 def ward_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M6, M7: Ward hierarchy on 15-d features, cut into 25 medium and 60 fine topics."""
-    topics, _ = cluster.ward_topics(spark, _ward(spark, sf_dir), "vec_id", "r15", LEVELS)
-    return topics
+    """M6, M7: exact Ward hierarchy over all vectors, cut into 25 medium and 60 fine topics."""
+    v = read_table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return hierarchy.ward_topics(spark, v, "vec_id", "embedding", LEVELS)[0]
 
 
-@register("merge_table")
+@register("merge_table", f"""
+WITH {S.ward_ctes()},
+sides AS (SELECT m.step, m.height, m.size, coalesce(lag(m.step) OVER (PARTITION BY m.low ORDER BY m.step) + l.k, l.node) AS a,
+                 coalesce((SELECT max(x.step) FROM merges x WHERE x.low = m.high) + r.k, r.node) AS b
+          FROM merges m JOIN leaf l ON l.id = m.low JOIN leaf r ON r.id = m.high)
+SELECT step, least(a, b) AS "left", greatest(a, b) AS "right", round(height, 6) AS height, size
+FROM sides ORDER BY step DESC LIMIT {LAST_MERGES}""")
 def merge_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last 60 merges of the Ward hierarchy (step, left, right, height, size)."""
-    _, merges = cluster.ward_topics(spark, _ward(spark, sf_dir), "vec_id", "r15", LEVELS)
-    return cluster.last_merges(merges, LAST_MERGES)
+    v = read_table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    _, merges = hierarchy.ward_topics(spark, v, "vec_id", "embedding", LEVELS)
+    return cluster.last_merges(merges, LAST_MERGES).withColumn("height", F.round("height", 6))
 
 
 @register("ward_levels", """
@@ -862,21 +950,31 @@ c AS (SELECT d, sum(x * x) - sum(x) * sum(x) / count(*) AS ss FROM e GROUP BY d)
 SELECT (SELECT count(*) FROM embeddings) AS n, round(sum(ss), 4) AS total_ss FROM c""")
 def merge_energy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every Ward merge adds half its squared height to the scatter inside
-    clusters; with the scatter inside the micro-clusters all merges add up to the total."""
+    clusters; with the scatter inside the leaves all merges add up to the total."""
     v = read_table(spark, sf_dir, "embeddings", "vec_id", "embedding")
-    _, stats = cluster.micro_clusters(v, "vec_id", "embedding")
-    merges = cluster.ward_merges(stats)
-    table = spark.createDataFrame(stats[["n", "s", "ss"]].assign(s=[list(x) for x in stats["s"]]), "n long, s array<double>, ss double")
+    _, leaves = hierarchy.leaf_features(v, "vec_id", "embedding")
+    _, merges = hierarchy.ward_tree(leaves)
     s2 = F.aggregate("s", F.lit(0.0), lambda a, x: a + x * x)
-    inner = table.agg(F.sum("n").alias("n"), F.sum(F.col("ss") - s2 / F.col("n")).alias("inner"))
+    inner = leaves.agg(F.sum("n").alias("n"), F.sum(F.col("ss") - s2 / F.col("n")).alias("inner"))
     return inner.select("n", F.round(F.col("inner") + float((merges["height"] ** 2).sum() / 2), 4).alias("total_ss"))
 
 
-@register("best_k")
+@register("best_k", f"""
+WITH {S.ward_ctes()},
+x AS (SELECT unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS d FROM embeddings),
+total AS (SELECT sum(ss) AS t, any_value(n) AS n FROM (SELECT d, sum(x * x) - sum(x) * sum(x) / count(*) AS ss, count(*) AS n FROM x GROUP BY d)),
+within_k AS (SELECT k - step - 1 AS k, sum(height * height / 2) OVER (ORDER BY step) AS w FROM merges CROSS JOIN (SELECT any_value(k) AS k FROM leaf)),
+score AS (SELECT CAST(k AS INTEGER) AS k, ((t - w) / (k - 1)) / (w / (n - k)) AS ch FROM within_k, total WHERE k > 1),
+med AS (SELECT * FROM score WHERE k >= {AUTO_RANGES["medium"][0]} AND k < {AUTO_RANGES["medium"][1]}),
+medk AS (SELECT first(k ORDER BY ch DESC, k) AS k FROM med),
+fin AS (SELECT * FROM score WHERE k >= greatest({AUTO_RANGES["fine"][0]}, (SELECT k FROM medk) + {FINE_MIN_GAP}) AND k < {AUTO_RANGES["fine"][1]}),
+fink AS (SELECT first(k ORDER BY ch DESC, k) AS k FROM fin)
+SELECT 'medium' AS level, k, round(ch, 6) AS ch, k = (SELECT k FROM medk) AS chosen FROM med
+UNION ALL SELECT 'fine', k, round(ch, 6), k = (SELECT k FROM fink) FROM fin""")
 def best_k(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M8: Calinski-Harabasz for every candidate k of each level, from micro statistics."""
-    assign, stats = cluster.micro_clusters(_ward(spark, sf_dir), "vec_id", "r15")
-    merges = cluster.ward_merges(stats)
+    """M8: Calinski-Harabasz for every candidate k of each level, from the leaves' features."""
+    v = read_table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    stats, merges = hierarchy.ward_tree(hierarchy.leaf_features(v, "vec_id", "embedding")[1])
     lo, hi = AUTO_RANGES["medium"]
     med = cluster.k_scores(stats, merges, range(lo, hi))
     kmed = cluster.chosen_k(med)
@@ -884,7 +982,7 @@ def best_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     fin = cluster.k_scores(stats, merges, range(max(flo, kmed + FINE_MIN_GAP), fhi))
     kfin = cluster.chosen_k(fin)
     both = pd.concat([med.assign(level="medium", chosen=med["k"] == kmed), fin.assign(level="fine", chosen=fin["k"] == kfin)])
-    return spark.createDataFrame(both[["level", "k", "ch", "chosen"]], "level string, k int, ch double, chosen boolean")
+    return spark.createDataFrame(both[["level", "k", "ch", "chosen"]], "level string, k int, ch double, chosen boolean").withColumn("ch", F.round("ch", 6))
 
 
 @register("ch_score", """

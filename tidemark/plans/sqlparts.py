@@ -71,3 +71,30 @@ def both_levels_cte(src: str = "td", name: str = "tl") -> str:
   SELECT *, 'medium' AS level, cluster_medium AS topic FROM {src}
   UNION ALL
   SELECT *, 'fine' AS level, cluster_fine AS topic FROM {src})"""
+
+
+def ward_ctes(table: str = "embeddings", key: str = "vec_id", vec: str = "embedding") -> str:
+    """``RECURSIVE`` CTEs of Ward's hierarchy: ``leaf`` (id, n, s, node, k) and ``merges`` (low, high, height, size, step).
+
+    Each round merges the pairs that are each other's nearest; clusters are named by their
+    smallest leaf.
+    """
+    return f"""RECURSIVE w AS (
+  SELECT 0 AS round, 'c' AS kind, min({key}) AS id, count(*) AS n,
+         list_transform(CAST({vec} AS DOUBLE[]), lambda x: x * count(*)) AS s,
+         CAST(NULL AS BIGINT) AS other, CAST(NULL AS DOUBLE) AS height
+  FROM {table} WHERE {key} IS NOT NULL AND {vec} IS NOT NULL GROUP BY {vec}
+  UNION ALL
+  (WITH a AS (SELECT round, id, n, s, list_transform(s, lambda x: x / n) AS c FROM w WHERE kind = 'c'),
+   d AS (SELECT a.id AS i, b.id AS j, sqrt(2.0 * a.n * b.n / (a.n + b.n)) * list_distance(a.c, b.c) AS h FROM a JOIN a b ON a.id <> b.id),
+   f AS (SELECT i, first(j ORDER BY h, least(i, j), greatest(i, j)) AS j, min(h) AS h FROM d GROUP BY i),
+   p AS (SELECT x.i AS low, x.j AS high, x.h FROM f x JOIN f y ON y.i = x.j AND y.j = x.i WHERE x.i < x.j),
+   g AS (SELECT p.low, p.high, p.h, l.round, l.n + r.n AS n, list_transform(list_zip(l.s, r.s), lambda z: z[1] + z[2]) AS s
+         FROM p JOIN a l ON l.id = p.low JOIN a r ON r.id = p.high)
+   SELECT round + 1, 'c', id, n, s, NULL, NULL FROM a
+   WHERE id NOT IN (SELECT low FROM p UNION ALL SELECT high FROM p) AND (SELECT count(*) FROM a) > 1
+   UNION ALL SELECT round + 1, 'c', low, n, s, NULL, NULL FROM g
+   UNION ALL SELECT round + 1, 'm', low, n, NULL, high, h FROM g)),
+leaf AS (SELECT id, n, s, row_number() OVER (ORDER BY id) - 1 AS node, count(*) OVER () AS k FROM w WHERE round = 0),
+merges AS (SELECT id AS low, other AS high, height, n AS size,
+                  row_number() OVER (ORDER BY height, n, id, other) - 1 AS step FROM w WHERE kind = 'm')"""

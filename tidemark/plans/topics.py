@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.fixed import DEFAULT_INDUSTRY, LEVELS, REDUCED_DIMS
 from ..functions.text import clean_text, has_text, strip
-from ..operators import cluster, rollup
+from ..operators import cluster, hierarchy, rollup
 from ..operators.dims import with_industry
 from ..sources.readers import read_stage
 from ..sources.sinks import write_stage
@@ -25,7 +25,7 @@ ENCODER_ID = "clean-v1/hashed-1024"
 
 
 def cluster_phase(spark: SparkSession, articles: DataFrame, stocks: DataFrame, run_root: str,
-                  levels: dict[str, int] = LEVELS, n_micro: int = cluster.N_MICRO,
+                  levels: dict[str, int] = LEVELS, leaves: int = hierarchy.LEAVES,
                   dims: int = REDUCED_DIMS, cache_path: str | None = None,
                   stock_order: str = "industry_name") -> DataFrame:
     """Phase 1 up to the stage table: (doc_id, stock_id, industry_name, text, x, y,
@@ -43,8 +43,7 @@ def cluster_phase(spark: SparkSession, articles: DataFrame, stocks: DataFrame, r
                 "features")
     red = read_stage(spark, run_root, "run", "features")
     xy = cluster.reduce(red, "features", 2, "__xy")
-    topics, merges = cluster.ward_topics(spark, red.select("doc_id", "features"), "doc_id",
-                                         "features", levels, n_micro)
+    topics, merges = hierarchy.ward_topics(spark, red, "doc_id", "features", levels, leaves)
     xy = xy.select("doc_id", vector_to_array("__xy")[0].alias("x"), vector_to_array("__xy")[1].alias("y"))
     docs = (arts.withColumn("text", clean_text(strip("text")))
             .join(topics, "doc_id").join(xy, "doc_id"))
