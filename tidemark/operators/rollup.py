@@ -63,9 +63,11 @@ def topic_matrix(df: DataFrame, topic: str | Sequence[str], industry: str,
 
 
 def topic_brief(df: DataFrame, topic: str | Sequence[str], industry: str, text: str, doc: str,
-                n_samples: int = N_SAMPLES, n_industries: int = N_TOP_INDUSTRIES,
+                keywords: DataFrame | None = None, n_samples: int = N_SAMPLES, n_industries: int = N_TOP_INDUSTRIES,
                 sample_chars: int = SAMPLE_CHARS) -> DataFrame:
-    """Per non-empty topic its size, top industries and samples.
+    """Per non-empty topic its size, top industries, keywords and samples.
+
+    ``keywords``: (topic keys..., rank, term) as ``topic_keywords`` gives them.
 
     top_industries: up to ``n_industries`` "name(n)" strings by count desc, name.
     samples: the ``n_samples`` shortest texts (ties by ``doc``), first ``sample_chars``
@@ -92,7 +94,32 @@ def topic_brief(df: DataFrame, topic: str | Sequence[str], industry: str, text:
     smp = smp.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("__r", "__s"))).alias("__l"))
     smp = smp.select(*keys, F.transform("__l", lambda x: x["__s"]).alias("samples"))
 
-    return sizes.join(ind, keys, "left").join(smp, keys, "left")
+    brief = sizes.join(ind, keys, "left").join(smp, keys, "left")
+    if keywords is not None:
+        terms = keywords.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("rank", "term"))).alias("__l"))  # n terms a topic
+        brief = brief.join(terms.select(*keys, F.transform("__l", lambda x: x["term"]).alias("keywords")), keys, "left")
+    return brief
+
+
+def brief_lines(brief: DataFrame, industries: DataFrame, industry: str, levels: Sequence[str]) -> DataFrame:
+    """K7: the naming brief as ordered text lines (part, topic, line): industry counts, then each topic of each level.
+
+    ``brief``: (level, topic, size, top_industries, keywords, samples); ``industries``: (industry, n).
+    """
+    head = [industries.select(F.lit(0).alias("part"), (-F.col("n")).alias("topic"), F.concat_ws("", F.col(industry), F.lit(": "), F.col("n"))
+                              .alias("text"))]
+    rule = F.lit("-" * 60)
+    for i, level in enumerate(levels, 1):
+        one = brief.where(F.col("level") == level)
+        lines = F.concat_ws("\n", rule, F.format_string(f"[{level} topic %02d] (%d documents)", F.col("topic").cast("int"), F.col("size").cast("long")),
+                            F.concat(F.lit("  industries: "), F.coalesce(F.array_join("top_industries", ", "), F.lit(""))),
+                            F.concat(F.lit("  keywords: "), F.coalesce(F.array_join("keywords", ", "), F.lit(""))), F.lit("  samples:"),
+                            F.array_join(F.transform(F.coalesce("samples", F.array().cast("array<string>")), lambda x: F.concat(F.lit("    * "), x)), "\n"), F.lit("  name: "))
+        head.append(one.select(F.lit(i).alias("part"), F.col("topic").cast("long").alias("topic"), lines.alias("text")))
+    out = head[0]
+    for h in head[1:]:
+        out = out.unionByName(h)
+    return out.orderBy("part", "topic", "text")
 
 
 def label_template(df: DataFrame, levels: Sequence[str]) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.fixed import DEFAULT_INDUSTRY
 from ..functions.text import clean_text, has_text, strip
-from ..operators import rollup
+from ..operators import rollup, segment
 from ..session import staged
 from ..sources.tables import read_table, spread
 from . import sqlparts as S
@@ -533,27 +533,6 @@ def article_body(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(d.unionByName(c)).select("src", "id", "turn", article_body_fn("text").alias("body"))
 
 
-@register("topic_brief", f"""
-WITH {S.topic_docs_ctes()}, {S.both_levels_cte()},
-sz AS (SELECT level, topic, count(*) AS size FROM tl GROUP BY level, topic),
-ic AS (SELECT level, topic, lang, count(*) AS n FROM tl GROUP BY level, topic, lang),
-ir AS (SELECT *, row_number() OVER (PARTITION BY level, topic ORDER BY n DESC, lang) AS r FROM ic),
-ind AS (SELECT level, topic, string_agg(lang || '(' || CAST(n AS VARCHAR) || ')', ', ' ORDER BY r) AS top_industries
-        FROM ir WHERE r <= {N_TOP_INDUSTRIES} GROUP BY level, topic),
-sr AS (SELECT level, topic, replace(substring(text, 1, {SAMPLE_CHARS}), chr(10), ' ') AS s,
-              row_number() OVER (PARTITION BY level, topic ORDER BY length(text), doc_id) AS r FROM tl),
-smp AS (SELECT level, topic, string_agg(s, ' | ' ORDER BY r) AS samples FROM sr WHERE r <= {N_SAMPLES}
-        GROUP BY level, topic)
-SELECT sz.level, sz.topic, sz.size, ind.top_industries, smp.samples
-FROM sz LEFT JOIN ind ON sz.level = ind.level AND sz.topic = ind.topic
-        LEFT JOIN smp ON sz.level = smp.level AND sz.topic = smp.topic""")
-def topic_brief(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per topic its size, top-3 industries and 3 shortest samples."""
-    b = rollup.topic_brief(both_levels(topic_docs(spark, sf_dir)), ["level", "topic"], "lang", "text", "doc_id")
-    return b.select("level", "topic", "size", F.array_join("top_industries", ", ").alias("top_industries"),
-                    F.array_join("samples", " | ").alias("samples"))
-
-
 def _template_sql(col: str) -> str:
     return (f"(SELECT string_agg('\"' || k || '\":\"\"', ',' ORDER BY k) FROM "
             f"(SELECT DISTINCT CAST({col} AS VARCHAR) AS k FROM td WHERE {col} IS NOT NULL))")
@@ -659,9 +638,7 @@ def tree_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
 TOKEN_PATTERN = r"\p{L}{2,}"
 
 
-@register("topic_keywords", f"""
-WITH {S.topic_docs_ctes()}, {S.both_levels_cte()},
-tok AS (SELECT level, topic, doc_id, unnest(regexp_extract_all(lower(text), {S.q(TOKEN_PATTERN)})) AS term FROM tl),
+_KEYWORDS_SQL = f"""tok AS (SELECT level, topic, doc_id, unnest(regexp_extract_all(lower(text), {S.q(TOKEN_PATTERN)})) AS term FROM tl),
 tf AS (SELECT level, topic, doc_id, term, count(*) AS tf FROM tok GROUP BY level, topic, doc_id, term),
 nd AS (SELECT level, topic, count(*) AS n FROM tl GROUP BY level, topic),
 voc AS (SELECT level, topic, term, sum(tf) AS ttf, count(*) AS df FROM tf GROUP BY level, topic, term),
@@ -673,16 +650,99 @@ w AS (SELECT tf.level, tf.topic, tf.doc_id, tf.term, tf.tf * (ln((1 + nd.n) / (1
 nm AS (SELECT level, topic, doc_id, sqrt(sum(w * w)) AS norm FROM w GROUP BY level, topic, doc_id),
 sc AS (SELECT w.level, w.topic, w.term, sum(w.w / nm.norm) / max(w.n) AS score
        FROM w JOIN nm ON w.level = nm.level AND w.topic = nm.topic AND w.doc_id = nm.doc_id
-       GROUP BY w.level, w.topic, w.term)
+       GROUP BY w.level, w.topic, w.term)"""
+
+
+@register("topic_keywords", f"""
+WITH {S.topic_docs_ctes()}, {S.both_levels_cte()},
+{_KEYWORDS_SQL}
 SELECT level, topic,
        CAST(row_number() OVER (PARTITION BY level, topic ORDER BY round(score, 9) DESC, term) AS INTEGER) AS rank,
        term, round(score, 6) AS score FROM sc""")
 def topic_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Top TF-IDF terms per topic (vocabulary capped at 15 by count)."""
-    td = topic_docs(spark, sf_dir).withColumn("tokens", tokenize("text", TOKEN_PATTERN))
-    kw = keywords.topic_keywords(td, {"medium": "cluster_medium", "fine": "cluster_fine"},
-                                 "doc_id", "tokens")
-    return kw.withColumn("score", F.round("score", 6))
+    return _keywords(topic_docs(spark, sf_dir)).withColumn("score", F.round("score", 6))
+
+
+def _keywords(td: DataFrame) -> DataFrame:
+    return keywords.topic_keywords(segment.segmented_tokens(td, "text", pattern=TOKEN_PATTERN), {"medium": "cluster_medium", "fine": "cluster_fine"},
+                                   "doc_id", "tokens")
+
+
+@register("topic_brief", f"""
+WITH {S.topic_docs_ctes()}, {S.both_levels_cte()},
+sz AS (SELECT level, topic, count(*) AS size FROM tl GROUP BY level, topic),
+ic AS (SELECT level, topic, lang, count(*) AS n FROM tl GROUP BY level, topic, lang),
+ir AS (SELECT *, row_number() OVER (PARTITION BY level, topic ORDER BY n DESC, lang) AS r FROM ic),
+ind AS (SELECT level, topic, string_agg(lang || '(' || CAST(n AS VARCHAR) || ')', ', ' ORDER BY r) AS top_industries
+        FROM ir WHERE r <= {N_TOP_INDUSTRIES} GROUP BY level, topic),
+sr AS (SELECT level, topic, replace(substring(text, 1, {SAMPLE_CHARS}), chr(10), ' ') AS s,
+              row_number() OVER (PARTITION BY level, topic ORDER BY length(text), doc_id) AS r FROM tl),
+smp AS (SELECT level, topic, string_agg(s, ' | ' ORDER BY r) AS samples FROM sr WHERE r <= {N_SAMPLES}
+        GROUP BY level, topic),
+{_KEYWORDS_SQL},
+kl AS (SELECT level, topic, string_agg(term, ', ' ORDER BY round(score, 9) DESC, term) AS keywords FROM sc GROUP BY level, topic)
+SELECT sz.level, sz.topic, sz.size, ind.top_industries, kl.keywords, smp.samples
+FROM sz LEFT JOIN ind ON sz.level = ind.level AND sz.topic = ind.topic
+        LEFT JOIN smp ON sz.level = smp.level AND sz.topic = smp.topic
+        LEFT JOIN kl ON sz.level = kl.level AND sz.topic = kl.topic""")
+def topic_brief(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per topic its size, top-3 industries, keywords and 3 shortest samples."""
+    td = topic_docs(spark, sf_dir)
+    b = rollup.topic_brief(both_levels(td), ["level", "topic"], "lang", "text", "doc_id", _keywords(td))
+    return b.select("level", "topic", "size", F.array_join("top_industries", ", ").alias("top_industries"),
+                    F.array_join("keywords", ", ").alias("keywords"), F.array_join("samples", " | ").alias("samples"))
+
+
+_RUNS_SQL = f"""
+runs AS (SELECT run, count(*) AS n FROM (SELECT unnest(regexp_extract_all(lower(text), {S.q(TOKEN_PATTERN)})) AS run FROM documents) GROUP BY run),
+g AS (SELECT substr(run, i, m) AS gram, CASE WHEN i > 1 THEN substr(run, i - 1, 1) ELSE '' END AS l, substr(run, i + m, 1) AS r, n
+      FROM (SELECT run, n, unnest(range(1, length(run) + 1)) AS i FROM runs), (SELECT unnest(range(1, {segment.MAX_CHARS + 1})) AS m)
+      WHERE i + m - 1 <= length(run)),
+c AS (SELECT gram, sum(n) AS n FROM g GROUP BY gram HAVING sum(n) >= {segment.MIN_COUNT} OR length(gram) = 1),
+t AS (SELECT sum(n) AS chars FROM c WHERE length(gram) = 1),
+le AS (SELECT gram, ln(sum(x)) - sum(x * ln(x)) / sum(x) AS h FROM (SELECT gram, l, sum(n) AS x FROM g GROUP BY gram, l) GROUP BY gram),
+re AS (SELECT gram, ln(sum(x)) - sum(x * ln(x)) / sum(x) AS h FROM (SELECT gram, r, sum(n) AS x FROM g GROUP BY gram, r) GROUP BY gram),
+p AS (SELECT gram, n, unnest(range(1, length(gram))) AS i FROM c WHERE length(gram) > 1),
+co AS (SELECT p.gram, min(ln(p.n * t.chars / (CAST(a.n AS DOUBLE) * b.n))) AS cohesion
+       FROM p, t, c a, c b WHERE a.gram = substr(p.gram, 1, p.i) AND b.gram = substr(p.gram, p.i + 1) GROUP BY p.gram),
+score AS (SELECT c.gram, CAST(c.n AS BIGINT) AS n, co.cohesion, le.h AS left_entropy, re.h AS right_entropy
+          FROM c LEFT JOIN co ON co.gram = c.gram JOIN le ON le.gram = c.gram JOIN re ON re.gram = c.gram)"""
+
+
+def _runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spread(read_table(spark, sf_dir, "documents", "text"))
+    return staged(segment.letter_runs(docs, "text", TOKEN_PATTERN), "letter-runs")
+
+
+@register("word_lexicon", f"""
+WITH {_RUNS_SQL}
+SELECT gram, n, round(cohesion, 6) AS cohesion, round(left_entropy, 6) AS left_entropy, round(right_entropy, 6) AS right_entropy FROM score""")
+def word_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1: count, cohesion and branching entropies of the n-grams of all letter runs."""
+    scores = segment.lexicon_scores(_runs(spark, sf_dir))
+    return scores.select("gram", "n", *[F.round(c, 6).alias(c) for c in ("cohesion", "left_entropy", "right_entropy")])
+
+
+@register("segmented_words", f"""
+WITH RECURSIVE {_RUNS_SQL},
+lex AS (SELECT gram, ln(n / (SELECT chars FROM t)) AS w FROM score
+        WHERE length(gram) = 1 OR (cohesion >= {segment.MIN_COHESION} AND least(left_entropy, right_entropy) >= {segment.MIN_ENTROPY})),
+path AS (SELECT run, 0 AS j, [0.0::DOUBLE] AS best, [0::BIGINT] AS back FROM runs
+         UNION ALL
+         SELECT run, j + 1, list_append(any_value(best), last(score ORDER BY round(score, 9), m)), list_append(any_value(back), last(m ORDER BY round(score, 9), m))
+         FROM (SELECT path.*, m, best[j + 2 - m] + lex.w AS score FROM path, (SELECT unnest(range(1, {segment.MAX_CHARS + 1})) AS m), lex
+               WHERE j < length(run) AND m <= j + 1 AND lex.gram = substr(run, j + 2 - m, m))
+         GROUP BY run, j),
+walk AS (SELECT run, back, j, CAST([] AS VARCHAR[]) AS words FROM path WHERE j = length(run)
+         UNION ALL
+         SELECT run, back, j - back[j + 1], list_prepend(substr(run, CAST(j - back[j + 1] + 1 AS BIGINT), back[j + 1]), words) FROM walk WHERE j > 0)
+SELECT walk.run, runs.n, array_to_string(words, '|') AS words FROM walk JOIN runs ON runs.run = walk.run WHERE j = 0""")
+def segmented_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1: every letter run cut into words along the best path of the learned lexicon."""
+    runs = _runs(spark, sf_dir)
+    cut = segment.segment_runs(runs, segment.learn(segment.lexicon_scores(runs)))
+    return cut.select("run", "n", F.array_join("words", "|").alias("words"))
 
 
 # ================================================================ pages (H1-H5)
@@ -1072,7 +1132,8 @@ def topic_assignments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     d = read_table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source")
     stocks = rollup.dominant(d, "source", "lang", "industry_name").withColumnRenamed("source", "stock_code")
-    arts = spread(d.select("doc_id", F.col("source").alias("stock_id"), "text"))
+    posted = post_date_fn(F.concat_ws("/", F.col("doc_id") % 12 + 1, F.col("doc_id") % 31 + 1), POST_YEAR)
+    arts = spread(d.select("doc_id", F.col("source").alias("stock_id"), "text", posted.alias("created_at")))
     docs = topic_run.cluster_phase(spark, arts, stocks, scratch_path(spark, "topics"))
     return topic_run.result(topic_run.with_labels(docs, None))
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.fixed import DEFAULT_INDUSTRY, LEVELS, REDUCED_DIMS
 from ..functions.text import clean_text, has_text, strip
-from ..operators import cluster, hierarchy, rollup
+from ..operators import cluster, hierarchy, keywords, rollup, segment
 from ..operators.dims import with_industry
 from ..sources.readers import read_stage
 from ..sources.sinks import write_stage
@@ -53,16 +53,22 @@ def cluster_phase(spark: SparkSession, articles: DataFrame, stocks: DataFrame, r
 
 
 def briefs(docs: DataFrame, levels: dict[str, int] = LEVELS) -> tuple[DataFrame, DataFrame]:
-    """Phase 1 reports: per-topic brief at every level, and the label template."""
+    """Phase 1 reports: per-topic brief with keywords at every level, and the label template."""
     lv = F.explode(F.array(*[F.struct(F.lit(name).alias("level"), F.col(f"cluster_{name}").alias("topic"))
                              for name in levels])).alias("__lv")
     both = docs.select("*", lv).select("*", "__lv.level", "__lv.topic").drop("__lv")
-    brief = rollup.topic_brief(both, ["level", "topic"], "industry_name", "text", "doc_id")
+    words = keywords.topic_keywords(segment.segmented_tokens(docs, "text"), {n: f"cluster_{n}" for n in levels}, "doc_id", "tokens")
+    brief = rollup.topic_brief(both, ["level", "topic"], "industry_name", "text", "doc_id", words)
     template = rollup.label_template(docs.select(*[F.col(f"cluster_{n}").alias(n) for n in levels]),
                                      list(levels))
     return brief, template
 
 
+def brief_lines(docs: DataFrame, brief: DataFrame, levels: dict[str, int] = LEVELS) -> DataFrame:
+    """K7: the brief to read while naming: industry counts, then the topics of every level, the finest first."""
+    return rollup.brief_lines(brief, rollup.industry_counts(docs, "industry_name"), "industry_name", list(levels)[::-1])
+
+
 def with_labels(docs: DataFrame, labels: DataFrame | None, levels: dict[str, int] = LEVELS) -> DataFrame:
     """``label_<level>`` per document; without a label file a topic's label is its id."""
     for name in levels:
@@ -76,8 +82,9 @@ def with_labels(docs: DataFrame, labels: DataFrame | None, levels: dict[str, int
 
 
 def result(labelled: DataFrame, levels: dict[str, int] = LEVELS) -> DataFrame:
-    """K2: the result projection of labelled documents."""
-    return labelled.select("doc_id", "stock_id", "industry_name", "x", "y",
+    """K2: the result projection of labelled documents, with their time where the articles have one."""
+    time = [c for c in labelled.columns if c == "created_at"]
+    return labelled.select("doc_id", "stock_id", "industry_name", *time, "x", "y",
                            *[f"cluster_{n}" for n in levels], *[f"label_{n}" for n in levels])
 
 
