@@ -119,7 +119,6 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int
                     yield table(rows)
         if rows := packer.flush():
             yield table(rows)
-        enc.clear()
 
     return doc_texts(docs).mapInArrow(tidy(run), SCHEMA)
 

@@ -21,9 +21,9 @@ import pyarrow.compute as pc
 
 from .common import kept
 
-#: Table limits; beyond them it starts anew.
-MAX_CHUNKS = 500_000
-MAX_CHUNK_CHARS = 24_000_000
+#: Table limits (some 30 MB a worker); beyond them it starts anew.
+MAX_CHUNKS = 200_000
+MAX_CHUNK_CHARS = 8_000_000
 #: Texts that go to the library in one call.
 BATCH = 256
 #: New words that go to it as one text.
@@ -185,12 +185,11 @@ def _cut_of(spec: dict):
 
 
 def encoder(path: str) -> Encoder:
-    """This worker's encoder for the file, loaded once and with an empty table of chunks."""
+    """This worker's encoder for the file, loaded once."""
     held = kept("tokenizer")
     if path not in held:
         held.clear()
         held[path] = Encoder(path)
-    held[path].clear()
     return held[path]
 
 
