@@ -193,7 +193,7 @@ def test_toxicity_held_out_accuracy(spark):
     rows = got.join(labels, "doc_id").filter("held_out").select("toxic", "predicted", "score").collect()
     toxic, clean = [r for r in rows if r["toxic"]], [r for r in rows if not r["toxic"]]
     # Some 300 toxic texts in four languages to learn from; the check tables have five times as many and more.
-    assert sum(r["predicted"] for r in toxic) >= 0.75 * len(toxic)
+    assert sum(r["predicted"] for r in toxic) >= 0.9 * len(toxic)
     assert sum(r["predicted"] for r in clean) <= 0.02 * len(clean)
     assert got.count() == docs.count()
 

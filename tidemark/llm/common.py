@@ -81,6 +81,22 @@ def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
     return tidied
 
 
+#: A key with more than this part of all rows is joined apart.
+HOT_PART = 1_000
+
+
+def join_sized(rows: DataFrame, table: DataFrame, key: str, size: str) -> DataFrame:
+    """``rows`` left joined with ``table``, which has one row per key and the number of its rows as ``size``.
+
+    Keys with over 1 / HOT_PART of all rows, of which there are at most HOT_PART, are sent to
+    the rows instead of gathering them; the others meet their row by a shuffle.
+    """
+    total = table.agg(F.sum(size)).first()[0] or 0
+    hot = F.broadcast(table.filter(F.col(size) * HOT_PART > total).drop(size))
+    cold = table.filter(F.col(size) * HOT_PART <= total).drop(size)
+    return rows.join(hot, key).unionByName(rows.join(hot.select(key), key, "left_anti").join(cold, key, "left"))
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` evaluated once, also inside nested lambdas.
 

@@ -8,9 +8,12 @@ its shares of character classes and transitions between them, how many different
 characters it has, how much of it is dictionary words, the document's path and the words
 around it, and is trained on labelled findings.  Built-in expressions and Spark ML only.
 
-Where no labelled findings are given, ``weak_labels`` makes them: a value in a published
-key format, a private key, or a mixed value assigned to a secret's name, is a secret; other
-candidates are not.  The fit takes at most ``SAMPLE`` different findings of each class; copies count once.
+Where no labelled findings are given, ``weakly_labelled`` makes them from two views.  By its
+form a value in a published key format, a private key, or a mixed value assigned to a
+secret's name, can be a secret.  By its use it is a placeholder if it stands in over
+``PLACES`` different contexts of the corpus, which no feature shows; so the forest learns from
+repeated placeholders what they look like, and rejects others of that look that the form
+accepts.  The fit takes at most ``SAMPLE`` different findings of each class; copies count once.
 
 Spans are in code points, end exclusive.
 
@@ -28,7 +31,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE_CLASS, bounded_sample, fresh, let, staged, text_of
+from .common import SPACE_CLASS, bounded_sample, fresh, join_sized, let, staged, text_of
 
 #: Names that secrets are assigned to.
 NAMES = ("password", "passwd", "pwd", "secret", "token", "api_key", "api-key", "apikey", "access_key", "access-key",
@@ -64,7 +67,9 @@ _HEAD = rf"^({_ASSIGNED}[\"']?)(?=.)"
 
 #: Different findings of each class that the fit takes at most.
 SAMPLE = 5_000
-TREES, DEPTH, SEED = 20, 6, 7
+TREES, DEPTH, LEAF, SEED = 20, 6, 8, 7
+#: Different contexts in which a secret stands at most, for the weak labels.
+PLACES = 5
 SECRET = 0.5
 #: Characters around a candidate that are looked at.
 _NEAR = 60
@@ -137,6 +142,16 @@ def weak_labels(found: DataFrame) -> Column:
     return (v.rlike("^(?:" + "|".join(FORMATS) + ")$") | v.startswith("-----BEGIN ") | (F.col("assigned") & v.rlike("[A-Za-z]") & v.rlike("[0-9]"))).cast("int")
 
 
+def weakly_labelled(found: DataFrame) -> DataFrame:
+    """``found`` with ``label``: the form of a secret, in few different contexts (spaces and case aside)."""
+    plain = lambda c: F.regexp_replace(F.lower(c), SPACE_CLASS + "+", " ")
+    rows = staged(found.withColumn("form", weak_labels(found)).withColumn("vh", F.xxhash64("value")), "weak-findings")
+    places = rows.filter("form = 1").groupBy("vh", F.xxhash64(plain("before"), plain("after")).alias("c")).agg(F.count(F.lit(1)).alias("n"))
+    places = staged(places.groupBy("vh").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("places")).filter(f"places > {PLACES}"), "placeholders")
+    # Rows of values in many contexts meet them by sizes, since one may stand in a third of all rows.
+    return join_sized(rows, places, "vh", "n").withColumn("label", F.when(F.col("places").isNull(), F.col("form")).otherwise(0)).select(*found.columns, "label")
+
+
 def fit(labelled: DataFrame, sample: int = SAMPLE):
     """A forest for (candidate columns, label), or None unless both classes occur."""
     key = ("value", "before", "after")
@@ -147,7 +162,7 @@ def fit(labelled: DataFrame, sample: int = SAMPLE):
     if part.select("label").distinct().count() < 2:
         return None
     x = VectorAssembler(inputCols=[f"f_{k}" for k in FEATURES], outputCol="features").transform(part.withColumn("label", F.col("label").cast("double")))
-    return RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED).fit(x)
+    return RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, minInstancesPerNode=LEAF, seed=SEED).fit(x)
 
 
 def judge(found: DataFrame, model) -> DataFrame:
@@ -160,7 +175,7 @@ def judge(found: DataFrame, model) -> DataFrame:
 
 
 def _model(found: DataFrame, labelled: DataFrame | None):
-    return fit(found.withColumn("label", weak_labels(found)) if labelled is None else labelled)
+    return fit(weakly_labelled(found) if labelled is None else labelled)
 
 
 def scan(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:

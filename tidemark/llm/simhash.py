@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, row_key, staged, tidy
+from .common import fresh, join_sized, row_key, staged, tidy
 
 SHINGLE_WORDS = 3
 MAX_BITS = 3
@@ -310,9 +310,9 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: int
     differing bits.
     """
     rows = staged(fingerprints(docs, shingle), "fingerprints")
-    distinct = staged(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct-fingerprints")
-    of = distinct.join(_groups(distinct, max_bits, max_node), "fp", "left").select("fp", F.coalesce("low", "first").alias("component_id"))
-    return (rows.join(of, "fp", "left")
+    distinct = staged(rows.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")), "distinct-fingerprints")
+    of = distinct.join(_groups(distinct, max_bits, max_node), "fp", "left").select("fp", "n", F.coalesce("low", "first").alias("component_id"))
+    return (join_sized(rows, staged(of, "components"), "fp", "n")
             .select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"))
 
 

@@ -2,8 +2,8 @@
 
 ``Encoder`` gives what the file's library gives.  For Hugging Face files whose
 pre-tokenizer never lets a token cross certain spaces, a text is cut there and each
-distinct chunk is encoded once and kept in a bounded table, since words repeat; other
-files and other texts are encoded whole.
+distinct chunk is encoded once and kept in a bounded table of two generations, since words
+repeat; other files and other texts are encoded whole.
 """
 
 from __future__ import annotations
@@ -16,13 +16,11 @@ from collections.abc import Iterator, Sequence
 from itertools import repeat
 
 import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 
 from .common import kept
 
-#: Table limits (some 30 MB a worker); beyond them it starts anew.
-MAX_CHUNKS = 200_000
+#: Limits of a generation of the table; beyond them a new one begins, and what is used again moves there.
+MAX_CHUNKS = 150_000
 MAX_CHUNK_CHARS = 8_000_000
 #: Texts that go to the library in one call.
 BATCH = 256
@@ -66,6 +64,10 @@ class Encoder:
 
     def clear(self) -> None:
         """Forget all chunks."""
+        self._begin()
+        self._old: tuple[dict[str, int], np.ndarray, np.ndarray] | None = None
+
+    def _begin(self) -> None:
         #: Chunk to its number; chunk i has the ids ``_flat[_starts[i]:_starts[i + 1]]``.
         self._at: dict[str, int] = {}
         self._starts, self._flat, self._chars = np.zeros(1, np.int64), np.zeros(0, np.uint32), 0
@@ -79,9 +81,7 @@ class Encoder:
 
     def _gather(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the numbered chunks one after another, and where each chunk's ids end."""
-        size = np.diff(self._starts)[codes]
-        ends = np.cumsum(size)
-        return self._flat[np.repeat(self._starts[codes] - (ends - size), size) + np.arange(ends[-1])], ends
+        return _gathered(codes, self._starts, self._flat)
 
     def _learn(self, chunks: list[str]) -> None:
         """Add new chunks.  A word with a comma or full stop behind it has the word's ids, then the mark's."""
@@ -116,12 +116,21 @@ class Encoder:
 
     def _codes(self, chunks: list[str]) -> np.ndarray:
         if len(self._at) > MAX_CHUNKS or self._chars > MAX_CHUNK_CHARS:
-            self.clear()
+            self._old = (self._at, self._starts, self._flat)
+            self._begin()
         codes = np.fromiter(map(self._at.get, chunks, repeat(-1)), np.int64, len(chunks))
         new = np.flatnonzero(codes < 0)
         if len(new):
             missing = [chunks[i] for i in new.tolist()]
-            self._learn(list(dict.fromkeys(missing)))
+            unknown = list(dict.fromkeys(missing))
+            if self._old:
+                at, starts, flat = self._old
+                again = [c for c in unknown if c in at]
+                if again:
+                    self._add(again, *_gathered(np.fromiter(map(at.__getitem__, again), np.int64, len(again)), starts, flat))
+                    unknown = [c for c in unknown if c not in at]
+            if unknown:
+                self._learn(unknown)
             codes[new] = np.fromiter(map(self._at.__getitem__, missing), np.int64, len(missing))
         return codes
 
@@ -154,6 +163,13 @@ class Encoder:
         return [flat[a:z] for a, z in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
+def _gathered(codes: np.ndarray, starts: np.ndarray, flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the numbered chunks of a table one after another, and where each chunk's ids end."""
+    size = np.diff(starts)[codes]
+    ends = np.cumsum(size)
+    return flat[np.repeat(starts[codes] - (ends - size), size) + np.arange(ends[-1])], ends
+
+
 def _cut_of(spec: dict):
     """How texts may be cut for this file (or None), and whether chunks begin with their space.
 
@@ -193,14 +209,13 @@ def encoder(path: str) -> Encoder:
     return held[path]
 
 
-def slices(texts: pa.Array, chars: int = 2_000_000) -> Iterator[tuple[int, list[str]]]:
-    """(first row, texts) of slices of a column of about ``chars`` bytes each, one text at least."""
-    sizes = pc.binary_length(texts).to_pylist()
+def slices(texts: Sequence[str], chars: int = 2_000_000) -> Iterator[tuple[int, int]]:
+    """Index ranges of ``texts`` of about ``chars`` characters each, one text at least."""
     a = held = 0
-    for i, n in enumerate(sizes):
-        if held and held + n > chars:
-            yield a, texts.slice(a, i - a).to_pylist()
+    for i, t in enumerate(texts):
+        if held and held + len(t) > chars:
+            yield a, i
             a, held = i, 0
-        held += n
-    if a < len(sizes):
-        yield a, texts.slice(a).to_pylist()
+        held += len(t)
+    if a < len(texts):
+        yield a, len(texts)

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import text_of, tidy
+from .common import join_sized, staged, text_of, tidy
 from .tokenizing import encoder, slices, tokenizer_digest
 
 LIMIT = 1024
@@ -47,7 +47,8 @@ def encode_counts(texts: DataFrame, tokenizer: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
         for b in batches:
-            counts = [n for _, part in slices(b.column(1)) for n in enc.counts(part).tolist()]
+            texts = b.column(1).to_pylist()
+            counts = [n for a, z in slices(texts) for n in enc.counts(texts[a:z]).tolist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(counts, pa.int64())], ["digest", "n_tokens"])
 
     return texts.select("digest", "text").mapInArrow(tidy(run), _SCHEMA)
@@ -69,5 +70,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache: str | None = None, limi
     distinct = misses.groupBy("digest").agg(F.first("text").alias("text"))
     encode_counts(distinct, tokenizer).write.mode("append").parquet(folder)
     rows = keyed.select("doc_id", "digest", F.octet_length("text").cast("long").alias("n_bytes"))
-    return (rows.join(stored_counts(spark, folder), "digest", "left")
+    # Only digests that rows have: how many of them shows which are hot.
+    held = rows.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).join(stored_counts(spark, folder), "digest")
+    return (join_sized(rows, staged(held, "token-counts-met"), "digest", "n")
             .select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")))

@@ -1,13 +1,16 @@
 """Toxicity: a linear classifier over character n-grams scaled by naive Bayes log-count ratios.
 
-Features are the n-grams of 3 to 5 characters of the lower-cased text, white space as one
+Features are the n-grams of 4 to 6 characters of the lower-cased text, white space as one
 blank, hashed to 2**20 buckets; a feature is there or not.  Over the labelled sample each
 bucket gets the log ratio of its document frequencies among toxic and other texts; the
 strongest buckets are kept, their presence times that ratio goes into a logistic
 regression, and a document's score is its probability.
 
 The fit takes a bounded sample of the labelled rows (``SAMPLE_TOXIC`` and
-``SAMPLE_CLEAN``, by hash of the doc_id); every document is scored over its whole text.
+``SAMPLE_CLEAN``, by hash of the doc_id); every document is scored over its whole text.  Rows
+weigh as many labelled rows of their class as they stand for, so the score means the same
+at every input size, and toxic ones ``TOXIC_COST`` times that: a toxic text missed costs as
+much as so many clean ones taken for toxic.
 
 Edge cases: null and empty texts have no feature and get the model's score for that;
 labelled rows without a doc_id or label are left out; several labels of a document count
@@ -30,7 +33,7 @@ from pyspark.sql import functions as F
 
 from .common import bounded_sample, doc_texts, staged
 
-SIZES = (3, 4, 5)
+SIZES = (4, 5, 6)
 BITS = 20
 #: Rows of each class that the fit takes at most.
 SAMPLE_TOXIC, SAMPLE_CLEAN = 5_000, 10_000
@@ -41,6 +44,7 @@ MIN_RATIO = 1.5
 SMOOTHING = 1.0
 PENALTY = 0.001
 THRESHOLD = 0.3
+TOXIC_COST = 8.0
 #: Characters that are hashed at once.
 BLOCK = 1 << 20
 HELD_OUT, FOLDS = 2, 4
@@ -99,11 +103,13 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -700, 700)))
 
 
-def _sample(labels: DataFrame) -> DataFrame:
-    """(doc_id, toxic) of at most SAMPLE_TOXIC and SAMPLE_CLEAN labelled documents outside the held-out fold."""
+def _sample(labels: DataFrame) -> tuple[DataFrame, dict[int, int]]:
+    """(doc_id, toxic) of at most SAMPLE_TOXIC and SAMPLE_CLEAN labelled documents outside the held-out fold, and how many each class has."""
     one = (labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").filter(~held_out(F.col("doc_id").cast("long")))
            .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max((F.col("toxic") == 1).cast("int")).alias("toxic")))
-    return bounded_sample(one.filter("toxic = 1"), SAMPLE_TOXIC, "doc_id").unionByName(bounded_sample(one.filter("toxic = 0"), SAMPLE_CLEAN, "doc_id"))
+    one = staged(one, "toxic-labels")
+    sizes = {r["toxic"]: r["count"] for r in one.groupBy("toxic").count().collect()}  # two rows
+    return bounded_sample(one.filter("toxic = 1"), SAMPLE_TOXIC, "doc_id").unionByName(bounded_sample(one.filter("toxic = 0"), SAMPLE_CLEAN, "doc_id")), sizes
 
 
 def _sorted(place: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -113,8 +119,8 @@ def _sorted(place: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """The model, from whole texts of a bounded sample of the labelled documents."""
-    sample = F.broadcast(_sample(labels))  # SAMPLE_TOXIC + SAMPLE_CLEAN rows at most
-    rows = doc_texts(docs).join(sample, "doc_id").select("toxic", "text")
+    sample, sizes = _sample(labels)
+    rows = doc_texts(docs).join(F.broadcast(sample), "doc_id").select("toxic", "text")  # SAMPLE_TOXIC + SAMPLE_CLEAN rows at most are sent
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, total, features = np.zeros((2, 1 << BITS), np.int32), np.zeros(2, np.int64), Features()
@@ -153,7 +159,10 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
 
     vector = F.udf(lambda buckets: Vectors.sparse(width, *_sorted(place[buckets], ratios[buckets].astype(float))), VectorUDT())
     x = rows.mapInArrow(present, "toxic int, buckets array<int>").select(F.col("toxic").cast("double").alias("label"), vector("buckets").alias("features"))
-    lr = LogisticRegression(regParam=PENALTY, standardization=False, maxIter=40).fit(x)
+    toxic, clean = TOXIC_COST * sizes[1] / n1, sizes[0] / n0
+    scale = (n0 + n1) / (toxic * n1 + clean * n0)  # one on average, so the penalty keeps its meaning
+    x = x.withColumn("weight", F.when(F.col("label") == 1, toxic * scale).otherwise(clean * scale))
+    lr = LogisticRegression(regParam=PENALTY, standardization=False, maxIter=40, weightCol="weight").fit(x)
     weights = np.zeros(1 << BITS, np.float32)
     at = np.flatnonzero(ratios)
     weights[at] = lr.coefficients.toArray() * ratios[at]

@@ -6,7 +6,8 @@ domain's posterior mean, the domain's on its suffix's, the suffix's on the overa
 and the weight of each prior is fitted to the spread of the units below it (moments of the
 beta-binomial).  A host is blocked if the lower bound of its posterior is above the limit.
 
-The registered domain is the last two labels of a host and its suffix the last one.
+The suffix is the last label of a host, or the last two where those are one of ``SUFFIXES``, and
+the registered domain has one label more; a port belongs to neither.
 
 Edge cases: a null url and one without ``://`` have an empty host and path, fit no rule and
 are judged as the empty host; repeated rows are judged row by row; a null page_id is kept;
@@ -27,6 +28,12 @@ from .common import staged
 RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
          ("block", "net/es/"), ("block", "net/fr/"))
 
+#: Public suffixes of two labels.
+SUFFIXES = ("ac.jp", "ac.uk", "co.id", "co.il", "co.in", "co.jp", "co.kr", "co.nz", "co.th", "co.uk", "co.za", "com.ar", "com.au", "com.br",
+            "com.cn", "com.co", "com.hk", "com.mx", "com.my", "com.pe", "com.ph", "com.pl", "com.sg", "com.tr", "com.tw", "com.ua", "com.vn",
+            "edu.au", "edu.cn", "edu.tw", "gov.au", "gov.br", "gov.cn", "gov.tw", "gov.uk", "ne.jp", "net.au", "net.br", "net.cn", "net.tw",
+            "or.jp", "or.kr", "org.au", "org.br", "org.cn", "org.tw", "org.uk")
+
 #: A host is blocked if its share of bad pages is over this with the confidence of Z.
 MAX_BAD = 0.5
 Z = 1.645
@@ -73,11 +80,17 @@ def _weight(units: DataFrame) -> tuple[float, float]:
     return mean, min(MAX_WEIGHT, max(MIN_WEIGHT, 1 / share - 1 if share > 0 else MAX_WEIGHT))
 
 
+def _reversed(name: str) -> str:
+    return ".".join(reversed(name.split(".")))
+
+
 def host_reputation(hosts: DataFrame) -> DataFrame:
     """(host, bound): lower bound of the bad share of each host of (host, n, bad)."""
-    label = F.split("host", r"\.")
-    hosts = staged(hosts.select("host", "n", "bad", F.array_join(F.slice(F.reverse(label), 1, 2), ".").alias("domain"),
-                                F.element_at(label, -1).alias("suffix")), "hosts")
+    label = F.reverse(F.split(F.regexp_replace("host", ":[0-9]*$", ""), r"\."))
+    last = lambda n: F.array_join(F.slice(label, 1, n), ".")
+    long = last(2).isin(*[_reversed(x) for x in SUFFIXES])
+    hosts = staged(hosts.select("host", "n", "bad", F.when(long, last(3)).otherwise(last(2)).alias("domain"),
+                                F.when(long, last(2)).otherwise(last(1)).alias("suffix")), "hosts")
     domains = staged(hosts.groupBy("suffix", "domain").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")), "domains")
     suffixes = staged(domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")), "suffixes")
     (mean, k0), (_, k1), (_, k2) = _weight(suffixes), _weight(domains), _weight(hosts)
@@ -132,11 +145,13 @@ def _oracle() -> str:
     rest = "CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END"
     host = f"translate(regexp_extract(coalesce({rest}, ''), '^([^/?#]*)', 1), '{_UPPER}', '{_LOWER}')"
     path = f"regexp_extract(coalesce({rest}, ''), '^[^/?#]*([^?#]*)', 1)"
+    last = lambda n: f"array_to_string(list_reverse(string_split(regexp_replace(host, ':[0-9]*$', ''), '.'))[1:{n}], '.')"
+    long = f"{last(2)} IN ({', '.join(repr(_reversed(x)) for x in SUFFIXES)})"
     return f"""
 WITH p AS (SELECT page_id, {host} AS host, {path} AS path,
              TRY_CAST(nullif(regexp_extract(url, '^[^?#]*/([0-9]+)', 1), '') AS BIGINT) AS doc FROM pages),
 lab AS (SELECT doc_id AS doc, max(CASE WHEN quality = 0 OR toxic = 1 THEN 1 ELSE 0 END) AS bad FROM labels GROUP BY 1),
-h AS (SELECT host, string_split(host, '.')[-1] AS suffix, array_to_string(list_reverse(string_split(host, '.'))[1:2], '.') AS domain,
+h AS (SELECT host, CASE WHEN {long} THEN {last(2)} ELSE {last(1)} END AS suffix, CASE WHEN {long} THEN {last(3)} ELSE {last(2)} END AS domain,
         count(bad) AS n, coalesce(sum(bad), 0) AS bad FROM p LEFT JOIN lab USING (doc) GROUP BY 1),
 d AS (SELECT suffix, domain, sum(n) AS n, sum(bad) AS bad FROM h GROUP BY 1, 2),
 s AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM d GROUP BY 1),{level('s', 's')},{level('d', 'd')},{level('h', 'h')},
