@@ -67,7 +67,9 @@ _HEAD = rf"^({_ASSIGNED}[\"']?)(?=.)"
 
 #: Different findings of each class that the fit takes at most.
 SAMPLE = 5_000
-TREES, DEPTH, LEAF, SEED = 20, 6, 8, 7
+TREES, DEPTH, SEED = 20, 6, 7
+#: Findings of a leaf at least, fewer where a class has under LEAF squared; single findings are not learned by heart.
+LEAF = 8
 #: Different contexts in which a secret stands at most, for the weak labels.
 PLACES = 5
 SECRET = 0.5
@@ -159,10 +161,12 @@ def fit(labelled: DataFrame, sample: int = SAMPLE):
     rows = staged(rows, "different-findings")
     part = bounded_sample(rows.filter("label = 1"), sample, *key).unionByName(bounded_sample(rows.filter("label = 0"), sample, *key))
     part = staged(with_features(part), "findings")
-    if part.select("label").distinct().count() < 2:
+    sizes = [r["count"] for r in part.groupBy("label").count().collect()]  # two classes
+    if len(sizes) < 2:
         return None
+    leaf = max(1, min(LEAF, min(sizes) // LEAF))
     x = VectorAssembler(inputCols=[f"f_{k}" for k in FEATURES], outputCol="features").transform(part.withColumn("label", F.col("label").cast("double")))
-    return RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, minInstancesPerNode=LEAF, seed=SEED).fit(x)
+    return RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, minInstancesPerNode=leaf, seed=SEED).fit(x)
 
 
 def judge(found: DataFrame, model) -> DataFrame:
