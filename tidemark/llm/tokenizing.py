@@ -20,8 +20,8 @@ import numpy as np
 from .common import kept
 
 #: Limits of a generation of the table; beyond them a new one begins, and what is used again moves there.
-MAX_CHUNKS = 150_000
-MAX_CHUNK_CHARS = 8_000_000
+MAX_CHUNKS = 250_000
+MAX_CHUNK_CHARS = 12_000_000
 #: Texts that go to the library in one call.
 BATCH = 256
 #: New words that go to it as one text.
