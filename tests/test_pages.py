@@ -92,3 +92,33 @@ def test_chain_index_takes_the_innermost_item_and_lists_links_first(spark):
     df = spark.createDataFrame([(1, INDEX), (2, None)], "page_id long, html string")
     rows = [tuple(r) for r in P.extract_chain_index(df).orderBy("page_id", "pos").collect()]
     assert rows == [(1, 0, "D000", "半導體"), (1, 1, "E100", "電子"), (1, 2, "F200", ""), (1, 3, "D000", "電子")]
+
+
+def walk(following, start):
+    """Pages in the order in which a reader sees them, each once."""
+    out = []
+    while start is not None and start in following and start not in out:
+        out.append(start)
+        start = following[start]
+    return out
+
+
+def test_listing_order_equals_a_walk(spark):
+    following = {f"a{i}": f"a{i + 1}" for i in range(1000)} | {"a1000": None}  # a thousand pages
+    following |= {"b0": None, "c0": "c1", "c1": "c2", "c2": "c0"}  # one page; a circle
+    following |= {f"d{i}": f"d{i + 1}" for i in range(20)} | {"d20": "d7"}  # back into the middle
+    following |= {"e0": "lost", "f0": "a990"}  # a page that did not land; the end of another listing
+    pages = spark.createDataFrame(list(following.items()), "page string, next_page string")
+    starts = ["a0", "b0", "c0", "d0", "e0", "f0", "d10", "none"]
+    got = {}
+    for r in P.listing_order(pages, spark.createDataFrame([(s, s) for s in starts], "start string, page string")).collect():
+        got.setdefault(r["start"], {})[r["rank"]] = r["page"]
+    assert {s: [v[i] for i in range(len(v))] for s, v in got.items()} == {s: walk(following, s) for s in starts if s != "none"}
+
+
+def test_next_page_button(spark):
+    html = ['<a class="btn wide" href="/old">最舊</a><a class="btn wide" href="/p1">&lsaquo; 上頁</a><a class="btn wide" href="/n">下頁</a>',
+            '<a class="btn wide">&lsaquo; 上頁</a>', '<a class="btn" href="/x">上頁</a>', '<a class="wide btn on" href=""> 上頁 </a>', "", None]
+    df = spark.createDataFrame(list(enumerate(html)), "page_id long, html string")
+    got = {r["page_id"]: r["next_url"] for r in P.extract_next(df, base="https://b").collect()}
+    assert got == {0: "https://b/p1", 1: None, 2: None, 3: None, 4: None, 5: None}

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from ..functions.arrays import let
 from ..functions.market import chain_topic, segment_code
 from ..functions.text import article_body, strip
+from ..session import staged
 
 #: Fixed values of HTML: elements without content, and elements whose text is not shown.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -188,9 +189,46 @@ def extract_links(df: DataFrame, html: str = "html", key: str = "page_id", row:
 
     listed = let(found(nodes, link), lambda links: let(dates, lambda dated: entries(links, dated)))
     with_link = F.filter(listed, lambda e: F.try_element_at(e["a"]["attrs"], F.lit("href")).isNotNull())
-    rows = pages.select(key, "__base", "nodes", F.posexplode_outer(with_link).alias("pos", "e")).where("e IS NOT NULL")
-    return rows.select(key, "pos", _label(nodes, F.col("e.a")).alias("title"),
-                       F.concat("__base", F.try_element_at(F.col("e.a.attrs"), F.lit("href"))).alias("url"), _label(nodes, F.col("e.d")).alias("date"))
+    # Texts are taken before the entries become rows, so that no row carries its page.
+    entry = F.transform(with_link, lambda e: F.struct(_label(nodes, e["a"]).alias("title"), F.try_element_at(e["a"]["attrs"], F.lit("href")).alias("href"),
+                                                      _label(nodes, e["d"]).alias("date")))
+    rows = pages.select(key, "__base", F.posexplode_outer(entry).alias("pos", "e")).where("e IS NOT NULL")
+    return rows.select(key, "pos", "e.title", F.concat("__base", "e.href").alias("url"), "e.date")
+
+
+def extract_next(df: DataFrame, html: str = "html", key: str = "page_id", link: str = "a.btn.wide", label: str = "上頁",
+                 base: str | None = None) -> DataFrame:
+    """H2: (key, next_url): where the listing's button for older entries leads, null on the last page.
+
+    The first link whose text holds ``label`` counts; a button without an address ends the listing.
+    """
+    nodes = F.col("nodes")
+    buttons = F.filter(found(nodes, link), lambda a: F.contains(_label(nodes, a), F.lit(label)))
+    href = let(_first(buttons), lambda a: F.nullif(F.try_element_at(a["attrs"], F.lit("href")), F.lit("")))
+    return with_nodes(df, html, key).select(key, F.concat(F.lit(base or ""), href).alias("next_url"))
+
+
+def listing_order(pages: DataFrame, starts: DataFrame, page: str = "page", following: str = "next_page", start: str = "start") -> DataFrame:
+    """(start, page, rank): the pages that a reader of each listing sees, in order from 0.
+
+    ``pages``: (page, following), each page once, null where a listing ends; ``starts``: (start,
+    page).  Pointers are doubled: after round i a page knows the page 2^i further on, and the
+    pages reached so far are twice as many, so a listing of L pages takes log2(L) rounds.  A
+    listing that runs into itself ends before the page that it has shown already: of the ranks
+    at which a page is reached the smallest counts, and the rounds end when none is new.
+    """
+    jump = staged(pages.where(F.col(following).isNotNull()).select(F.col(page).alias("from"), F.col(following).alias("to"))
+                  .join(pages.select(F.col(page).alias("to")), "to", "left_semi").select("from", "to"), "listing-jumps")
+    seen = staged(starts.select(F.col(start).alias("start"), F.col(page).alias("page"), F.lit(0).cast("long").alias("rank"))
+                  .join(pages.select(F.col(page).alias("page")), "page", "left_semi").select("start", "page", "rank"), "listing-pages")
+    n, step = seen.count(), 1
+    while True:
+        ahead = seen.join(jump, F.col("page") == F.col("from")).select("start", F.col("to").alias("page"), (F.col("rank") + step).alias("rank"))
+        seen = staged(seen.unionByName(ahead).groupBy("start", "page").agg(F.min("rank").alias("rank")), "listing-pages")
+        before, n, step = n, seen.count(), 2 * step
+        if n == before:
+            return seen.select(F.col("start").alias(start), F.col("page").alias(page), "rank")
+        jump = staged(jump.join(jump.select(F.col("from").alias("to"), F.col("to").alias("on")), "to").select("from", F.col("on").alias("to")), "listing-jumps")
 
 
 def extract_chain_rows(df: DataFrame, html: str = "html", ic: str = "chain_ic") -> DataFrame:

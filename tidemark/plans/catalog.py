@@ -1139,4 +1139,4 @@ def topic_assignments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ================================================================ chain pages, metrics, heat
-from . import chains, heat  # noqa: E402, F401
+from . import chains, heat, listings, stored  # noqa: E402, F401

@@ -36,8 +36,9 @@ def write_json(df: DataFrame, path: str, loaded_at: str | None = None) -> None:
 
 
 def overwrite_table(df: DataFrame, path: str, cluster_by=None) -> None:
-    """K6: full refresh (delete all, insert) as an atomic overwrite of the table folder.
+    """K6: full refresh of a table folder: deletes, then writes.
 
+    Readers of the folder notice; ``snapshots.Snapshots.refresh`` is the form that they survive.
     ``cluster_by`` sorts within files so Parquet min/max statistics act like the
     secondary indexes of the original store.
     """
