@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import tokenize
-from ..session import scratch_path
+from ..session import scratch_path, staged
 from .dedupe import top_n
 
 #: Session setting that names a lasting embedding cache; unset: a new folder for each call.
@@ -98,7 +98,11 @@ def _cached_vectors(spark: SparkSession, cache_path: str, model_id: str, out: st
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         return None
-    return cache.where(F.col("model") == model_id).select("text_hash", out).dropDuplicates(["text_hash"])
+    rows = cache.where(F.col("model") == model_id).select("text_hash", out, F.col("_metadata.file_path").alias("file"))
+    # Hashes meet, not vectors: those in several files are few, and one of their files counts.
+    twice = rows.groupBy("text_hash").agg(F.count(F.lit(1)).alias("n"), F.min("file").alias("first")).where("n > 1")
+    twice = staged(twice.select("text_hash", "first"), "embedded-twice")
+    return rows.join(twice, "text_hash", "left").where("first IS NULL OR file = first").select("text_hash", out)
 
 
 # ------------------------------------------------------------------ M4

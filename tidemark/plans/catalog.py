@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.fixed import DEFAULT_INDUSTRY
 from ..functions.text import clean_text, has_text, strip
 from ..operators import rollup, segment
-from ..session import staged
+from ..session import scratch_path, staged
 from ..sources.tables import read_table, spread
 from . import sqlparts as S
 from .standins import articles, both_levels, kept_docs, topic_docs
@@ -121,9 +121,16 @@ def _landed_lists(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
         F.lit(AS_OF).alias(en["as_of"]),
         F.col("p_size").cast("string").alias(en["industry"]),
         F.col("p_partkey").alias("ordinal"))
-    return [market.company_list(c, zh, MARKET_LISTED, "list:listed", SYNCED_AT),
-            market.company_list(s, en, MARKET_OTC, "list:otc", SYNCED_AT),
-            market.company_list(p, en, MARKET_EMERGING, "list:emerging", SYNCED_AT)]
+    return [market.company_list(_landed(c, "list_zh"), zh, MARKET_LISTED, "list:listed", SYNCED_AT),
+            market.company_list(_landed(s, "list_en"), en, MARKET_OTC, "list:otc", SYNCED_AT),
+            market.company_list(_landed(p, "list_en"), en, MARKET_EMERGING, "list:emerging", SYNCED_AT)]
+
+
+def _landed(records: DataFrame, feed: str) -> DataFrame:
+    """The records landed as JSON arrays in the order of their ``ordinal``, and read again in file and array order."""
+    from ..sources import readers, sinks
+    path = sinks.land_records(records, "ordinal", scratch_path(records.sparkSession, feed))
+    return readers.read_json_records(records.sparkSession, path, readers.SCHEMAS[feed])
 
 
 @register("company_list", f"""
@@ -255,7 +262,8 @@ SELECT {S.strip_sql("code")} AS stock_code, {_sql_quote_cols("close_t", "change_
 FROM raw WHERE {S.strip_sql("code")} <> ''""")
 def quote_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed quote texts -> typed close, change text, change %, volume, ISO date."""
-    return market.clean_quotes(_landed_quotes_orders(spark, sf_dir), QUOTE_VOCAB_EXCHANGE).drop("ordinal")
+    landed = _landed(_landed_quotes_orders(spark, sf_dir), "quote_exchange")
+    return market.clean_quotes(landed, QUOTE_VOCAB_EXCHANGE).drop("ordinal")
 
 
 def _roc_of(ts: str) -> F.Column:
@@ -829,7 +837,6 @@ import pandas as pd  # noqa: E402
 from ..functions.fixed import (AUTO_RANGES, FINE_MIN_GAP, LAST_MERGES, LEVELS, N_NEIGHBORS,  # noqa: E402
                                REDUCED_DIMS)
 from ..operators import cluster, hierarchy, layout, neighbours  # noqa: E402
-from ..session import scratch_path  # noqa: E402
 
 #: Share of the exact edges that the descent has to find.
 RECALL = 0.9

@@ -35,6 +35,20 @@ def write_json(df: DataFrame, path: str, loaded_at: str | None = None) -> None:
     df.write.mode("overwrite").json(path)
 
 
+def land_records(df: DataFrame, order: str, path: str, per_file: int = 10_000) -> str:
+    """Records as JSON arrays, one a file, for ``readers.read_json_records``.
+
+    ``order`` is a number that says a record's place; a file holds those of ``per_file``
+    numbers in a row, and files and records are in that order.
+    """
+    record = F.struct(*[c for c in df.columns if c != order])
+    part = F.floor(F.col(order) / per_file)
+    arrays = df.groupBy(part.alias("__part")).agg(F.sort_array(F.collect_list(F.struct(F.col(order).alias("o"), record.alias("r")))).alias("__e"))  # per_file at most
+    lines = arrays.orderBy("__part").select(F.to_json(F.transform("__e", lambda e: e["r"])).alias("value"))
+    lines.write.option("maxRecordsPerFile", 1).text(path)
+    return path
+
+
 def overwrite_table(df: DataFrame, path: str, cluster_by=None) -> None:
     """K6: full refresh of a table folder: deletes, then writes.
 

@@ -4,59 +4,59 @@ Landed article files are read with the streaming file source; the streaming
 checkpoint is the done-set, so a restarted job resumes after the last committed
 micro-batch and a second run over the same files adds nothing.
 
-The sink is an append-only claim log.  Each micro-batch claims every URL for its
-first finder inside the batch (``claim``: a map-side combined ``min_by`` aggregate,
-so a URL found by a third of all stocks collapses before the shuffle), keeps only
-claims that are new or beat the best claim already logged, and appends them.  The
-table readers see is ``claimed(log)``: per URL the claim with the smallest finder
-order.  That result does not depend on file arrival order or batch boundaries, and
-a batch replayed after a failure only re-appends rows the view collapses, so the job
-survives the loss of executors or of the driver.  Unlike a per-run memory of seen
-URLs, the log remembers URLs across restarts.
+The sink is an append-only claim log.  A state store keyed by URL holds the order of the
+best claim so far (``new_claims``), so each micro-batch appends only claims that are new or
+beat the logged one, without reading the log.  The table readers see is ``claimed(log)``: per
+URL the claim with the smallest finder order.  That result does not depend on file arrival
+order or batch boundaries, and a batch replayed after a failure starts from the state of the
+batch before it and re-appends rows that the view collapses, so the job survives the loss of
+executors or of the driver.  Unlike a per-run memory of seen URLs, the state remembers URLs
+across restarts.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.errors import AnalysisException
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators.dedupe import claim
 
 
-def _sink_or_none(spark: SparkSession, sink: str, fmt: str) -> DataFrame | None:
-    try:
-        df = spark.read.format(fmt).load(sink)
-        df.schema
-        return df
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
+def _state_fields(schema, order: Sequence[str]) -> T.StructType:
+    return T.StructType([T.StructField(c, schema[c].dataType) for c in order])
 
 
-def _order_key(order: Sequence[str]):
-    return F.struct(*[F.col(c) for c in order])
+def _rank(values: Sequence) -> tuple:
+    """Order values as Spark compares structs: nulls first."""
+    return tuple((v is not None, v) if v is not None else (False, 0) for v in values)
 
 
-def append_articles(batch: DataFrame, sink: str, url: str, order: Sequence[str],
-                    fmt: str = "parquet") -> None:
-    """K4: claim within the batch; append claims that are new or beat the logged best."""
-    # Read by the look into the log, the comparison and the write: claimed once.
-    fresh = claim(batch, url, order).persist()
-    new, old = fresh, _sink_or_none(batch.sparkSession, sink, fmt)
-    if old is not None:
-        # Only log rows for URLs in this batch are aggregated (a semi-join first), so a
-        # batch does not shuffle the whole, growing log.
-        seen = old.select(url, *order).join(fresh.select(url), url, "left_semi")
-        best = seen.groupBy(url).agg(F.min(_order_key(order)).alias("__best"))
-        new = (fresh.join(best, url, "left")
-               .where(F.col("__best").isNull() | (_order_key(order) < F.col("__best")))
-               .drop("__best"))
-    new.write.mode("append").format(fmt).save(sink)
-    fresh.unpersist()
+def new_claims(stream: DataFrame, url: str, order: Sequence[str]) -> DataFrame:
+    """The rows of a stream that claim their URL, or take it from a later finder.
+
+    The state store holds, for each URL, the order of the best claim so far and nothing else,
+    so a batch touches the URLs that it has and its work does not grow with the log.  A URL
+    with many finders comes in pieces, of which the best row is kept.
+    """
+    names = stream.columns
+    at = [names.index(c) for c in order]
+
+    def best(_: tuple, pieces: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        row = None
+        for piece in pieces:
+            for r in piece.astype(object).where(piece.notna(), None).itertuples(index=False, name=None):
+                if row is None or _rank([r[i] for i in at]) < _rank([row[i] for i in at]):
+                    row = r
+        own = [row[i] for i in at]
+        if not state.exists or _rank(own) < _rank(state.get):
+            state.update(tuple(own))
+            yield pd.DataFrame([row], columns=names)
+
+    return stream.groupBy(url).applyInPandasWithState(best, stream.schema, _state_fields(stream.schema, order), "update", GroupStateTimeout.NoTimeout)
 
 
 def claimed(spark: SparkSession, sink: str, url: str = "url",
@@ -75,12 +75,12 @@ def resume_ingest(spark: SparkSession, source: str, schema, sink: str, checkpoin
     """
     seen: set[int] = set()
 
-    def each(batch: DataFrame, batch_id: int) -> None:
-        append_articles(batch, sink, url, list(order), fmt)
+    def each(batch: DataFrame, batch_id: int) -> None:  # K4
+        batch.write.mode("append").format(fmt).save(sink)
         seen.add(batch_id)
 
     stream = spark.readStream.schema(schema).option("maxBytesPerTrigger", batch_bytes).format(fmt).load(source)
-    q = (stream.writeStream.foreachBatch(each)
+    q = (new_claims(stream, url, list(order)).writeStream.foreachBatch(each).outputMode("update")
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)
          .start())
