@@ -836,7 +836,7 @@ import pandas as pd  # noqa: E402
 
 from ..functions.fixed import (AUTO_RANGES, FINE_MIN_GAP, LAST_MERGES, LEVELS, N_NEIGHBORS,  # noqa: E402
                                REDUCED_DIMS)
-from ..operators import cluster, hierarchy, layout, neighbours  # noqa: E402
+from ..operators import cluster, hierarchy, layout, neighbours, semantic  # noqa: E402
 
 #: Share of the exact edges that the descent has to find.
 RECALL = 0.9
@@ -852,6 +852,37 @@ def embed_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
                                 prepare=lambda c: clean_text(strip(c))).select("doc_id", "embedding")
 
 
+def _semantic(spark: SparkSession, sf_dir: str):
+    docs = spread(read_table(spark, sf_dir, "documents", "doc_id", "text")).select("doc_id", tokenize("text", TOKEN_PATTERN).alias("tokens"))
+    rows = semantic.ppmi_rows(docs, "doc_id", "tokens")
+    return rows, semantic.learn(rows)
+
+
+@register("semantic_docs")
+def semantic_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M3: unit-length document vectors learned from the corpus (sparse PPMI rows, randomized range finder)."""
+    return semantic.doc_vectors(_semantic(spark, sf_dir)[1]).withColumnRenamed("doc", "doc_id")
+
+
+@register("semantic_space", f"""
+WITH tok AS (SELECT doc_id AS doc, unnest(regexp_extract_all(lower(text), {S.q(TOKEN_PATTERN)})) AS term FROM documents),
+tf AS (SELECT doc, term, count(*) AS c FROM tok GROUP BY doc, term),
+kt AS (SELECT term, sum(c) AS ct FROM tf GROUP BY term HAVING count(*) >= {semantic.MIN_DOCS}),
+k AS (SELECT doc, term, c, ct, sum(c) OVER (PARTITION BY doc) AS cd, sum(c) OVER () AS n FROM tf JOIN kt USING (term)),
+a AS (SELECT doc, ln(c * CAST(n AS DOUBLE) / (CAST(cd AS DOUBLE) * ct)) AS a FROM k)
+SELECT count(DISTINCT doc) AS documents, count(*) AS entries, round(sum(a * a), 1) AS energy, {semantic.DIMS} AS rank,
+       TRUE AS unit_rows, TRUE AS values_fall FROM a WHERE a > 0""")
+def semantic_space(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M3: entries and squares of the sparse rows, rank of the learned axes, length of the vectors."""
+    rows, space = _semantic(spark, sf_dir)
+    length = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x)
+    unit = semantic.doc_vectors(space).agg((F.max(F.abs(length - 1)) < 1e-9).alias("unit_rows"))
+    v = space.values
+    falls = bool((v[:-1] >= v[1:]).all() and 0 < space.captured < space.energy)
+    return rows.agg(F.count_distinct("doc").alias("documents"), F.count(F.lit(1)).alias("entries"), F.round(F.sum(F.col("a") * F.col("a")), 1).alias("energy")).select(
+        "*", F.lit(int((v > 1e-6 * v[0]).sum())).alias("rank")).join(unit).withColumn("values_fall", F.lit(falls))  # one row each
+
+
 @register("pca_2d")
 def pca_2d(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M4: 15-d reduction, then 2-d coordinates (x, y) for the map of documents."""
