@@ -57,7 +57,7 @@ _NEAR = 200
 #: Hashes of patterns go to a table of two to the power of so many bits.
 _TABLE_BITS = 27
 #: Pairs of pattern and unit, different words, and different pairs of words that a task holds at once.
-_PAIRS, _WORDS, _TWOS = 1_000_000, 250_000, 1_000_000
+_PAIRS, _WORDS, _TWOS = 1_000_000, 400_000, 1_000_000
 
 
 def _luhn(digits: str) -> bool:
@@ -136,7 +136,7 @@ def _trimmed(text: str, start: int, end: int) -> tuple[int, int]:
 
 
 def _looks_like_id(token: str) -> bool:
-    return len(token) >= 5 and ("@" in token or any("0" <= c <= "9" for c in token))
+    return len(token) >= 5 and ("@" in token or _DIGIT.search(token) is not None)
 
 
 def _touched(text: str, places: list[tuple[int, int]]) -> dict[int, tuple[str, str]]:
@@ -190,27 +190,34 @@ def hashed(text: str) -> Column:
     return F.conv(F.substring(F.md5(F.col(text).cast("binary")), 1, 15), 16, 10).cast("long")
 
 
+#: CRC-32 goes on from what a pattern begins with, so a word is encoded once for all its patterns.
+_LEFT, _RIGHT, _PAIR, _TWO = (crc32(x) for x in (b"L1 ", b"R1 ", b"L2 ", b"2 "))
+
+
 class _Words(dict):
     """Numbers of the words met as they stand, and what is known of each.
 
     ``before`` and ``after``: the number of the pattern that has the word there, or -1;
     ``kind``: 1 if it may be the last of a pattern of two, plus 2 if it looks like an identifier.
-    ``two`` has the number of the pattern of two words, or -1, under both their numbers.
+    ``two`` has the number of the pattern of two words, or -1, under both their numbers;
+    ``units`` the hash of a word as an instance, made when it is one.
     """
 
     def __init__(self, table: bytes):
         super().__init__()
         self.table, self.patterns, self.names = table, {}, []
-        self.word, self.rows = [], array("q")
-        self.two = _Pairs(self)
+        self.word, self.token, self.rows = [], [], array("q")
+        self.two, self.units = _Pairs(self), _Units(self)
 
-    def may_be(self, key: str) -> bool:
-        h = crc32(key.encode("utf-8", "replace")) & ((1 << _TABLE_BITS) - 1)
+    def may_be(self, crc: int) -> bool:
+        h = crc & ((1 << _TABLE_BITS) - 1)
         return bool(self.table[h >> 3] >> (h & 7) & 1)
 
-    def pattern(self, key: str) -> int:
-        if not self.may_be(key):
+    def pattern(self, crc: int, kind: str, word: str) -> int:
+        h = crc & ((1 << _TABLE_BITS) - 1)
+        if not self.table[h >> 3] >> (h & 7) & 1:
             return -1
+        key = kind + word
         if key not in self.patterns:
             self.patterns[key] = len(self.patterns)
             self.names.append(key)
@@ -219,12 +226,27 @@ class _Words(dict):
     def __missing__(self, raw: str) -> int:
         a, z = _trimmed(raw, 0, len(raw))
         w = raw.lower().strip(_EDGES) or raw.lower()
+        coded, token = w.encode("utf-8", "replace"), raw[a:z]
         self[raw] = n = len(self)
         self.word.append(w)
-        self.rows.extend((self.pattern("L1 " + w), self.pattern("R1 " + w), self.may_be("2 " + w) + 2 * _looks_like_id(raw[a:z]), _hash(raw[a:z] or raw)))
+        self.token.append(token or raw)
+        self.rows.extend((self.pattern(crc32(coded, _LEFT), "L1 ", w), self.pattern(crc32(coded, _RIGHT), "R1 ", w),
+                          self.may_be(crc32(coded, _TWO)) + 2 * _looks_like_id(token)))
         return n
 
 
+class _Units(dict):
+    """Hash of a word as an instance, by its number."""
+
+    def __init__(self, words: _Words):
+        super().__init__()
+        self.words = words
+
+    def __missing__(self, n: int) -> int:
+        self[n] = h = _hash(self.words.token[n])
+        return h
+
+
 class _Pairs(dict):
     """Number of the pattern of two words, or -1, by the numbers of both."""
 
@@ -234,7 +256,8 @@ class _Pairs(dict):
 
     def __missing__(self, pair: int) -> int:
         word = self.words.word
-        self[pair] = n = self.words.pattern(f"L2 {word[pair >> 32]} {word[pair & 0xFFFFFFFF]}")
+        both = f"{word[pair >> 32]} {word[pair & 0xFFFFFFFF]}"
+        self[pair] = n = self.words.pattern(crc32(both.encode("utf-8", "replace"), _PAIR), "L2 ", both)
         return n
 
 
@@ -270,7 +293,7 @@ def _candidates(docs: DataFrame, patterns: DataFrame) -> DataFrame:
                 at = np.asarray([words[x] for x in _WORD.findall(t)], np.int64)
                 if len(at) < 2:
                     continue
-                before, after, kind, unit = np.frombuffer(words.rows, np.int64).reshape(-1, 4)[at].T
+                before, after, kind = np.frombuffer(words.rows, np.int64).reshape(-1, 3)[at].T
                 left, right = np.flatnonzero(before[:-1] >= 0), np.flatnonzero(after[1:] >= 0)
                 last = np.flatnonzero(kind[1:-1] & 1) + 1
                 pairs_of = (at[last - 1] << 32) | at[last]
@@ -282,7 +305,7 @@ def _candidates(docs: DataFrame, patterns: DataFrame) -> DataFrame:
                 if not len(place):
                     continue
                 behind = np.arange(len(place)) >= len(left) + len(two)
-                found = unit[place]
+                found = np.fromiter(map(words.units.__getitem__, at[place].tolist()), np.int64, len(place))
                 like = (kind[place] & 2) > 0
                 taken = any(base_spans(t).values())
                 if taken or like.any():
