@@ -106,6 +106,6 @@ def test_records_land_in_order_and_are_read_in_order(spark, scratch):
     rows = [(i, f"c{i}", None if i % 5 == 0 else f"n\"{i}") for i in range(95)]
     df = spark.createDataFrame(rows, "ordinal long, code string, name string").repartition(7)
     path = sinks.land_records(df, "ordinal", f"{scratch}/feed", per_file=10)
-    got = readers.read_json_records(spark, path, "code string, name string").orderBy("ordinal").collect()
+    got = readers.read_json_records(spark, path, df.select("code", "name").schema).orderBy("ordinal").collect()
     assert [(r["code"], r["name"]) for r in got] == [r[1:] for r in rows]
     assert len({r["ordinal"].split("#")[0] for r in got}) == 10
