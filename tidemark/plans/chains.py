@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import dedupe, pages
-from ..sources.tables import read_table, spread
+from ..sources.tables import dealt, read_table
 from . import catalog as C
 
 
@@ -30,6 +30,7 @@ SELECT chain_ic, major_industry FROM (
 def chain_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Chain id -> category from index pages, later mentions replace earlier."""
     p = read_table(spark, sf_dir, "part", "p_partkey", "p_brand", "p_type", "p_size")
+    p = dealt(p, p.count())
     brand = F.replace("p_brand", F.lit("Brand#"), F.lit("B"))
     html = F.concat(
         F.lit('<body><div class="box item"><a class="link" href="#"><b>&raquo;</b><span class="txt"> '), F.col("p_type"),
@@ -37,7 +38,7 @@ def chain_index(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("</a><li><span class=\"itemLink\" onclick=\"location.href='introduce.php?ic="), _ic("S", "p_size"),
         F.lit("'\">size</span></ul></div><a href=\"/x/introduce.php?ic="), _ic("P", "p_partkey"),
         F.lit('&amp;y=1">single</a><a href="introduce.php?ic=">none</a></body>'))
-    found = pages.extract_chain_index(spread(p.select("p_partkey", html.alias("html"))), "html", "p_partkey")
+    found = pages.extract_chain_index(p.select("p_partkey", html.alias("html")), "html", "p_partkey")
     return dedupe.last_wins(found, ["chain_ic"], ["p_partkey", "pos"]).select("chain_ic", "major_industry")
 
 
@@ -51,7 +52,7 @@ def chain_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stock rows of chain pages with segment, bucket and chain topic."""
     p = read_table(spark, sf_dir, "part", "p_partkey", "p_name", "p_brand", "p_type", "p_size")
     s = read_table(spark, sf_dir, "supplier", "s_suppkey", "s_name")
-    j = spread(p.join(s, p["p_size"] == s["s_suppkey"], "left"))
+    j = dealt(p.join(s, p["p_size"] == s["s_suppkey"], "left"), p.count())
     link = lambda code, more, text: F.concat(F.lit('<a href="company_basic.php?stk_code='), code.cast("string"),
                                              F.lit('"'), more, F.lit(">"), text, F.lit("</a>"))
     seller = F.coalesce(link(F.col("s_suppkey"), F.concat(F.lit(' title=" '), F.col("s_name"), F.lit('"')), F.lit("x")), F.lit(""))
