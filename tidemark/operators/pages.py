@@ -30,6 +30,9 @@ from ..session import staged
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HIDDEN = frozenset(("script", "style", "template"))
 
+#: Nodes, or entries, that a task holds at once (about; a page more).
+SLICE = 20_000
+
 _TEXT = "#text"
 _NODES = "array<struct<at:int,end:int,tag:string,attrs:map<string,string>,text:string,shown:boolean>>"
 _ARROW = pa.list_(pa.struct([("at", pa.int32()), ("end", pa.int32()), ("tag", pa.string()),
@@ -92,12 +95,23 @@ def with_nodes(df: DataFrame, html: str, *keep: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            nodes = pa.array([read_nodes(h.as_py()) for h in b.column(len(keep))], _ARROW)
-            yield pa.RecordBatch.from_arrays([*b.columns[:len(keep)], nodes], [*keep, "nodes"])
+            for a, pages in _slices(b.column(len(keep)), read_nodes, len):
+                yield pa.RecordBatch.from_arrays([*b.slice(a, len(pages)).columns[:len(keep)], pa.array(pages, _ARROW)], [*keep, "nodes"])
 
     return df.select(*keep, html).mapInArrow(run, f"{fields}, nodes {_NODES}")
 
 
+def _slices(html: pa.Array, read: Callable, size: Callable) -> Iterator[tuple[int, list]]:
+    """(place, results) of runs of pages that together have about ``SLICE`` nodes, so a task never holds those of a batch."""
+    at, held, n = 0, [], 0
+    for i in range(len(html)):
+        held.append(read(html[i].as_py()))
+        n += size(held[-1])
+        if n >= SLICE or i == len(html) - 1:
+            yield at, held
+            at, held, n = i + 1, [], 0
+
+
 # Rules over nodes
 
 _PART = re.compile(r"(?P<tag>[a-zA-Z][\w-]*)|\.(?P<cls>[\w-]+)|#(?P<id>[\w-]+)|\[(?P<attr>[\w-]+)(?:(?P<op>[\^*]?=)\"?(?P<val>[^\]\"]*)\"?)?\]")
@@ -175,25 +189,128 @@ def extract_main(df: DataFrame, html: str = "html", key: str = "page_id",
     return with_nodes(df, html, key).select(key, main_text(F.col("nodes"), container, list(drop)).alias(out))
 
 
+def _compiled(selector: str) -> list[list[dict]]:
+    """The selector's compounds, outermost first, for the reader."""
+    parts = [list(_PART.finditer(c)) for c in selector.split()]
+    if ["".join(m.group() for m in p) for p in parts] != selector.split() or not parts:
+        raise ValueError(f"unsupported selector {selector!r}")
+    return [[m.groupdict() for m in p] for p in parts]
+
+
+def _fits(parts: list[dict], tag: str, attrs: dict) -> bool:
+    """``_is`` for the reader."""
+    for m in parts:
+        value = attrs.get(m["attr"] or "id")
+        if m["tag"]:
+            ok = tag == m["tag"].lower()
+        elif m["cls"]:
+            ok = m["cls"] in re.split(r"[ \t\n\x0b\f\r]+", attrs.get("class", ""))
+        elif m["id"] or m["op"] == "=":
+            ok = value == (m["id"] or m["val"])
+        else:
+            ok = value is not None and (not m["op"] or (value.startswith(m["val"]) if m["op"] == "^=" else m["val"] in value))
+        if not ok:
+            return False
+    return True
+
+
+class _Picker(_Reader):
+    """Of one page only the elements that ``wanted`` selectors name, each with its shown text pieces; no other node is kept.
+
+    ``picked``: (selector number, attrs, pieces, ids of the picked elements around it, own id) in document order.
+    """
+
+    def __init__(self, wanted: list[list[list[dict]]]):
+        super().__init__()
+        self.wanted, self.picked = wanted, []
+        self.around: list[tuple] = []  # (tag, attrs, picked elements) of each open element
+
+    def _close(self) -> str:
+        tag = self.around.pop()[0]
+        self.names[tag] -= 1
+        self.hidden -= tag in HIDDEN
+        return tag
+
+    def _add(self, tag, attrs, text):
+        if tag == _TEXT:
+            if not self.hidden:
+                for _, _, own in self.around:
+                    for p in own:
+                        p[2].append(text)
+            return
+        own = []
+        for number, parts in enumerate(self.wanted):
+            if _fits(parts[-1], tag, attrs) and self._within(parts[:-1]):
+                own.append((number, attrs, [], [p[4] for _, _, o in self.around for p in o], len(self.picked)))
+                self.picked.append(own[-1])
+        self.last = (tag, attrs, own)
+
+    def _within(self, outer: list[list[dict]]) -> bool:
+        at = len(self.around)
+        for parts in reversed(outer):
+            at -= 1
+            while at >= 0 and not _fits(parts, *self.around[at][:2]):
+                at -= 1
+            if at < 0:
+                return False
+        return True
+
+    def handle_starttag(self, tag, attrs):
+        self._add(tag, {k: v or "" for k, v in attrs}, None)
+        if tag not in VOID:
+            self.around.append(self.last)
+            self.names[tag] += 1
+            self.hidden += tag in HIDDEN
+
+
+def read_picked(html: str | None, wanted: list) -> list[tuple]:
+    """The elements of one page that the compiled selectors name."""
+    reader = _Picker(wanted)
+    reader.feed(html or "")
+    reader.close()
+    return reader.picked
+
+
+def _entries(picked: list[tuple]) -> list[tuple]:
+    """(title pieces, href, date pieces) of each row (selector 0) whose first link (1) has an address; date is selector 2."""
+    first: dict[int, dict[int, tuple]] = {p[4]: {} for p in picked if p[0] == 0}
+    for p in picked:
+        if p[0]:
+            for row in p[3]:
+                if row in first:
+                    first[row].setdefault(p[0], p)
+    return [(f[1][2], f[1][1]["href"], f[2][2] if 2 in f else []) for f in first.values() if 1 in f and "href" in f[1][1]]
+
+
+def _joined(pieces: str) -> Column:
+    return F.array_join(F.transform(pieces, lambda t: strip(t)), "")
+
+
 def extract_links(df: DataFrame, html: str = "html", key: str = "page_id", row: str = "div.r-ent",
                   link: str = "div.title a", date: str | None = "div.date",
                   base: str | None = None, base_col: str | None = None) -> DataFrame:
-    """H2: one row per listing entry with a link: (key, pos, title, url, date)."""
-    pages = with_nodes(df.withColumn("__base", F.coalesce(F.col(base_col) if base_col else F.lit(base), F.lit(""))), html, key, "__base")
-    nodes = F.col("nodes")
-    dates = found(nodes, date) if date else F.array().cast(_NODES)
+    """H2: one row per listing entry with a link: (key, pos, title, url, date).
 
-    def entries(links: Column, dated: Column) -> Column:
-        return F.transform(found(nodes, row), lambda r: F.struct(
-            _first(F.filter(links, lambda a: inside(a, r))).alias("a"), _first(F.filter(dated, lambda d: inside(d, r))).alias("d")))
+    The reader keeps the text pieces of links and dates only and an entry knows its row, so a
+    page of many entries costs as much as many pages of few.
+    """
+    wanted = [_compiled(x) for x in (row, link, date) if x]
+    kind = df.schema[key].dataType.simpleString()
+    names = ["key", "base", "pos", "title", "href", "date"]
+    pieces = pa.list_(pa.string())
 
-    listed = let(found(nodes, link), lambda links: let(dates, lambda dated: entries(links, dated)))
-    with_link = F.filter(listed, lambda e: F.try_element_at(e["a"]["attrs"], F.lit("href")).isNotNull())
-    # Texts are taken before the entries become rows, so that no row carries its page.
-    entry = F.transform(with_link, lambda e: F.struct(_label(nodes, e["a"]).alias("title"), F.try_element_at(e["a"]["attrs"], F.lit("href")).alias("href"),
-                                                      _label(nodes, e["d"]).alias("date")))
-    rows = pages.select(key, "__base", F.posexplode_outer(entry).alias("pos", "e")).where("e IS NOT NULL")
-    return rows.select(key, "pos", "e.title", F.concat("__base", "e.href").alias("url"), "e.date")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for a, found in _slices(b.column(2), lambda h: _entries(read_picked(h, wanted)), lambda e: len(e) + 1):
+                for c in range(0, len(rows := [(a + i, pos, *e) for i, es in enumerate(found) for pos, e in enumerate(es)]), SLICE):
+                    at, pos, title, href, day = (list(x) for x in zip(*rows[c:c + SLICE], strict=True))
+                    page = b.take(pa.array(at, pa.int32()))
+                    yield pa.RecordBatch.from_arrays([page.column(0), page.column(1), pa.array(pos, pa.int32()), pa.array(title, pieces),
+                                                      pa.array(href, pa.string()), pa.array(day, pieces)], names)
+
+    pages = df.select(F.col(key).alias("key"), F.coalesce(F.col(base_col) if base_col else F.lit(base), F.lit("")).alias("base"), html)
+    rows = pages.mapInArrow(run, f"key {kind}, base string, pos int, title array<string>, href string, date array<string>")
+    return rows.select(F.col("key").alias(key), "pos", _joined("title").alias("title"), F.concat("base", "href").alias("url"), _joined("date").alias("date"))
 
 
 def extract_next(df: DataFrame, html: str = "html", key: str = "page_id", link: str = "a.btn.wide", label: str = "上頁",
@@ -202,10 +319,18 @@ def extract_next(df: DataFrame, html: str = "html", key: str = "page_id", link:
 
     The first link whose text holds ``label`` counts; a button without an address ends the listing.
     """
-    nodes = F.col("nodes")
-    buttons = F.filter(found(nodes, link), lambda a: F.contains(_label(nodes, a), F.lit(label)))
-    href = let(_first(buttons), lambda a: F.nullif(F.try_element_at(a["attrs"], F.lit("href")), F.lit("")))
-    return with_nodes(df, html, key).select(key, F.concat(F.lit(base or ""), href).alias("next_url"))
+    wanted, kind = [_compiled(link)], df.schema[key].dataType.simpleString()
+    buttons = pa.list_(pa.struct([("text", pa.list_(pa.string())), ("href", pa.string())]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for a, found in _slices(b.column(1), lambda h: [{"text": p[2], "href": p[1].get("href")} for p in read_picked(h, wanted)], lambda e: len(e) + 1):
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(a, len(found)), pa.array(found, buttons)], ["key", "buttons"])
+
+    made = df.select(F.col(key).alias("key"), html).mapInArrow(run, f"key {kind}, buttons array<struct<text:array<string>,href:string>>")
+    named = F.filter("buttons", lambda x: F.contains(F.array_join(F.transform(x["text"], lambda t: strip(t)), ""), F.lit(label)))
+    href = F.nullif(_first(named)["href"], F.lit(""))
+    return made.select(F.col("key").alias(key), F.concat(F.lit(base or ""), href).alias("next_url"))
 
 
 def listing_order(pages: DataFrame, starts: DataFrame, page: str = "page", following: str = "next_page", start: str = "start") -> DataFrame:
