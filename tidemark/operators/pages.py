@@ -304,7 +304,7 @@ def extract_links(df: DataFrame, html: str = "html", key: str = "page_id", row:
             for a, found in _slices(b.column(2), lambda h: _entries(read_picked(h, wanted)), lambda e: len(e) + 1):
                 for c in range(0, len(rows := [(a + i, pos, *e) for i, es in enumerate(found) for pos, e in enumerate(es)]), SLICE):
                     at, pos, title, href, day = (list(x) for x in zip(*rows[c:c + SLICE], strict=True))
-                    page = b.take(pa.array(at, pa.int32()))
+                    page = b.select([0, 1]).take(pa.array(at, pa.int32()))  # never the page itself
                     yield pa.RecordBatch.from_arrays([page.column(0), page.column(1), pa.array(pos, pa.int32()), pa.array(title, pieces),
                                                       pa.array(href, pa.string()), pa.array(day, pieces)], names)
 

@@ -29,10 +29,14 @@ def landed_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     entry = F.col("o_orderkey").cast("long").alias("k")
     rows = o.select(F.concat(F.lit("s"), F.col("o_orderstatus")).alias("chain"), F.expr(f"o_orderkey div {RUN}").alias("at"), entry).unionByName(
         o.select(F.concat(F.lit("u"), short).alias("chain"), (F.col("o_orderkey") % (short + 1)).cast("long").alias("at"), entry))
-    text = F.when(F.col("k") % 11 == 0, F.lit('<div class="title">gone</div>')).otherwise(F.concat(
-        F.lit('<div class="title"><a href="/o/'), F.col("k"), F.lit('"> No '), F.col("k"), F.lit(" </a></div>")))
-    div = F.concat(F.lit('<div class="r-ent">'), text, F.lit('<div class="date">'), F.col("k") % 12 + 1, F.lit("/"), F.col("k") % 28 + 1, F.lit("</div></div>"))
-    listed = rows.groupBy("chain", "at").agg(F.sort_array(F.collect_list(F.struct("k", div.alias("h")))).alias("e"))  # one page's entries
+
+    def div(k: F.Column) -> F.Column:
+        text = F.when(k % 11 == 0, F.lit('<div class="title">gone</div>')).otherwise(F.concat(
+            F.lit('<div class="title"><a href="/o/'), k, F.lit('"> No '), k, F.lit(" </a></div>")))
+        return F.concat(F.lit('<div class="r-ent">'), text, F.lit('<div class="date">'), k % 12 + 1, F.lit("/"), k % 28 + 1, F.lit("</div></div>"))
+
+    # A page's entries are gathered as keys and become markup where the page is written.
+    listed = rows.groupBy("chain", "at").agg(F.sort_array(F.collect_list("k")).alias("e"))
     # All pages of a listing, also those without entries.
     chains = rows.groupBy("chain").agg(F.max("at").alias("at")).select("chain", F.when(
         F.col("chain").startswith("u"), F.expr("cast(substr(chain, 2) as long)")).otherwise(F.col("at")).alias("last"))
@@ -41,7 +45,7 @@ def landed_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     following = F.when(F.col("at") < F.col("last"), F.col("at") + 1).otherwise(back)
     link = lambda to: F.concat(F.lit('<a class="btn wide" href="/'), F.col("chain"), F.lit("/"), to, F.lit('">‹ 上頁</a>'))
     html = F.concat(F.lit('<div class="bar"><a class="btn wide" href="/first">最舊</a>'), F.coalesce(link(following), F.lit('<a class="btn wide">‹ 上頁</a>')),
-                    F.lit("</div>"), F.coalesce(F.array_join(F.transform("e", lambda x: x["h"]), ""), F.lit("")))
+                    F.lit("</div>"), F.coalesce(F.array_join(F.transform("e", div), ""), F.lit("")))
     made = every.join(listed, ["chain", "at"], "left").select(F.concat_ws("/", F.lit(_BASE), "chain", "at").alias("url"), html.alias("html"))
     path = scratch_path(spark, "listings")
     made.write.parquet(path)
