@@ -53,3 +53,15 @@ def test_a_killed_run_resumes_and_the_log_is_not_read(spark, monkeypatch):
     spark.createDataFrame([("u1", "zz", 9999), ("new", "zz", 9999)], df.schema).write.mode("append").parquet(f"{root}/landed")
     ingest.resume_ingest(spark, f"{root}/landed", df.schema, f"{root}/other", ckpt, batch_bytes=1000)
     assert rows(ingest.claimed(spark, f"{root}/other")) == [("new", "zz", 9999)]
+
+
+def test_the_number_of_batches_does_not_follow_the_files(spark):
+    df = spark.createDataFrame([(f"u{i % 40}", f"s{(i * 7) % 9}", i) for i in range(1200)], "url string, stock_id string, doc_id long")
+    root = scratch_path(spark, "ingest-share")
+    src = ingest.land_files(df, f"{root}/landed", 20)
+    assert len(spark.read.schema(df.schema).parquet(src).inputFiles()) >= 60
+    size = ingest.share_of_files(spark, src, df.schema, 3, 100)
+    assert 2 <= ingest.resume_ingest(spark, src, df.schema, f"{root}/sink", f"{root}/ckpt", batch_bytes=size) <= 4
+    assert rows(ingest.claimed(spark, f"{root}/sink")) == rows(claim(df, "url", ["stock_id", "doc_id"]))
+    assert ingest.share_of_files(spark, src, df.schema, 3, 1 << 40) == 1 << 40
+    assert ingest.share_of_files(spark, ingest.land_files(df.where("doc_id < 0"), f"{root}/none", 20), df.schema, 3, 7) >= 7

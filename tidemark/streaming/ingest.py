@@ -42,19 +42,18 @@ def new_claims(stream: DataFrame, url: str, order: Sequence[str]) -> DataFrame:
     so a batch touches the URLs that it has and its work does not grow with the log.  A URL
     with many finders comes in pieces, of which the best row is kept.
     """
-    names = stream.columns
-    at = [names.index(c) for c in order]
+    def values(column: pd.Series) -> list:
+        return [None if v is None or v != v else v for v in column.tolist()]
 
     def best(_: tuple, pieces: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        row = None
+        row = own = None
         for piece in pieces:
-            for r in piece.astype(object).where(piece.notna(), None).itertuples(index=False, name=None):
-                if row is None or _rank([r[i] for i in at]) < _rank([row[i] for i in at]):
-                    row = r
-        own = [row[i] for i in at]
+            for i, found in enumerate(zip(*[values(piece[c]) for c in order], strict=True)):
+                if row is None or _rank(found) < _rank(own):
+                    row, own = piece.iloc[[i]], found
         if not state.exists or _rank(own) < _rank(state.get):
             state.update(tuple(own))
-            yield pd.DataFrame([row], columns=names)
+            yield row
 
     return stream.groupBy(url).applyInPandasWithState(best, stream.schema, _state_fields(stream.schema, order), "update", GroupStateTimeout.NoTimeout)
 
@@ -90,6 +89,15 @@ def resume_ingest(spark: SparkSession, source: str, schema, sink: str, checkpoin
     return len(seen)
 
 
+def share_of_files(spark: SparkSession, source: str, schema, batches: int, least: int, fmt: str = "parquet") -> int:
+    """Bytes of a micro-batch, ``least`` at least, with which the landed files make about ``batches`` of them.
+
+    A micro-batch has its fixed cost (a commit of every state partition), so their number must not follow the input.
+    """
+    files = spark.read.schema(schema).format(fmt).load(source).select("_metadata.file_path", "_metadata.file_size").distinct()
+    return max(least, -(-(files.selectExpr("sum(file_size)").first()[0] or 0) // batches))
+
+
 def land_files(df: DataFrame, target: str, rows_per_file: int = 1_000_000) -> str:
     """Land a table as files of at most ``rows_per_file`` rows, so their number follows the
     input; every task writes the rows it has read, so no key is gathered and nothing shuffles."""
