@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
-from tidemark.llm import packing, quality, simhash, tokens, toxicity
+from tidemark.llm import packing, quality, simhash, tokenizing, tokens, toxicity
 from tidemark.llm.registry import vocabulary
 from tidemark.llm.tokenizing import Encoder
 
@@ -240,6 +240,38 @@ def test_encoder_equals_library(name, documents):
     assert fast.counts(texts).tolist() == [len(x) for x in want]
 
 
+def test_encoder_of_latin_texts_equals_library(monkeypatch):
+    """Every Latin-1 character, short forms and special strings, among texts of other characters and over generations."""
+    from tokenizers import Tokenizer
+    path = vocabulary("word_bpe_49k.json")
+    plain, fast = Tokenizer.from_file(path), Encoder(path)
+    rng = random.Random(11)
+    latin = [*map(chr, range(256)), *"'s 't 're 've 'm 'll 'd 'S 'RE ''s 'l 're' .'s <| <|endoftext|>".split(), "' s"]
+    wide = ["\u65e5\u672c", "\u03a3", "\u0130", "\u2019", "\u0307", "\u2003", "\u0958"]
+    texts = ["".join(rng.choices(pool, k=rng.randint(0, 60))) for _ in range(300) for pool in (latin, latin[256:] + list("ab. "), latin + 6 * wide)]
+    texts += ["", " \n", "'", "x'", "x'l", "X\u0130, \u0958.", "\u00c9T\u00c9,\u00e9t\u00e9 Word word&&&. word***"]
+    want = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [x.tolist() for x in fast.ids(texts)] == want
+    monkeypatch.setattr(tokenizing, "MAX_CHUNKS", 50)
+    fast.clear()
+    for k in range(0, len(texts), 7):
+        assert [x.tolist() for x in fast.ids(texts[k:k + 7])] == want[k:k + 7]
+        assert fast.counts(texts[k:k + 7]).tolist() == [len(x) for x in want[k:k + 7]]
+    assert fast.ids([]) == [] and [len(x) for x in fast.ids(["", " "])] == [0, 0]
+
+
+def test_encoder_learns_a_word_once_and_past_the_normalizer():
+    """Words with other marks or capitals are no new words, and words that occur once cost no call for whole texts."""
+    fast = Encoder(vocabulary("word_bpe_49k.json"))
+    texts, whole = [], fast._whole
+    fast._whole = lambda batch: texts.extend(batch) or whole(batch)
+    new = [f"{'abcdefgh\u00e9\u00fc'[i % 10]}{'xyzv'[i % 4]}{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(500)]
+    fast.ids([" ".join(w.title() + mark for w in new) for mark in ("", "&&&", "%%%.", ",")])
+    fast.ids(["Been here, been there***", "been (here) THERE!"])
+    assert sorted(k for k in fast._at if any(map(str.isalpha, k))) == sorted([*new, "been", "here", "there"])
+    assert not any(c.isalpha() for t in texts for c in t)
+
+
 def test_token_counts_and_cache(spark, scratch, documents):
     path = vocabulary("byte_bpe_50k.json")
     docs = odd_docs(spark).select("doc_id", "text").unionByName(documents.select("doc_id", "text"))

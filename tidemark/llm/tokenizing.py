@@ -3,19 +3,24 @@
 ``Encoder`` gives what the file's library gives.  For Hugging Face files whose
 pre-tokenizer never lets a token cross certain spaces, a text is cut there and each
 distinct chunk is encoded once and kept in a bounded table of two generations, since words
-repeat; other files and other texts are encoded whole.
+repeat; other files and other texts are encoded whole.  Files whose pre-tokens follow from the
+kinds of neighbouring characters have Latin-1 texts cut into these, many texts at a time, and
+new words go to the file's model at once, past the normalizer and the pattern.
 """
 
 from __future__ import annotations
 
+import codecs
 import hashlib
 import json
 import os
 import re
+import unicodedata
 from collections.abc import Iterator, Sequence
 from itertools import repeat
 
 import numpy as np
+import pyarrow as pa
 
 from .common import kept
 
@@ -30,6 +35,16 @@ JOINED = 5000
 #: A space beside other white space, or at an end: such texts are not cut by single spaces.
 _LOOSE = re.compile(r"^\s|\s$| \s|\s ")
 
+#: The pattern whose pre-tokens are runs of letters, digits, runs of other characters, and these short forms.
+_BY_KIND = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Each Latin-1 character's lower case, and its kind.  All of them are in NFC.
+_LOWER = "".join(map(chr, range(256))).lower().encode("latin-1")
+_SPACE, _LETTER, _DIGIT, _OTHER = range(4)
+_KIND = np.asarray([_SPACE if c in b"\t\n\x0b\x0c\r \x85\xa0" else {"L": _LETTER, "N": _DIGIT}.get(unicodedata.category(chr(c))[0], _OTHER)
+                    for c in range(256)], np.uint8)
+#: A word that a normalizer to lower case leaves as it is.
+_LATIN_WORD = re.compile("[a-z\xdf-\xf6\xf8-\xff]+").fullmatch
+
 
 def tokenizer_digest(path: str) -> str:
     """SHA-256 of the tokenizer file: another version has other counts."""
@@ -42,7 +57,7 @@ class Encoder:
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.cut, self.leading = None, False
+        self.cut, self.leading, self.by_kind = None, False, False
         if path.endswith(".model"):
             import sentencepiece
             model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -54,7 +69,9 @@ class Encoder:
             tok.no_padding()
             self._whole = lambda texts: [e.ids for e in tok.encode_batch_fast(list(texts), add_special_tokens=False)]
             with open(path, "rb") as f:
-                self.cut, self.leading = _cut_of(json.load(f))
+                self.cut, self.leading, self.by_kind = _cut_of(json.load(f))
+            if self.by_kind:
+                self._model, self._byte_chars = tok.model, _byte_chars()
             vocab = tok.get_vocab(with_added_tokens=False)
             self.edge = np.zeros(max(tok.get_vocab().values()) + 1, bool)
             self.edge[[i for t, i in vocab.items() if (t[0] == "\u0120" if self.leading else t.endswith("</w>"))]] = True
@@ -85,7 +102,10 @@ class Encoder:
 
     def _learn(self, chunks: list[str]) -> None:
         """Add new chunks.  A word with a comma or full stop behind it has the word's ids, then the mark's."""
-        stem = {c: c[:-1] for c in chunks if c[-1] in ",." and len(c) > 2 and c[-2].isalpha()}
+        if self.by_kind:
+            self._learn_latin([c for c in chunks if _LATIN_WORD(c)])
+            chunks = [c for c in chunks if c not in self._at]
+        stem = {c: c[:-1] for c in chunks if c[-1] in ",." and len(c) > 2 and _ends_in_letter(c[-2])}
         words = [c for c in dict.fromkeys([*(stem.get(c, c) for c in chunks), *(",." if stem else "")]) if c not in self._at]
         is_plain = (lambda w: w[0] == " " and w[1:].isalpha()) if self.leading else str.isalpha
         plain = [w for w in words if is_plain(w)]
@@ -101,6 +121,16 @@ class Encoder:
             flat, ends = self._gather(pairs)
             self._add(list(stem), flat, ends[1::2])
 
+    def _learn_latin(self, words: list[str]) -> None:
+        """Add words that are one pre-token each, which the file's model takes as characters for bytes."""
+        flat: list[int] = []
+        ends = []
+        if words:
+            for w in codecs.charmap_decode(" ".join(words).encode(), "strict", self._byte_chars)[0].split(" "):
+                flat += [t.id for t in self._model.tokenize(w)]
+                ends.append(len(flat))
+            self._add(words, np.asarray(flat, np.uint32), np.asarray(ends, np.int64))
+
     def _learn_joined(self, words: list[str]) -> list[str]:
         """Add words of letters alone, encoded as one text; gives back those not added.
 
@@ -134,33 +164,95 @@ class Encoder:
             codes[new] = np.fromiter(map(self._at.__getitem__, missing), np.int64, len(missing))
         return codes
 
-    def _chunks(self, texts: Sequence[str]) -> tuple[list[str], np.ndarray]:
-        chunks: list[str] = []
-        ends = []
-        for t in texts:
-            chunks += self.cut(t)
-            ends.append(len(chunks))
-        return chunks, np.asarray(ends, np.int64)
+    def _chunks(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the texts' chunks, one text's after another's, and (begin, end) of each text's in them."""
+        latin = [_latin(t) if self.by_kind else None for t in texts]
+        chunks, at, ends = _pieces([b for b in latin if b is not None])
+        first = len(chunks)
+        rest = []
+        for t, b in zip(texts, latin, strict=True):
+            if b is None:
+                chunks += self.cut(t)
+                rest.append(len(at) + len(chunks) - first)
+        codes = self._codes(chunks)
+        ends = np.r_[0, ends, np.asarray(rest, np.int64)]
+        spans = np.empty((len(texts), 2), np.int64)
+        spans[np.argsort([b is None for b in latin], kind="stable")] = np.c_[ends[:-1], ends[1:]]
+        return np.r_[codes[at], codes[first:]], spans
 
     def counts(self, texts: Sequence[str]) -> np.ndarray:
         """Number of tokens of each text."""
         if self.cut is None:
             return np.asarray([len(x) for x in self._whole(texts)], np.int64)
-        chunks, ends = self._chunks(texts)
-        codes = self._codes(chunks)
+        codes, spans = self._chunks(texts)
         sums = np.r_[0, np.cumsum(np.diff(self._starts)[codes])]
-        return np.diff(np.r_[0, sums[ends]])
+        return sums[spans[:, 1]] - sums[spans[:, 0]]
 
     def ids(self, texts: Sequence[str]) -> list[np.ndarray]:
         """Token ids of each text, unsigned 32-bit."""
         if self.cut is None:
             return [np.asarray(x, np.uint32) for x in self._whole(texts)]
-        chunks, ends = self._chunks(texts)
-        if not chunks:
+        codes, spans = self._chunks(texts)
+        if not len(codes):
             return [np.zeros(0, np.uint32) for _ in texts]
-        flat, to = self._gather(self._codes(chunks))
-        cuts = np.r_[0, to][np.r_[0, ends]]
-        return [flat[a:z] for a, z in zip(cuts[:-1], cuts[1:], strict=True)]
+        flat, to = self._gather(codes)
+        return [flat[a:z] for a, z in np.r_[0, to][spans].tolist()]
+
+
+def _ends_in_letter(c: str) -> bool:
+    """Whether the normalizer's form of a letter does: some, as \u0130, become a letter and a mark."""
+    return c.isalpha() and (c.isascii() or unicodedata.normalize("NFC", c).lower()[-1].isalpha())
+
+
+def _byte_chars() -> str:
+    """The library's character for each byte; a space, which separates words, stays."""
+    from tokenizers.pre_tokenizers import ByteLevel
+    level, chars = ByteLevel(add_prefix_space=False, use_regex=False), ["\ufffe"] * 256
+    for c in map(chr, range(256)):
+        for b, x in zip(c.encode(), level.pre_tokenize_str(c)[0][0], strict=True):
+            chars[b] = x
+    return "".join([*chars[:32], " ", *chars[33:]])
+
+
+def _latin(text: str) -> bytes | None:
+    """Lower-case Latin-1 bytes; none if another character or maybe a special string is in the text."""
+    if "<|" in text:
+        return None
+    try:
+        return text.encode("latin-1").translate(_LOWER)
+    except UnicodeEncodeError:
+        return None
+
+
+def _pieces(texts: list[bytes]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Pre-tokens of Latin-1 texts: the distinct ones, the place of each among them, and where each text's end."""
+    if not texts:
+        return [], np.zeros(0, np.int64), np.zeros(0, np.int64)
+    chars = np.frombuffer(b"".join(t + b"\n" for t in texts), np.uint8)
+    kind = _KIND[chars]
+    begins = kind != _SPACE
+    begins[1:] &= (kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT)
+    # An apostrophe alone before letters takes those of a short form.  A line end is behind all.
+    quote = np.flatnonzero(begins & (chars == ord("'")))
+    quote = quote[kind[quote + 1] == _LETTER]
+    one, two = chars[quote + 1], chars[quote + 2]
+    size = 2 * np.isin(one, list(b"stmd"))
+    for a, b in (b"re", b"ve", b"ll"):
+        size += 3 * ((one == a) & (two == b))
+    quote, size = quote[size > 0], size[size > 0]
+    begins[quote + 1] = False
+    begins[quote + size] |= kind[quote + size] == _LETTER
+    at = np.flatnonzero(begins)
+    ends = np.searchsorted(at, np.cumsum([len(t) + 1 for t in texts]))
+    if not len(at):
+        return [], np.zeros(0, np.int64), ends
+    inside = kind != _SPACE
+    offsets = np.zeros(len(at) + 1, np.int32)
+    np.cumsum(np.add.reduceat(inside, at, dtype=np.int32), out=offsets[1:])
+    found = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(chars[inside])]).dictionary_encode()
+    _, cuts, data = found.dictionary.buffers()
+    cuts, data = np.frombuffer(cuts, np.int32, len(found.dictionary) + 1).tolist(), data.to_pybytes().decode("latin-1")
+    return [data[a:z] for a, z in zip(cuts[:-1], cuts[1:], strict=True)], found.indices.to_numpy(), ends
 
 
 def _gathered(codes: np.ndarray, starts: np.ndarray, flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -171,7 +263,8 @@ def _gathered(codes: np.ndarray, starts: np.ndarray, flat: np.ndarray) -> tuple[
 
 
 def _cut_of(spec: dict):
-    """How texts may be cut for this file (or None), and whether chunks begin with their space.
+    """How texts may be cut for this file (or None), whether chunks begin with their space, and whether
+    Latin-1 texts may be cut by the kinds of their characters.
 
     Byte-level files whose pattern takes one space into the token after it: before single
     spaces between other characters.  Files that drop white space between tokens: at
@@ -184,7 +277,7 @@ def _cut_of(spec: dict):
                 return [t] if t else []
             first, *rest = t.split(" ")
             return [first, *[" " + x for x in rest]] if t else []
-        return before_spaces, True
+        return before_spaces, True, False
     steps = pre.get("pretokenizers") or []
     if (len(steps) == 2 and steps[0].get("type") == "Split" and steps[0].get("behavior") == "Removed" and steps[0].get("invert")
             and r"[^\s" in (steps[0].get("pattern") or {}).get("Regex", "") and steps[1].get("type") == "ByteLevel" and not steps[1].get("use_regex")
@@ -196,8 +289,9 @@ def _cut_of(spec: dict):
                 t = t.lower()
             # split() also cuts at U+001C to U+001F, which are no white space to the library.
             return t.split() if not any(c in t for c in "\x1c\x1d\x1e\x1f") else [x for x in t.replace("\n", " ").split(" ") if x]
-        return at_blanks, False
-    return None, False
+        names = [x.get("type") for x in norm.get("normalizers", [])]
+        return at_blanks, False, steps[0]["pattern"]["Regex"] == _BY_KIND and "Lowercase" in names and (spec.get("model") or {}).get("type") == "BPE"
+    return None, False, False
 
 
 def encoder(path: str) -> Encoder:
