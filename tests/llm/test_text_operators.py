@@ -270,6 +270,10 @@ def test_encoder_learns_a_word_once_and_past_the_normalizer():
     fast.ids(["Been here, been there***", "been (here) THERE!"])
     assert sorted(k for k in fast._at if any(map(str.isalpha, k))) == sorted([*new, "been", "here", "there"])
     assert not any(c.isalpha() for t in texts for c in t)
+    # Beside other characters too: only chunks with one of them are encoded as texts.
+    fast.ids(["\u2019 zq&&& Zr*** (zs),zt", "it\u2019s"])
+    assert {"zq", "zr", "zs", "zt"} < set(fast._at)
+    assert {t for t in texts if any(map(str.isalpha, t))} == {"it\u2019s"}
 
 
 def test_token_counts_and_cache(spark, scratch, documents):

@@ -104,7 +104,7 @@ class Encoder:
         """Add new chunks.  A word with a comma or full stop behind it has the word's ids, then the mark's."""
         if self.by_kind:
             self._learn_latin([c for c in chunks if _LATIN_WORD(c)])
-            chunks = [c for c in chunks if c not in self._at]
+            chunks = self._learn_composed([c for c in chunks if c not in self._at])
         stem = {c: c[:-1] for c in chunks if c[-1] in ",." and len(c) > 2 and _ends_in_letter(c[-2])}
         words = [c for c in dict.fromkeys([*(stem.get(c, c) for c in chunks), *(",." if stem else "")]) if c not in self._at]
         is_plain = (lambda w: w[0] == " " and w[1:].isalpha()) if self.leading else str.isalpha
@@ -112,15 +112,31 @@ class Encoder:
         alone = [w for w in words if not is_plain(w)]
         for k in range(0, len(plain), JOINED):
             alone += self._learn_joined(plain[k:k + JOINED])
-        for k in range(0, len(alone), BATCH):
-            part = alone[k:k + BATCH]
-            ids = self._whole(part)
-            self._add(part, np.asarray([x for i in ids for x in i], np.uint32), np.cumsum([len(i) for i in ids]))
+        self._learn_alone(alone)
         if stem:
             pairs = np.fromiter((self._at[x] for c, w in stem.items() for x in (w, c[-1])), np.int64, 2 * len(stem))
             flat, ends = self._gather(pairs)
             self._add(list(stem), flat, ends[1::2])
 
+    def _learn_alone(self, chunks: list[str]) -> None:
+        """Add chunks, each encoded as a text."""
+        for k in range(0, len(chunks), BATCH):
+            part = chunks[k:k + BATCH]
+            ids = self._whole(part)
+            self._add(part, np.asarray([x for i in ids for x in i], np.uint32), np.cumsum([len(i) for i in ids]))
+
+    def _learn_composed(self, chunks: list[str]) -> list[str]:
+        """Add chunks of Latin-1 characters, which have the ids of their pre-tokens; gives back the others."""
+        latin = {c: b for c in chunks if (b := _latin(c)) is not None}
+        pieces, at, ends = _pieces(list(latin.values()))
+        if len(at):
+            new = [p for p in pieces if p not in self._at]
+            self._learn_latin([p for p in new if _LATIN_WORD(p)])
+            self._learn_alone([p for p in new if not _LATIN_WORD(p)])
+            flat, to = self._gather(np.fromiter(map(self._at.__getitem__, pieces), np.int64, len(pieces))[at])
+            self._add(list(latin), flat, np.r_[0, to][ends])
+        return [c for c in chunks if c not in self._at]
+
     def _learn_latin(self, words: list[str]) -> None:
         """Add words that are one pre-token each, which the file's model takes as characters for bytes."""
         flat: list[int] = []
