@@ -105,7 +105,8 @@ class Encoder:
         if self.by_kind:
             self._learn_latin([c for c in chunks if _LATIN_WORD(c)])
             chunks = self._learn_composed([c for c in chunks if c not in self._at])
-        stem = {c: c[:-1] for c in chunks if c[-1] in ",." and len(c) > 2 and _ends_in_letter(c[-2])}
+        is_letter = str.isalpha if self.leading else _ends_in_letter
+        stem = {c: c[:-1] for c in chunks if c[-1] in ",." and len(c) > 2 and is_letter(c[-2])}
         words = [c for c in dict.fromkeys([*(stem.get(c, c) for c in chunks), *(",." if stem else "")]) if c not in self._at]
         is_plain = (lambda w: w[0] == " " and w[1:].isalpha()) if self.leading else str.isalpha
         plain = [w for w in words if is_plain(w)]
