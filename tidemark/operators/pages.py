@@ -13,7 +13,7 @@ Selectors: ``tag``, ``.class``, ``#id``, ``[attr]``, ``[attr=v]``, ``[attr^=v]``
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections import Counter, deque
 from collections.abc import Callable, Iterator, Sequence
 from html.parser import HTMLParser
 
@@ -30,8 +30,8 @@ from ..session import staged
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HIDDEN = frozenset(("script", "style", "template"))
 
-#: Nodes, or entries, that a task holds at once (about; a page more).
-SLICE = 20_000
+#: Nodes, or entries, that a task holds at once (about; a page's nodes more), and bytes of a page that are read at once.
+SLICE, PIECE = 20_000, 1 << 18
 
 _TEXT = "#text"
 _NODES = "array<struct<at:int,end:int,tag:string,attrs:map<string,string>,text:string,shown:boolean>>"
@@ -282,6 +282,79 @@ def _entries(picked: list[tuple]) -> list[tuple]:
     return [(f[1][2], f[1][1]["href"], f[2][2] if 2 in f else []) for f in first.values() if 1 in f and "href" in f[1][1]]
 
 
+class _Listing(_Picker):
+    """Of one page the entries (selectors as in ``_entries``), each as soon as its row and those before it are closed.
+
+    ``rows``: [open, (attrs, pieces) of the first link, the same of the first date] of the rows not taken, in document order.
+    """
+
+    def __init__(self, wanted: list[list[list[dict]]]):
+        super().__init__(wanted)
+        self.rows: deque[list] = deque()
+
+    def _add(self, tag, attrs, text):
+        if tag == _TEXT:
+            if not self.hidden:
+                for _, _, (held, _) in self.around:
+                    for pieces in held:
+                        pieces.append(text)
+            return
+        held, rows = [], []
+        for number, parts in enumerate(self.wanted):
+            if not (_fits(parts[-1], tag, attrs) and self._within(parts[:-1])):
+                continue
+            if not number:
+                rows.append([True, None, None])
+                continue
+            pieces: list[str] = []
+            lacking = [row for _, _, (_, own) in self.around for row in own if row[number] is None]
+            for row in lacking:
+                row[number] = (attrs, pieces)
+            if lacking:
+                held.append(pieces)
+        self.rows.extend(rows)
+        self.last = (tag, attrs, (held, rows))
+
+    def _close(self):
+        self._shut(self.around[-1])
+        return super()._close()
+
+    def _shut(self, element: tuple) -> None:
+        for row in element[2][1]:
+            row[0] = False
+
+    def handle_starttag(self, tag, attrs):
+        super().handle_starttag(tag, attrs)
+        if tag in VOID:
+            self._shut(self.last)
+
+    def handle_startendtag(self, tag, attrs):
+        super().handle_startendtag(tag, attrs)
+        self._shut(self.last)
+
+    def taken(self, end: bool = False) -> Iterator[tuple]:
+        while self.rows and (end or not self.rows[0][0]):
+            _, link, date = self.rows.popleft()
+            if link and "href" in link[0]:
+                yield link[1], link[0]["href"], date[1] if date else []
+
+
+def read_entries(html: pa.StringScalar, wanted: list) -> Iterator[tuple]:
+    """(title pieces, href, date pieces) of a page's entries, while it is read; no more than a piece of it and its open rows are held."""
+    reader, data, a, size = _Listing(wanted), html.as_buffer() if html.is_valid else pa.py_buffer(b""), 0, PIECE
+    while a < data.size:
+        part = data.slice(a, min(size, data.size - a)).to_pybytes()
+        z = len(part) if a + len(part) == data.size else part.rfind(b"<")  # before a tag, so no text is cut
+        if z <= 0:
+            size *= 2
+            continue
+        reader.feed(part[:z].decode())
+        a, size = a + z, PIECE
+        yield from reader.taken()
+    reader.close()
+    yield from reader.taken(True)
+
+
 def _joined(pieces: str) -> Column:
     return F.array_join(F.transform(pieces, lambda t: strip(t)), "")
 
@@ -291,8 +364,8 @@ def extract_links(df: DataFrame, html: str = "html", key: str = "page_id", row:
                   base: str | None = None, base_col: str | None = None) -> DataFrame:
     """H2: one row per listing entry with a link: (key, pos, title, url, date).
 
-    The reader keeps the text pieces of links and dates only and an entry knows its row, so a
-    page of many entries costs as much as many pages of few.
+    The reader keeps the text pieces of links and dates only and hands an entry on when its row is closed, so a
+    page of many entries costs as much as many pages of few and a task never holds those of a page.
     """
     wanted = [_compiled(x) for x in (row, link, date) if x]
     kind = df.schema[key].dataType.simpleString()
@@ -301,12 +374,21 @@ def extract_links(df: DataFrame, html: str = "html", key: str = "page_id", row:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for a, found in _slices(b.column(2), lambda h: _entries(read_picked(h, wanted)), lambda e: len(e) + 1):
-                for c in range(0, len(rows := [(a + i, pos, *e) for i, es in enumerate(found) for pos, e in enumerate(es)]), SLICE):
-                    at, pos, title, href, day = (list(x) for x in zip(*rows[c:c + SLICE], strict=True))
-                    page = b.select([0, 1]).take(pa.array(at, pa.int32()))  # never the page itself
-                    yield pa.RecordBatch.from_arrays([page.column(0), page.column(1), pa.array(pos, pa.int32()), pa.array(title, pieces),
-                                                      pa.array(href, pa.string()), pa.array(day, pieces)], names)
+            rows = []
+            for i, html in enumerate(b.column(2)):
+                for pos, e in enumerate(read_entries(html, wanted)):
+                    rows.append((i, pos, *e))
+                    if len(rows) == SLICE:
+                        yield made(b, rows)
+                        rows = []
+            if rows:
+                yield made(b, rows)
+
+    def made(b: pa.RecordBatch, rows: list[tuple]) -> pa.RecordBatch:
+        at, pos, title, href, day = (list(x) for x in zip(*rows, strict=True))
+        page = b.select([0, 1]).take(pa.array(at, pa.int32()))  # never the page itself
+        return pa.RecordBatch.from_arrays([page.column(0), page.column(1), pa.array(pos, pa.int32()), pa.array(title, pieces),
+                                           pa.array(href, pa.string()), pa.array(day, pieces)], names)
 
     pages = df.select(F.col(key).alias("key"), F.coalesce(F.col(base_col) if base_col else F.lit(base), F.lit("")).alias("base"), html)
     rows = pages.mapInArrow(run, f"key {kind}, base string, pos int, title array<string>, href string, date array<string>")

@@ -48,7 +48,8 @@ def landed_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.lit("</div>"), F.coalesce(F.array_join(F.transform("e", div), ""), F.lit("")))
     made = every.join(listed, ["chain", "at"], "left").select(F.concat_ws("/", F.lit(_BASE), "chain", "at").alias("url"), html.alias("html"))
     path = scratch_path(spark, "listings")
-    made.write.parquet(path)
+    # Pages differ by a thousand times in size: a writer and a reader hold a row group, so those are small and looked at page by page.
+    made.write.option("parquet.block.size", 16 << 20).option("parquet.page.size.row.check.min", 1).option("parquet.page.size.row.check.max", 100).parquet(path)
     return spark.read.schema(made.schema).parquet(path)
 
 
